@@ -1 +1,202 @@
-"""Registered queries."""
+"""Registered queries: training-frame load, routing, derived columns, encoding, stats."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import config
+from ..operators import prepare as P
+from ..operators import training as T
+from ..sources.sinks import read_stage, write_stage
+from ..session import scratch_path
+from . import oracle as O
+from .cat_training import dag
+from .catalogue import register
+
+MAIN_FEATS = config.FEATURE_OVERRIDES["main"]
+LOADED_SQL = """SELECT ld_mcs_id, apd_es_matricula AS y, user_pseudo_id, product_id, page_name, page_location, platform,
+  form_name, market_site, language_site, ga_session_id, ga_session_number, user_country, user_province, user_studies,
+  CASE WHEN lower(trim(platform)) = 'landing' THEN 'landing' ELSE 'main' END AS segmento,
+  NULLIF(page_name, '') AS page_path,
+  NULLIF(regexp_extract(page_location, '[?&]utm_campaign=([^&]+)', 1), '') AS utm_campaign
+FROM model_train"""
+LOADED = f"""
+loaded AS ({LOADED_SQL})"""
+
+
+def psql(select: str, *extra: str) -> str:
+    return "WITH " + O.dag_ctes() + ",\n" + ",\n".join([LOADED, *extra]) + "\n" + select
+
+
+def loaded(spark, sf_dir):
+    return P.load_training_frame(dag(spark, sf_dir).table)
+
+
+@register("src_training_table", psql("SELECT * FROM loaded"))
+def q_src_training_table(spark, sf_dir):
+    """Training table as the trainer reads it: target renamed, segment added, columns derived."""
+    return loaded(spark, sf_dir)
+
+
+@register("target_rename", O.with_dag("SELECT * EXCLUDE (apd_es_matricula), apd_es_matricula AS y FROM model_train"))
+def q_target_rename(spark, sf_dir):
+    return P.apply_target_rename(dag(spark, sf_dir).table)
+
+
+@register("segment_route", psql("SELECT ld_mcs_id, platform, segmento FROM loaded"))
+def q_segment_route(spark, sf_dir):
+    return loaded(spark, sf_dir).select("ld_mcs_id", "platform", config.SEGMENT_COL)
+
+
+@register("segment_filter", psql("SELECT * FROM loaded WHERE segmento = 'landing'"))
+def q_segment_filter(spark, sf_dir):
+    return P.segment_frame(loaded(spark, sf_dir), config.LANDING)
+
+
+@register("derive_page_path", O.with_dag("SELECT event_timestamp, page_name, NULLIF(page_name, '') AS page_path FROM base"))
+def q_derive_page_path(spark, sf_dir):
+    proj = T.event_projection(dag(spark, sf_dir).base)
+    return P.derive_columns(proj).select(F.col("purchase_timestamp").alias("event_timestamp"), "page_name", "page_path")
+
+
+@register("derive_utm_campaign", O.with_dag(
+    "SELECT event_timestamp, page_location, NULLIF(regexp_extract(page_location, '[?&]utm_campaign=([^&]+)', 1), '') AS utm_campaign FROM base"))
+def q_derive_utm_campaign(spark, sf_dir):
+    proj = T.event_projection(dag(spark, sf_dir).base)
+    return P.derive_columns(proj).select(F.col("purchase_timestamp").alias("event_timestamp"), "page_location", "utm_campaign")
+
+
+@register("limit_rows", O.with_dag("SELECT COUNT(*) AS n_rows FROM (SELECT * FROM model_train LIMIT 100)"))
+def q_limit_rows(spark, sf_dir):
+    """Optional row cap on load (the cap is the feature): how many rows a 100-row load returns."""
+    return P.load_training_frame(dag(spark, sf_dir).table, limit=100).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _feature_rows(spark, sf_dir):
+    df = loaded(spark, sf_dir)
+    rows = []
+    for seg in config.SEGMENTS + ["dynamic"]:
+        over = config.FEATURE_OVERRIDES.get(seg)
+        feats = P.resolve_features(df.columns, override=over)
+        num, cat = P.split_types(df.schema, feats)
+        for i, f in enumerate(feats):
+            rows.append((seg, i, f, "numeric" if f in num else "categorical"))
+    return spark.createDataFrame(rows, "segment string, position int, feature string, kind string")
+
+
+@register("resolve_features")
+def q_resolve_features(spark, sf_dir):
+    """Feature list per segment (override order kept) and for the dynamic schema."""
+    return _feature_rows(spark, sf_dir).select("segment", "position", "feature")
+
+
+@register("split_types")
+def q_split_types(spark, sf_dir):
+    """Numeric vs categorical per resolved feature (id-like numerics are categorical)."""
+    return _feature_rows(spark, sf_dir).select("segment", "feature", "kind")
+
+
+def _main(spark, sf_dir):
+    df = P.segment_frame(loaded(spark, sf_dir), config.MAIN)
+    feats = P.resolve_features(df.columns, override=MAIN_FEATS)
+    num, cat = P.split_types(df.schema, feats)
+    return df, num, cat
+
+
+PREP_SQL = """SELECT ld_mcs_id, y, CAST(ga_session_number AS DOUBLE) AS ga_session_number,
+  CAST(product_id AS VARCHAR) AS product_id, user_country, user_province, user_studies, form_name, page_name
+FROM loaded WHERE segmento = 'main'"""
+
+
+@register("prep_features", psql(PREP_SQL))
+def q_prep_features(spark, sf_dir):
+    """Main-segment model frame: numerics as double (NULL kept), categoricals as text."""
+    df, num, cat = _main(spark, sf_dir)
+    return P.prep_features(df, num, cat, keep=["ld_mcs_id", config.TARGET])
+
+
+@register("num_passthrough", psql("""SELECT ld_mcs_id, COALESCE(CAST(ga_session_number AS DOUBLE), -1.0e9) AS ga_session_number__val,
+  CAST(ga_session_number IS NULL AS DOUBLE) AS ga_session_number__missing FROM loaded WHERE segmento = 'main'"""))
+def q_num_passthrough(spark, sf_dir):
+    df, num, cat = _main(spark, sf_dir)
+    prepped = P.prep_features(df, num, cat, keep=["ld_mcs_id"])
+    return prepped.select("ld_mcs_id", *P.num_passthrough(prepped, num))
+
+
+_CAT = ["product_id", "user_country", "user_province", "user_studies", "form_name", "page_name"]
+VOCAB = f"""
+lv AS (
+  UNPIVOT (SELECT {', '.join(f"COALESCE(CAST({c} AS VARCHAR), 'MISSING') AS {c}" for c in _CAT)}
+           FROM loaded WHERE segmento = 'main')
+  ON {', '.join(_CAT)} INTO NAME feature VALUE level
+)""", """
+cnt AS (SELECT feature, level, COUNT(*) AS n FROM lv GROUP BY feature, level)""", """
+voc AS (
+  SELECT feature, level, n, n >= 20 AS frequent,
+    SUM(CASE WHEN n >= 20 THEN 1 ELSE 0 END) OVER (PARTITION BY feature ORDER BY level ROWS UNBOUNDED PRECEDING) AS r,
+    SUM(CASE WHEN n >= 20 THEN 1 ELSE 0 END) OVER (PARTITION BY feature) AS nf,
+    SUM(CASE WHEN n < 20 THEN 1 ELSE 0 END) OVER (PARTITION BY feature) AS ni
+  FROM cnt
+)""", """
+vocab AS (
+  SELECT feature, level, n, frequent, CAST(CASE WHEN frequent THEN r - 1 ELSE nf END AS INTEGER) AS slot,
+         CAST(nf + CASE WHEN ni > 0 THEN 1 ELSE 0 END AS INTEGER) AS n_slots FROM voc
+)"""
+
+
+def _vocab(spark, sf_dir):
+    df, num, cat = _main(spark, sf_dir)
+    return P.prep_features(df, num, cat), cat
+
+
+@register("cat_vocab_fit", psql("SELECT * FROM vocab", *VOCAB))
+def q_cat_vocab_fit(spark, sf_dir):
+    """Levels per categorical (NULL → MISSING) with slots; levels seen < 20 times share one slot."""
+    prepped, cat = _vocab(spark, sf_dir)
+    return P.fit_vocabulary(prepped, cat)
+
+
+ENCODE_SQL = f"""SELECT e.event_timestamp, e.user_pseudo_id, u.feature,
+  CASE WHEN v.slot IS NULL THEN NULL ELSE v.slot END AS slot
+FROM base e,
+  (SELECT UNNEST([{', '.join(repr(c) for c in _CAT)}]) AS feature) u
+  LEFT JOIN vocab v ON v.feature = u.feature AND v.level = COALESCE(
+    CASE u.feature {' '.join(f"WHEN '{c}' THEN CAST(e.{c} AS VARCHAR)" for c in _CAT)} END, 'MISSING')"""
+
+
+@register("cat_encode", psql(ENCODE_SQL, *VOCAB))
+def q_cat_encode(spark, sf_dir):
+    """Encode every daily-shard event with the main-segment vocabulary: slot of its level,
+    the shared slot for infrequent levels, NULL (all-zero block) for levels never seen."""
+    prepped, cat = _vocab(spark, sf_dir)
+    voc = P.Vocabulary.fit(prepped, cat)
+    events = T.event_projection(dag(spark, sf_dir).base)
+    ev = P.prep_features(events, [], cat, keep=["purchase_timestamp", "user_pseudo_id"])
+    idx = voc.index_columns(ev)
+    long = idx.select(F.col("purchase_timestamp").alias("event_timestamp"), "user_pseudo_id",
+                      F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}__idx").alias("i"),
+                                                   F.lit(voc.sizes[c]).alias("k")) for c in cat])).alias("e"))
+    slot = F.when(F.col("e.i") < F.col("e.k"), F.col("e.i").cast("int"))
+    return long.select("event_timestamp", "user_pseudo_id", F.col("e.feature").alias("feature"), slot.alias("slot"))
+
+
+@register("segment_stats", psql("""SELECT segmento, COUNT(*) AS n_rows, ROUND(AVG(y), 6) AS base_rate,
+  ROUND(COUNT(*) / (SELECT COUNT(*) FROM loaded), 6) AS share,
+  ROUND(250.0 * (COUNT(*) / (SELECT COUNT(*) FROM loaded)), 6) AS seg_daily FROM loaded GROUP BY segmento"""))
+def q_segment_stats(spark, sf_dir):
+    s = P.segment_stats(loaded(spark, sf_dir))
+    return s.select(config.SEGMENT_COL, "n_rows", *[F.round(c, 6).alias(c) for c in ("base_rate", "share", "seg_daily")])
+
+
+@register("class_weight", psql("""SELECT segmento, COUNT_IF(y = 1) AS n_pos, COUNT_IF(y = 0) AS n_neg,
+  ROUND(COUNT_IF(y = 0) / greatest(COUNT_IF(y = 1), 1), 6) AS pos_weight FROM loaded GROUP BY segmento"""))
+def q_class_weight(spark, sf_dir):
+    w = P.class_weight(loaded(spark, sf_dir), [config.SEGMENT_COL])
+    return w.select(config.SEGMENT_COL, "n_pos", "n_neg", F.round("pos_weight", 6).alias("pos_weight"))
+
+
+@register("sink_stage_parquet", psql("SELECT * FROM loaded WHERE segmento = 'landing'"))
+def q_sink_stage_parquet(spark, sf_dir):
+    """Write the prepared frame once, partitioned by segment; read one segment back (pruned)."""
+    path = scratch_path(spark, "stage")
+    write_stage(loaded(spark, sf_dir), path)
+    return read_stage(spark, path, config.LANDING)
