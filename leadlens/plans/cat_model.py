@@ -1 +1,213 @@
-"""Registered queries."""
+"""Registered queries: splits, search, fits, stability, registry, gate, scoring.
+
+Model-fitting queries have no SQL twin (rows-only check) and run a small search budget
+(``QUERY_BUDGET``) through the same code as the reference-sized defaults of ``TrainBudget``.
+A trained run is memoised per (session, sf_dir) so the registry/scoring queries share it.
+"""
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from .. import config
+from ..operators import model as M
+from ..operators import prepare as P
+from ..operators import rank as R
+from ..operators import registry as RG
+from ..operators.split import stratified_folds, stratified_split
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from .cat_prepare import loaded, psql
+from . import oracle as O
+from .catalogue import register
+from .training_run import train_segments
+
+QUERY_BUDGET = M.TrainBudget(n_iter=2, n_folds=4, search_rounds=5, max_rounds=20, n_seeds=2, seed=42, parallelism=4)
+_RUNS: dict = {}
+
+
+def trained(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _RUNS:
+        root = scratch_path(spark, "models")
+        res = train_segments(spark, loaded_table(spark, sf_dir), f"{root}/bundles", f"{root}/registry", QUERY_BUDGET)
+        _RUNS[key] = res
+    return _RUNS[key]
+
+
+def loaded_table(spark, sf_dir):
+    from .cat_training import dag
+    return dag(spark, sf_dir).table
+
+
+SPLIT_SQL = """
+keys AS (SELECT DISTINCT ld_mcs_id, y FROM loaded)""", """
+ranked_keys AS (
+  SELECT *, row_number() OVER (PARTITION BY y ORDER BY sha256('{seed}:' || ld_mcs_id), ld_mcs_id) AS r,
+         COUNT(*) OVER (PARTITION BY y) AS n FROM keys
+)"""
+
+
+@register("stratified_split", psql("""SELECT ld_mcs_id, y, CASE WHEN r <= n - held THEN 'train'
+  WHEN r <= n - CAST(ceil(CAST(2 AS DOUBLE) / 3 * held) AS BIGINT) THEN 'eval' ELSE 'test' END AS split
+FROM (SELECT *, CAST(ceil(CAST(0.3 AS DOUBLE) * n) AS BIGINT) AS held FROM ranked_keys)""",
+      SPLIT_SQL[0], SPLIT_SQL[1].format(seed=0)))
+def q_stratified_split(spark, sf_dir):
+    """Seeded 70/10/20 split of leads, exact per-class shares (seed 0)."""
+    return stratified_split(loaded(spark, sf_dir), 0).select("ld_mcs_id", config.TARGET, "split").distinct()
+
+
+@register("stratified_kfold", psql("SELECT ld_mcs_id, y, CAST((r - 1) % 4 AS INTEGER) AS fold FROM ranked_keys",
+                                   SPLIT_SQL[0], SPLIT_SQL[1].format(seed=1_000_003)))
+def q_stratified_kfold(spark, sf_dir):
+    """Four seeded, class-balanced folds of leads (seed 0)."""
+    return stratified_folds(loaded(spark, sf_dir), 0, 4).select("ld_mcs_id", config.TARGET, "fold").distinct()
+
+
+def _main(spark, sf_dir):
+    df = P.segment_frame(loaded(spark, sf_dir), config.MAIN)
+    return df, M.feature_spec(df, config.FEATURE_OVERRIDES[config.MAIN])
+
+
+@register("random_search")
+def q_random_search(spark, sf_dir):
+    """Seeded random search with k-fold CV (exact average precision) on the main segment."""
+    df, spec = _main(spark, sf_dir)
+    res = M.tune_segment(df, spec, QUERY_BUDGET)
+    return spark.createDataFrame([(config.MAIN, json.dumps(res.params), res.cv_best_ap, res.best_iteration,
+                                   json.dumps(res.test_metrics))],
+                                 "segment string, params string, cv_best_pr_auc double, best_iteration int, test_metrics string")
+
+
+@register("fit_early_stop")
+def q_fit_early_stop(spark, sf_dir):
+    """Fit on train with the eval split as validation; rounds actually grown."""
+    df, spec = _main(spark, sf_dir)
+    sp = stratified_split(df, 42)
+    train = sp.filter(F.col("split") == "train")
+    vocab = P.Vocabulary.fit(P.prep_features(train, spec.num, spec.cat), spec.cat)
+    params = M.sample_params(1, 42)[0]
+    _, iters = M.fit_early_stop(sp, spec, vocab, params, QUERY_BUDGET, M.pos_weight_of(train), "ld_mcs_id")
+    return spark.createDataFrame([(config.MAIN, iters, QUERY_BUDGET.max_rounds)],
+                                 "segment string, best_iteration int, max_rounds int")
+
+
+def _meta_frame(spark, sf_dir, keys):
+    res = trained(spark, sf_dir)
+    rows = [(seg, *[json.dumps(b.meta.get(k), default=str) if isinstance(b.meta.get(k), (dict, list)) else str(b.meta.get(k))
+                    for k in keys]) for seg, b in res.candidates.items()]
+    return spark.createDataFrame(rows, ", ".join(["segment string"] + [f"{k} string" for k in keys]))
+
+
+@register("fit_production")
+def q_fit_production(spark, sf_dir):
+    """Production bundle per segment: rounds = max(median best iteration, 10), base rate, rows."""
+    return _meta_frame(spark, sf_dir, ["n_estimators", "base_rate", "n_train", "params", "grade_thresholds"])
+
+
+@register("multi_seed_stability")
+def q_multi_seed_stability(spark, sf_dir):
+    """Mean and population std of AP, ROC AUC and band lifts over seeded refits."""
+    res = trained(spark, sf_dir)
+    rows = []
+    for seg, b in res.candidates.items():
+        for metric, v in b.meta["metrics"].items():
+            if isinstance(v, dict):
+                rows.append((seg, metric, float(v["mean"]), float(v["std"])))
+    return spark.createDataFrame(rows, "segment string, metric string, mean double, std double")
+
+
+@register("sink_model_registry")
+def q_sink_model_registry(spark, sf_dir):
+    """Candidate rows written to the registry table (bundle path, gate metric, metadata)."""
+    res = trained(spark, sf_dir)
+    reg = RG.read_registry(spark, res.registry_path)
+    return reg.filter(F.col("stage") == "candidate").select("segment", "stage", "version", "metric", "metric_value")
+
+
+@register("promote_live")
+def q_promote_live(spark, sf_dir):
+    """Gate decisions of the run and the live rows appended for promoted segments."""
+    res = trained(spark, sf_dir)
+    reg = RG.read_registry(spark, res.registry_path)
+    live = reg.filter(F.col("stage") == "live").select("segment", F.col("version").alias("live_version"))
+    return res.decisions.select("segment", "promoted", "reason_code", "candidate", "live").join(live, "segment", "left")
+
+
+@register("src_live_models")
+def q_src_live_models(spark, sf_dir):
+    """Live bundle per segment loaded from the registry (a failing segment is skipped)."""
+    res = trained(spark, sf_dir)
+    bundles, versions = RG.load_live_models(spark, RG.read_registry(spark, res.registry_path))
+    rows = [(seg, versions[seg], len(b.spec.features), sum(b.vocab.sizes.values())) for seg, b in bundles.items()]
+    return spark.createDataFrame(rows, "segment string, version string, n_features int, n_slots int")
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    """Score every lead of the training table with its routed segment's live model."""
+    res = trained(spark, sf_dir)
+    bundles, _ = RG.load_live_models(spark, RG.read_registry(spark, res.registry_path))
+    if not bundles:
+        bundles = res.candidates
+    return M.score_batch(loaded(spark, sf_dir), bundles, ["ld_mcs_id"])
+
+
+FP_SQL = """SELECT COUNT(*) AS n_rows, sha256(CAST(COUNT(*) AS VARCHAR) || ':' || CAST(COALESCE(SUM(
+  CAST(('0x' || substr(sha256(ld_mcs_id || '|' || CAST(y AS VARCHAR)), 1, 15)) AS BIGINT)), 0) AS VARCHAR)) AS data_hash
+FROM loaded"""
+
+
+@register("data_fingerprint", psql(FP_SQL))
+def q_data_fingerprint(spark, sf_dir):
+    """Order-insensitive, multiset-safe content hash of (lead id, target)."""
+    return RG.data_fingerprint(loaded(spark, sf_dir))
+
+
+@register("provenance_record", psql(f"SELECT 'model_train' AS table_ref, 'fixture' AS data_version, * FROM ({FP_SQL})"))
+def q_provenance_record(spark, sf_dir):
+    return RG.provenance_record(loaded(spark, sf_dir), "model_train", "fixture")
+
+
+def _lift_a_sql(name: str, score: str) -> str:
+    return f"""
+{name}_scored AS (
+  SELECT event_id AS id, CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END AS y, CAST({score} AS DOUBLE) AS score,
+         CASE WHEN lower(trim(platform)) = 'landing' THEN 'landing' ELSE 'main' END AS segmento FROM fx_flat
+),
+{name}_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY segmento ORDER BY score DESC, id) AS rank,
+         COUNT(*) OVER (PARTITION BY segmento) AS n, SUM(y) OVER (PARTITION BY segmento) AS p FROM {name}_scored
+),
+{name}_lift AS (
+  SELECT segmento, (SUM(CASE WHEN rank <= round_even(25 / 100 * n, 0) THEN y ELSE 0 END)
+                    / COUNT_IF(rank <= round_even(25 / 100 * n, 0))) / (MAX(p) / MAX(n)) AS v
+  FROM {name}_ranked GROUP BY segmento
+)"""
+
+
+GATE_SQL = "WITH " + ",\n".join([O.FX_FLAT,
+                                  _lift_a_sql("cand", "value"), _lift_a_sql("prev", "ROUND(value, 0)")]) + """
+SELECT c.segmento AS segment,
+  (c.v IS NOT NULL AND NOT isnan(c.v) AND c.v >= 1.0) AND (l.v IS NULL OR isnan(l.v) OR c.v >= l.v - CAST(0.15 AS DOUBLE)) AS promoted,
+  CASE WHEN NOT (c.v IS NOT NULL AND NOT isnan(c.v) AND c.v >= 1.0) THEN 'below_min'
+       WHEN l.v IS NULL OR isnan(l.v) THEN 'bootstrap'
+       WHEN c.v >= l.v - CAST(0.15 AS DOUBLE) THEN 'no_regression' ELSE 'regression' END AS reason_code,
+  ROUND(c.v, 6) AS candidate, ROUND(CASE WHEN l.v IS NULL OR isnan(l.v) THEN -1.0 ELSE l.v END, 6) AS live
+FROM cand_lift c LEFT JOIN (SELECT * FROM prev_lift WHERE segmento = 'main') l USING (segmento)"""
+
+
+@register("promotion_gate", GATE_SQL)
+def q_promotion_gate(spark, sf_dir):
+    """Gate per segment: candidate = top-25 % lift of the value score; the live metric is the
+    rounded-score lift, registered for ``main`` only (``landing`` bootstraps)."""
+    def lift_a(ties):
+        rk = R.rank_by_score(fx.scored_frame(spark, sf_dir, ties), group=[config.SEGMENT_COL])
+        return (R.band_lift(rk).filter(F.col("grade") == "A")
+                .select(F.col(config.SEGMENT_COL).alias("segment"), F.col("lift").alias("metric_value")))
+    cand = lift_a(False)
+    live = lift_a(True).filter(F.col("segment") == config.MAIN)
+    g = RG.promotion_gate(cand, live)
+    return g.select("segment", "promoted", "reason_code", F.round("candidate", 6).alias("candidate"),
+                    F.round("live", 6).alias("live"))

@@ -1 +1,65 @@
-"""Registered queries."""
+"""Registered queries: stream scoring and model hot swap. Rows-only checks.
+
+Lead payloads are the prepared training-table rows written as parquet files into a source
+folder; the stream scores them with the live models of the registry of a trained run.
+"""
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from .. import config
+from ..operators import registry as RG
+from ..session import scratch_path
+from ..streaming.scoring import LiveModels, score_stream
+from .cat_model import trained
+from .cat_prepare import loaded
+from .catalogue import register
+
+PAYLOAD_COLS = ["ld_mcs_id", "user_pseudo_id", "product_id", "page_name", "page_location", "platform", "form_name",
+                "market_site", "language_site", "ga_session_id", "ga_session_number", "user_country",
+                "user_province", "user_studies"]
+
+
+def _payloads(spark, sf_dir):
+    return loaded(spark, sf_dir).select(*PAYLOAD_COLS)
+
+
+@register("score_stream")
+def q_score_stream(spark, sf_dir):
+    """Stream the lead payloads through the same derive → encode → model path as batch scoring."""
+    res = trained(spark, sf_dir)
+    root = scratch_path(spark, "stream")
+    payload = _payloads(spark, sf_dir)
+    payload.repartition(2).write.mode("overwrite").parquet(f"{root}/source")
+    live = LiveModels(spark, res.registry_path, reload_interval_s=0)
+    out = score_stream(spark, f"{root}/source", payload.schema, f"{root}/sink", f"{root}/checkpoint", live,
+                       ["ld_mcs_id"], max_files_per_trigger=1)
+    return out.select("ld_mcs_id", config.SEGMENT_COL, "score", "grade", "model_segment", "model_version")
+
+
+@register("model_hot_swap")
+def q_model_hot_swap(spark, sf_dir):
+    """A live-version bump between two arrivals: later batches are scored by the new version."""
+    res = trained(spark, sf_dir)
+    root = scratch_path(spark, "hotswap")
+    reg_path = f"{root}/registry"
+    base = RG.read_registry(spark, res.registry_path)
+    base.write.mode("overwrite").parquet(reg_path)
+    payload = _payloads(spark, sf_dir)
+    live = LiveModels(spark, reg_path, reload_interval_s=0)
+    payload.write.mode("overwrite").parquet(f"{root}/source/part=1")
+    src = f"{root}/source"
+    schema = payload.schema
+    score_stream(spark, src, schema, f"{root}/sink", f"{root}/checkpoint", live, ["ld_mcs_id"])
+    # operator re-promotes each segment's newest candidate under a new live version
+    cand = RG.latest_per_segment(RG.read_registry(spark, reg_path), "candidate")
+    bump = cand.select("segment", F.lit("live").alias("stage"), F.concat(F.col("version"), F.lit("-v2")).alias("version"),
+                       "path", "metric", "metric_value", F.lit(dt.datetime(2024, 2, 1)).cast("timestamp").alias("created_at"),
+                       "meta")
+    RG.append_registry(spark, bump, reg_path)
+    payload.write.mode("overwrite").parquet(f"{root}/source/part=2")
+    out = score_stream(spark, src, schema, f"{root}/sink", f"{root}/checkpoint", live, ["ld_mcs_id"])
+    return (out.groupBy("batch_id", "model_segment", "model_version")
+            .agg(F.count(F.lit(1)).alias("n_scored"), F.avg("score").alias("mean_score")))
