@@ -151,6 +151,7 @@ class RunParams:
     maturity_days: int = MATURITY_DAYS
     lookback_months: int = LOOKBACK_MONTHS
     strict_params: bool = False
+    materialize: bool = True
 
     @property
     def snapshot_date(self) -> _dt.date:

@@ -25,6 +25,7 @@ from .. import config
 from ..functions.params import extract_params, param_value
 from ..functions.safe import strict_least
 from ..functions.timeparts import add_months_py, calendar_parts, micros_of
+from ..session import durable
 
 PURCHASE_COLUMNS = [
     "user_pseudo_id", "purchase_timestamp", "purchase_day", "purchase_month", "purchase_year",
@@ -112,15 +113,19 @@ def lead_window(leads: DataFrame, b: Bounds) -> DataFrame:
 def latest_lead_per_day(leads: DataFrame) -> DataFrame:
     """Latest lead per (id, UTC day): ``row_number() over (… order by ts desc) = 1``.
 
-    Written as a max-of-struct aggregate: partial aggregation keeps one row per key per map
-    task, so a hot id (or the NULL id group) never lands whole in one task. Ties on the
-    timestamp resolve to the higher target value, deterministically.
+    Written as an aggregate so partial aggregation keeps one row per key per map task: a
+    hot id (or the NULL id group) never lands whole in one task. The order key packs the
+    timestamp with a tiebreak rank of the 0/1 target (1 before 0 before NULL), so the
+    aggregate buffers are fixed-width longs and Spark runs it as a hash aggregate.
     """
     keys = ["ld_mcs_id", "lead_day", "lead_month", "lead_year"]
-    best = F.max(F.struct(F.col("ld_timestamp"), F.col(config.RAW_TARGET))).alias("_best")
-    return (leads.groupBy(*keys).agg(best)
-            .select(F.col("_best.ld_timestamp").alias("ld_timestamp"), "lead_day", "lead_month", "lead_year",
-                    "ld_mcs_id", F.col(f"_best.{config.RAW_TARGET}").alias(config.RAW_TARGET)))
+    y = F.col(config.RAW_TARGET)
+    tie = F.when(y.isNull(), F.lit(0)).when(y >= 1, F.lit(2)).otherwise(F.lit(1))
+    order = F.col("ld_timestamp") * F.lit(4) + tie
+    agg = leads.groupBy(*keys).agg(F.max(order).alias("_k"), F.max_by(y, order).alias("_y"))
+    ts = ((F.col("_k") - F.pmod(F.col("_k"), F.lit(4))) / F.lit(4)).cast("bigint")
+    return agg.select(ts.alias("ld_timestamp"), "lead_day", "lead_month", "lead_year", "ld_mcs_id",
+                      F.col("_y").cast(leads.schema[config.RAW_TARGET].dataType).alias(config.RAW_TARGET))
 
 
 def purchase_window(purchases: DataFrame, b: Bounds) -> DataFrame:
@@ -175,7 +180,12 @@ def model_train(joined: DataFrame) -> DataFrame:
 
 @dataclass
 class TrainingDag:
-    """Every intermediate of one build, for inspection and for the query catalogue."""
+    """Every intermediate of one build, for inspection and for the query catalogue.
+
+    ``table`` materialises the (small) lead–purchase join once into the shared checkpoint
+    folder before the validity aggregate and the semi-join both read it, so the event
+    shards are scanned for purchases once, not twice.
+    """
     base: DataFrame
     purchases: DataFrame
     snapshot: DataFrame
@@ -186,7 +196,15 @@ class TrainingDag:
     purchase_window: DataFrame
     joined: DataFrame
     valid: DataFrame
-    table: DataFrame
+    materialize: bool = True
+    _table: DataFrame | None = None
+
+    @property
+    def table(self) -> DataFrame:
+        if self._table is None:
+            joined = durable(self.joined) if self.materialize else self.joined
+            self._table = model_train(joined)
+        return self._table
 
 
 def build_training_dag(shards: DataFrame, history: DataFrame, params: config.RunParams) -> TrainingDag:
@@ -203,5 +221,4 @@ def build_training_dag(shards: DataFrame, history: DataFrame, params: config.Run
     pw = purchase_window(purchases, b)
     joined = lead_purchase_join(latest, pw)
     valid = valid_leads(joined)
-    table = column_except(valid_lead_semijoin(joined, valid), config.TRAINING_DROP)
-    return TrainingDag(base, purchases, snap, leads, b, lw, latest, pw, joined, valid, table)
+    return TrainingDag(base, purchases, snap, leads, b, lw, latest, pw, joined, valid, params.materialize)

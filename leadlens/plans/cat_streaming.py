@@ -22,6 +22,17 @@ PAYLOAD_COLS = ["ld_mcs_id", "user_pseudo_id", "product_id", "page_name", "page_
                 "user_province", "user_studies"]
 
 
+def _stream_registry(spark, source_registry: str, root: str) -> str:
+    """Copy of the run's registry where an operator has made the newest candidates live
+    (the gate may have kept no live model after a small search)."""
+    reg_path = f"{root}/registry"
+    reg = RG.read_registry(spark, source_registry)
+    reg.write.mode("overwrite").parquet(reg_path)
+    if RG.latest_per_segment(reg, "live").count() < reg.select("segment").distinct().count():
+        RG.append_registry(spark, RG.manual_promote(reg, dt.datetime(2024, 1, 31, 12)), reg_path)
+    return reg_path
+
+
 def _payloads(spark, sf_dir):
     return loaded(spark, sf_dir).select(*PAYLOAD_COLS)
 
@@ -31,9 +42,10 @@ def q_score_stream(spark, sf_dir):
     """Stream the lead payloads through the same derive → encode → model path as batch scoring."""
     res = trained(spark, sf_dir)
     root = scratch_path(spark, "stream")
+    reg_path = _stream_registry(spark, res.registry_path, root)
     payload = _payloads(spark, sf_dir)
     payload.repartition(2).write.mode("overwrite").parquet(f"{root}/source")
-    live = LiveModels(spark, res.registry_path, reload_interval_s=0)
+    live = LiveModels(spark, reg_path, reload_interval_s=0)
     out = score_stream(spark, f"{root}/source", payload.schema, f"{root}/sink", f"{root}/checkpoint", live,
                        ["ld_mcs_id"], max_files_per_trigger=1)
     return out.select("ld_mcs_id", config.SEGMENT_COL, "score", "grade", "model_segment", "model_version")
@@ -44,9 +56,7 @@ def q_model_hot_swap(spark, sf_dir):
     """A live-version bump between two arrivals: later batches are scored by the new version."""
     res = trained(spark, sf_dir)
     root = scratch_path(spark, "hotswap")
-    reg_path = f"{root}/registry"
-    base = RG.read_registry(spark, res.registry_path)
-    base.write.mode("overwrite").parquet(reg_path)
+    reg_path = _stream_registry(spark, res.registry_path, root)
     payload = _payloads(spark, sf_dir)
     live = LiveModels(spark, reg_path, reload_interval_s=0)
     payload.write.mode("overwrite").parquet(f"{root}/source/part=1")
@@ -54,10 +64,7 @@ def q_model_hot_swap(spark, sf_dir):
     schema = payload.schema
     score_stream(spark, src, schema, f"{root}/sink", f"{root}/checkpoint", live, ["ld_mcs_id"])
     # operator re-promotes each segment's newest candidate under a new live version
-    cand = RG.latest_per_segment(RG.read_registry(spark, reg_path), "candidate")
-    bump = cand.select("segment", F.lit("live").alias("stage"), F.concat(F.col("version"), F.lit("-v2")).alias("version"),
-                       "path", "metric", "metric_value", F.lit(dt.datetime(2024, 2, 1)).cast("timestamp").alias("created_at"),
-                       "meta")
+    bump = RG.manual_promote(RG.read_registry(spark, reg_path), dt.datetime(2024, 2, 1), "-v2")
     RG.append_registry(spark, bump, reg_path)
     payload.write.mode("overwrite").parquet(f"{root}/source/part=2")
     out = score_stream(spark, src, schema, f"{root}/sink", f"{root}/checkpoint", live, ["ld_mcs_id"])
