@@ -215,3 +215,14 @@ def q_promotion_gate(spark, sf_dir):
     g = RG.promotion_gate(cand, live)
     return g.select("segment", "promoted", "reason_code", F.round("candidate", 6).alias("candidate"),
                     F.round("live", 6).alias("live"))
+
+
+@register("evaluate_report")
+def q_evaluate_report(spark, sf_dir):
+    """Held-out evaluation of each segment's search winner: decile lift table."""
+    res = trained(spark, sf_dir)
+    out = None
+    for seg, rep in res.reports.items():
+        d = rep["decile_lift"].withColumn("segment", F.lit(seg))
+        out = d if out is None else out.unionByName(d)
+    return out

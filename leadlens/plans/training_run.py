@@ -25,15 +25,18 @@ class RunResult:
     models_root: str
     decisions: DataFrame
     candidates: dict
+    reports: dict
 
 
 def train_segments(spark: SparkSession, table: DataFrame, models_root: str, registry_path: str,
                    budget: M.TrainBudget, segments=config.SEGMENTS, now: dt.datetime | None = None,
-                   table_ref: str = "model_train", data_version: str = "") -> RunResult:
+                   table_ref: str = "model_train", data_version: str = "",
+                   daily_volume: float = config.DAILY_VOLUME) -> RunResult:
     now = now or dt.datetime(2024, 1, 31)
     df = P.load_training_frame(table).persist()
     prov = RG.provenance_record(df, table_ref, data_version).collect()[0].asDict()
-    cand_rows, candidates = [], {}
+    stats = {r[config.SEGMENT_COL]: r.asDict() for r in P.segment_stats(df, daily_volume).collect()}
+    cand_rows, candidates, reports = [], {}, {}
     for seg in segments:
         seg_df = P.segment_frame(df, seg).persist()
         if seg_df.count() == 0:
@@ -43,8 +46,15 @@ def train_segments(spark: SparkSession, table: DataFrame, models_root: str, regi
         tuned = M.tune_segment(seg_df, spec, budget)
         stab = M.holdout_stability(seg_df, spec, tuned.params, budget)
         bundle = M.fit_production(seg_df, seg, spec, tuned.params, stab["median_best_iter"])
+        seg_daily = float(stats.get(seg, {}).get("seg_daily") or 0.0)
+        report = M.evaluation_report(tuned.test_scores, seg, seg_daily)
+        block = report["test_block"].collect()[0]
+        reports[seg] = report
         bundle.meta.update({"grade_thresholds": M.in_sample_thresholds(bundle, seg_df), "metrics": stab,
-                            "test_metrics": tuned.test_metrics, "provenance": prov})
+                            "test_metrics": {**tuned.test_metrics, "test_precision_top10": float(block["precision"]),
+                                             "test_recall_top10": float(block["recall"]),
+                                             "seg_daily_volume": seg_daily},
+                            "provenance": prov})
         version = f"{now:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
         path = f"{models_root}/candidate/{seg}/{version}"
         bundle.save(path)
@@ -63,7 +73,7 @@ def train_segments(spark: SparkSession, table: DataFrame, models_root: str, regi
     new_live = promoted.filter(F.col("created_at") == F.lit(now + dt.timedelta(seconds=1)).cast("timestamp"))
     RG.append_registry(spark, new_live, registry_path)
     df.unpersist()
-    return RunResult(registry_path, models_root, decisions, candidates)
+    return RunResult(registry_path, models_root, decisions, candidates, reports)
 
 
 def meta_rows(spark: SparkSession, bundles: dict) -> DataFrame:

@@ -28,7 +28,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # checkpoint files of a query are removed once its frames are garbage-collected
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -79,3 +79,30 @@ def test_skewed_lead_id_dedup_is_aggregate(spark):
     """A hot lead id is collapsed by partial aggregation (no window over the hot key)."""
     plan = T.latest_lead_per_day(_dag(spark, 7).lead_window)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "Window" not in plan
+
+
+def test_partition_pruning_on_stored_shards_and_history(spark):
+    from leadlens.sources import events as EV
+    root = tempfile.mkdtemp(prefix="shards-", dir="/tmp")
+    EV.write_event_shards(fx.event_shards(spark, SF_SMALL), f"{root}/events")
+    shards = EV.read_event_shards(spark, f"{root}/events")
+    assert dict(shards.dtypes)["suffix"] == "string"
+    base = EV.base_events(shards, dt.date(2024, 1, 31))
+    plan = base._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "20220131" in plan
+    purchases = T.purchase_events(base)
+    pplan = purchases._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_name,purchase)" in pplan
+    hist_path = f"{root}/hist"
+    leads = fx.lead_table(spark, SF_SMALL)
+    for d in fx.FIXTURE_SNAPSHOT_DAYS:
+        L.append_snapshot(spark, leads.filter(F.to_date("ld_createdon") <= F.lit(d)), hist_path, d,
+                          dt.datetime(d.year, d.month, d.day))
+    snap = L.asof_snapshot(L.read_history(spark, hist_path), dt.date(2024, 1, 25))
+    splan = snap._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(execution_date" in splan and "subquery" in splan.lower()
+    # same rows as the in-memory fixture path
+    p = config.RunParams(execution_date=fx.FIXTURE_EXECUTION_DATE, maturity_days=7)
+    stored = T.build_training_dag(shards, L.read_history(spark, hist_path), p).table
+    mem = _dag(spark, 7).table
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, mem.collect()))
