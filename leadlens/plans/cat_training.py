@@ -246,3 +246,30 @@ def q_model_train(spark, sf_dir):
 def q_sink_training_table(spark, sf_dir):
     """Materialise the training table (full rebuild) and read it back."""
     return roundtrip_table(spark, dag(spark, sf_dir).table, "model_train")
+
+
+@register("src_event_shards_stored", O.with_dag("SELECT suffix, event_timestamp, user_pseudo_id, event_name FROM base"))
+def q_src_event_shards_stored(spark, sf_dir):
+    """Shards written as one dataset partitioned by ``suffix`` and scanned back: the
+    8-digit / two-year rule is a literal partition filter (pruned folders are never read)."""
+    from ..sources.events import read_event_shards, write_event_shards
+    from ..session import scratch_path
+    ensure_session(spark)
+    path = scratch_path(spark, "event_shards")
+    write_event_shards(fx.event_shards(spark, sf_dir), path)
+    return base_events(read_event_shards(spark, path), EXEC).select(*SCAN_COLS)
+
+
+@register("snap_asof_stored", O.with_ctes(O.FX_LEADS, O.FX_HISTORY, O.asof_cte("2024-01-25").lstrip(),
+          select=HIST_SQL.format(src="atenea_training_input")))
+def q_snap_asof_stored(spark, sf_dir):
+    """History built by three physical daily appends, then the as-of snapshot for 2024-01-25
+    read with the chosen date as a run-time partition filter."""
+    from ..session import scratch_path
+    ensure_session(spark)
+    path = scratch_path(spark, "lead_history")
+    leads = fx.lead_table(spark, sf_dir)
+    for d in fx.FIXTURE_SNAPSHOT_DAYS:
+        L.append_snapshot(spark, leads.filter(F.to_date("ld_createdon") <= F.lit(d)), path, d,
+                          dt.datetime(d.year, d.month, d.day))
+    return _history_text(L.asof_snapshot(L.read_history(spark, path), dt.date(2024, 1, 25)))

@@ -51,8 +51,10 @@ class LiveModels:
 
 
 def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str, checkpoint_dir: str,
-                 live: LiveModels, keep: list[str], max_files_per_trigger: int | None = None):
-    """Run the scoring stream until the source is drained (``availableNow``)."""
+                 live: LiveModels, keep: list[str], max_files_per_trigger: int | None = None,
+                 processing_time: str | None = None):
+    """Run the scoring stream. By default until the source is drained (``availableNow``);
+    with ``processing_time`` (e.g. ``"1 minute"``) it keeps running and the handle is returned."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -70,7 +72,9 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sin
         })
         out.write.mode("append").parquet(sink_dir)
 
-    q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True).start())
+    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(sink_dir)
