@@ -108,7 +108,9 @@ SET_SPECS = [("campaign_ids", "id_campaigns", "num_campaigns", "campaings"),
 
 def user_features(src: DataFrame) -> DataFrame:
     """The 47-column per-user feature frame."""
-    sets = [F.collect_set(F.col(c)).alias(f"_s_{c}") for c, _, _, _ in SET_SPECS]
+    # the NULL user's sets are never output (it matches no joined view): collect nothing for it
+    known_user = F.col(USER).isNotNull()
+    sets = [F.collect_set(F.when(known_user, F.col(c))).alias(f"_s_{c}") for c, _, _, _ in SET_SPECS]
     behaviour = src.groupBy(USER).agg(*_counter_aggs(), F.count_distinct(F.col(SESSION)).alias("_n_sessions"),
                                       *sets, F.min(TS).alias("_first_visit"))
     known = src.filter(F.col(USER).isNotNull())  # NULL user never matches a joined view
