@@ -66,6 +66,7 @@ class Ranked:
     frame: DataFrame
     group: list[str]
     counts: dict[tuple, int]
+    score: str | None = None  # the ordering column of a distinct-score curve
 
     def n(self, g: tuple = ()) -> int:
         return self.counts.get(g, 0)
@@ -99,10 +100,15 @@ def running_totals(df: DataFrame, order: list[Column], group: list[str] | None =
     for r in stats:
         g = tuple(r[c] for c in group)
         counts[g] = counts.get(g, 0) + int(r["_n"])
-    schema = ", ".join(["_pid int"] + [f"`{g}` {dict(df.dtypes)[g]}" for g in group]
-                       + ["_first bigint", "_off bigint"] + [f"_off_{s} double" for s in sums])
-    off_df = spark.createDataFrame([tuple(float(x) if i >= 3 + len(group) else x for i, x in enumerate(o))
-                                    for o in offs], schema)
+    types = dict(df.dtypes)
+    integral = {s: types[s] in ("tinyint", "smallint", "int", "bigint") for s in sums}
+    schema = ", ".join(["_pid int"] + [f"`{g}` {types[g]}" for g in group]
+                       + ["_first bigint", "_off bigint"]
+                       + [f"_off_{s} {'bigint' if integral[s] else 'double'}" for s in sums])
+    width = 3 + len(group)
+    off_df = spark.createDataFrame(
+        [tuple(x if i < width else (int(x) if integral[sums[i - width]] else float(x)) for i, x in enumerate(o))
+         for o in offs], schema)
     # join on partition id and (null-safe) group values
     o = off_df.withColumnsRenamed({"_pid": "_o_pid", **{g: f"_o_{g}" for g in group}})
     cond = F.col("_pid") == F.col("_o_pid")
@@ -201,8 +207,10 @@ def distinct_score_curve(scored: DataFrame, score: str = "score", y: str = confi
     group = list(group or [])
     d = scored.groupBy(*group, score).agg(F.count(F.lit(1)).alias("n_s"),
                                           F.sum(F.col(y).cast("long")).alias("pos_s"))
-    return running_totals(d, [F.col(score).desc()], group, sums=["n_s", "pos_s"], rank_col="k",
-                          num_partitions=num_partitions)
+    curve = running_totals(d, [F.col(score).desc()], group, sums=["n_s", "pos_s"], rank_col="k",
+                           num_partitions=num_partitions)
+    curve.score = score
+    return curve
 
 
 def _totals(curve: Ranked) -> DataFrame:
@@ -244,12 +252,12 @@ def roc_points(curve: Ranked, max_points: int = config.ROC_POINTS) -> DataFrame:
     clamped to 1.0, then down-sampled to ``max_points`` by truncated linear indices."""
     spark = curve.frame.sparkSession
     g = curve.group
-    f = _with_totals(curve).select(*g, "k", F.col(curve_score_col(curve)).alias("threshold"),
+    f = _with_totals(curve).select(*g, "k", F.col(curve.score).alias("threshold"),
                                    (F.col("cum_n_s") - F.col("cum_pos_s")).alias("fps"),
                                    F.col("cum_pos_s").alias("tps"), "n", "p")
     prev = f.select(*g, (F.col("k") + 1).alias("k"), F.col("fps").alias("fps_prev"), F.col("tps").alias("tps_prev"))
     nxt = f.select(*g, (F.col("k") - 1).alias("k"), F.col("fps").alias("fps_next"), F.col("tps").alias("tps_next"))
-    kmax = per_group({k: v for k, v in _distinct_counts(curve).items()}, g, "long")
+    kmax = per_group(dict(curve.counts), g, "long")
     j = f.join(prev, g + ["k"], "left").join(nxt, g + ["k"], "left")
     corner = ((F.col("fps_next") - 2 * F.col("fps") + F.col("fps_prev")) != 0) | \
              ((F.col("tps_next") - 2 * F.col("tps") + F.col("tps_prev")) != 0)
@@ -276,15 +284,6 @@ def roc_points(curve: Ranked, max_points: int = config.ROC_POINTS) -> DataFrame:
     return allp.filter(cond if cond is not None else F.lit(False)).withColumnRenamed("j", "point")
 
 
-def curve_score_col(curve: Ranked) -> str:
-    skip = set(curve.group) | {"n_s", "pos_s", "cum_n_s", "cum_pos_s", "k"}
-    return [c for c in curve.frame.columns if c not in skip][0]
-
-
-def _distinct_counts(curve: Ranked) -> dict[tuple, int]:
-    return dict(curve.counts)
-
-
 def band_edges(n: int, uppers: list[int]) -> list[tuple[int, int, int, int]]:
     """(prev %, upper %, lo, hi) rank slices with Python (half-even) rounding."""
     out, prev = [], 0
