@@ -83,13 +83,33 @@ def _feature_rows(spark, sf_dir):
     return spark.createDataFrame(rows, "segment string, position int, feature string, kind string")
 
 
-@register("resolve_features")
+def _schema_sql(select: str) -> str:
+    """Feature lists from DuckDB's own schema of the loaded frame (contract constants only)."""
+    excluded = ", ".join(repr(c) for c in config.ID_COLS + [config.TARGET, config.SEGMENT_COL])
+    ov = ", ".join(f"('{seg}', {i}, '{c}')" for seg, feats in config.FEATURE_OVERRIDES.items() for i, c in enumerate(feats))
+    ids = ", ".join(repr(c) for c in config.ID_COLS)
+    return f"""WITH cols AS (
+  SELECT column_name AS c, column_type AS t, row_number() OVER () AS ord FROM (DESCRIBE ({psql("SELECT * FROM loaded")}))
+),
+dyn AS (SELECT 'dynamic' AS segment, c, t, row_number() OVER (ORDER BY ord) - 1 AS position
+        FROM cols WHERE c NOT IN ({excluded})),
+ov AS (SELECT * FROM (VALUES {ov}) o(segment, opos, c)),
+ovr AS (SELECT o.segment, o.c, cols.t, row_number() OVER (PARTITION BY o.segment ORDER BY o.opos) - 1 AS position
+        FROM ov o JOIN cols ON cols.c = o.c WHERE o.c NOT IN ({excluded})),
+allf AS (SELECT segment, c, t, position FROM dyn UNION ALL SELECT segment, c, t, position FROM ovr),
+typed AS (SELECT *, CASE WHEN (t IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE', 'BOOLEAN')
+                               OR t LIKE 'DECIMAL%') AND NOT (c LIKE '%\\_id' ESCAPE '\\' OR c IN ({ids}))
+                          THEN 'numeric' ELSE 'categorical' END AS kind FROM allf)
+{select}"""
+
+
+@register("resolve_features", _schema_sql("SELECT segment, CAST(position AS INTEGER) AS position, c AS feature FROM typed"))
 def q_resolve_features(spark, sf_dir):
     """Feature list per segment (override order kept) and for the dynamic schema."""
     return _feature_rows(spark, sf_dir).select("segment", "position", "feature")
 
 
-@register("split_types")
+@register("split_types", _schema_sql("SELECT segment, c AS feature, kind FROM typed"))
 def q_split_types(spark, sf_dir):
     """Numeric vs categorical per resolved feature (id-like numerics are categorical)."""
     return _feature_rows(spark, sf_dir).select("segment", "feature", "kind")
