@@ -371,6 +371,16 @@ def topk_fraction(rk: Ranked, pct: float) -> DataFrame:
     return rk.frame.filter(F.col("rank") <= k)
 
 
+def approx_quantiles(df: DataFrame, score: str, probs: list[float], group: list[str] | None = None,
+                     accuracy: int = 10_000) -> dict[tuple, list[float]]:
+    """Opt-in sketch quantiles per group (``percentile_approx``: one partial-aggregated pass,
+    no global sort). Not interpolating: values are observed scores within ``1/accuracy``
+    rank error, so results can differ from the exact default."""
+    group = list(group or [])
+    rows = df.groupBy(*group).agg(F.percentile_approx(F.col(score), probs, accuracy).alias("_q")).collect()
+    return {tuple(r[g] for g in group): [float(v) for v in r["_q"]] for r in rows}
+
+
 def qcut_probabilities(q: int = 10) -> list[float]:
     """Bin probabilities as a pandas decile cut computes them (linspace, via percent)."""
     return [float(x) for x in (np.linspace(0, 1, q + 1) * 100) / 100]
