@@ -10,8 +10,9 @@ DAG (all lazy DataFrame functions; Catalyst sees one plan):
 
 Scale notes: the three global bounds are scalar subqueries (one merged scan of the
 timestamp column, no cross join); the per-day dedup is an aggregate, so a hot lead id is
-collapsed map-side before the shuffle; validity is a min/max aggregate (partial-aggregated)
-followed by a left-semi join that AQE may split when one lead holds many rows.
+collapsed map-side before the shuffle; validity is a distinct count (hash aggregates, first
+keyed by lead and pair) followed by a left-semi join that AQE may split when one lead holds
+many rows.
 """
 from __future__ import annotations
 
@@ -153,12 +154,12 @@ def lead_session_key(df: DataFrame) -> Column:
 def valid_leads(joined: DataFrame) -> DataFrame:
     """Leads with exactly one distinct non-NULL (user, session) pair.
 
-    ``count(distinct k) = 1`` ⇔ ``min(k)`` is not NULL and ``min(k) = max(k)``; min/max are
-    partial-aggregated map-side, unlike a distinct count.
+    A single distinct count plans as hash aggregates: first keyed by (lead, pair), which
+    dedups map-side and spreads a hot lead over many tasks, then by lead.
     """
     k = lead_session_key(joined)
-    agg = joined.groupBy("ld_mcs_id").agg(F.min(k).alias("_lo"), F.max(k).alias("_hi"))
-    return agg.filter(F.col("_lo").isNotNull() & (F.col("_lo") == F.col("_hi"))).select("ld_mcs_id")
+    agg = joined.groupBy("ld_mcs_id").agg(F.count_distinct(k).alias("_pairs"))
+    return agg.filter(F.col("_pairs") == 1).select("ld_mcs_id")
 
 
 def valid_lead_semijoin(joined: DataFrame, valid: DataFrame) -> DataFrame:
