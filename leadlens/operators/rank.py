@@ -220,7 +220,7 @@ def _totals(curve: Ranked) -> DataFrame:
 def average_precision(curve: Ranked) -> DataFrame:
     """Σ over distinct scores of ΔRecall × Precision (step-wise, no interpolation)."""
     f = _with_totals(curve)
-    term = F.col("pos_s") / F.col("p") * (F.col("cum_pos_s") / F.col("cum_n_s"))
+    term = F.try_divide(F.col("pos_s"), F.col("p")) * F.try_divide(F.col("cum_pos_s"), F.col("cum_n_s"))
     return f.groupBy(*curve.group).agg(F.when(F.max("p") > 0, F.sum(term)).alias("average_precision"))
 
 
@@ -243,7 +243,7 @@ def roc_auc(curve: Ranked) -> DataFrame:
     f = _with_totals(curve)
     neg = F.col("n") - F.col("p")
     term = (F.col("n_s") - F.col("pos_s")) * (F.lit(2) * F.col("cum_pos_s") - F.col("pos_s"))
-    auc = F.sum(term) / (F.lit(2.0) * F.max("p") * F.max(neg))
+    auc = F.try_divide(F.sum(term), F.lit(2.0) * F.max("p") * F.max(neg))
     return f.groupBy(*curve.group).agg(F.when((F.max("p") > 0) & (F.max(neg) > 0), auc).alias("roc_auc"))
 
 
@@ -267,7 +267,8 @@ def roc_points(curve: Ranked, max_points: int = config.ROC_POINTS) -> DataFrame:
     rk = running_totals(kept.select(*g, "k", "threshold", "fps", "tps", "n", "p"), [F.col("k").asc()], g,
                         rank_col="j")
     neg = F.col("n") - F.col("p")
-    pts = rk.frame.select(*g, "j", "threshold", (F.col("fps") / neg).alias("fpr"), (F.col("tps") / F.col("p")).alias("tpr"))
+    pts = rk.frame.select(*g, "j", "threshold", F.try_divide(F.col("fps"), neg).alias("fpr"),
+                          F.try_divide(F.col("tps"), F.col("p")).alias("tpr"))
     start_rows = [(*key, 0, 1.0, 0.0, 0.0) for key in rk.counts]
     schema = ", ".join([f"`{c}` {dict(curve.frame.dtypes)[c]}" for c in g] + ["j bigint", "threshold double", "fpr double", "tpr double"])
     allp = pts.unionByName(spark.createDataFrame(start_rows, schema))
@@ -313,9 +314,9 @@ def band_lift(rk: Ranked, y: str = config.TARGET) -> DataFrame:
     """Lift of each grade band (top 0–25 %, 25–50 %, 50–100 % by rank): mean(y) / base;
     NULL when the band is empty or the base rate is 0."""
     b = band_rates(rk, y)
-    base = F.col("p") / F.col("n")
-    rate = F.col("pos_band") / F.col("n_band")
-    lift = F.when((F.col("n_band") > 0) & (base > 0), rate / base)
+    base = F.try_divide(F.col("p"), F.col("n"))
+    rate = F.try_divide(F.col("pos_band"), F.col("n_band"))
+    lift = F.when((F.col("n_band") > 0) & (base > 0), F.try_divide(rate, base))
     return b.select(*rk.group, "grade", lift.alias("lift"))
 
 
@@ -327,13 +328,13 @@ def grade_table(rk: Ranked, y: str = config.TARGET, daily_volume: float | dict =
     letter = _display_letter(seg, F.col("grade"))
     vol = per_group(daily_volume if isinstance(daily_volume, dict) else {g: float(daily_volume) for g in rk.counts},
                     rk.group, "double")
-    base_c = per_group(base, rk.group, "double") if base is not None else F.col("p") / F.col("n")
-    rate = F.when(F.col("n_band") > 0, F.col("pos_band") / F.col("n_band"))
+    base_c = per_group(base, rk.group, "double") if base is not None else F.try_divide(F.col("p"), F.col("n"))
+    rate = F.when(F.col("n_band") > 0, F.try_divide(F.col("pos_band"), F.col("n_band")))
     band_txt = F.concat(F.col("lower_pct").cast("string"), F.lit("–"), F.col("upper_pct").cast("string"), F.lit("%"))
     return b.select(*rk.group, letter.alias("grade"), band_txt.alias("banda"),
                     (F.col("n_band") / F.greatest(F.col("n"), F.lit(1)) * vol).alias("leads_dia"),
                     rate.alias("tasa_exito"),
-                    F.when(base_c != 0, rate / base_c).alias("vs_azar"))
+                    F.when(base_c != 0, F.try_divide(rate, base_c)).alias("vs_azar"))
 
 
 def _display_letter(segment: Column, canonical: Column) -> Column:
@@ -357,12 +358,12 @@ def capacity_table(rk: Ranked, y: str = config.TARGET, daily_volume: float = con
     agg = rk.frame.groupBy(*rk.group).agg(*aggs, F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("long")).alias("p"))
     stack = ", ".join(f"{p}, _k{i}, _t{i}" for i, p in enumerate(cuts))
     t = agg.selectExpr(*[f"`{g}`" for g in rk.group], "n", "p", f"stack({len(cuts)}, {stack}) as (top_pct, k, tp)")
-    base_c = per_group(base, rk.group, "double") if base is not None else F.col("p") / F.col("n")
-    tasa = F.col("tp") / F.col("k")
+    base_c = per_group(base, rk.group, "double") if base is not None else F.try_divide(F.col("p"), F.col("n"))
+    tasa = F.try_divide(F.col("tp"), F.col("k"))
     leads = F.col("top_pct") / F.lit(100.0) * F.lit(float(daily_volume))
     return t.select(*rk.group, "top_pct", leads.alias("leads_dia"), (leads * tasa).alias("conv_dia"),
                     tasa.alias("tasa_exito"), (F.col("tp") / F.greatest(F.col("p"), F.lit(1))).alias("pct_capturadas"),
-                    F.when(base_c != 0, tasa / base_c).otherwise(F.lit(float("nan"))).alias("vs_azar"))
+                    F.when(base_c != 0, F.try_divide(tasa, base_c)).otherwise(F.lit(float("nan"))).alias("vs_azar"))
 
 
 def topk_fraction(rk: Ranked, pct: float) -> DataFrame:
@@ -412,7 +413,7 @@ def decile_lift(binned: DataFrame, y: str = config.TARGET, group: list[str] | No
     base = binned.groupBy(*group).agg(F.avg(yy).alias("_base"))
     base_vals = {tuple(r[g] for g in group): r["_base"] for r in base.collect()}
     b = per_group(base_vals, group, "double")
-    return per.select(*group, (F.col("bin") + 1).alias("decile"), "conv", "n", (F.col("conv") / b).alias("lift"))
+    return per.select(*group, (F.col("bin") + 1).alias("decile"), "conv", "n", F.try_divide(F.col("conv"), b).alias("lift"))
 
 
 def top_bin_lift(lifts: DataFrame, group: list[str] | None = None) -> DataFrame:

@@ -6,7 +6,6 @@ into the shared folder named by ``spark.checkpoint.dir``.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -100,4 +99,4 @@ def hadoop_fs(spark: SparkSession, path: str):
 
 
 __all__ = ["build_session", "ensure_session", "ensure_checkpoint_dir", "durable", "scratch_path",
-           "hadoop_fs", "local_path", "os"]
+           "hadoop_fs", "local_path"]
