@@ -72,3 +72,18 @@ def test_stream_equals_batch_and_hot_swap(spark, run):
     later = {r[0] for r in out2.filter(F.col("batch_id") > 0).select("model_version").distinct().collect()}
     assert later and all(v.endswith("-v2") for v in later) and not (later & v1)
     assert out2.filter(F.col("batch_id") == 0).count() == payload.count()
+
+
+def test_failing_live_segment_does_not_stop_others(spark, run):
+    _, _, res = run
+    reg = RG.read_registry(spark, res.registry_path)
+    good = RG.manual_promote(reg, dt.datetime(2024, 3, 1)).filter(F.col("segment") == "main")
+    bad = RG.manual_promote(reg, dt.datetime(2024, 3, 1)).filter(F.col("segment") == "landing") \
+        .withColumn("path", F.lit("/nonexistent/bundle"))
+    bundles, versions = RG.load_live_models(spark, reg.unionByName(good).unionByName(bad))
+    assert set(bundles) == {"main"} and set(versions) == {"main"}
+    # scoring still covers every routed lead: landing falls back to the loaded model
+    payload = P.load_training_frame(run[1])
+    scored = M.score_batch(payload, bundles, ["ld_mcs_id"])
+    assert scored.count() == payload.count()
+    assert {r[0] for r in scored.select("model_segment").distinct().collect()} == {"main"}

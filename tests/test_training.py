@@ -106,3 +106,14 @@ def test_partition_pruning_on_stored_shards_and_history(spark):
     stored = T.build_training_dag(shards, L.read_history(spark, hist_path), p).table
     mem = _dag(spark, 7).table
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, mem.collect()))
+
+
+def test_wrong_typed_slot_is_null(spark):
+    from leadlens.functions.params import param_value
+    df = spark.createDataFrame([([("product_id", ("42", None)), ("ga_session_id", (None, 7))],)],
+                               "p array<struct<key string, value struct<string_value string, int_value bigint>>>")
+    r = df.select(param_value("p", "product_id", "int_value").alias("a"),
+                  param_value("p", "product_id", "string_value").alias("b"),
+                  param_value("p", "ga_session_id", "string_value").alias("c"),
+                  param_value("p", "ga_session_id", "int_value").alias("d")).collect()[0]
+    assert (r["a"], r["b"], r["c"], r["d"]) == (None, "42", None, 7)
