@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.safe import json_text_or_null, nonempty_or_null
+from ..functions.safe import json_int_array_text, json_text_or_null, nonempty_or_null
 
 USER = "user_pseudo_id"
 SESSION = "ga_session_id"
@@ -123,7 +123,7 @@ def user_features(src: DataFrame) -> DataFrame:
         "session_duration_avg": F.col("session_duration_avg"),
         "session_duration_max": F.col("session_duration_max"),
         "total_session_time": F.col("total_session_time"),
-        "products": json_text_or_null(F.col("id_seen_products")),
+        "products": json_int_array_text(F.col("id_seen_products")),
         "num_products": F.col("num_products"),
         "first_visit_ts": F.when(has_user, F.col("_first_visit")),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.safe import json_text_or_null
+from ..functions.safe import json_int_array_text, json_text_or_null
 from ..operators import features as FE
 from ..session import ensure_session
 from ..sources import fixtures as fx
@@ -124,7 +124,7 @@ def q_select_distinct(spark, sf_dir):
 @register("seen_products", fsql("SELECT user_pseudo_id, to_json(id_seen_products) AS products, num_products FROM seen_products"))
 def q_seen_products(spark, sf_dir):
     p = FE.seen_products(_src(spark, sf_dir))
-    return p.select("user_pseudo_id", F.to_json("id_seen_products").alias("products"), "num_products")
+    return p.select("user_pseudo_id", json_int_array_text(F.col("id_seen_products")).alias("products"), "num_products")
 
 
 def _set_query(col, out, n_out, json_out):
