@@ -92,6 +92,7 @@ def running_totals(df: DataFrame, order: list[Column], group: list[str] | None =
     stats = (ranged.groupBy("_pid", *group)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"),
                   *[F.sum(F.col(s)).alias(f"_s_{s}") for s in sums])
+             .limit(MAX_OFFSET_ROWS + 1)  # bounded collect, even if misused with a high-cardinality group
              .collect())
     if len(stats) > MAX_OFFSET_ROWS:
         raise ValueError("ranking group is not low-cardinality; use a partitioned window instead")
