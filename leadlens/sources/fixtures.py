@@ -32,7 +32,12 @@ def _s(c: Column) -> Column:
 
 
 def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat analytics row per driver event (``fx_flat``)."""
+    """One flat analytics row per driver event (``fx_flat``).
+
+    Every event row is kept. The ``%`` expressions only choose values (which rows get a NULL
+    user or session, which platform, device, …) so that NULL and routing rules are
+    exercised; none of them filters rows.
+    """
     ev = _table(spark, sf_dir, "events")
     ts = F.col("ts").cast("timestamp")
     us = F.unix_micros(ts)
