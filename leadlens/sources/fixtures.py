@@ -27,10 +27,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_PLANS: dict = {}
+
+
+def _memo(fn):
+    """Reuse the (lazy, immutable) frame built for the same session and folder: building the
+    input plan once saves footer reads and plan analysis; no data is cached and every query
+    still executes its whole plan."""
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kwargs.items())))
+        hit = _PLANS.get(key)
+        if hit is None or hit[0] is not spark:
+            hit = (spark, fn(spark, sf_dir, *args, **kwargs))
+            _PLANS[key] = hit
+        return hit[1]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+@_memo
 def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat analytics row per driver event (``fx_flat``).
 
@@ -83,6 +103,7 @@ def _kv(key: str, string_value: Column | None = None, int_value: Column | None =
     )
 
 
+@_memo
 def event_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GA-style nested shards: parameters live in ``event_params`` / ``user_properties`` / ``geo``.
 
@@ -112,6 +133,7 @@ def event_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def lead_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CRM leads: one per signup event (``fx_leads``)."""
     ev = _table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
@@ -123,6 +145,7 @@ def lead_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def lead_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three daily snapshots, each holding the leads created up to its day (``fx_history``)."""
     leads = lead_table(spark, sf_dir)
@@ -134,6 +157,7 @@ def lead_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@_memo
 def feature_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature-source rows: user, session, time, event name, item ids, campaign, device, referrer."""
     flat = flat_events(spark, sf_dir)
@@ -142,6 +166,7 @@ def feature_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "campaign_ids", "device_used", "page_referrer")
 
 
+@_memo
 def scored_frame(spark: SparkSession, sf_dir: str, ties: bool = False) -> DataFrame:
     """``(id, y, score, segmento)`` for the ranking metrics; ``ties`` rounds scores to integers."""
     flat = flat_events(spark, sf_dir)
