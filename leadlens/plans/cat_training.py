@@ -124,20 +124,20 @@ def _asof(spark, sf_dir, d: dt.date) -> DataFrame:
 
 
 @register("snap_asof", O.with_ctes(O.FX_LEADS, O.FX_HISTORY, O.asof_cte("2024-01-25").lstrip(),
-          select=HIST_SQL.format(src="atenea_training_input")))
+          select=HIST_SQL.format(src="snapshot_input")))
 def q_snap_asof(spark, sf_dir):
     """Newest snapshot on or before 2024-01-25 (the 20th)."""
     return _asof(spark, sf_dir, dt.date(2024, 1, 25))
 
 
 @register("asof_join", O.with_ctes(O.FX_LEADS, O.FX_HISTORY, O.asof_cte("2024-01-05").lstrip(),
-          select=HIST_SQL.format(src="atenea_training_input")))
+          select=HIST_SQL.format(src="snapshot_input")))
 def q_asof_join(spark, sf_dir):
     """No snapshot on or before 2024-01-05: falls back to the oldest one (the 10th)."""
     return _asof(spark, sf_dir, dt.date(2024, 1, 5))
 
 
-@register("lead_normalise", O.with_dag("SELECT * FROM pre_atenea"))
+@register("lead_normalise", O.with_dag("SELECT * FROM lead_rows"))
 def q_lead_normalise(spark, sf_dir):
     return dag(spark, sf_dir).leads
 
@@ -158,7 +158,7 @@ def q_lead_window(spark, sf_dir):
     return dag(spark, sf_dir).lead_window
 
 
-@register("latest_lead_per_day", O.with_dag("SELECT * FROM atenea_window"))
+@register("latest_lead_per_day", O.with_dag("SELECT * FROM latest_leads"))
 def q_latest_lead_per_day(spark, sf_dir):
     return dag(spark, sf_dir).latest_leads
 
@@ -212,14 +212,14 @@ def q_purchase_window(spark, sf_dir):
     return dag(spark, sf_dir).purchase_window
 
 
-@register("lead_purchase_join", O.with_dag("SELECT * FROM atenea_purchases"))
+@register("lead_purchase_join", O.with_dag("SELECT * FROM lead_purchases"))
 def q_lead_purchase_join(spark, sf_dir):
     return dag(spark, sf_dir).joined
 
 
 @register("column_except", O.with_dag("""SELECT ld_mcs_id, apd_es_matricula, user_pseudo_id, product_id,
   page_name, page_location, platform, form_name, market_site, language_site, ga_session_id,
-  ga_session_number, user_country, user_province, user_studies FROM atenea_purchases"""))
+  ga_session_number, user_country, user_province, user_studies FROM lead_purchases"""))
 def q_column_except(spark, sf_dir):
     return T.column_except(dag(spark, sf_dir).joined, config.TRAINING_DROP)
 
@@ -230,7 +230,7 @@ def q_valid_leads(spark, sf_dir):
 
 
 @register("valid_lead_semijoin", O.with_dag(
-    "SELECT l.* FROM atenea_purchases l JOIN valid_leads vl ON l.ld_mcs_id = vl.ld_mcs_id"))
+    "SELECT l.* FROM lead_purchases l JOIN valid_leads vl ON l.ld_mcs_id = vl.ld_mcs_id"))
 def q_valid_lead_semijoin(spark, sf_dir):
     d = dag(spark, sf_dir)
     return T.valid_lead_semijoin(d.joined, d.valid)
@@ -261,7 +261,7 @@ def q_src_event_shards_stored(spark, sf_dir):
 
 
 @register("snap_asof_stored", O.with_ctes(O.FX_LEADS, O.FX_HISTORY, O.asof_cte("2024-01-25").lstrip(),
-          select=HIST_SQL.format(src="atenea_training_input")))
+          select=HIST_SQL.format(src="snapshot_input")))
 def q_snap_asof_stored(spark, sf_dir):
     """History built by three physical daily appends, then the as-of snapshot for 2024-01-25
     read with the chosen date as a run-time partition filter."""

@@ -80,7 +80,7 @@ def test_training_dag_matches_sql_with_a_hot_lead(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet')")
     d = dag(spark, str(tmp_path))
-    for df, cte in ((d.latest_leads, "atenea_window"), (d.valid, "valid_leads"), (d.table, "model_train")):
+    for df, cte in ((d.latest_leads, "latest_leads"), (d.valid, "valid_leads"), (d.table, "model_train")):
         rel = con.sql(O.with_dag(f"SELECT * FROM {cte}"))
         srows, drows = [tuple(r) for r in df.collect()], rel.fetchall()
         assert len(srows) == len(drows) and len(srows) > 0
