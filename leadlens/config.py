@@ -49,57 +49,48 @@ TOP_FRACTION = 0.10
 ROC_POINTS = 200
 RELOAD_INTERVAL_S = 300
 SCHEMA_VERSION = 2
-# Event names counted by the behaviour counters (output column, event name).
-COUNT_EVENTS = [
-    ("total_purchase", "purchase"),
-    ("total_pageviews", "page_view"),
-    ("total_scrolls", "scroll"),
-    ("total_user_engagement", "user_engagement"),
-    ("total_view_item", "view_item"),
-    ("total_select_item", "select_item"),
-    ("total_add_to_cart", "add_to_cart"),
-    ("total_begin_checkout", "begin_checkout"),
-    ("total_form_start", "form_start"),
-    ("total_open_form", "open_form"),
-    ("total_video_start", "video_start"),
-    ("total_video_progress", "video_progress"),
-    ("total_popup_clicks", "click_popup_banner"),
-    ("total_clicks", "click"),
-    ("total_click_slide", "click_slide"),
-    ("total_file_download", "file_download"),
-    ("total_view_content", "view_content"),
-    ("total_view_item_list", "view_item_list"),
-    ("total_view_popup_banner", "view_popup_banner"),
-    ("total_search", "search"),
-    ("total_session_start", "session_start"),
-    ("total_first_visit", "first_visit"),
-]
-# Integer 0/1 flags: MAX(IF(event_name = X, 1, 0)).
-INT_FLAGS = [
-    ("form_success_flag", "form_success"),
-    ("generate_lead_flag", "generate_lead"),
-    ("video_complete_flag", "video_complete"),
-]
-# Boolean flags: MAX(event_name = X).
-BOOL_FLAGS = [
-    ("form_success_flag_unbounce_flag", "form_success_unbounce"),
-    ("book_call_flag", "book_call"),
-    ("call_to_phone_flag", "call_to_phone"),
-    ("chat_open_flag", "open_chat"),
-    ("chat_start_flag", "chat_start"),
-    ("chat_success_flag", "chat_success"),
-]
-# Output order of the behaviour-counter block (as the feature table lists it).
-BEHAVIOUR_ORDER = [
-    "total_events", "total_purchase", "total_pageviews", "events_per_session", "total_scrolls",
-    "total_user_engagement", "total_view_item", "total_select_item", "total_add_to_cart",
-    "total_begin_checkout", "total_form_start", "form_success_flag", "form_success_flag_unbounce_flag",
-    "generate_lead_flag", "total_open_form", "book_call_flag", "call_to_phone_flag",
-    "total_video_start", "total_video_progress", "video_complete_flag", "chat_open_flag",
-    "chat_start_flag", "chat_success_flag", "total_popup_clicks", "total_clicks",
-    "total_click_slide", "total_file_download", "total_view_content", "total_view_item_list",
-    "total_view_popup_banner", "total_search", "total_session_start", "total_first_visit",
+# Behaviour counters in output order: (output column, event name, kind) where kind is
+# "all" = COUNT(*), "count" = COUNTIF(event_name = X), "int_flag" = MAX(IF(event_name = X, 1, 0)),
+# "bool_flag" = MAX(event_name = X), "per_session" = COUNT(*) / COUNT(DISTINCT session).
+BEHAVIOUR_COLUMNS = [
+    ("total_events", None, "all"),
+    ("total_purchase", "purchase", "count"),
+    ("total_pageviews", "page_view", "count"),
+    ("events_per_session", None, "per_session"),
+    ("total_scrolls", "scroll", "count"),
+    ("total_user_engagement", "user_engagement", "count"),
+    ("total_view_item", "view_item", "count"),
+    ("total_select_item", "select_item", "count"),
+    ("total_add_to_cart", "add_to_cart", "count"),
+    ("total_begin_checkout", "begin_checkout", "count"),
+    ("total_form_start", "form_start", "count"),
+    ("form_success_flag", "form_success", "int_flag"),
+    ("form_success_flag_unbounce_flag", "form_success_unbounce", "bool_flag"),
+    ("generate_lead_flag", "generate_lead", "int_flag"),
+    ("total_open_form", "open_form", "count"),
+    ("book_call_flag", "book_call", "bool_flag"),
+    ("call_to_phone_flag", "call_to_phone", "bool_flag"),
+    ("total_video_start", "video_start", "count"),
+    ("total_video_progress", "video_progress", "count"),
+    ("video_complete_flag", "video_complete", "int_flag"),
+    ("chat_open_flag", "open_chat", "bool_flag"),
+    ("chat_start_flag", "chat_start", "bool_flag"),
+    ("chat_success_flag", "chat_success", "bool_flag"),
+    ("total_popup_clicks", "click_popup_banner", "count"),
+    ("total_clicks", "click", "count"),
+    ("total_click_slide", "click_slide", "count"),
+    ("total_file_download", "file_download", "count"),
+    ("total_view_content", "view_content", "count"),
+    ("total_view_item_list", "view_item_list", "count"),
+    ("total_view_popup_banner", "view_popup_banner", "count"),
+    ("total_search", "search", "count"),
+    ("total_session_start", "session_start", "count"),
+    ("total_first_visit", "first_visit", "count"),
 ]
+BEHAVIOUR_ORDER = [c for c, _, _ in BEHAVIOUR_COLUMNS]
+COUNT_EVENTS = [(c, e) for c, e, k in BEHAVIOUR_COLUMNS if k == "count"]
+INT_FLAGS = [(c, e) for c, e, k in BEHAVIOUR_COLUMNS if k == "int_flag"]
+BOOL_FLAGS = [(c, e) for c, e, k in BEHAVIOUR_COLUMNS if k == "bool_flag"]
 JOINED_ORDER = [
     "total_sessions", "session_duration_avg", "session_duration_max", "total_session_time",
     "products", "num_products", "campaings", "num_campaigns", "used_devices", "num_devices",
