@@ -4,6 +4,10 @@
 one typed value per key, NULL when the key is absent or the typed slot is empty.
 A key that appears more than once is an error in strict mode (the warehouse raises on
 a scalar subquery returning several rows); otherwise the first occurrence wins.
+
+No lambda is involved: the key array is projected out of the structs (``arr.key``), the
+first match is found with ``array_position`` and read with ``get`` (NULL when absent), so
+the lookup stays inside whole-stage code generation.
 """
 from __future__ import annotations
 
@@ -13,14 +17,13 @@ from pyspark.sql import functions as F
 
 def param_value(arr: Column | str, key: str, slot: str, strict: bool = False) -> Column:
     arr = F.col(arr) if isinstance(arr, str) else arr
-    hits = F.filter(arr, lambda x: x["key"] == F.lit(key))
-    # get() is NULL-safe on an empty array (arr[0] would raise under ANSI mode).
-    value = F.get(hits, 0)["value"][slot]
+    keys = arr.getField("key")
+    pos = F.array_position(keys, F.lit(key))  # 1-based; 0 when absent
+    value = F.get(arr, pos - F.lit(1))["value"][slot]  # get(…, -1) is NULL
     if not strict:
         return value
-    return F.when(F.size(hits) > 1,
-                  F.raise_error(F.lit(f"more than one value for parameter '{key}'"))
-                  ).otherwise(value)
+    matches = F.size(keys) - F.size(F.array_remove(keys, F.lit(key)))
+    return F.when(matches > 1, F.raise_error(F.lit(f"more than one value for parameter '{key}'"))).otherwise(value)
 
 
 def extract_params(arr: Column | str, keys: list[tuple[str, str, str]], strict: bool = False) -> list[Column]:
