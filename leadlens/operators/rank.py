@@ -402,7 +402,9 @@ def qcut_bins(rk: Ranked, score: str = "score", q: int = 10) -> DataFrame:
         arr = F.try_element_at(m, F.col(rk.group[0]))
     else:
         arr = F.array(*[F.lit(v) for v in edges.get((), [])])
-    below = F.size(F.filter(arr, lambda e: e < F.col(score)))
+    # count of edges strictly below the score, lambda-free (≤ q + 1 edges; missing ones are NULL)
+    below = sum((F.coalesce((F.try_element_at(arr, F.lit(i)) < F.col(score)).cast("int"), F.lit(0))
+                 for i in range(1, q + 2)), F.lit(0))
     return rk.frame.withColumn("bin", (F.greatest(below, F.lit(1)) - 1).cast("int"))
 
 
