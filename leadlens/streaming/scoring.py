@@ -3,7 +3,8 @@
 ``readStream`` over a folder of lead payload files → ``foreachBatch``: at most once per
 ``reload_interval_s`` the live registry is re-read; segments whose live version changed are
 reloaded (a failing segment keeps its previous model). Each batch is scored with
-``score_batch`` — the exact batch path — and appended with the model version used, so
+``score_batch`` — the exact batch path — and written with the model version used into a
+per-batch folder (``batch_id=N``, overwritten on replay, so a retried batch is idempotent);
 stream output equals batch output for the same models.
 """
 from __future__ import annotations
@@ -66,11 +67,10 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sin
             live.maybe_reload(force=True)
         scored = M.score_batch(batch, live.bundles, keep)
         ver = F.create_map(*[x for s, v in live.versions.items() for x in (F.lit(s), F.lit(v))]) if live.versions else None
-        out = scored.withColumns({
-            "model_version": F.try_element_at(ver, F.col("model_segment")) if ver is not None else F.lit(None).cast("string"),
-            "batch_id": F.lit(batch_id).cast("long"),
-        })
-        out.write.mode("append").parquet(sink_dir)
+        out = scored.withColumn(
+            "model_version", F.try_element_at(ver, F.col("model_segment")) if ver is not None else F.lit(None).cast("string"))
+        # one folder per micro-batch, overwritten on replay: a retried batch never duplicates rows
+        out.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
     if processing_time:
