@@ -102,27 +102,32 @@ ROUND6 = "ROUND({c}, 6) AS {c}"
 
 @register("session_duration", fsql("SELECT user_pseudo_id, ga_session_id, ROUND(session_duration_sec, 6) AS session_duration_sec FROM sess_duration"))
 def q_session_duration(spark, sf_dir):
+    """Seconds between first and last event of every non-NULL session."""
     d = FE.session_duration(_src(spark, sf_dir))
     return d.select("user_pseudo_id", "ga_session_id", F.round("session_duration_sec", 6).alias("session_duration_sec"))
 
 
 @register("user_session_summary", fsql("SELECT * FROM session_duration"))
 def q_user_session_summary(spark, sf_dir):
+    """Per user: session count, rounded mean and total duration, longest session."""
     return FE.user_session_summary(_src(spark, sf_dir))
 
 
 @register("array_unnest_join", fsql("SELECT user_pseudo_id, item_id FROM unnested"))
 def q_array_unnest_join(spark, sf_dir):
+    """One row per element of each event's item-id array (empty/NULL arrays vanish)."""
     return FE.item_rows(_src(spark, sf_dir))
 
 
 @register("select_distinct", fsql("SELECT * FROM distinct_products"))
 def q_select_distinct(spark, sf_dir):
+    """Distinct (user, safe-cast integer item id) pairs."""
     return FE.distinct_products(_src(spark, sf_dir))
 
 
 @register("seen_products", fsql("SELECT user_pseudo_id, to_json(id_seen_products) AS products, num_products FROM seen_products"))
 def q_seen_products(spark, sf_dir):
+    """Sorted distinct castable item ids per user as JSON text, and their count."""
     p = FE.seen_products(_src(spark, sf_dir))
     return p.select("user_pseudo_id", json_int_array_text(F.col("id_seen_products")).alias("products"), "num_products")
 
@@ -131,6 +136,7 @@ def _set_query(col, out, n_out, json_out):
     def q(spark, sf_dir):
         s = FE.value_set(_src(spark, sf_dir), col, out, n_out)
         return s.select("user_pseudo_id", json_text_or_null(F.col(out)).alias(json_out), n_out)
+    q.__doc__ = f"Sorted distinct non-NULL `{col}` per user as JSON text (`null` when none) and their count."
     return q
 
 
@@ -142,6 +148,7 @@ for _key, (_c, _o, _n, _j), _cte in zip(["campaign_set", "device_set", "channel_
 
 @register("first_visit", fsql("SELECT * FROM min_first_visit"))
 def q_first_visit(spark, sf_dir):
+    """Earliest event time per user."""
     return FE.first_visit(_src(spark, sf_dir))
 
 
@@ -149,6 +156,7 @@ def q_first_visit(spark, sf_dir):
     f"SELECT user_pseudo_id, {', '.join(c for c in config.BEHAVIOUR_ORDER if c != 'events_per_session')}, "
     "ROUND(events_per_session, 6) AS events_per_session FROM features"))
 def q_behaviour_counters(spark, sf_dir):
+    """Per user: event count, 22 conditional counts, 9 flags, events per session."""
     b = FE.behaviour_counters(_src(spark, sf_dir))
     return b.withColumn("events_per_session", F.round("events_per_session", 6))
 

@@ -68,6 +68,7 @@ def q_rank_by_score(spark, sf_dir):
 
 @register("rank_by_score_ties", msql("SELECT id, segmento, score, y, rank FROM ranked", ties=True))
 def q_rank_by_score_ties(spark, sf_dir):
+    """Exact global rank per segment on integer-rounded (heavily tied) scores."""
     return _ranked(spark, sf_dir, True).frame.select("id", "segmento", "score", "y", "rank")
 
 
@@ -93,10 +94,28 @@ def _auc(spark, sf_dir, ties):
     return R.roc_auc(c).select("segmento", F.round("roc_auc", 6).alias("roc_auc"))
 
 
-register("average_precision", msql(_AP))(lambda spark, sf_dir: _ap(spark, sf_dir, False))
-register("average_precision_ties", msql(_AP, ties=True))(lambda spark, sf_dir: _ap(spark, sf_dir, True))
-register("roc_auc", msql(_AUC))(lambda spark, sf_dir: _auc(spark, sf_dir, False))
-register("roc_auc_ties", msql(_AUC, ties=True))(lambda spark, sf_dir: _auc(spark, sf_dir, True))
+@register("average_precision", msql(_AP))
+def q_average_precision(spark, sf_dir):
+    """Step-wise average precision per segment over distinct scores (distributed running sums)."""
+    return _ap(spark, sf_dir, False)
+
+
+@register("average_precision_ties", msql(_AP, ties=True))
+def q_average_precision_ties(spark, sf_dir):
+    """Average precision on integer-rounded (heavily tied) scores."""
+    return _ap(spark, sf_dir, True)
+
+
+@register("roc_auc", msql(_AUC))
+def q_roc_auc(spark, sf_dir):
+    """Tie-aware ROC AUC per segment (trapezoid over distinct scores)."""
+    return _auc(spark, sf_dir, False)
+
+
+@register("roc_auc_ties", msql(_AUC, ties=True))
+def q_roc_auc_ties(spark, sf_dir):
+    """ROC AUC on integer-rounded (heavily tied) scores."""
+    return _auc(spark, sf_dir, True)
 
 _ROC_CTES = ("""
 nb AS (
@@ -163,6 +182,7 @@ def q_qcut_deciles(spark, sf_dir):
 
 @register("qcut_deciles_ties", msql("SELECT id, segmento, bin FROM binned", *QCUT, ties=True))
 def q_qcut_deciles_ties(spark, sf_dir):
+    """Decile bins on tied scores (duplicate edges dropped)."""
     return _binned(spark, sf_dir, True).select("id", "segmento", "bin")
 
 
@@ -172,6 +192,7 @@ def _dlift(spark, sf_dir):
 
 @register("decile_lift", msql("SELECT segmento, CAST(decile AS INTEGER) AS decile, ROUND(conv, 6) AS conv, n, ROUND(lift, 6) AS lift FROM dlift", *QCUT))
 def q_decile_lift(spark, sf_dir):
+    """Per segment and score decile: conversion, rows and lift over the base rate."""
     d = _dlift(spark, sf_dir)
     return d.select("segmento", "decile", F.round("conv", 6).alias("conv"), "n", F.round("lift", 6).alias("lift"))
 
@@ -179,6 +200,7 @@ def q_decile_lift(spark, sf_dir):
 @register("top_bin_lift", msql("""SELECT segmento, ROUND(arg_max(lift, decile), 6) AS top_bin_lift,
   CAST(MAX(decile) AS INTEGER) AS top_decile FROM dlift GROUP BY segmento""", *QCUT))
 def q_top_bin_lift(spark, sf_dir):
+    """Lift of the highest score decile per segment."""
     t = R.top_bin_lift(_dlift(spark, sf_dir), G)
     return t.select("segmento", F.round("top_bin_lift", 6).alias("top_bin_lift"), "top_decile")
 
@@ -207,8 +229,16 @@ def _band_lift(spark, sf_dir, ties):
     return b.select("segmento", "grade", F.round("lift", 6).alias("lift"))
 
 
-register("band_lift", _bsql(_BAND_LIFT))(lambda spark, sf_dir: _band_lift(spark, sf_dir, False))
-register("band_lift_ties", _bsql(_BAND_LIFT, ties=True))(lambda spark, sf_dir: _band_lift(spark, sf_dir, True))
+@register("band_lift", _bsql(_BAND_LIFT))
+def q_band_lift(spark, sf_dir):
+    """Lift of the top 0–25 %, 25–50 % and 50–100 % rank slices per segment."""
+    return _band_lift(spark, sf_dir, False)
+
+
+@register("band_lift_ties", _bsql(_BAND_LIFT, ties=True))
+def q_band_lift_ties(spark, sf_dir):
+    """Band lift on integer-rounded (heavily tied) scores."""
+    return _band_lift(spark, sf_dir, True)
 
 
 @register("grade_table", _bsql("""SELECT segmento,

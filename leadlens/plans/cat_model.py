@@ -171,6 +171,7 @@ def q_data_fingerprint(spark, sf_dir):
 
 @register("provenance_record", psql(f"SELECT 'model_train' AS table_ref, 'fixture' AS data_version, * FROM ({FP_SQL})"))
 def q_provenance_record(spark, sf_dir):
+    """Table reference, data version, row count and content hash of the training frame."""
     return RG.provenance_record(loaded(spark, sf_dir), "model_train", "fixture")
 
 

@@ -39,21 +39,25 @@ def q_src_training_table(spark, sf_dir):
 
 @register("target_rename", O.with_dag("SELECT * EXCLUDE (apd_es_matricula), apd_es_matricula AS y FROM model_train"))
 def q_target_rename(spark, sf_dir):
+    """Training table with the raw target renamed to `y` (only when `y` is absent)."""
     return P.apply_target_rename(dag(spark, sf_dir).table)
 
 
 @register("segment_route", psql("SELECT ld_mcs_id, platform, segmento FROM loaded"))
 def q_segment_route(spark, sf_dir):
+    """Segment of each training row from its platform (trimmed, lower-cased `landing`, else main)."""
     return loaded(spark, sf_dir).select("ld_mcs_id", "platform", config.SEGMENT_COL)
 
 
 @register("segment_filter", psql("SELECT * FROM loaded WHERE segmento = 'landing'"))
 def q_segment_filter(spark, sf_dir):
+    """The landing-segment rows of the prepared training frame."""
     return P.segment_frame(loaded(spark, sf_dir), config.LANDING)
 
 
 @register("derive_page_path", O.with_dag("SELECT event_timestamp, page_name, NULLIF(page_name, '') AS page_path FROM base"))
 def q_derive_page_path(spark, sf_dir):
+    """`page_path` = the page label when non-empty, else NULL, for every daily-shard event."""
     proj = T.event_projection(dag(spark, sf_dir).base)
     return P.derive_columns(proj).select(F.col("purchase_timestamp").alias("event_timestamp"), "page_name", "page_path")
 
@@ -61,6 +65,7 @@ def q_derive_page_path(spark, sf_dir):
 @register("derive_utm_campaign", O.with_dag(
     "SELECT event_timestamp, page_location, NULLIF(regexp_extract(page_location, '[?&]utm_campaign=([^&]+)', 1), '') AS utm_campaign FROM base"))
 def q_derive_utm_campaign(spark, sf_dir):
+    """`utm_campaign` = first `utm_campaign` query value of the page URL, else NULL."""
     proj = T.event_projection(dag(spark, sf_dir).base)
     return P.derive_columns(proj).select(F.col("purchase_timestamp").alias("event_timestamp"), "page_location", "utm_campaign")
 
@@ -137,6 +142,7 @@ def q_prep_features(spark, sf_dir):
 @register("num_passthrough", psql("""SELECT ld_mcs_id, COALESCE(CAST(ga_session_number AS DOUBLE), -1.0e9) AS ga_session_number__val,
   CAST(ga_session_number IS NULL AS DOUBLE) AS ga_session_number__missing FROM loaded WHERE segmento = 'main'"""))
 def q_num_passthrough(spark, sf_dir):
+    """Numeric model columns: sentinel-filled value and 0/1 missing indicator."""
     df, num, cat = _main(spark, sf_dir)
     prepped = P.prep_features(df, num, cat, keep=["ld_mcs_id"])
     return prepped.select("ld_mcs_id", *P.num_passthrough(prepped, num))
@@ -203,6 +209,7 @@ def q_cat_encode(spark, sf_dir):
   ROUND(COUNT(*) / (SELECT COUNT(*) FROM loaded), 6) AS share,
   ROUND(250.0 * (COUNT(*) / (SELECT COUNT(*) FROM loaded)), 6) AS seg_daily FROM loaded GROUP BY segmento"""))
 def q_segment_stats(spark, sf_dir):
+    """Per segment: rows, base rate, share of rows and daily lead volume."""
     s = P.segment_stats(loaded(spark, sf_dir))
     return s.select(config.SEGMENT_COL, "n_rows", *[F.round(c, 6).alias(c) for c in ("base_rate", "share", "seg_daily")])
 
@@ -210,6 +217,7 @@ def q_segment_stats(spark, sf_dir):
 @register("class_weight", psql("""SELECT segmento, COUNT_IF(y = 1) AS n_pos, COUNT_IF(y = 0) AS n_neg,
   ROUND(COUNT_IF(y = 0) / greatest(COUNT_IF(y = 1), 1), 6) AS pos_weight FROM loaded GROUP BY segmento"""))
 def q_class_weight(spark, sf_dir):
+    """Per segment: positives, negatives and the positive-class weight neg / max(pos, 1)."""
     w = P.class_weight(loaded(spark, sf_dir), [config.SEGMENT_COL])
     return w.select(config.SEGMENT_COL, "n_pos", "n_neg", F.round("pos_weight", 6).alias("pos_weight"))
 

@@ -64,6 +64,7 @@ LEAD_SQL = ("SELECT ld_mcs_id, " + TS_SQL.format(c="ld_createdon") + " AS ld_cre
 
 @register("src_lead_table", O.with_ctes(O.FX_LEADS, select=LEAD_SQL))
 def q_src_lead_table(spark, sf_dir):
+    """CRM lead table rows (id, creation time as text, raw target)."""
     ensure_session(spark)
     leads = fx.lead_table(spark, sf_dir)
     return leads.select("ld_mcs_id", ts_text("ld_createdon").alias("ld_createdon"), config.RAW_TARGET)
@@ -139,32 +140,38 @@ def q_asof_join(spark, sf_dir):
 
 @register("lead_normalise", O.with_dag("SELECT * FROM lead_rows"))
 def q_lead_normalise(spark, sf_dir):
+    """Chosen snapshot's leads as µs epoch, UTC calendar parts, id and target, within the two-year window."""
     return dag(spark, sf_dir).leads
 
 
 @register("max_lead_maturity_cutoff", O.with_dag("SELECT * FROM max_createdon_cte"))
 def q_max_lead_maturity_cutoff(spark, sf_dir):
+    """Newest lead time minus the maturity window, in µs."""
     d = dag(spark, sf_dir)
     return T.maturity_cutoff_frame(d.leads, fx.FIXTURE_MATURITY_DAYS)
 
 
 @register("event_ts_bounds", O.with_dag("SELECT min_timestamp, max_timestamp FROM min_event_timestamp, max_event_timestamp"))
 def q_event_ts_bounds(spark, sf_dir):
+    """Earliest and latest event time of the daily shards."""
     return T.event_ts_bounds_frame(dag(spark, sf_dir).base)
 
 
 @register("lead_window", O.with_dag("SELECT * FROM lead_window"))
 def q_lead_window(spark, sf_dir):
+    """Leads created between the first event and the matured upper bound (both inclusive)."""
     return dag(spark, sf_dir).lead_window
 
 
 @register("latest_lead_per_day", O.with_dag("SELECT * FROM latest_leads"))
 def q_latest_lead_per_day(spark, sf_dir):
+    """Latest lead per (id, UTC day) among the windowed leads (hash-aggregate dedup)."""
     return dag(spark, sf_dir).latest_leads
 
 
 @register("purchase_events", O.with_dag("SELECT * FROM purchases"))
 def q_purchase_events(spark, sf_dir):
+    """Purchase events of the daily shards with every typed parameter extracted."""
     return dag(spark, sf_dir).purchases
 
 
@@ -192,6 +199,7 @@ def q_array_scalar_subquery(spark, sf_dir):
 @register("struct_project", O.with_dag(
     "SELECT event_timestamp, user_pseudo_id, user_country, user_province FROM base"))
 def q_struct_project(spark, sf_dir):
+    """Nested struct fields `geo.country` / `geo.region` projected as user country / province."""
     base = dag(spark, sf_dir).base
     return base.select("event_timestamp", "user_pseudo_id", F.col("geo.country").alias("user_country"),
                        F.col("geo.region").alias("user_province"))
@@ -202,6 +210,7 @@ def q_struct_project(spark, sf_dir):
   CAST(month(make_timestamp(event_timestamp)) AS INTEGER) AS event_month,
   CAST(year(make_timestamp(event_timestamp)) AS INTEGER) AS event_year FROM base"""))
 def q_calendar_parts(spark, sf_dir):
+    """UTC day, month and year of each event's microsecond timestamp."""
     from ..functions.timeparts import calendar_parts
     base = dag(spark, sf_dir).base
     return base.select("event_timestamp", *calendar_parts(F.col("event_timestamp"), "event"))
@@ -209,11 +218,13 @@ def q_calendar_parts(spark, sf_dir):
 
 @register("purchase_window", O.with_dag("SELECT * FROM purchase_window"))
 def q_purchase_window(spark, sf_dir):
+    """Purchases up to the matured upper bound (no lower bound)."""
     return dag(spark, sf_dir).purchase_window
 
 
 @register("lead_purchase_join", O.with_dag("SELECT * FROM lead_purchases"))
 def q_lead_purchase_join(spark, sf_dir):
+    """Same-UTC-day purchase rows of each latest lead, distinct, without the lead time."""
     return dag(spark, sf_dir).joined
 
 
@@ -221,17 +232,20 @@ def q_lead_purchase_join(spark, sf_dir):
   page_name, page_location, platform, form_name, market_site, language_site, ga_session_id,
   ga_session_number, user_country, user_province, user_studies FROM lead_purchases"""))
 def q_column_except(spark, sf_dir):
+    """The lead–purchase rows without the nine join/time columns (SELECT * EXCEPT)."""
     return T.column_except(dag(spark, sf_dir).joined, config.TRAINING_DROP)
 
 
 @register("valid_leads", O.with_dag("SELECT * FROM valid_leads"))
 def q_valid_leads(spark, sf_dir):
+    """Leads whose purchase rows carry exactly one distinct non-NULL (user, session) pair."""
     return dag(spark, sf_dir).valid
 
 
 @register("valid_lead_semijoin", O.with_dag(
     "SELECT l.* FROM lead_purchases l JOIN valid_leads vl ON l.ld_mcs_id = vl.ld_mcs_id"))
 def q_valid_lead_semijoin(spark, sf_dir):
+    """Lead–purchase rows of leads with exactly one (user, session) pair."""
     d = dag(spark, sf_dir)
     return T.valid_lead_semijoin(d.joined, d.valid)
 
