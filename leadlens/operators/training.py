@@ -26,7 +26,6 @@ from .. import config
 from ..functions.params import extract_params, param_value
 from ..functions.safe import strict_least
 from ..functions.timeparts import add_months_py, calendar_parts, micros_of
-from ..session import durable
 
 PURCHASE_COLUMNS = [
     "user_pseudo_id", "purchase_timestamp", "purchase_day", "purchase_month", "purchase_year",
@@ -183,9 +182,9 @@ def model_train(joined: DataFrame) -> DataFrame:
 class TrainingDag:
     """Every intermediate of one build, for inspection and for the query catalogue.
 
-    ``table`` materialises the (small) lead–purchase join once into the shared checkpoint
-    folder before the validity aggregate and the semi-join both read it, so the event
-    shards are scanned for purchases once, not twice.
+    ``table`` materialises the (small) lead–purchase join once as a parquet table in the
+    shared checkpoint folder before the validity aggregate and the semi-join both read it, so
+    the event shards are scanned for purchases once, not twice.
     """
     base: DataFrame
     purchases: DataFrame
@@ -203,7 +202,11 @@ class TrainingDag:
     @property
     def table(self) -> DataFrame:
         if self._table is None:
-            joined = durable(self.joined) if self.materialize else self.joined
+            joined = self.joined
+            if self.materialize:
+                from ..sources.sinks import roundtrip_table
+                # parquet in the shared folder: columnar, so validity reads three columns
+                joined = roundtrip_table(joined.sparkSession, joined, "lead_purchases")
             self._table = model_train(joined)
         return self._table
 
