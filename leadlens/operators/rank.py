@@ -2,8 +2,8 @@
 
 Core primitive — exact global order statistics without a single-partition window:
 
-1. ``repartitionByRange`` on (group, order…) so every partition holds one contiguous
-   slice of the total order (a tiebreak id makes keys unique, so a hot score or a hot
+1. ``repartitionByRange`` on (group, order…) — AQE sizes the partition count — so every
+   partition holds one contiguous slice of the total order (a tiebreak id makes keys unique, so a hot score or a hot
    group is split across partitions instead of landing in one task);
 2. sort inside partitions and number rows locally
    (``monotonically_increasing_id`` keeps the record index in its low 33 bits);
@@ -34,18 +34,6 @@ LOW33 = (1 << 33) - 1
 MAX_OFFSET_ROWS = 1_000_000
 
 
-def _partitions(spark: SparkSession, n: int | None) -> int:
-    return int(n or spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def _offsets(stats: list, group: list[str], sums: list[str]) -> list[tuple]:
     """Running totals of earlier partitions per group, from per-(partition, group) stats."""
     run: dict[tuple, list[float]] = {}
@@ -84,8 +72,11 @@ def running_totals(df: DataFrame, order: list[Column], group: list[str] | None =
     group, sums = list(group or []), list(sums or [])
     spark = df.sparkSession
     keys = [F.col(g) for g in group] + list(order)
-    ranged = (df.repartitionByRange(_partitions(spark, num_partitions), *keys)
-              .sortWithinPartitions(*keys)
+    # Without an explicit count AQE may merge adjacent ranges (small inputs → few tasks); the
+    # partition id is read after the exchange, so merged ranges stay contiguous slices.
+    parted = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    ranged = (parted.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(LOW33))))
     ranged = durable(ranged)
@@ -152,11 +143,6 @@ def per_group(values: dict[tuple, object], group: list[str], dtype: str = "doubl
     return F.try_element_at(F.create_map(*items), F.col(group[0]))
 
 
-def group_positives(df: DataFrame, y: str, group: list[str]) -> dict[tuple, int]:
-    rows = df.groupBy(*group).agg(F.sum(F.col(y).cast("long")).alias("p")).collect()
-    return {tuple(r[g] for g in group): int(r["p"] or 0) for r in rows}
-
-
 def _np_lerp(a: float, b: float, t: float) -> float:
     diff = b - a
     return b - diff * (1 - t) if t >= 0.5 else a + diff * t
