@@ -374,15 +374,23 @@ def qcut_probabilities(q: int = 10) -> list[float]:
     return [float(x) for x in (np.linspace(0, 1, q + 1) * 100) / 100]
 
 
-def qcut_edges(rk: Ranked, score: str = "score", q: int = 10) -> dict[tuple, list[float]]:
-    qs = exact_quantiles(rk, score, qcut_probabilities(q))
+def _quantiles(rk: Ranked, score: str, probs: list[float], approx_accuracy: int | None) -> dict[tuple, list[float]]:
+    """Exact quantiles from the rank (default) or, opted in, sketch quantiles."""
+    if approx_accuracy:
+        return approx_quantiles(rk.frame, score, probs, rk.group, approx_accuracy)
+    return exact_quantiles(rk, score, probs)
+
+
+def qcut_edges(rk: Ranked, score: str = "score", q: int = 10,
+               approx_accuracy: int | None = None) -> dict[tuple, list[float]]:
+    qs = _quantiles(rk, score, qcut_probabilities(q), approx_accuracy)
     return {g: sorted(set(v)) for g, v in qs.items()}
 
 
-def qcut_bins(rk: Ranked, score: str = "score", q: int = 10) -> DataFrame:
+def qcut_bins(rk: Ranked, score: str = "score", q: int = 10, approx_accuracy: int | None = None) -> DataFrame:
     """Quantile bin per row: right-closed bins over distinct edges, lowest edge included,
     relabelled 0..k−1 (``bin = max(#edges < s, 1) − 1``)."""
-    edges = qcut_edges(rk, score, q)
+    edges = qcut_edges(rk, score, q, approx_accuracy)
     if rk.group:
         m = F.create_map(*[x for g, e in edges.items() for x in (F.lit(g[0]), F.array(*[F.lit(v) for v in e]))])
         arr = F.try_element_at(m, F.col(rk.group[0]))
@@ -412,10 +420,10 @@ def top_bin_lift(lifts: DataFrame, group: list[str] | None = None) -> DataFrame:
 
 
 def confusion_at_top(rk: Ranked, score: str = "score", y: str = config.TARGET,
-                     frac: float = config.TOP_FRACTION) -> DataFrame:
+                     frac: float = config.TOP_FRACTION, approx_accuracy: int | None = None) -> DataFrame:
     """Threshold = quantile(1 − frac); positive iff score ≥ threshold; confusion counts and
     precision/recall (0 when undefined)."""
-    thr = {g: v[0] for g, v in exact_quantiles(rk, score, [1 - frac]).items()}
+    thr = {g: v[0] for g, v in _quantiles(rk, score, [1 - frac], approx_accuracy).items()}
     t = per_group(thr, rk.group, "double")
     pred = F.col(score) >= t
     yy = F.col(y).cast("int") == 1
@@ -429,10 +437,11 @@ def confusion_at_top(rk: Ranked, score: str = "score", y: str = config.TARGET,
                       "tn", "fp", "fn", "tp", prec.alias("precision"), rec.alias("recall"))
 
 
-def grade_thresholds(rk: Ranked, score: str = "score") -> dict[tuple, dict[str, float]]:
+def grade_thresholds(rk: Ranked, score: str = "score",
+                     approx_accuracy: int | None = None) -> dict[tuple, dict[str, float]]:
     """Score cutoffs at each band's lower percentile (A: q75, B: q50) per group."""
     probs = [q / 100 for _, q in config.GRADE_BANDS]
-    qs = exact_quantiles(rk, score, probs)
+    qs = _quantiles(rk, score, probs, approx_accuracy)
     return {g: {grade: v for (grade, _), v in zip(config.GRADE_BANDS, vals)} for g, vals in qs.items()}
 
 
