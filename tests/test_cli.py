@@ -1,5 +1,4 @@
 """End-to-end command line: snapshot → build → train (tiny budget) → score, in-process."""
-import datetime as dt
 import tempfile
 
 from pyspark.sql import functions as F

@@ -3,7 +3,6 @@ import duckdb
 import numpy as np
 import pandas as pd
 
-from leadlens import config
 from leadlens.operators import features as FE
 from leadlens.plans.cat_features import FEATURE_CTES
 import os, sys  # noqa: E401
