@@ -137,3 +137,12 @@ def test_retention_keeps_snapshot_exactly_two_years_old(spark):
     L.append_snapshot(spark, leads, path, dt.date(2026, 1, 15), dt.datetime(2026, 1, 15))
     kept = {r[0] for r in L.read_history(spark, path).select("execution_date").distinct().collect()}
     assert kept == {dt.date(2024, 1, 15), dt.date(2026, 1, 15)}
+
+
+def test_empty_history_gives_empty_table(spark):
+    """No snapshot → NULL lead cutoff → NULL upper bound (strict LEAST) → nothing selected."""
+    shards = fx.event_shards(spark, SF_SMALL)
+    empty = fx.lead_history(spark, SF_SMALL).filter(F.lit(False))
+    p = config.RunParams(execution_date=fx.FIXTURE_EXECUTION_DATE, maturity_days=7, materialize=False)
+    d = T.build_training_dag(shards, empty, p)
+    assert d.purchase_window.count() == 0 and d.table.count() == 0
