@@ -24,7 +24,11 @@ FIXTURE_ASOF_DATES = [dt.date(2024, 1, 25), dt.date(2024, 1, 5)]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    # The driver tables are single files with one row group, i.e. one scan task; spread the
+    # rows as a multi-file input would arrive so the stages above run in parallel. Layout only:
+    # every row is kept and no result depends on row order.
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 _PLANS: dict = {}
