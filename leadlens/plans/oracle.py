@@ -90,16 +90,16 @@ lead_rows AS (
   FROM snapshot_input
   WHERE CAST(ld_createdon AS DATE) >= DATE '{execution_date}' - INTERVAL 2 YEAR
 )""", """
-min_event_timestamp AS (SELECT MIN(event_timestamp) AS min_timestamp FROM base)""", """
-max_event_timestamp AS (SELECT MAX(event_timestamp) AS max_timestamp FROM base)""", f"""
-max_createdon_cte AS (SELECT MAX(ld_timestamp) - {maturity_days} * 86400000000 AS max_createdon FROM lead_rows)""", """
+first_event AS (SELECT MIN(event_timestamp) AS min_timestamp FROM base)""", """
+last_event AS (SELECT MAX(event_timestamp) AS max_timestamp FROM base)""", f"""
+lead_cutoff AS (SELECT MAX(ld_timestamp) - {maturity_days} * 86400000000 AS max_createdon FROM lead_rows)""", """
 upper_bound AS (
   SELECT CASE WHEN mc.max_createdon IS NULL OR mat.max_timestamp IS NULL THEN NULL
               ELSE least(mc.max_createdon, mat.max_timestamp) END AS upper_ts
-  FROM max_createdon_cte mc, max_event_timestamp mat
+  FROM lead_cutoff mc, last_event mat
 )""", """
 lead_window AS (
-  SELECT pa.* FROM lead_rows pa, min_event_timestamp mit, upper_bound ub
+  SELECT pa.* FROM lead_rows pa, first_event mit, upper_bound ub
   WHERE pa.ld_timestamp <= ub.upper_ts AND pa.ld_timestamp >= mit.min_timestamp
 )""", """
 latest_leads AS (
