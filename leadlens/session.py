@@ -1,8 +1,8 @@
 """Session defaults and durable lineage cuts.
 
-The library never reads the clock or a machine-local folder on its own: time zone is
-pinned to UTC (the contract's calendar is UTC) and lineage is cut with ``checkpoint()``
-into the shared folder named by ``spark.checkpoint.dir``.
+The session time zone is pinned to UTC (the contract's calendar is UTC), and lineage is cut
+with ``checkpoint()`` or a written table in the shared folder named by
+``spark.checkpoint.dir``; a machine-local folder is used only by a local session without it.
 """
 from __future__ import annotations
 
