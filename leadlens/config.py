@@ -132,7 +132,8 @@ class RunParams:
     """Parameters of one training-table build.
 
     ``execution_date`` drives the two-year look-back and the as-of snapshot choice;
-    ``today``/``now`` stamp the snapshot history (the clock is injected, never read);
+    ``today``/``now`` stamp the snapshot history (passed in; when unset, the execution date and
+    its midnight are used); ``execution_date`` defaults to the current UTC date;
     ``maturity_days`` is the label-maturity window (30 in production).
     """
 

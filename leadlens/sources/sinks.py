@@ -1,7 +1,7 @@
 """Sinks: training table, per-segment stage dataset, written intermediate tables.
 
-All paths default to folders under the shared checkpoint folder (never a machine-local
-temporary folder on a cluster).
+All paths default to folders under the shared checkpoint folder (``spark.checkpoint.dir``;
+only a local session without that setting falls back to a local folder).
 """
 from __future__ import annotations
 
