@@ -57,3 +57,18 @@ def test_ap_auc_match_brute_force(spark, pairs):
         ap, auc = _ap_auc(spark, y, s)
         bap, bauc = _brute(y, s)
         assert ap == pytest.approx(bap, abs=1e-12) and auc == pytest.approx(bauc, abs=1e-12)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5)), min_size=1, max_size=80),
+       st.integers(1, 7))
+def test_grouped_rank_matches_sort(spark, rows, parts):
+    pdf = pd.DataFrame({"id": np.arange(len(rows)), "g": [r[0] for r in rows],
+                        "score": [float(r[1]) for r in rows]})
+    rk = R.running_totals(spark.createDataFrame(pdf), [R.F.col("score").desc(), R.F.col("id").asc()], ["g"],
+                          num_partitions=parts)
+    got = rk.frame.toPandas()
+    for g, part in pdf.groupby("g"):
+        exp = part.sort_values(["score", "id"], ascending=[False, True], kind="mergesort")["id"].tolist()
+        assert got[got.g == g].sort_values("rank")["id"].tolist() == exp
+        assert rk.counts[(g,)] == len(part)
