@@ -5,12 +5,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, url_filter
+from . import license_scan, mixing, quality, secret_scan, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and weakly supervised verdict on every whole text of ``documents``."""
+    return quality.rate(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text of ``documents``."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every whole text of ``documents``."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
@@ -28,6 +38,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_quality_rules": op6_quality_rules,
+    "op7_secret_scan": op7_secret_scan,
     "op8_license_scan": op8_license_scan,
     "op9_source_mix": op9_source_mix,
     "op10_url_filter": op10_url_filter,
