@@ -94,7 +94,7 @@ def measure(text: str | None) -> tuple:
     votes = "".join((
         vote(n < 50, n >= 80),                                         # length
         vote(repeats > 0.3 * m, repeats <= 0.1 * m),                   # repeated windows
-        vote(dups > 0.3 * len(lines), dups <= 0.1 * len(lines)),       # repeated lines
+        vote(dups > max(2, 0.3 * len(lines)), dups <= 0.1 * len(lines)),  # repeated lines
         vote(symbols > 0.1 * m, symbols <= 0.03 * m),                  # symbols
         vote(not 3 <= chars / m <= 12, 4 <= chars / m <= 9),           # word length
         vote(upper > 0.3 * max(chars, 1), upper <= 0.1 * max(chars, 1)),  # capitals
