@@ -5,12 +5,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, quality, secret_scan, url_filter
+from . import license_scan, mixing, near_dup, quality, secret_scan, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of ``documents`` linked at a shingle similarity of 0.85 or more (3-word shingles)."""
+    out = near_dup.groups(table(spark, sf_dir, "documents"), near_dup.NearDup(shingle=3, threshold=(85, 100)))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and weakly supervised verdict on every whole text of ``documents``."""
     return quality.rate(table(spark, sf_dir, "documents"))
@@ -38,6 +44,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_near_dup": op3_near_dup,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_license_scan": op8_license_scan,
