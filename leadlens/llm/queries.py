@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license_scan, mixing, near_dup, quality, secret_scan, url_filter
+from . import license_scan, mixing, near_dup, quality, secret_scan, topk_search, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,11 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every query row of ``embeddings`` (ids divisible by 50) with all other rows."""
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and weakly supervised verdict on every whole text of ``documents``."""
     return quality.rate(table(spark, sf_dir, "documents"))
@@ -45,6 +51,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_near_dup": op3_near_dup,
+    "op4_topk_search": op4_topk_search,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_license_scan": op8_license_scan,
@@ -52,5 +59,19 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
 }
 
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, o.vec_id, CAST(list_inner_product(q.c, o.c) AS BIGINT) AS score
+  FROM v q JOIN v o ON o.vec_id <> q.vec_id AND len(o.c) = len(q.c)
+  WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
 #: DuckDB SQL of the queries that SQL can state; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_topk_search": TOPK_SQL}
