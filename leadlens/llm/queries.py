@@ -6,12 +6,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, near_dup, quality, secret_scan, topk_search, url_filter
+from . import license_scan, mixing, near_dup, quality, secret_scan, substring_dedup, topk_search, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each text of ``documents`` without the 400-byte strings that also start elsewhere."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of ``documents`` linked at a shingle similarity of 0.85 or more (3-word shingles)."""
     out = near_dup.groups(table(spark, sf_dir, "documents"), near_dup.NearDup(shingle=3, threshold=(85, 100)))
@@ -50,6 +55,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_near_dup": op3_near_dup,
     "op4_topk_search": op4_topk_search,
     "op6_quality_rules": op6_quality_rules,
