@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, near_dup, quality, secret_scan, substring_dedup, topk_search, url_filter
+from . import license_scan, lm_score, mixing, near_dup, quality, secret_scan, substring_dedup, topk_search, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and bigram score of every whole text of ``documents``, trained on four of five."""
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and weakly supervised verdict on every whole text of ``documents``."""
     return quality.rate(table(spark, sf_dir, "documents"))
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_near_dup": op3_near_dup,
     "op4_topk_search": op4_topk_search,
+    "op5_lm_score": op5_lm_score,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_license_scan": op8_license_scan,
