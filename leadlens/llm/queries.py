@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, lm_score, mixing, near_dup, quality, secret_scan, substring_dedup, topk_search, url_filter
+from . import license_scan, lm_score, mixing, near_dup, piece_sampler, quality, secret_scan, substring_dedup, topk_search, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_piece_sampler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every whole text of ``documents``, and whether decoding gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = piece_sampler.encode(docs, keep=("text",))
+    same = piece_sampler.decode(F.col("ids")) == F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion",
+                      F.xxhash64("ids").alias("ids_hash"), same.alias("round_trip"))
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of ``documents`` linked at a shingle similarity of 0.85 or more (3-word shingles)."""
     out = near_dup.groups(table(spark, sf_dir, "documents"), near_dup.NearDup(shingle=3, threshold=(85, 100)))
@@ -61,6 +70,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_piece_sampler": op2_piece_sampler,
     "op3_near_dup": op3_near_dup,
     "op4_topk_search": op4_topk_search,
     "op5_lm_score": op5_lm_score,
