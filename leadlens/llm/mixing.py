@@ -22,6 +22,7 @@ empty table gives an empty result; an input column cannot clash, only id, text a
 from __future__ import annotations
 
 import heapq
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -128,5 +129,48 @@ def mix(docs: DataFrame, spec: Mix = Mix(), id_col: str = "doc_id", text_col: st
     tail = F.when(F.col("last") > F.col("first"),
                   (picked("last + 1") - picked("last")) * (F.col("end") - F.col("last") * b)).otherwise(0)
     taken = F.when(F.col("size") > 0, F.col("passes") * F.col("size") + head + inner + tail).otherwise(F.lit(0))
+    places = F.filter(F.sequence("first", "last"), lambda k: F.expr("extra > 0") & (
+        F.floor(((k + 1) * F.col("extra") + F.col("start")) / F.col("blocks"))
+        > F.floor((k * F.col("extra") + F.col("start")) / F.col("blocks"))))
+    parts = F.transform(places, lambda k: F.struct((F.greatest(k * b, F.col("begin")) - F.col("begin")).alias("a"),
+                                                   (F.least((k + 1) * b, F.col("end")) - F.col("begin")).alias("b")))
     return run.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source",
-                      "row_hash")
+                      "row_hash", "passes", parts.alias("parts"))
+
+
+def words_at(texts: pd.Series, parts: pd.Series) -> pd.Series:
+    """The stretches of each text from word ``a`` to before word ``b``, one a line; neighbouring ones in one piece."""
+    out = []
+    for text, spans in zip(texts, parts):
+        at = [(m.start(), m.end()) for m in re.finditer(WORD, text)]
+        joined: list = []
+        for s in spans:
+            if joined and joined[-1][1] == s["a"]:
+                joined[-1][1] = s["b"]
+            else:
+                joined.append([s["a"], s["b"]])
+        out.append("\n".join(text[at[a][0]:at[b - 1][1]] for a, b in joined))
+    return pd.Series(out, dtype=object)
+
+
+def mixed(docs: DataFrame, spec: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text",
+          source_col: str = "source", length_col: str | None = None) -> DataFrame:
+    """The mix itself: a row for each whole pass over a text and one for the blocks of the last, partial pass, with
+    the columns of ``docs`` (``length_col`` holds the characters of the text). Rows that repeat id and text get the
+    same share each; a text of no words gives nothing to a mix and goes."""
+    columns = docs.columns
+    places = mix(docs, spec, id_col, text_col, source_col)
+    places = places.filter("taken > 0").groupBy("doc_id", "row_hash").agg(F.max(F.struct("passes", "parts")).alias("p"))
+    places = places.select(F.col("doc_id").alias("__id__"), F.col("row_hash").alias("__hash__"),
+                           F.col("p.passes").alias("__passes__"), F.col("p.parts").alias("__parts__"))
+    hashed = docs.withColumn("__row__", F.xxhash64(F.lit(spec.seed), id_col, text_col))
+    both = hashed.join(places, (F.col("__row__") == F.col("__hash__")) & F.col(id_col).eqNullSafe(F.col("__id__")))
+    copies = F.when(F.col("__passes__") > 0, F.sequence(F.lit(1).cast("long"), F.col("__passes__")))
+    none = F.array().cast("array<bigint>")
+    turns = F.concat(F.coalesce(copies, none), F.when(F.size("__parts__") > 0, F.array(F.lit(0).cast("long"))).otherwise(none))
+    both = both.withColumn("__turn__", F.explode(turns))
+    whole = both.filter("__turn__ > 0").select(*columns)
+    part = both.filter("__turn__ = 0").withColumn(text_col, F.pandas_udf(words_at, "string")(F.col(text_col), F.col("__parts__")))
+    if length_col:
+        part = part.withColumn(length_col, F.length(text_col).cast(dict(docs.dtypes)[length_col]))
+    return whole.unionByName(part.select(*columns))
