@@ -88,7 +88,7 @@ def blocker(spec: Lm):
                                  for w in words), dtype=np.uint64, count=len(words))
                 if len(known) > 500_000:
                     known.clear()
-                ids.append(None if i is None or i != i else i)
+                ids.append(i)
                 held.append(bool(h))
                 lens.append(len(t) + 1)
                 tokens.append(np.append(t, END))
@@ -245,8 +245,9 @@ def score(docs: DataFrame, spec: Lm = Lm(), id_col: str = "doc_id", text_col: st
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     id_type = dict(docs.dtypes)[id_col]
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % spec.folds
-    rows = docs.select(F.col(id_col).alias("doc_id"), (fold == spec.held).alias("held_out"), F.col(text_col).alias("text"))
-    blocks = stored(rows.mapInPandas(blocker(spec), f"block long, ids array<{id_type}>, held array<boolean>, lens array<long>, "
+    # ids go through Python as strings: a batch with a null would make numbers of them that are not exact
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), (fold == spec.held).alias("held_out"), F.col(text_col).alias("text"))
+    blocks = stored(rows.mapInPandas(blocker(spec), "block long, ids array<string>, held array<boolean>, lens array<long>, "
                                                     "words binary, tokens binary"), "lm-blocks")
     zipped = F.arrays_zip("held", "lens")
     trained = F.aggregate(zipped, F.lit(0).cast("long"), lambda s, x: s + F.when(x["held"], 0).otherwise(x["lens"]))
@@ -265,6 +266,7 @@ def score(docs: DataFrame, spec: Lm = Lm(), id_col: str = "doc_id", text_col: st
     codes = stored(asked.groupBy("shard").applyInPandas(trie_builder(spec.mu, quantiser),
                                                         "block long, shard long, answer binary"), "lm-bigrams")
     both = with_answers(known, codes, "bigram_answers")
-    return both.mapInPandas(scorer(spec, quantiser, begins, shards, total, distinct),
-                            f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                            "base_score double, score double")
+    out = both.mapInPandas(scorer(spec, quantiser, begins, shards, total, distinct),
+                           "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                           "base_score double, score double")
+    return out.withColumn("doc_id", F.col("doc_id").cast(id_type))

@@ -307,7 +307,8 @@ def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str]):
             inclusion = -np.expm1(-np.exp(np.minimum(logp - kappa, 50.0)))
         data = {"sample": [x[1] for x in got], "n_pieces": [len(x[2]) for x in got], "log_prob": logp,
                 "perturbed": [x[4] for x in got], "inclusion": np.where(np.isneginf(kappa), 1.0, inclusion),
-                "ids": [np.asarray(x[2], dtype=np.int32) for x in got]}
+                "ids": [np.asarray(x[2], dtype=np.int32) for x in got],
+                "doc_id": pd.Series([rows[x[0]][0] for x in got], dtype=object)}
         for j, c in enumerate(others):
             data[c] = pd.Series([rows[x[0]][2 + j] for x in got], dtype=object)
         return pd.DataFrame(data)
@@ -331,12 +332,13 @@ def encode(docs: DataFrame, spec: PieceSampler = PieceSampler(), id_col: str = "
     """Rows of id, sample (from 0), n_pieces, log_prob, perturbed, inclusion, ids, and the columns in ``keep``."""
     vocabulary = load(spec.model)
     types = dict(docs.dtypes)
-    rows = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"), F.col(id_col).alias("doc_id"),
-                       *[F.col(c) for c in keep])
-    schema = f"doc_id {types[id_col]}, sample int, n_pieces int, log_prob double, perturbed double, inclusion double, ids array<int>"
+    # the id goes through Python as a string: a batch with a null would make numbers of it that are not exact
+    rows = docs.select(F.col(id_col).cast("string").alias("_key"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep])
+    schema = "doc_id string, sample int, n_pieces int, log_prob double, perturbed double, inclusion double, ids array<int>"
     schema += "".join(f", `{c}` {types[c]}" for c in keep)
     names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids", *keep]
-    return rows.mapInPandas(sampler(vocabulary, spec, ["doc_id", *keep]), schema).select(*names)
+    out = rows.mapInPandas(sampler(vocabulary, spec, list(keep)), schema)
+    return out.withColumn("doc_id", F.col("doc_id").cast(types[id_col])).select(*names)
 
 
 def decode(ids: Column, spec: PieceSampler = PieceSampler()) -> Column:

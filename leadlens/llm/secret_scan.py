@@ -38,6 +38,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 EDGE = len(ALPHABET)          # before the first and after the last character
 SIZE = EDGE + 1
+SMOOTH = 200.0                # how many pairs the smoothing of a row counts as; one sample must not outweigh it
 CODE = np.full(256, EDGE, dtype=np.int64)
 CODE[list(ALPHABET.encode())] = np.arange(EDGE)
 # The same character classes on UTF-8 bytes: "x" for a member, a space for any other byte.
@@ -116,10 +117,13 @@ def sample_counts(batches):
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio, random over ordinary, of every character pair."""
     counted = docs.select(F.col(text_col).alias("text")).mapInPandas(sample_counts, "cls long, pair long, n long")
-    counts = np.ones((2, SIZE, SIZE))  # one of each pair, so that no pair is impossible
+    counts = np.zeros((2, SIZE, SIZE))
     for r in counted.groupBy("cls", "pair").agg(F.sum("n").alias("n")).collect():
         counts[r["cls"], r["pair"] // SIZE, r["pair"] % SIZE] += r["n"]
-    logp = np.log(counts / counts.sum(axis=2, keepdims=True))
+    # pairs are smoothed by single characters, and these by one of each, so that no pair is impossible
+    single = counts.sum(axis=1, keepdims=True) + 1
+    single /= single.sum(axis=2, keepdims=True)
+    logp = np.log((counts + SMOOTH * single) / (counts.sum(axis=2, keepdims=True) + SMOOTH))
     return logp[0] - logp[1]
 
 

@@ -1,0 +1,454 @@
+"""Operators on texts against plain restatements, with odd rows in every input."""
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from leadlens.llm import (license_scan, lm_score, mixing, near_dup, piece_sampler, quality, secret_scan, substring_dedup,
+                          suffix_array)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def frame(spark, rows, schema=SCHEMA):
+    full = [(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows]
+    return spark.createDataFrame(full, schema).repartition(3)
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd():
+    """Nulls, empty and blank texts, copies, near copies, repeated rows, a very long text and odd characters."""
+    rng = random.Random(5)
+    base = [words(rng, 120) for _ in range(6)]
+    rows = [(i, t, f"s{i % 3}") for i, t in enumerate(base)]
+    rows += [(10, base[0], "s0"), (11, base[0].replace(" a", " x", 1), "s0"), (12, base[1] + " tail", None)]
+    rows += [(20, None, "s1"), (21, "", "s1"), (22, " \t\n ", None), (23, "One", "s1"), (24, "one", "s1"), (25, "a B", "s2")]
+    rows += [(30, "x" * 3000, "s2"), (31, words(rng, 4000), "s0"), (32, "\u00e9\u2581 \n\0 \u212a end\n\nlast", "s2")]
+    rows += [(40, base[2], "s1"), (40, base[2], "s1"), (None, base[3], "s2"), (None, None, None)]
+    return rows
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def clashing(df):
+    """The same rows with extra columns by names that the operators use inside."""
+    for c in ("tkey", "node", "n", "bands", "key", "size", "shard", "rank", "host", "spans", "votes", "block"):
+        df = df.withColumn(c, F.lit("other"))
+    return df
+
+
+# ------------------------------------------------------------------ repeated strings
+
+def test_suffix_array_and_common_prefixes():
+    for seed in range(40):
+        r = np.random.RandomState(seed)
+        b = 1 + r.randint(0, r.choice([2, 3, 90]), r.randint(1, 300)).astype(np.uint8)
+        b = np.tile(b, 4) if seed % 3 == 0 else b
+        limit, s = int(r.choice([9, 16, 40])), b.tobytes()
+        order, shared = suffix_array.common_prefixes(b, limit)
+        cut = [s[i:i + limit] for i in order]
+        assert sorted(order) == list(range(len(b))) and cut == sorted(cut)
+        for k in range(1, len(b)):
+            x, y = s[order[k - 1]:], s[order[k]:]
+            same = next((j for j in range(min(len(x), len(y), limit)) if x[j] != y[j]), None)
+            if same is not None:
+                assert shared[k] == same
+            elif min(len(x), len(y)) >= limit:
+                assert shared[k] == limit
+
+
+def removed_by_hand(rows, length):
+    texts = [(i, (t or "").encode()) for i, t, _ in rows]
+    seen = Counter(b[k:k + length] for _, b in texts for k in range(len(b) - length + 1))
+    out = []
+    for i, b in texts:
+        hit = [any(seen[b[k:k + length]] > 1 for k in range(max(0, p - length + 1), min(p, len(b) - length) + 1))
+               for p in range(len(b))]
+        left = bytes(c for c, h in zip(b, hit) if not h)
+        runs = sum(h and not (k and hit[k - 1]) for k, h in enumerate(hit))
+        out.append((i, len(b), sum(hit), runs, hashlib.sha256(left).hexdigest()))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("contexts", [2000, 2])
+def test_repeated_strings_by_hand(spark, odd, contexts):
+    rng = random.Random(3)
+    passage = words(rng, 30)  # in many texts, so that its anchors lie in several shards
+    rows = odd + [(100 + i, words(rng, 20) + passage + words(rng, 15), "s0") for i in range(25)]
+    rows = [r for r in rows if r[0] not in (30, 31)] + [(30, "x" * 200, "s2")]
+    spec = substring_dedup.Repeats(length=40, window=20, shard_contexts=contexts, range_starts=100, shard_bytes=2000)
+    got = substring_dedup.remove_repeats(clashing(frame(spark, rows)), spec, with_bytes=True).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == removed_by_hand(rows, 40)
+    assert all(hashlib.sha256(bytes(r.kept_bytes)).hexdigest() == r.kept_sha256 for r in got)
+    assert all(r.n_bytes - r.n_removed == len(r.kept_bytes) for r in got)
+
+
+def test_repeated_strings_of_an_empty_table(spark):
+    assert substring_dedup.remove_repeats(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------ near duplicates
+
+def groups_by_hand(rows, size, num, den):
+    sets = []
+    for _, t, _ in rows:
+        w = (t or "").encode().lower().split()
+        k = min(size, len(w))
+        sets.append({tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set())
+    up = list(range(len(rows)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                up[find(a)] = find(b)
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    out = []
+    for k, (i, _, _) in enumerate(rows):
+        comp = least.get(find(k)) if sets[k] else i
+        out.append((i, len(sets[k]), comp, i == comp))
+    return Counter(out)
+
+
+def test_near_duplicates_by_hand(spark, odd):
+    rng = random.Random(8)
+    rows = list(odd)
+    for g in range(3):  # groups whose members drift apart, so that not all pairs link
+        w = words(rng, 60).split()
+        for k in range(14):
+            v = list(w)
+            for _ in range(rng.randint(0, 4)):
+                v[rng.randrange(len(v))] = "zz" + str(rng.randrange(10 ** 6))
+            rows.append((1000 + 100 * g + k, " ".join(v), "s0"))
+    got = near_dup.groups(clashing(frame(spark, rows)), near_dup.NearDup(shingle=3, threshold=(85, 100))).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == groups_by_hand(rows, 3, 85, 100)
+
+
+def test_superminhash_estimates_similarity():
+    r = np.random.RandomState(1)
+    a = r.randint(0, 2 ** 63, 300).astype(np.uint64)
+    errors = []
+    for share in (0.2, 0.5, 0.8):
+        b = np.concatenate([a[:int(300 * share)], r.randint(0, 2 ** 63, 300 - int(300 * share)).astype(np.uint64)])
+        true = share * 300 / (600 - share * 300)
+        sig = near_dup.signatures([np.unique(a), np.unique(b)], 1024)
+        errors.append(abs((sig[0] == sig[1]).mean() - true))
+    assert max(errors) < 0.06
+    one = near_dup.signatures([np.array([7], dtype=np.uint64)], 16)[0]
+    assert sorted(np.floor(one)) == list(range(16))  # one element fills each slot with another step
+
+
+def test_near_duplicates_of_an_empty_table(spark):
+    assert near_dup.groups(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------ language model
+
+def scores_by_hand(rows, mu):
+    c, b, texts, out = Counter(), Counter(), 0, []
+    held = [zlib.crc32(str("" if i is None else i).encode()) % 5 == 1 for i, _, _ in rows]
+    tokens = [(t or "").encode().lower().split() + [None] for _, t, _ in rows]
+    for h, w in zip(held, tokens):
+        if not h:
+            c.update(w)
+            b.update(zip(["begin", *w], w))
+            texts += 1
+    n, v = sum(c.values()), len(c)
+    for (i, _, _), h, w in zip(rows, held, tokens):
+        base = [(c[x] + 0.5) / (n + 0.5 * (v + 1)) for x in w]
+        p = [(b[a, x] + mu * q) / ((texts if k == 0 else c[a]) + mu)
+             for k, (a, x, q) in enumerate(zip(["begin", *w], w, base))]
+        out.append((i, h, len(w), sum(c[x] > 0 for x in w), n, sum(map(math.log10, base)), sum(map(math.log10, p))))
+    return out
+
+
+def test_scores_by_hand(spark, odd):
+    spec = lm_score.Lm(block_tokens=500, shard_tokens=700)
+    got = lm_score.score(clashing(frame(spark, odd)), spec).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
+    for g, e in zip(sorted(map(tuple, got), key=order), sorted(scores_by_hand(odd, spec.mu), key=order), strict=True):
+        assert g[:5] == e[:5] and g[5] == pytest.approx(e[5], rel=1e-9)
+        assert abs(g[6] - e[6]) <= 0.02 * e[2]  # half a step of the quantiser a token
+
+
+def test_model_beats_base_on_held_out_texts(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"{p} {p}{p}" for p in (rng.choice("abcdefgh") for _ in range(40))), "s") for i in range(300)]
+    got = lm_score.score(frame(spark, rows)).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > 0.8 * got[1]
+
+
+def test_trie_finds_what_it_holds_and_nothing_else():
+    from leadlens.llm.ngram_trie import EliasFano, Trie
+    r = np.random.RandomState(0)
+    contexts = np.unique(r.randint(0, 2 ** 63, 4000).astype(np.uint64))
+    owner = np.sort(r.randint(0, len(contexts), 90_000))
+    ids = r.randint(0, 2 ** 40, len(owner)).astype(np.uint64)
+    order = np.lexsort((ids, owner))
+    owner, ids = owner[order], ids[order]
+    codes = r.randint(1, 256, len(ids)).astype(np.uint8)
+    trie = Trie(contexts, owner, ids, codes)
+    ask = np.concatenate([np.stack([contexts[owner], ids]), np.stack([contexts[owner], ids ^ np.uint64(1)])], axis=1)
+    key = np.lexsort((ask[1], ask[0]))
+    found = np.zeros(len(key), dtype=np.uint8)
+    found[key] = trie.lookup(ask[0][key], ask[1][key])
+    held = set(zip(owner.tolist(), ids.tolist()))
+    assert (found[:len(ids)] == codes).all()
+    assert all(bool(f) == ((o, i) in held) for f, o, i in zip(found[len(ids):], owner.tolist(), (ids ^ np.uint64(1)).tolist()))
+    assert trie.bytes < 8 * len(ids)
+    trie.close()
+    values = np.sort(r.randint(0, 2 ** 50, 70_000).astype(np.uint64))
+    coded = EliasFano.build(values, 50)
+    assert (np.concatenate([coded.chunk(k) for k in range(len(coded.first))]) == values).all()
+
+
+def test_scores_of_an_empty_table(spark):
+    assert lm_score.score(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------ quality rules
+
+def test_base_counts_by_hand(spark, odd):
+    rows = odd + [(50, "a b c a b c\na b c\n\n\n|x| #\na b c", "s0"), (51, "k k k k", "s1"), (52, "no\n\nno\n \n ", "s1")]
+    got = quality.rate(clashing(frame(spark, rows)))
+    exp = []
+    for i, t, _ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        trip = Counter(zip(w, w[1:], w[2:]))
+        hit = {k + j for k, x in enumerate(zip(w, w[1:], w[2:])) if trip[x] > 1 for j in range(3)}
+        lines = (t or "").split("\n")
+        dup = sum(re.search(r"[^\x20\x09-\x0D]", x) is not None and x in lines[:k] for k, x in enumerate(lines))
+        exp.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), dup, len(hit),
+                    len(w) < 50 or 100 * len(hit) > 50 * len(w)))
+    rows_got = got.select("doc_id", *quality.METRICS, "base_failed").collect()
+    assert Counter(map(tuple, rows_got)) == Counter(exp)
+    assert got.filter("base_failed AND kept").count() == 0
+    assert quality.rate(empty(spark)).count() == 0 and quality.keep_good(empty(spark)).columns == SCHEMA_COLUMNS
+
+
+SCHEMA_COLUMNS = [x.split()[0] for x in SCHEMA.split(", ")]
+
+
+def test_estimate_finds_the_bad_texts():
+    r = random.Random(4)
+    truth, patterns = [], Counter()
+    for _ in range(4000):
+        good = r.random() < 0.9
+        votes = "".join("-" if r.random() < (0.01 if good else 0.6) else "+" if r.random() < (0.8 if good else 0.4) else "0"
+                        for _ in range(5))
+        truth.append((votes, good))
+        patterns[votes] += 1
+    model = quality.estimate(patterns, 5)
+    right = sum((model.posterior[v] >= 0.5) == g for v, g in truth)
+    assert right / len(truth) > 0.97 and abs(model.good - 0.9) < 0.03
+    assert quality.estimate({}, 5).posterior == {}
+
+
+# ------------------------------------------------------------------ secrets
+
+BASE = (("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                              re.I | re.A), 2, 6),
+        ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile(r"[0-9a-f]+"), 0, 24))
+
+
+def test_base_spans_by_hand(spark, odd):
+    hexa = hashlib.sha256(b"x").hexdigest()
+    rows = odd + [(50, f"é password = 'abc' token=token:abcdefg API_KEY: \"{hexa}\" {hexa}", "s"),
+                  (51, "AKIA" + "Z" * 15 + " AKIA" + "Z9" * 9 + " Secret=short12 \u017fecret=abcdefgh tokens", "s")]
+    got = {(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secret_scan.scan(clashing(frame(spark, rows))).collect()}
+    exp = set()
+    for i, t, _ in rows:
+        spans = [(m.start(), k, m.end()) for k, (_, p, g, n) in enumerate(BASE) for m in p.finditer(t or "")
+                 if m.end(g) - m.start(g) >= n]
+        text = ",".join(f"{BASE[k][0]}:{a}:{b}" for a, k, b in sorted(spans))
+        exp.add((i, *[sum(k == j for _, j, _ in spans) for k in range(3)], hashlib.sha256(text.encode()).hexdigest()))
+    assert got == exp
+
+
+def test_models_find_random_strings_and_leave_words(spark):
+    rng = random.Random(6)
+    key = lambda n: "".join(rng.choice("ABCDEFGHJKMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789") for _ in range(n))
+    names = ["configuration_manager_service", "internationalization-settings", "getApplicationContextFactory"]
+    rows = [(i, f"{words(rng, 30)} token={key(24)} {rng.choice(names)} {words(rng, 9)}", "s") for i in range(300)]
+    loose = key(40)
+    rows += [(900, f"see {loose} there", "s"), (901, f"the {names[0]} and {names[1]}", "s")]
+    found = {r.doc_id: r.spans for r in secret_scan.scan(frame(spark, rows)).collect()}
+    assert found[900] == "markov:4:44" and found[901] == ""
+    clean = {r.doc_id: r.text for r in secret_scan.redact(frame(spark, rows + [(902, None, "s")])).collect()}
+    assert clean[900] == "see [SECRET] there" and clean[901] == rows[301][1] and clean[902] is None
+    assert "token=" not in clean[0]
+    assert secret_scan.scan(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------ licenses
+
+def test_licenses_by_hand(spark, odd):
+    rows = odd + [
+        (50, "CC-BY cc by cc_BY all rights RESERVED, general public licenses", "s"),
+        (51, "x\nReleased under MIT License today\ny", "s"), (52, "Released\nunder\nthe\nMIT\nLicense", "s"),
+        (53, "the GENERAL public license. licensed under the gnu", "s"), (54, "all rights\nreserved", "s")]
+    got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels): (r.labels, r.score)
+           for r in license_scan.scan(clashing(frame(spark, rows))).collect()}
+    spec = license_scan.LicenseScan()
+    low = lambda t: (t or "").encode().lower().decode()
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+    exp = {}
+    for i, t, _ in rows:
+        w = cut(low(t))
+        at = [(k, label) for phrase, label in spec.phrases for k in range(len(w))
+              if w[k:k + len(phrase.split())] == phrase.split()]
+        base = {x for _, x in at}
+        more, best = set(), 0.0
+        for line in low(t).split("\n"):
+            for label, template in spec.templates:
+                need = set(cut(low(template)))
+                share = len(need & set(cut(line))) / len(need)
+                if share >= spec.threshold - 1e-9:
+                    more.add(label)
+                    best = max(best, share)
+        places = [k for k, _ in at]
+        exp[(i, len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted(base)))] = (
+            ",".join(sorted(base | more)), 1.0 if at else best)
+    assert got.keys() == exp.keys()
+    for k, (labels, score) in exp.items():
+        assert got[k][0] == labels and got[k][1] == pytest.approx(score)
+    assert license_scan.scan(empty(spark)).count() == 0
+
+
+def test_license_plan_is_native(spark, odd):
+    plan = license_scan.scan(frame(spark, odd))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
+
+
+# ------------------------------------------------------------------ mixing
+
+def test_highest_quotients_by_hand():
+    rng = random.Random(1)
+    for _ in range(60):
+        votes = np.array([float(rng.choice([0, 1, 5, 50, 333])) for _ in range(rng.randint(1, 7))])
+        caps = np.array([rng.randint(0, 30) for _ in votes])
+        seats = rng.randint(0, 40)
+        won = np.zeros(len(votes), dtype=int)
+        for _ in range(seats):
+            open_ = [k for k in range(len(votes)) if won[k] < caps[k] and votes[k] > 0]
+            if not open_:
+                break
+            won[max(open_, key=lambda k: (votes[k] / (2 * won[k] + 1), -k))] += 1
+        assert (mixing.highest_quotients(votes, seats, caps) == won).all()
+
+
+def targets_by_hand(sizes, weights, share, epochs):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    capped, goal = {}, share * sum(sizes.values())
+    while True:
+        rest = [s for s in names if s not in capped]
+        level = (goal - sum(capped.values())) / sum(w[s] for s in rest) if rest else 0
+        over = [s for s in rest if epochs * sizes[s] < level * w[s]]
+        if not over:
+            return {s: capped.get(s, level * w[s]) for s in names}
+        capped.update({s: float(epochs * sizes[s]) for s in over})
+
+
+def test_mix_meets_targets(spark, odd):
+    rng = random.Random(9)
+    rows = odd + [(100 + k, words(rng, rng.randint(1, 60)), rng.choice(["s0", "s0", "s0", "t", "u", None])) for k in range(300)]
+    spec = mixing.Mix(shard_rows=40)
+    got = mixing.mix(clashing(frame(spark, rows)), spec).collect()
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    want = targets_by_hand(sizes, spec.weights, spec.share, spec.epochs)
+    taken = Counter()
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size and r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source])
+        taken[r.source] += r.taken
+    for s, goal in want.items():
+        assert abs(taken[s] - goal) <= 0.03 * goal + 2 * spec.block_words
+    again = mixing.mix(clashing(frame(spark, rows)).coalesce(1), spec).collect()
+    key = lambda rs: Counter((r.doc_id, r.size, r.taken) for r in rs if r.doc_id != 40)
+    assert key(got) == key(again)
+    assert mixing.mix(empty(spark)).count() == 0
+
+
+def test_mixed_rows_hold_the_taken_words(spark):
+    rng = random.Random(3)
+    rows = [(k, words(rng, rng.randint(0, 90)), f"s{k % 4}") for k in range(80)] + [(99, None, "s0")]
+    spec = mixing.Mix(shard_rows=30, block_words=16)
+    df = frame(spark, rows)
+    taken = {r.doc_id: r.taken for r in mixing.mix(df, spec).collect()}
+    out = mixing.mixed(df, spec, length_col="n_chars").collect()
+    got = Counter()
+    for r in out:
+        got[r.doc_id] += len(r.text.split())
+        assert r.n_chars == len(r.text)
+    assert {k: v for k, v in taken.items() if v} == dict(got)
+
+
+# ------------------------------------------------------------------ pieces
+
+def test_pieces_give_the_text_back(spark, odd):
+    spec = piece_sampler.PieceSampler(samples=3, chunk_chars=4000)
+    out = piece_sampler.encode(clashing(frame(spark, odd)), spec, keep=("text",))
+    rows = out.withColumn("back", piece_sampler.decode(F.col("ids"), spec)).collect()
+    assert all(r.back == (r.text or "") for r in rows)
+    assert len({r.doc_id for r in rows}) == len({i for i, _, _ in odd})
+    seen = Counter((r.doc_id, r.text, tuple(r.ids)) for r in rows)
+    assert all(n == 1 for (i, t, _), n in seen.items() if i not in (40, None))
+    assert all(0 < r.inclusion <= 1 and r.log_prob <= 0 for r in rows)
+    same = piece_sampler.encode(frame(spark, odd).coalesce(1), spec).collect()
+    key = lambda rs: Counter((r.doc_id, r.sample, tuple(r.ids), round(r.perturbed, 9)) for r in rs)
+    assert key(rows) == key(same)
+    assert piece_sampler.encode(empty(spark)).count() == 0
+
+
+def test_pieces_are_drawn_as_the_lattice_says():
+    v = piece_sampler.load(piece_sampler.PieceSampler().model)
+    lattice = piece_sampler.Lattice(["\u2581then"], v)
+
+    def paths(node):
+        if node < 0:
+            yield (), 0.0
+            return
+        for e in range(lattice.edge_at[node], lattice.edge_at[node + 1]):
+            for rest, p in paths(int(lattice.to[e])):
+                yield (int(lattice.piece[e]), *rest), lattice.logq[e] + p
+
+    chance = {s: math.exp(p) for s, p in paths(int(lattice.roots[0]))}
+    assert sum(chance.values()) == pytest.approx(1.0)
+    n, spec = 8000, piece_sampler.PieceSampler(samples=2)
+    first, pairs, weighted = Counter(), Counter(), Counter()
+    got = piece_sampler.encode_texts(list(range(n)), ["then"] * n, v, spec)
+    for a, b in zip(got[::2], got[1::2]):
+        x, y = tuple(a[2].tolist()), tuple(b[2].tolist())
+        assert x != y and a[3] == pytest.approx(math.log(chance[x]))
+        first[x] += 1
+        pairs[x, y] += 1
+        for s in (a, b):  # unbiased: chance over inclusion score
+            weighted[tuple(s[2].tolist())] += math.exp(s[3]) / (1 - math.exp(-math.exp(s[3] - s[5])))
+    top = sorted(chance, key=chance.get, reverse=True)[:2]
+    for s in top:
+        assert first[s] / n == pytest.approx(chance[s], abs=0.02)
+        assert weighted[s] / n == pytest.approx(chance[s], abs=0.02)
+    x, y = top
+    assert pairs[x, y] / n == pytest.approx(chance[x] * chance[y] / (1 - chance[x]), abs=0.03)
