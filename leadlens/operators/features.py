@@ -3,19 +3,11 @@
 Input schema: ``user_pseudo_id, ga_session_id, event_timestamp, event_name,
 item_ids array<string>, campaign_ids, device_used, page_referrer``.
 
-The reference semantics is seven grouped views LEFT JOINed on the user. Here the source is
-aggregated three times, each time with partial (map-side) aggregation, and the three
-user-keyed results are joined on the same hash partitioning:
-
-* ``behaviour`` — counters, flags, distinct session count, campaign/device/referrer sets
-  and first visit, one ``groupBy(user)`` (the distinct count plans as (user, session) then
-  user, so a hot user spreads over sessions first);
-* ``sessions`` — duration per (user, session), then per-user summary;
-* ``products`` — distinct safe-cast item ids per user (``collect_set`` dedups map-side).
-
-Sets are kept as sets at every stage (never a list of per-row values), so memory per
-group is bounded by the number of distinct values, which is the output itself.
-The NULL user keeps its behaviour row but matches no joined view, as in a LEFT JOIN
+The reference semantics is seven grouped views LEFT JOINed on the user. Here a user's facts are
+aggregated by (user, session) and by (user, set, value) first, partially before the exchange, and
+then by user: counters and bounds stay in hash aggregates, a hot user spreads over sessions and
+values, and a set is gathered from values that are distinct already, so the memory of a group is the
+output itself. The NULL user keeps its behaviour row but matches no joined view, as in a LEFT JOIN
 USING(user): its joined columns are NULL (JSON text ``null``).
 """
 from __future__ import annotations
@@ -82,17 +74,15 @@ def distinct_products(src: DataFrame) -> DataFrame:
 
 def seen_products(src: DataFrame) -> DataFrame:
     """Sorted distinct castable item ids per user and their count (users with none: no row)."""
-    p = F.col("item_id").try_cast("bigint")
-    s = F.collect_set(p).alias("_set")
-    agg = item_rows(src).filter(p.isNotNull()).groupBy(USER).agg(s)
+    agg = distinct_products(src).groupBy(USER).agg(F.collect_list("product").alias("_set"))
     return agg.select(USER, F.array_sort("_set").alias("id_seen_products"),
                       F.size("_set").cast("bigint").alias("num_products"))
 
 
 def value_set(src: DataFrame, col: str, out: str, n_out: str) -> DataFrame:
     """Sorted distinct non-NULL values per user (NULL when none) and their count (0 when none)."""
-    s = F.collect_set(F.col(col))
-    agg = src.groupBy(USER).agg(s.alias("_set"))
+    distinct = src.groupBy(USER, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    agg = distinct.groupBy(USER).agg(F.collect_list("_v").alias("_set"))  # NULL is no value, but keeps the user
     return agg.select(USER, nonempty_or_null(F.array_sort("_set")).alias(out),
                       F.size("_set").cast("bigint").alias(n_out))
 
@@ -106,25 +96,59 @@ SET_SPECS = [("campaign_ids", "id_campaigns", "num_campaigns", "campaings"),
              ("page_referrer", "canal_id", "num_canals", "used_canals")]
 
 
+def _fact_rows(src: DataFrame) -> DataFrame:
+    """One row per event (kind ``stay``, value: its session) and one per value of a set that it adds (kind: the set),
+    so that a single exchange brings all facts of a user together. Events without a user add no set values: they
+    match no joined view. A session number and a value of a set share one text column; NULL session is NULL."""
+    items = F.transform(F.col("item_ids"), lambda x: F.struct(F.lit("products").alias("kind"),
+                                                              x.try_cast("bigint").cast("string").alias("value")))
+    sets = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c, _, _, _ in SET_SPECS])
+    known = F.when(F.col(USER).isNotNull(), F.concat(sets, F.coalesce(items, F.array_remove(sets, sets[0]))))
+    own = F.array(F.struct(F.lit("stay").alias("kind"), F.col(SESSION).cast("string").alias("value")))
+    values = F.filter(F.coalesce(known, F.array_remove(sets, sets[0])), lambda x: x["value"].isNotNull())
+    return src.select(USER, EVENT, TS, F.explode(F.concat(own, F.array_distinct(values))).alias("fact"))
+
+
 def user_features(src: DataFrame) -> DataFrame:
-    """The 47-column per-user feature frame."""
-    # the NULL user's sets are never output (it matches no joined view): collect nothing for it
-    known_user = F.col(USER).isNotNull()
-    sets = [F.collect_set(F.when(known_user, F.col(c))).alias(f"_s_{c}") for c, _, _, _ in SET_SPECS]
-    behaviour = src.groupBy(USER).agg(*_counter_aggs(), F.count_distinct(F.col(SESSION)).alias("_n_sessions"),
-                                      *sets, F.min(TS).alias("_first_visit"))
-    known = src.filter(F.col(USER).isNotNull())  # NULL user never matches a joined view
-    sessions = user_session_summary(known)
-    products = seen_products(known)
-    j = behaviour.join(sessions, USER, "left").join(products, USER, "left")
+    """The 47-column per-user feature frame, from one scan and two aggregates.
+
+    The first aggregate is by (user, kind, value): counters and time bounds of each session, and each value of a set
+    once. It is a hash aggregate of plain counters, its keys spread a hot user over its sessions and values, and it
+    is partial before the exchange. The second one, by user, reads these few rows and gathers the sets.
+    """
+    stay = F.col("kind") == "stay"
+    facts = _fact_rows(src).select(USER, EVENT, TS, "fact.kind", "fact.value")
+    counters = [F.count(F.lit(1)).alias("total_events")]
+    counters += [F.count_if(F.col(EVENT) == F.lit(e)).alias(out) for out, e in config.COUNT_EVENTS + config.INT_FLAGS]
+    counters += [F.count_if(F.col(EVENT) == F.lit(e)).alias(out) for out, e in config.BOOL_FLAGS]
+    # MAX over a comparison is NULL when no event of the user has a name
+    counters += [F.count(EVENT).alias("_named"), F.min(TS).alias("_from"), F.max(TS).alias("_to")]
+    per = facts.groupBy(USER, "kind", "value").agg(*counters)
+    session = stay & F.col("value").isNotNull()
+    seconds = F.when(session, (F.col("_to") - F.col("_from")) / F.lit(1_000_000)).cast("double")
+    total = lambda c: F.sum(F.when(stay, F.col(c)).otherwise(F.lit(0)))
+    named = total("_named") > 0
+    aggs = [total(c).alias(c) for c in ["total_events", *[o for o, _ in config.COUNT_EVENTS]]]
+    aggs += [F.when(total(c) > 0, F.lit(1)).otherwise(F.lit(0)).alias(c) for c, _ in config.INT_FLAGS]
+    aggs += [F.when(named, total(c) > 0).alias(c) for c, _ in config.BOOL_FLAGS]
+    gathered = {k: F.collect_list(F.when(F.col("kind") == k, F.col("value"))) for k in
+                ["products", *[c for c, _, _, _ in SET_SPECS]]}
+    aggs += [g.alias(f"_s_{k}") for k, g in gathered.items()]
+    aggs += [F.count_if(session).alias("_n_sessions"), F.min(F.when(stay, F.col("_from"))).alias("_first_visit"),
+             F.round(F.avg(seconds), 0).cast("bigint").alias("_avg"), F.max(seconds).alias("_max"),
+             F.round(F.sum(seconds), 0).cast("bigint").alias("_sum")]
+    j = per.groupBy(USER).agg(*aggs)
+
     has_user = F.col(USER).isNotNull()
+    had_session = has_user & (F.col("_n_sessions") > 0)
+    products = F.array_sort(F.transform(F.col("_s_products"), lambda x: x.cast("bigint")))
     joined_cols: dict[str, Column] = {
-        "total_sessions": F.col("total_sessions"),
-        "session_duration_avg": F.col("session_duration_avg"),
-        "session_duration_max": F.col("session_duration_max"),
-        "total_session_time": F.col("total_session_time"),
-        "products": json_int_array_text(F.col("id_seen_products")),
-        "num_products": F.col("num_products"),
+        "total_sessions": F.when(had_session, F.col("_n_sessions")),
+        "session_duration_avg": F.when(had_session, F.col("_avg")),
+        "session_duration_max": F.when(had_session, F.col("_max")),
+        "total_session_time": F.when(had_session, F.col("_sum")),
+        "products": json_int_array_text(F.when(has_user, nonempty_or_null(products))),
+        "num_products": F.when(has_user & (F.size(products) > 0), F.size(products).cast("bigint")),
         "first_visit_ts": F.when(has_user, F.col("_first_visit")),
     }
     for c, _, n_out, json_out in SET_SPECS:

@@ -17,115 +17,82 @@ def _src(spark, sf_dir):
     return fx.feature_source(spark, sf_dir)
 
 
-def _counts_sql() -> str:
-    parts = ["COUNT(*) AS total_events"]
-    for out, ev in config.COUNT_EVENTS:
-        parts.append(f"COUNT_IF(event_name = '{ev}') AS {out}")
-    for out, ev in config.INT_FLAGS:
-        parts.append(f"MAX(CASE WHEN event_name = '{ev}' THEN 1 ELSE 0 END) AS {out}")
-    for out, ev in config.BOOL_FLAGS:
-        parts.append(f"MAX(event_name = '{ev}') AS {out}")
-    parts.append("CASE WHEN COUNT(DISTINCT ga_session_id) = 0 THEN NULL "
-                 "ELSE COUNT(*) / COUNT(DISTINCT ga_session_id) END AS events_per_session")
-    return ",\n    ".join(parts)
-
-
-def _set_cte(name: str, col: str, out: str, n_out: str) -> str:
-    return f"""
-{name} AS (
-  SELECT user_pseudo_id,
-    list(DISTINCT {col} ORDER BY {col}) FILTER (WHERE {col} IS NOT NULL) AS {out},
-    COUNT(DISTINCT {col}) AS {n_out}
-  FROM src GROUP BY user_pseudo_id
-)"""
-
-
-FEATURE_CTES = [O.FX_FLAT, """
-src AS (
-  SELECT user_pseudo_id, ga_session_id, event_timestamp, event_name, [item_a, item_b] AS item_ids,
-         campaign_ids, device_used, page_referrer FROM fx_flat
+def _counter(column: str) -> str:
+    """A counter or flag read from a person's histogram of event names."""
+    name, event, kind = next(x for x in config.BEHAVIOUR_COLUMNS if x[0] == column)
+    if kind == "all":
+        return f"n_events AS {name}"
+    if kind == "per_session":
+        return f"n_events / NULLIF(n_sessions, 0) AS {name}"
+    seen = f"COALESCE(names['{event}'], 0)"
+    return {"count": f"CAST({seen} AS BIGINT)", "int_flag": f"CAST({seen} > 0 AS INTEGER)", "bool_flag": f"({seen} > 0)"}[kind] + f" AS {name}"
+
+
+def _values(column: str) -> str:
+    return f"list_sort(list_distinct(list({column})))"
+
+
+_COUNTERS = ", ".join(_counter(c) for c in config.BEHAVIOUR_ORDER)
+# Two groupings say it all: people (events of a user, as histogram, bounds and value lists) and stays (sessions).
+FEATURE_CTES = [O.FX_FLAT, f"""
+people AS (
+  SELECT user_pseudo_id, COUNT(*) AS n_events, histogram(event_name) AS names, COUNT(DISTINCT ga_session_id) AS n_sessions,
+    MIN(event_timestamp) AS first_visit_ts, {_values('campaign_ids')} AS campaigns, {_values('device_used')} AS devices,
+    {_values('page_referrer')} AS referrers,
+    list_sort(list_distinct(list_transform(flatten(list([item_a, item_b])), lambda x: TRY_CAST(x AS BIGINT)))) AS products
+  FROM fx_flat GROUP BY user_pseudo_id
 )""", """
-session_lengths AS (
-  SELECT user_pseudo_id, ga_session_id,
-         (MAX(event_timestamp) - MIN(event_timestamp)) / 1000000 AS session_duration_sec
-  FROM src WHERE ga_session_id IS NOT NULL GROUP BY user_pseudo_id, ga_session_id
+stays AS (
+  SELECT user_pseudo_id, ga_session_id, (MAX(event_timestamp) - MIN(event_timestamp)) / 1000000 AS seconds
+  FROM fx_flat WHERE ga_session_id IS NOT NULL GROUP BY user_pseudo_id, ga_session_id
 )""", """
-session_summary AS (
-  SELECT user_pseudo_id, COUNT(*) AS total_sessions,
-    CAST(ROUND(AVG(session_duration_sec), 0) AS BIGINT) AS session_duration_avg,
-    MAX(session_duration_sec) AS session_duration_max,
-    CAST(ROUND(SUM(session_duration_sec), 0) AS BIGINT) AS total_session_time
-  FROM session_lengths GROUP BY user_pseudo_id
-)""", """
-unnested AS (SELECT user_pseudo_id, UNNEST(item_ids) AS item_id FROM src)""", """
-distinct_products AS (
-  SELECT DISTINCT user_pseudo_id, TRY_CAST(item_id AS BIGINT) AS product
-  FROM unnested WHERE TRY_CAST(item_id AS BIGINT) IS NOT NULL
-)""", """
-product_sets AS (
-  SELECT user_pseudo_id, list(DISTINCT product ORDER BY product) AS id_seen_products, COUNT(*) AS num_products
-  FROM distinct_products GROUP BY user_pseudo_id
-)""", _set_cte("campaign_sets", "campaign_ids", "id_campaigns", "num_campaigns"),
-    _set_cte("device_sets", "device_used", "used_devices", "num_devices"),
-    _set_cte("referrer_sets", "page_referrer", "canal_id", "num_canals"), """
-first_seen AS (SELECT user_pseudo_id, MIN(event_timestamp) AS first_visit_ts FROM src GROUP BY user_pseudo_id)""",
-    f"""
-counters AS (
-  SELECT user_pseudo_id,
-    {_counts_sql()}
-  FROM src GROUP BY user_pseudo_id
-)""", f"""
-user_features AS (
-  SELECT f.user_pseudo_id, {', '.join('f.' + c for c in config.BEHAVIOUR_ORDER)},
-    s.total_sessions, s.session_duration_avg, s.session_duration_max, s.total_session_time,
-    COALESCE(to_json(i.id_seen_products), 'null') AS products, i.num_products,
-    COALESCE(to_json(c.id_campaigns), 'null') AS campaings, c.num_campaigns,
-    COALESCE(to_json(d.used_devices), 'null') AS used_devices, d.num_devices,
-    COALESCE(to_json(cn.canal_id), 'null') AS used_canals, cn.num_canals,
-    fv.first_visit_ts
-  FROM counters f
-  LEFT JOIN session_summary s USING (user_pseudo_id)
-  LEFT JOIN product_sets i USING (user_pseudo_id)
-  LEFT JOIN campaign_sets c USING (user_pseudo_id)
-  LEFT JOIN device_sets d USING (user_pseudo_id)
-  LEFT JOIN referrer_sets cn USING (user_pseudo_id)
-  LEFT JOIN first_seen fv USING (user_pseudo_id)
+visits AS (
+  SELECT user_pseudo_id, COUNT(*) AS total_sessions, CAST(ROUND(AVG(seconds), 0) AS BIGINT) AS session_duration_avg,
+    MAX(seconds) AS session_duration_max, CAST(ROUND(SUM(seconds), 0) AS BIGINT) AS total_session_time
+  FROM stays GROUP BY user_pseudo_id
 )"""]
 
 
-def fsql(select: str) -> str:
-    return O.with_ctes(*FEATURE_CTES, select=select)
+def _json(column: str, out: str) -> str:
+    """Values as JSON text; ``null`` for none, and for the events that have no user."""
+    return f"CASE WHEN p.user_pseudo_id IS NULL OR len({column}) = 0 THEN 'null' ELSE CAST(to_json({column}) AS VARCHAR) END AS {out}"
 
 
-ROUND6 = "ROUND({c}, 6) AS {c}"
+def _number(column: str, out: str, none: str = "0") -> str:
+    """How many values; ``none`` is the count that is given as NULL (-1: no count is)."""
+    return f"CASE WHEN p.user_pseudo_id IS NOT NULL THEN NULLIF(len({column}), {none}) END AS {out}"
+
+
+def fsql(select: str) -> str:
+    return O.with_ctes(*FEATURE_CTES, select=select)
 
 
-@register("session_duration", fsql("SELECT user_pseudo_id, ga_session_id, ROUND(session_duration_sec, 6) AS session_duration_sec FROM session_lengths"))
+@register("session_duration", fsql("SELECT user_pseudo_id, ga_session_id, ROUND(seconds, 6) AS session_duration_sec FROM stays"))
 def q_session_duration(spark, sf_dir):
     """Seconds between first and last event of every non-NULL session."""
     d = FE.session_duration(_src(spark, sf_dir))
     return d.select("user_pseudo_id", "ga_session_id", F.round("session_duration_sec", 6).alias("session_duration_sec"))
 
 
-@register("user_session_summary", fsql("SELECT * FROM session_summary"))
+@register("user_session_summary", fsql("SELECT * FROM visits"))
 def q_user_session_summary(spark, sf_dir):
     """Per user: session count, rounded mean and total duration, longest session."""
     return FE.user_session_summary(_src(spark, sf_dir))
 
 
-@register("array_unnest_join", fsql("SELECT user_pseudo_id, item_id FROM unnested"))
+@register("array_unnest_join", fsql("SELECT user_pseudo_id, unnest([item_a, item_b]) AS item_id FROM fx_flat"))
 def q_array_unnest_join(spark, sf_dir):
     """One row per element of each event's item-id array (empty/NULL arrays vanish)."""
     return FE.item_rows(_src(spark, sf_dir))
 
 
-@register("select_distinct", fsql("SELECT * FROM distinct_products"))
+@register("select_distinct", fsql("SELECT user_pseudo_id, unnest(products) AS product FROM people"))
 def q_select_distinct(spark, sf_dir):
     """Distinct (user, safe-cast integer item id) pairs."""
     return FE.distinct_products(_src(spark, sf_dir))
 
 
-@register("seen_products", fsql("SELECT user_pseudo_id, to_json(id_seen_products) AS products, num_products FROM product_sets"))
+@register("seen_products", fsql("SELECT user_pseudo_id, to_json(products) AS products, len(products) AS num_products FROM people WHERE len(products) > 0"))
 def q_seen_products(spark, sf_dir):
     """Sorted distinct castable item ids per user as JSON text, and their count."""
     p = FE.seen_products(_src(spark, sf_dir))
@@ -140,29 +107,35 @@ def _set_query(col, out, n_out, json_out):
     return q
 
 
-for _key, (_c, _o, _n, _j), _cte in zip(["campaign_set", "device_set", "channel_set"], FE.SET_SPECS,
-                                          ["campaign_sets", "device_sets", "referrer_sets"]):
-    register(_key, fsql(f"SELECT user_pseudo_id, COALESCE(to_json({_o}), 'null') AS {_j}, {_n} FROM {_cte}"))(
-        _set_query(_c, _o, _n, _j))
+for _key, (_c, _o, _n, _j), _list in zip(["campaign_set", "device_set", "channel_set"], FE.SET_SPECS,
+                                           ["campaigns", "devices", "referrers"]):
+    register(_key, fsql(f"SELECT user_pseudo_id, CASE WHEN len({_list}) = 0 THEN 'null' ELSE CAST(to_json({_list}) AS VARCHAR) END "
+                        f"AS {_j}, len({_list}) AS {_n} FROM people"))(_set_query(_c, _o, _n, _j))
 
 
-@register("first_visit", fsql("SELECT * FROM first_seen"))
+@register("first_visit", fsql("SELECT user_pseudo_id, first_visit_ts FROM people"))
 def q_first_visit(spark, sf_dir):
     """Earliest event time per user."""
     return FE.first_visit(_src(spark, sf_dir))
 
 
-@register("behaviour_counters", fsql(
-    f"SELECT user_pseudo_id, {', '.join(c for c in config.BEHAVIOUR_ORDER if c != 'events_per_session')}, "
-    "ROUND(events_per_session, 6) AS events_per_session FROM counters"))
+@register("behaviour_counters", fsql(f"SELECT * REPLACE (ROUND(events_per_session, 6) AS events_per_session) FROM "
+                                     f"(SELECT user_pseudo_id, {_COUNTERS} FROM people)"))
 def q_behaviour_counters(spark, sf_dir):
     """Per user: event count, 22 conditional counts, 9 flags, events per session."""
     b = FE.behaviour_counters(_src(spark, sf_dir))
     return b.withColumn("events_per_session", F.round("events_per_session", 6))
 
 
-_UF_SELECT = ("SELECT * EXCLUDE (events_per_session, session_duration_max), ROUND(events_per_session, 6) AS events_per_session, "
-              "ROUND(session_duration_max, 6) AS session_duration_max FROM user_features")
+_UF_COLUMNS = f"""SELECT p.user_pseudo_id, {_COUNTERS}, v.total_sessions, v.session_duration_avg, v.session_duration_max,
+  v.total_session_time, {_json('p.products', 'products')}, {_number('p.products', 'num_products')},
+  {_json('p.campaigns', 'campaings')}, {_number('p.campaigns', 'num_campaigns', '-1')},
+  {_json('p.devices', 'used_devices')}, {_number('p.devices', 'num_devices', '-1')},
+  {_json('p.referrers', 'used_canals')}, {_number('p.referrers', 'num_canals', '-1')},
+  CASE WHEN p.user_pseudo_id IS NOT NULL THEN p.first_visit_ts END AS first_visit_ts
+FROM people p LEFT JOIN visits v ON v.user_pseudo_id = p.user_pseudo_id"""
+_UF_SELECT = f"""SELECT * REPLACE (ROUND(events_per_session, 6) AS events_per_session,
+  ROUND(session_duration_max, 6) AS session_duration_max) FROM ({_UF_COLUMNS})"""
 
 
 @register("user_features", fsql(_UF_SELECT))
@@ -175,7 +148,7 @@ def q_user_features(spark, sf_dir):
 
 @register("feature_left_joins", fsql(
     "SELECT user_pseudo_id, total_events, total_sessions, total_session_time, products, num_products, "
-    "campaings, num_campaigns, first_visit_ts FROM user_features"))
+    f"campaings, num_campaigns, first_visit_ts FROM ({_UF_COLUMNS})"))
 def q_feature_left_joins(spark, sf_dir):
     """The LEFT JOIN side of the feature build: the NULL user keeps its row, matches nothing."""
     uf = FE.user_features(_src(spark, sf_dir))

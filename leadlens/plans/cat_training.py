@@ -144,14 +144,14 @@ def q_lead_normalise(spark, sf_dir):
     return dag(spark, sf_dir).leads
 
 
-@register("max_lead_maturity_cutoff", O.with_dag("SELECT * FROM lead_cutoff"))
+@register("max_lead_maturity_cutoff", O.with_dag("SELECT ripe AS max_createdon FROM span"))
 def q_max_lead_maturity_cutoff(spark, sf_dir):
     """Newest lead time minus the maturity window, in µs."""
     d = dag(spark, sf_dir)
     return T.maturity_cutoff_frame(d.leads, fx.FIXTURE_MATURITY_DAYS)
 
 
-@register("event_ts_bounds", O.with_dag("SELECT min_timestamp, max_timestamp FROM first_event, last_event"))
+@register("event_ts_bounds", O.with_dag("SELECT lo AS min_timestamp, hi AS max_timestamp FROM span"))
 def q_event_ts_bounds(spark, sf_dir):
     """Earliest and latest event time of the daily shards."""
     return T.event_ts_bounds_frame(dag(spark, sf_dir).base)

@@ -2,8 +2,7 @@
 
 Each SQL string runs on the driver's pre-registered views (``events`` …) and re-derives the
 same input shapes as ``leadlens.sources.fixtures`` with dialect-twin CTEs, then states the
-reference semantics directly (row_number windows, count distinct, seven-CTE feature build …),
-independently of how the Spark side is planned.
+written rules directly, independently of how the Spark side is planned.
 """
 from __future__ import annotations
 
@@ -65,67 +64,61 @@ snapshot_input AS (
 )"""
 
 
+def _date_parts(ts: str, name: str) -> str:
+    return ", ".join(f"CAST({part}({ts}) AS INTEGER) AS {name}_{part}" for part in ("day", "month", "year"))
+
+
 def dag_ctes(execution_date: str = "2024-01-31", maturity_days: int = 7) -> str:
-    """The whole training DAG as CTEs: base … lead_purchases, valid_leads."""
+    """The training table from the written rules, each rule as one step.
+
+    ``span`` holds the two time limits as one row; the newest lead of a day and the single
+    (user, session) of a lead are stated with windows.
+    """
+    since = f"DATE '{execution_date}' - INTERVAL 2 YEAR"
     return ",\n".join([FX_FLAT, FX_LEADS, FX_HISTORY, asof_cte(execution_date), f"""
 base AS (
-  SELECT * FROM fx_flat
-  WHERE regexp_full_match(suffix, '\\d{{8}}')
-    AND suffix >= strftime(DATE '{execution_date}' - INTERVAL 2 YEAR, '%Y%m%d')
-)""", """
+  SELECT * FROM fx_flat WHERE TRY_CAST(suffix AS INTEGER) IS NOT NULL AND length(suffix) = 8
+    AND CAST(suffix AS INTEGER) >= CAST(strftime({since}, '%Y%m%d') AS INTEGER)
+)""", f"""
 purchases AS (
-  SELECT user_pseudo_id, event_timestamp AS purchase_timestamp,
-    CAST(day(make_timestamp(event_timestamp)) AS INTEGER) AS purchase_day,
-    CAST(month(make_timestamp(event_timestamp)) AS INTEGER) AS purchase_month,
-    CAST(year(make_timestamp(event_timestamp)) AS INTEGER) AS purchase_year,
-    CAST(NULL AS BIGINT) AS lead_id, transaction_id, product_id, page_name, page_location, platform,
-    form_name, market_site, language_site, ga_session_id, ga_session_number,
-    user_country, user_province, user_studies
+  SELECT user_pseudo_id, event_timestamp AS purchase_timestamp, {_date_parts('make_timestamp(event_timestamp)', 'purchase')},
+    NULL::BIGINT AS lead_id, COLUMNS(['transaction_id', 'product_id', 'page_name', 'page_location', 'platform', 'form_name',
+      'market_site', 'language_site', 'ga_session_id', 'ga_session_number', 'user_country', 'user_province', 'user_studies'])
   FROM base WHERE event_name = 'purchase'
 )""", f"""
 lead_rows AS (
-  SELECT epoch_us(ld_createdon) AS ld_timestamp,
-    CAST(day(ld_createdon) AS INTEGER) AS lead_day, CAST(month(ld_createdon) AS INTEGER) AS lead_month,
-    CAST(year(ld_createdon) AS INTEGER) AS lead_year, ld_mcs_id, apd_es_matricula
-  FROM snapshot_input
-  WHERE CAST(ld_createdon AS DATE) >= DATE '{execution_date}' - INTERVAL 2 YEAR
-)""", """
-first_event AS (SELECT MIN(event_timestamp) AS min_timestamp FROM base)""", """
-last_event AS (SELECT MAX(event_timestamp) AS max_timestamp FROM base)""", f"""
-lead_cutoff AS (SELECT MAX(ld_timestamp) - {maturity_days} * 86400000000 AS max_createdon FROM lead_rows)""", """
-upper_bound AS (
-  SELECT CASE WHEN mc.max_createdon IS NULL OR mat.max_timestamp IS NULL THEN NULL
-              ELSE least(mc.max_createdon, mat.max_timestamp) END AS upper_ts
-  FROM lead_cutoff mc, last_event mat
+  SELECT epoch_us(ld_createdon) AS ld_timestamp, {_date_parts('ld_createdon', 'lead')}, ld_mcs_id, apd_es_matricula
+  FROM snapshot_input WHERE ld_createdon >= {since}
+)""", f"""
+span AS (
+  SELECT lo, hi, ripe, CASE WHEN hi IS NOT NULL AND ripe IS NOT NULL THEN least(hi, ripe) END AS up
+  FROM (SELECT MIN(event_timestamp) AS lo, MAX(event_timestamp) AS hi FROM base),
+       (SELECT MAX(ld_timestamp) - {maturity_days * 86_400_000_000} AS ripe FROM lead_rows)
 )""", """
 lead_window AS (
-  SELECT pa.* FROM lead_rows pa, first_event mit, upper_bound ub
-  WHERE pa.ld_timestamp <= ub.upper_ts AND pa.ld_timestamp >= mit.min_timestamp
+  SELECT * FROM lead_rows WHERE ld_timestamp BETWEEN (SELECT lo FROM span) AND (SELECT up FROM span)
 )""", """
 latest_leads AS (
-  SELECT ld_timestamp, lead_day, lead_month, lead_year, ld_mcs_id, apd_es_matricula FROM (
-    SELECT *, row_number() OVER (PARTITION BY ld_mcs_id, lead_day, lead_month, lead_year
-                                 ORDER BY ld_timestamp DESC, apd_es_matricula DESC NULLS LAST) AS rn
-    FROM lead_window) WHERE rn = 1
-)""", """
-purchase_window AS (
-  SELECT p.* FROM purchases p, upper_bound ub WHERE p.purchase_timestamp <= ub.upper_ts
+  SELECT * FROM lead_window
+  QUALIFY row_number() OVER (PARTITION BY ld_mcs_id, make_date(lead_year, lead_month, lead_day)
+                             ORDER BY ld_timestamp DESC, apd_es_matricula DESC NULLS LAST) = 1
 )""", """
+purchase_window AS (SELECT * FROM purchases WHERE purchase_timestamp <= (SELECT up FROM span))""", """
 lead_purchases AS (
-  SELECT DISTINCT a.lead_day, a.lead_month, a.lead_year, a.ld_mcs_id, a.apd_es_matricula, p.*
-  FROM latest_leads a JOIN purchase_window p
-    ON p.transaction_id = a.ld_mcs_id AND p.purchase_day = a.lead_day
-   AND p.purchase_month = a.lead_month AND p.purchase_year = a.lead_year
+  SELECT DISTINCT lead_day, lead_month, lead_year, ld_mcs_id, apd_es_matricula, purchase_window.*
+  FROM latest_leads JOIN purchase_window
+    ON (transaction_id, purchase_year, purchase_month, purchase_day) = (ld_mcs_id, lead_year, lead_month, lead_day)
+)""", """
+visitor AS (
+  SELECT *, user_pseudo_id || '|' || ga_session_id AS visit FROM lead_purchases
 )""", """
 valid_leads AS (
-  SELECT ld_mcs_id FROM lead_purchases GROUP BY ld_mcs_id
-  HAVING COUNT(DISTINCT CAST(user_pseudo_id AS VARCHAR) || '|' || CAST(ga_session_id AS VARCHAR)) = 1
+  SELECT ld_mcs_id FROM visitor GROUP BY ld_mcs_id HAVING MIN(visit) = MAX(visit)
 )""", """
 model_train AS (
-  SELECT l.ld_mcs_id, l.apd_es_matricula, l.user_pseudo_id, l.product_id, l.page_name, l.page_location,
-         l.platform, l.form_name, l.market_site, l.language_site, l.ga_session_id, l.ga_session_number,
-         l.user_country, l.user_province, l.user_studies
-  FROM lead_purchases l JOIN valid_leads vl ON l.ld_mcs_id = vl.ld_mcs_id
+  SELECT COLUMNS(['ld_mcs_id', 'apd_es_matricula', 'user_pseudo_id', 'product_id', 'page_name', 'page_location', 'platform',
+    'form_name', 'market_site', 'language_site', 'ga_session_id', 'ga_session_number', 'user_country', 'user_province', 'user_studies'])
+  FROM lead_purchases SEMI JOIN valid_leads USING (ld_mcs_id)
 )"""])
 
 
