@@ -10,7 +10,7 @@ Core primitive — exact global order statistics without a single-partition wind
 3. checkpoint into the shared folder, so both consumers below see identical rows even if
    executors are lost;
 4. per-(partition, group) counts/sums — at most ``partitions + groups`` rows — give each
-   partition its offset; they are broadcast (size bound proven by construction).
+   partition its offset by a running sum over them, a frame that Spark joins as its size allows.
 
 Rank-only consumers stay JVM-side with no further shuffle; running sums add one
 hash-exchange of the (already aggregated) frame for the in-partition cumulative window.
@@ -31,21 +31,6 @@ from .. import config
 from ..session import durable
 
 LOW33 = (1 << 33) - 1
-MAX_OFFSET_ROWS = 1_000_000
-
-
-def _offsets(stats: list, group: list[str], sums: list[str]) -> list[tuple]:
-    """Running totals of earlier partitions per group, from per-(partition, group) stats."""
-    run: dict[tuple, list[float]] = {}
-    out = []
-    for r in sorted(stats, key=lambda r: r["_pid"]):
-        g = tuple(r[c] for c in group)
-        acc = run.setdefault(g, [0] * (1 + len(sums)))
-        out.append((r["_pid"], *g, int(r["_first"]), int(acc[0]), *acc[1:]))
-        acc[0] += int(r["_n"])
-        for i, s in enumerate(sums):
-            acc[1 + i] += r[f"_s_{s}"] or 0
-    return out
 
 
 @dataclass
@@ -66,8 +51,8 @@ def running_totals(df: DataFrame, order: list[Column], group: list[str] | None =
     """Exact global row number (and running sums of ``sums``) in ``order`` within ``group``.
 
     ``order`` must be a total order (end it with a unique id) for a deterministic result.
-    ``group`` must be low-cardinality (segments, features): the offset table has at most
-    ``partitions + groups`` rows. Running sums are inclusive and named ``cum_<col>``.
+    ``group`` is of low cardinality (segments, features): the offset table has at most
+    ``partitions + groups`` rows, and one total per group comes back to the caller. Running sums are inclusive and named ``cum_<col>``.
     """
     group, sums = list(group or []), list(sums or [])
     spark = df.sparkSession
@@ -80,33 +65,23 @@ def running_totals(df: DataFrame, order: list[Column], group: list[str] | None =
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(LOW33))))
     ranged = durable(ranged)
-    stats = (ranged.groupBy("_pid", *group)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"),
-                  *[F.sum(F.col(s)).alias(f"_s_{s}") for s in sums])
-             .limit(MAX_OFFSET_ROWS + 1)  # bounded collect, even if misused with a high-cardinality group
-             .collect())
-    if len(stats) > MAX_OFFSET_ROWS:
-        raise ValueError("ranking group is not low-cardinality; use a partitioned window instead")
-    offs = _offsets(stats, group, sums)
-    counts: dict[tuple, int] = {}
-    for r in stats:
-        g = tuple(r[c] for c in group)
-        counts[g] = counts.get(g, 0) + int(r["_n"])
+    # one row per (partition, group): where the group starts in the partition and what came before it
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = durable(ranged.groupBy("_pid", *group)
+                    .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"),
+                         *[F.coalesce(F.sum(F.col(s)), F.lit(0)).alias(f"_s_{s}") for s in sums]))
+    counts = {tuple(r[c] for c in group): int(r["_n"])
+              for r in stats.groupBy(*group).agg(F.sum("_n").alias("_n")).collect() if r["_n"] is not None}
+    before = lambda c, kind: F.coalesce(F.sum(c).over(earlier), F.lit(0)).cast(kind)
     types = dict(df.dtypes)
-    integral = {s: types[s] in ("tinyint", "smallint", "int", "bigint") for s in sums}
-    schema = ", ".join(["_pid int"] + [f"`{g}` {types[g]}" for g in group]
-                       + ["_first bigint", "_off bigint"]
-                       + [f"_off_{s} {'bigint' if integral[s] else 'double'}" for s in sums])
-    width = 3 + len(group)
-    off_df = spark.createDataFrame(
-        [tuple(x if i < width else (int(x) if integral[sums[i - width]] else float(x)) for i, x in enumerate(o))
-         for o in offs], schema)
-    # join on partition id and (null-safe) group values
-    o = off_df.withColumnsRenamed({"_pid": "_o_pid", **{g: f"_o_{g}" for g in group}})
+    kind_of = {s: "bigint" if types[s] in ("tinyint", "smallint", "int", "bigint") else "double" for s in sums}
+    o = stats.select(F.col("_pid").alias("_o_pid"), *[F.col(g).alias(f"_o_{g}") for g in group], "_first",
+                     before("_n", "bigint").alias("_off"),
+                     *[before(f"_s_{s}", kind_of[s]).alias(f"_off_{s}") for s in sums])
     cond = F.col("_pid") == F.col("_o_pid")
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    j = ranged.join(F.broadcast(o), cond, "inner")
+    j = ranged.join(o, cond, "inner")
     rank = F.col("_off") + (F.col("_pos") - F.col("_first")) + F.lit(1)
     out = j.withColumn(rank_col, rank)
     if sums:
