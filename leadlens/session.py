@@ -86,11 +86,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/leadlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme (local mode only)."""
-    return p[5:] if p.startswith("file:") else p
-
-
 def hadoop_fs(spark: SparkSession, path: str):
     """Hadoop FileSystem handle for ``path`` (works for local, HDFS and object stores)."""
     jvm = spark.sparkContext._jvm
@@ -99,4 +94,4 @@ def hadoop_fs(spark: SparkSession, path: str):
 
 
 __all__ = ["build_session", "ensure_session", "ensure_checkpoint_dir", "durable", "scratch_path",
-           "hadoop_fs", "local_path"]
+           "hadoop_fs"]

@@ -79,17 +79,18 @@ def _partition_dates(spark: SparkSession, path: str) -> list[tuple[dt.date, obje
 
 def append_snapshot(spark: SparkSession, leads: DataFrame, path: str, today: dt.date, now: dt.datetime,
                     lookback_months: int = config.LOOKBACK_MONTHS) -> None:
-    """Physical append: delete today's and expired partitions, then append today's snapshot.
-
-    Deleting first (instead of relying on dynamic overwrite) also clears today's partition
-    when the lead table is empty.
+    """Physical append: today's snapshot replaces today's partition in one dynamic overwrite, so a write that fails
+    leaves the old one; then expired partitions go, and today's if there were no leads to replace it with.
     """
     floor = retention_floor(today, lookback_months)
     fs, _ = hadoop_fs(spark, path)
+    today_rows = snapshot_frame(leads, today, now)
+    (today_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("execution_date").parquet(path))
+    empty = today_rows.limit(1).count() == 0
     for d, p in _partition_dates(spark, path):
-        if d == today or d < floor:
+        if d < floor or (d == today and empty):
             fs.delete(p, True)
-    snapshot_frame(leads, today, now).write.mode("append").partitionBy("execution_date").parquet(path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
