@@ -26,7 +26,8 @@ def data_fingerprint(df: DataFrame, key: str = "ld_mcs_id", y: str = config.TARG
     """``(n_rows, data_hash)``: order-insensitive and multiset-safe content hash of
     ``key|y`` lines — the sum of per-line hashes (partial-aggregated), then SHA-256 of
     ``count:sum``. Changes only when rows or labels change."""
-    line = F.concat_ws("|", F.col(key).cast("string"), F.col(y).cast("string"))
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~"))  # noqa: E731 — NULL has a mark of its own
+    line = F.concat(part(key), F.lit("|"), part(y))
     agg = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(row_hash(line)), F.lit(0).cast("decimal(38,0)")).alias("_s"))
     return agg.select("n_rows", F.sha2(F.concat(F.col("n_rows").cast("string"), F.lit(":"), F.col("_s").cast("string")), 256).alias("data_hash"))
 
@@ -58,10 +59,11 @@ def promotion_gate(candidates: DataFrame, live: DataFrame, metric: str = config.
     has_live = live_c.isNotNull() & ~F.isnan(live_c)
     ok = cand >= live_c - F.lit(max_regression)
     code = (F.when(~sane, "below_min").when(~has_live, "bootstrap").when(ok, "no_regression").otherwise("regression"))
-    text = (F.when(~sane, F.concat(F.lit(f"candidate {metric}="), _fmt(cand), F.lit(f" < min {min_abs} (no better than random)")))
-            .when(~has_live, F.concat(F.lit(f"no live model yet — bootstrap promote (candidate {metric}="), _fmt(cand), F.lit(")")))
-            .when(ok, F.concat(F.lit(f"candidate {metric}="), _fmt(cand), F.lit(" >= live "), _fmt(live_c), F.lit(f" - {max_regression} (ok)")))
-            .otherwise(F.concat(F.lit(f"REGRESSION: candidate {metric}="), _fmt(cand), F.lit(" < live "), _fmt(live_c), F.lit(f" - {max_regression}"))))
+    new = F.concat(F.lit(f"{metric} "), F.coalesce(_fmt(cand), F.lit("missing")))
+    against = F.concat(new, F.lit(" against "), F.coalesce(_fmt(live_c), F.lit("none")), F.lit(f" live, tolerance {max_regression}"))
+    text = (F.when(~sane, F.concat(new, F.lit(f" does not reach {min_abs}")))
+            .when(~has_live, F.concat(new, F.lit(", first live model of the segment")))
+            .when(ok, F.concat(against, F.lit(": within"))).otherwise(F.concat(against, F.lit(": beyond"))))
     promoted = sane & (~has_live | ok)
     return j.select("segment", promoted.alias("promoted"), code.alias("reason_code"), text.alias("reason"),
                     cand.alias("candidate"), F.when(has_live, live_c).otherwise(F.lit(-1.0)).alias("live"))
@@ -75,13 +77,18 @@ def latest_per_segment(registry: DataFrame, stage: str) -> DataFrame:
 
 
 def promote(registry: DataFrame, decisions: DataFrame, now: dt.datetime) -> DataFrame:
-    """Registry after promotion: a new ``live`` row for every promoted segment, pointing at
+    """The rows that a promotion appends: a new ``live`` row for every promoted segment, pointing at
     that segment's newest candidate bundle."""
     cand = latest_per_segment(registry, "candidate")
     chosen = cand.join(decisions.filter(F.col("promoted")).select("segment"), "segment", "left_semi")
-    live_rows = chosen.select("segment", F.lit("live").alias("stage"), "version", "path", "metric", "metric_value",
-                              F.lit(now).cast("timestamp").alias("created_at"), "meta")
-    return registry.unionByName(live_rows)
+    return chosen.select("segment", F.lit("live").alias("stage"), "version", "path", "metric", "metric_value",
+                         F.lit(now).cast("timestamp").alias("created_at"), "meta")
+
+
+def live_metric(registry: DataFrame, metric: str = config.PROMOTION["metric"]) -> DataFrame:
+    """``(segment, metric_value)`` of the live rows; a row recorded under another metric has none."""
+    live = latest_per_segment(registry, "live")
+    return live.select("segment", F.when(F.col("metric") == F.lit(metric), F.col("metric_value")).alias("metric_value"))
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
@@ -112,7 +119,7 @@ def load_live_models(spark: SparkSession, registry: DataFrame, segments=config.S
             bundles[seg] = ModelBundle.load(spark, r["path"])
             versions[seg] = r["version"]
         except Exception as e:  # noqa: BLE001 — one bad segment must not take down the others
-            print(f"WARNING: could not load {seg} model from {r['path']}: {e}")
+            print(f"segment {seg}: bundle {r['path']} is unreadable and left out ({e})")
     return bundles, versions
 
 

@@ -26,13 +26,21 @@ from .training_run import train_segments
 
 QUERY_BUDGET = M.TrainBudget(n_iter=2, n_folds=4, search_rounds=5, max_rounds=20, n_seeds=2, seed=42, parallelism=4)
 _RUNS: dict = {}
+RUN_TIME, OPERATOR_TIME = dt.datetime(2024, 1, 31), dt.datetime(2024, 1, 31, 12)
+
+
+def operator_registry(spark, res):
+    """The run's registry after an operator has made the newest candidates live, whatever the gate decided."""
+    reg = RG.read_registry(spark, res.registry_path)
+    return reg.unionByName(RG.manual_promote(reg, OPERATOR_TIME))
 
 
 def trained(spark, sf_dir):
     key = (id(spark), sf_dir)
     if key not in _RUNS:
         root = scratch_path(spark, "models")
-        res = train_segments(spark, loaded_table(spark, sf_dir), f"{root}/bundles", f"{root}/registry", QUERY_BUDGET)
+        res = train_segments(spark, loaded_table(spark, sf_dir), f"{root}/bundles", f"{root}/registry", QUERY_BUDGET,
+                             now=RUN_TIME)
         _RUNS[key] = res
     return _RUNS[key]
 
@@ -43,27 +51,28 @@ def loaded_table(spark, sf_dir):
 
 
 SPLIT_SQL = """
-keys AS (SELECT DISTINCT ld_mcs_id, y FROM loaded)""", """
+keys AS (SELECT ld_mcs_id, max(y) AS y FROM loaded GROUP BY ld_mcs_id)""", """
 ranked_keys AS (
   SELECT *, row_number() OVER (PARTITION BY y ORDER BY sha256('{seed}:' || ld_mcs_id), ld_mcs_id) AS r,
          COUNT(*) OVER (PARTITION BY y) AS n FROM keys
 )"""
 
 
-@register("stratified_split", psql("""SELECT ld_mcs_id, y, CASE WHEN r <= n - held THEN 'train'
+@register("stratified_split", psql("""SELECT l.ld_mcs_id, l.y, CASE WHEN r <= n - held THEN 'train'
   WHEN r <= n - CAST(ceil(CAST(2 AS DOUBLE) / 3 * held) AS BIGINT) THEN 'eval' ELSE 'test' END AS split
-FROM (SELECT *, CAST(ceil(CAST(0.3 AS DOUBLE) * n) AS BIGINT) AS held FROM ranked_keys)""",
+FROM loaded l JOIN (SELECT *, CAST(ceil(CAST(0.3 AS DOUBLE) * n) AS BIGINT) AS held FROM ranked_keys) k
+  ON k.ld_mcs_id = l.ld_mcs_id""",
       SPLIT_SQL[0], SPLIT_SQL[1].format(seed=0)))
 def q_stratified_split(spark, sf_dir):
     """Seeded 70/10/20 split of leads, exact per-class shares (seed 0)."""
-    return stratified_split(loaded(spark, sf_dir), 0).select("ld_mcs_id", config.TARGET, "split").distinct()
+    return stratified_split(loaded(spark, sf_dir), 0).select("ld_mcs_id", config.TARGET, "split")
 
 
-@register("stratified_kfold", psql("SELECT ld_mcs_id, y, CAST((r - 1) % 4 AS INTEGER) AS fold FROM ranked_keys",
+@register("stratified_kfold", psql("SELECT l.ld_mcs_id, l.y, CAST((r - 1) % 4 AS INTEGER) AS fold FROM loaded l JOIN ranked_keys k ON k.ld_mcs_id = l.ld_mcs_id",
                                    SPLIT_SQL[0], SPLIT_SQL[1].format(seed=1_000_003)))
 def q_stratified_kfold(spark, sf_dir):
     """Four seeded, class-balanced folds of leads (seed 0)."""
-    return stratified_folds(loaded(spark, sf_dir), 0, 4).select("ld_mcs_id", config.TARGET, "fold").distinct()
+    return stratified_folds(loaded(spark, sf_dir), 0, 4).select("ld_mcs_id", config.TARGET, "fold")
 
 
 def _main(spark, sf_dir):
@@ -140,10 +149,7 @@ def q_promote_live(spark, sf_dir):
 def q_src_live_models(spark, sf_dir):
     """Live bundle per segment loaded from the registry (a failing segment is skipped)."""
     res = trained(spark, sf_dir)
-    reg = RG.read_registry(spark, res.registry_path)
-    if RG.latest_per_segment(reg, "live").count() == 0:  # nothing passed the gate: operator promotion
-        reg = reg.unionByName(RG.manual_promote(reg, dt.datetime(2024, 1, 31, 12)))
-    bundles, versions = RG.load_live_models(spark, reg)
+    bundles, versions = RG.load_live_models(spark, operator_registry(spark, res))
     rows = [(seg, versions[seg], len(b.spec.features), sum(b.vocab.sizes.values())) for seg, b in bundles.items()]
     return spark.createDataFrame(rows, "segment string, version string, n_features int, n_slots int")
 
@@ -152,14 +158,12 @@ def q_src_live_models(spark, sf_dir):
 def q_score_batch(spark, sf_dir):
     """Score every lead of the training table with its routed segment's live model."""
     res = trained(spark, sf_dir)
-    bundles, _ = RG.load_live_models(spark, RG.read_registry(spark, res.registry_path))
-    if not bundles:
-        bundles = res.candidates
+    bundles, _ = RG.load_live_models(spark, operator_registry(spark, res))
     return M.score_batch(loaded(spark, sf_dir), bundles, ["ld_mcs_id"])
 
 
 FP_SQL = """SELECT COUNT(*) AS n_rows, sha256(CAST(COUNT(*) AS VARCHAR) || ':' || CAST(COALESCE(SUM(
-  CAST(('0x' || substr(sha256(ld_mcs_id || '|' || CAST(y AS VARCHAR)), 1, 15)) AS BIGINT)), 0) AS VARCHAR)) AS data_hash
+  CAST(('0x' || substr(sha256(COALESCE('=' || ld_mcs_id, '~') || '|' || COALESCE('=' || CAST(y AS VARCHAR), '~')), 1, 15)) AS BIGINT)), 0) AS VARCHAR)) AS data_hash
 FROM loaded"""
 
 

@@ -13,7 +13,7 @@ from .. import config
 from ..operators import registry as RG
 from ..session import scratch_path
 from ..streaming.scoring import LiveModels, score_stream
-from .cat_model import trained
+from .cat_model import operator_registry, trained
 from .cat_prepare import loaded
 from .catalogue import register
 
@@ -22,14 +22,10 @@ PAYLOAD_COLS = ["ld_mcs_id", "user_pseudo_id", "product_id", "page_name", "page_
                 "user_province", "user_studies"]
 
 
-def _stream_registry(spark, source_registry: str, root: str) -> str:
-    """Copy of the run's registry where an operator has made the newest candidates live
-    (the gate may have kept no live model after a small search)."""
+def _stream_registry(spark, res, root: str) -> str:
+    """Copy of the run's registry in which an operator has made the newest candidates live."""
     reg_path = f"{root}/registry"
-    reg = RG.read_registry(spark, source_registry)
-    reg.write.mode("overwrite").parquet(reg_path)
-    if RG.latest_per_segment(reg, "live").count() < reg.select("segment").distinct().count():
-        RG.append_registry(spark, RG.manual_promote(reg, dt.datetime(2024, 1, 31, 12)), reg_path)
+    operator_registry(spark, res).write.mode("overwrite").parquet(reg_path)
     return reg_path
 
 
@@ -42,10 +38,10 @@ def q_score_stream(spark, sf_dir):
     """Stream the lead payloads through the same derive → encode → model path as batch scoring."""
     res = trained(spark, sf_dir)
     root = scratch_path(spark, "stream")
-    reg_path = _stream_registry(spark, res.registry_path, root)
+    reg_path = _stream_registry(spark, res, root)
     payload = _payloads(spark, sf_dir)
     payload.repartition(2).write.mode("overwrite").parquet(f"{root}/source")
-    live = LiveModels(spark, reg_path, reload_interval_s=0)
+    live = LiveModels(spark, reg_path, reload_interval_s=1e-6)
     out = score_stream(spark, f"{root}/source", payload.schema, f"{root}/sink", f"{root}/checkpoint", live,
                        ["ld_mcs_id"], max_files_per_trigger=1)
     return out.select("ld_mcs_id", config.SEGMENT_COL, "score", "grade", "model_segment", "model_version")
@@ -56,9 +52,9 @@ def q_model_hot_swap(spark, sf_dir):
     """A live-version bump between two arrivals: later batches are scored by the new version."""
     res = trained(spark, sf_dir)
     root = scratch_path(spark, "hotswap")
-    reg_path = _stream_registry(spark, res.registry_path, root)
+    reg_path = _stream_registry(spark, res, root)
     payload = _payloads(spark, sf_dir)
-    live = LiveModels(spark, reg_path, reload_interval_s=0)
+    live = LiveModels(spark, reg_path, reload_interval_s=1e-6)
     payload.write.mode("overwrite").parquet(f"{root}/source/part=1")
     src = f"{root}/source"
     schema = payload.schema

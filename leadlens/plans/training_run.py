@@ -7,18 +7,17 @@ gate vs live → promote.
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import config
 from ..operators import model as M
 from ..operators import prepare as P
 from ..operators import registry as RG
+from ..session import durable
 
 
 @dataclass
@@ -34,7 +33,7 @@ def train_segments(spark: SparkSession, table: DataFrame, models_root: str, regi
                    budget: M.TrainBudget, segments=config.SEGMENTS, now: dt.datetime | None = None,
                    table_ref: str = "model_train", data_version: str = "",
                    daily_volume: float = config.DAILY_VOLUME, parallel_segments: int = 2) -> RunResult:
-    now = now or dt.datetime(2024, 1, 31)
+    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     df = P.load_training_frame(table).persist()
     prov = RG.provenance_record(df, table_ref, data_version).collect()[0].asDict()
     stats = {r[config.SEGMENT_COL]: r.asDict() for r in P.segment_stats(df, daily_volume).collect()}
@@ -76,15 +75,9 @@ def train_segments(spark: SparkSession, table: DataFrame, models_root: str, regi
     cand_df = spark.createDataFrame(cand_rows, RG.REGISTRY_SCHEMA)
     RG.append_registry(spark, cand_df, registry_path)
     registry = RG.read_registry(spark, registry_path)
-    live = RG.latest_per_segment(registry, "live").select("segment", "metric_value")
-    decisions = RG.promotion_gate(cand_df.select("segment", "metric_value"), live).persist()
-    promoted = RG.promote(registry, decisions, now + dt.timedelta(seconds=1))
-    new_live = promoted.filter(F.col("created_at") == F.lit(now + dt.timedelta(seconds=1)).cast("timestamp"))
-    RG.append_registry(spark, new_live, registry_path)
+    decisions = durable(RG.promotion_gate(cand_df.select("segment", "metric_value"), RG.live_metric(registry)))
+    # written from a frame that no longer reads the folder it is appended to
+    RG.append_registry(spark, durable(RG.promote(registry, decisions, now + dt.timedelta(seconds=1))), registry_path)
     df.unpersist()
     return RunResult(registry_path, models_root, decisions, candidates, reports)
 
-
-def meta_rows(spark: SparkSession, bundles: dict) -> DataFrame:
-    rows = [(seg, json.dumps(b.meta, default=str)) for seg, b in bundles.items()]
-    return spark.createDataFrame(rows, "segment string, meta string")

@@ -1,14 +1,16 @@
 """Score arriving leads as a stream, hot-swapping models when the registry changes.
 
 ``readStream`` over a folder of lead payload files → ``foreachBatch``: at most once per
-``reload_interval_s`` the live registry is re-read; segments whose live version changed are
-reloaded (a failing segment keeps its previous model). Each batch is scored with
+``reload_interval_s`` (0 or less: never after the first load) the live registry is re-read; segments
+whose live version changed are reloaded (a failing segment keeps its previous model). The versions of
+a batch are stored by its id before it is scored and hold for its replays. Each batch is scored with
 ``score_batch`` — the exact batch path — and written with the model version used into a
 per-batch folder (``batch_id=N``, overwritten on replay, so a retried batch is idempotent);
 stream output equals batch output for the same models.
 """
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,9 @@ from pyspark.sql import types as T
 from .. import config
 from ..operators import model as M
 from ..operators import registry as RG
+from ..session import hadoop_fs
+
+VERSIONS = "segment string, version string, path string"
 
 
 class LiveModels:
@@ -29,11 +34,13 @@ class LiveModels:
         self.interval = reload_interval_s
         self.bundles: dict[str, M.ModelBundle] = {}
         self.versions: dict[str, str] = {}
+        self.paths: dict[str, str] = {}
+        self._loaded: dict[str, M.ModelBundle] = {}
         self._last = float("-inf")
 
     def maybe_reload(self, force: bool = False) -> list[str]:
         now = time.monotonic()
-        if not force and (self.interval is None or self.interval < 0 or now - self._last < self.interval):
+        if not force and (not self.interval or self.interval <= 0 or now - self._last < self.interval):
             return []
         self._last = now
         reg = RG.read_registry(self.spark, self.registry_path)
@@ -43,13 +50,37 @@ class LiveModels:
             if self.versions.get(seg) == r["version"]:
                 continue
             try:
-                self.bundles[seg] = M.ModelBundle.load(self.spark, r["path"])
-                self.versions[seg] = r["version"]
+                self.bundles[seg] = self._bundle(r["path"])
+                self.versions[seg], self.paths[seg] = r["version"], r["path"]
                 changed.append(seg)
             except Exception as e:  # noqa: BLE001 — keep serving the previous model
-                print(f"WARNING: could not load {seg} model from {r['path']}: {e}")
+                print(f"segment {seg}: bundle {r['path']} is unreadable, the one in use stays ({e})")
         return changed
 
+    def _bundle(self, path: str) -> M.ModelBundle:
+        """A bundle by its path; bundles are written once, so those in use need no second load."""
+        if path not in self._loaded:
+            keep = set(self.paths.values())
+            self._loaded = {p: b for p, b in self._loaded.items() if p in keep}
+            self._loaded[path] = M.ModelBundle.load(self.spark, path)
+        return self._loaded[path]
+
+    def for_batch(self, marker: str) -> tuple[dict[str, M.ModelBundle], dict[str, str]]:
+        """Bundles and versions of one micro-batch. The first try stores what is live in ``marker``; a replay reads
+        it and scores with the same models, whatever has been promoted since."""
+        fs, p = hadoop_fs(self.spark, marker)
+        if fs.exists(p):
+            rows = self.spark.read.schema(VERSIONS).json(marker).collect()
+            return {r["segment"]: self._bundle(r["path"]) for r in rows}, {r["segment"]: r["version"] for r in rows}
+        self.maybe_reload()
+        if not self.bundles:
+            self.maybe_reload(force=True)
+        rows = [(s, v, self.paths[s]) for s, v in sorted(self.versions.items())]
+        out = fs.create(p, False)
+        out.write(bytearray("\n".join(json.dumps(dict(zip(("segment", "version", "path"), r))) for r in rows), "utf-8"))
+        out.close()
+        return dict(self.bundles), dict(self.versions)
+
 
 def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str, checkpoint_dir: str,
                  live: LiveModels, keep: list[str], max_files_per_trigger: int | None = None,
@@ -62,11 +93,9 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sin
     stream = reader.parquet(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        live.maybe_reload()
-        if not live.bundles:
-            live.maybe_reload(force=True)
-        scored = M.score_batch(batch, live.bundles, keep)
-        ver = F.create_map(*[x for s, v in live.versions.items() for x in (F.lit(s), F.lit(v))]) if live.versions else None
+        bundles, versions = live.for_batch(f"{sink_dir}/_versions/batch_id={batch_id}.json")
+        scored = M.score_batch(batch, bundles, keep)
+        ver = F.create_map(*[x for s, v in versions.items() for x in (F.lit(s), F.lit(v))]) if versions else None
         out = scored.withColumn(
             "model_version", F.try_element_at(ver, F.col("model_segment")) if ver is not None else F.lit(None).cast("string"))
         # one folder per micro-batch, overwritten on replay: a retried batch never duplicates rows

@@ -22,7 +22,7 @@ TINY = M.TrainBudget(n_iter=1, n_folds=2, search_rounds=2, max_rounds=5, n_seeds
 def run(spark):
     root = tempfile.mkdtemp(prefix="models-", dir="/tmp")
     table = dag(spark, SF_MID).table
-    res = train_segments(spark, table, f"{root}/bundles", f"{root}/registry", TINY)
+    res = train_segments(spark, table, f"{root}/bundles", f"{root}/registry", TINY, now=dt.datetime(2024, 1, 31))
     return root, table, res
 
 
@@ -59,7 +59,7 @@ def test_stream_equals_batch_and_hot_swap(spark, run):
     RG.append_registry(spark, RG.manual_promote(reg, dt.datetime(2024, 1, 31, 12)), reg_path)
     payload = P.load_training_frame(table).drop(config.TARGET, config.SEGMENT_COL, "page_path", "utm_campaign")
     payload.write.mode("overwrite").parquet(f"{root}/src/part=1")
-    live = LiveModels(spark, reg_path, reload_interval_s=0)
+    live = LiveModels(spark, reg_path, reload_interval_s=1e-6)
     out = score_stream(spark, f"{root}/src", payload.schema, f"{root}/sink", f"{root}/ckpt", live, ["ld_mcs_id"])
     bundles, _ = RG.load_live_models(spark, RG.read_registry(spark, reg_path))
     batch = M.score_batch(payload, bundles, ["ld_mcs_id"])
@@ -74,6 +74,45 @@ def test_stream_equals_batch_and_hot_swap(spark, run):
     assert out2.filter(F.col("batch_id") == 0).count() == payload.count()
 
 
+def test_replayed_batch_keeps_its_models(spark, run):
+    root, table, res = run
+    reg_path = f"{root}/replay_registry"
+    reg = RG.read_registry(spark, res.registry_path)
+    reg.unionByName(RG.manual_promote(reg, dt.datetime(2024, 1, 31, 12))).write.parquet(reg_path)
+    live = LiveModels(spark, reg_path, reload_interval_s=1e-6)
+    _, first = live.for_batch(f"{root}/replay/_versions/batch_id=0.json")
+    RG.append_registry(spark, RG.manual_promote(RG.read_registry(spark, reg_path), dt.datetime(2024, 2, 1), "-v2"), reg_path)
+    later = LiveModels(spark, reg_path, reload_interval_s=1e-6)  # as after a restart
+    _, replay = later.for_batch(f"{root}/replay/_versions/batch_id=0.json")
+    _, second = later.for_batch(f"{root}/replay/_versions/batch_id=1.json")
+    assert replay == first and all(v.endswith("-v2") for v in second.values())
+
+
+def test_interval_of_zero_never_reloads(spark, run):
+    _, _, res = run
+    off = LiveModels(spark, res.registry_path, reload_interval_s=0)
+    assert off.maybe_reload() == [] and off.maybe_reload() == []
+
+
+def test_second_run_appends_only_its_own_live_rows(spark, run):
+    from leadlens.operators.registry import live_metric, promote
+    when = lambda d: dt.datetime(2024, 1, d)
+    rows = [("main", "candidate", "c1", "p1", "lift_A", 1.2, when(1), "{}"), ("main", "live", "c1", "p1", "lift_A", 1.2, when(2), "{}"),
+            ("main", "candidate", "c2", "p2", "lift_A", 1.3, when(3), "{}"), ("landing", "live", "x", "p", "other", 9.0, when(2), "{}")]
+    reg = spark.createDataFrame(rows, RG.REGISTRY_SCHEMA)
+    decisions = spark.createDataFrame([("main", True)], "segment string, promoted boolean")
+    new = promote(reg, decisions, when(2)).collect()  # the same clock as the old row
+    assert [(r.segment, r.stage, r.version) for r in new] == [("main", "live", "c2")]
+    assert {r.segment: r.metric_value for r in live_metric(reg).collect()} == {"main": 1.2, "landing": None}
+
+
+def test_evaluation_does_not_depend_on_partitions(spark):
+    rows = [(f"L{i}", int(i % 7 == 0), float(i % 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "ld_mcs_id string, y int, score double")
+    a, b = M.evaluate_scores(df.repartition(1)), M.evaluate_scores(df.repartition(11))
+    assert a == b
+
+
 def test_failing_live_segment_does_not_stop_others(spark, run):
     _, _, res = run
     reg = RG.read_registry(spark, res.registry_path)
