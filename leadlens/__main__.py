@@ -45,7 +45,7 @@ def cmd_build(spark, a) -> None:
     from .sources.leads import read_history
     from .sources.sinks import write_table
     p = config.RunParams(execution_date=a.execution_date or dt.datetime.now(dt.timezone.utc).date(),
-                         maturity_days=a.maturity_days)
+                         maturity_days=a.maturity_days, strict_params=not a.first_param, upper_bound=a.upper_bound)
     d = build_training_dag(read_event_shards(spark, a.shards), read_history(spark, a.history), p)
     write_table(d.table, a.out)
 
@@ -95,6 +95,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--execution-date", type=_date)
     s.add_argument("--maturity-days", type=int, default=config.MATURITY_DAYS)
+    s.add_argument("--first-param", action="store_true", help="take the first of a repeated event parameter, not an error")
+    s.add_argument("--upper-bound", action="store_true", help="read no shard after the execution date")
     s = sub.add_parser("train", help="train, evaluate, register and gate one model per segment")
     s.add_argument("--table", required=True)
     s.add_argument("--root", required=True)

@@ -134,7 +134,9 @@ class RunParams:
     ``execution_date`` drives the two-year look-back and the as-of snapshot choice;
     ``today``/``now`` stamp the snapshot history (passed in; when unset, the execution date and
     its midnight are used); ``execution_date`` defaults to the current UTC date;
-    ``maturity_days`` is the label-maturity window (30 in production).
+    ``maturity_days`` is the label-maturity window (30 in production); ``strict_params`` makes a
+    repeated event parameter an error, as the warehouse does, instead of taking the first;
+    ``upper_bound`` keeps shards after the execution date out, for reproducible back-fills.
     """
 
     execution_date: _dt.date = field(default_factory=lambda: _dt.datetime.now(_dt.timezone.utc).date())
@@ -142,7 +144,8 @@ class RunParams:
     now: _dt.datetime | None = None
     maturity_days: int = MATURITY_DAYS
     lookback_months: int = LOOKBACK_MONTHS
-    strict_params: bool = False
+    strict_params: bool = True
+    upper_bound: bool = False
     materialize: bool = True
 
     @property

@@ -2,8 +2,8 @@
 
 ``array<struct<key string, value struct<string_value string, int_value bigint>>>``:
 one typed value per key, NULL when the key is absent or the typed slot is empty.
-A key that appears more than once is an error in strict mode (the warehouse raises on
-a scalar subquery returning several rows); otherwise the first occurrence wins.
+A key that appears more than once is an error, as it is in the warehouse (a scalar subquery that
+returns several rows); only with ``strict=False`` the first occurrence wins.
 
 No lambda is involved: the key array is projected out of the structs (``arr.key``), the
 first match is found with ``array_position`` and read with ``get`` (NULL when absent), so
@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def param_value(arr: Column | str, key: str, slot: str, strict: bool = False) -> Column:
+def param_value(arr: Column | str, key: str, slot: str, strict: bool = True) -> Column:
     arr = F.col(arr) if isinstance(arr, str) else arr
     keys = arr.getField("key")
     pos = F.array_position(keys, F.lit(key))  # 1-based; 0 when absent
@@ -26,6 +26,6 @@ def param_value(arr: Column | str, key: str, slot: str, strict: bool = False) ->
     return F.when(matches > 1, F.raise_error(F.lit(f"more than one value for parameter '{key}'"))).otherwise(value)
 
 
-def extract_params(arr: Column | str, keys: list[tuple[str, str, str]], strict: bool = False) -> list[Column]:
+def extract_params(arr: Column | str, keys: list[tuple[str, str, str]], strict: bool = True) -> list[Column]:
     """One aliased column per ``(output, key, slot)``."""
     return [param_value(arr, key, slot, strict).alias(out) for out, key, slot in keys]

@@ -36,7 +36,7 @@ PURCHASE_COLUMNS = [
 LEAD_WINDOW_COLUMNS = ["ld_timestamp", "lead_day", "lead_month", "lead_year", "ld_mcs_id", config.RAW_TARGET]
 
 
-def event_projection(base: DataFrame, strict: bool = False) -> DataFrame:
+def event_projection(base: DataFrame, strict: bool = True) -> DataFrame:
     """Flatten one analytics event: typed parameters, geo parts, user property (no filter)."""
     return base.select(
         F.col("user_pseudo_id"),
@@ -49,7 +49,7 @@ def event_projection(base: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def purchase_events(base: DataFrame, strict: bool = False) -> DataFrame:
+def purchase_events(base: DataFrame, strict: bool = True) -> DataFrame:
     """Purchase events with their parameters extracted (filter first: it reaches the scan)."""
     return event_projection(base.filter(F.col("event_name") == "purchase"), strict)
 
@@ -215,7 +215,7 @@ def build_training_dag(shards: DataFrame, history: DataFrame, params: config.Run
     from ..sources.events import base_events
     from ..sources.leads import asof_snapshot
 
-    base = base_events(shards, params.execution_date, params.lookback_months)
+    base = base_events(shards, params.execution_date, params.lookback_months, params.upper_bound)
     purchases = purchase_events(base, params.strict_params)
     snap = asof_snapshot(history, params.execution_date)
     leads = lead_normalise(snap, params.execution_date, params.lookback_months)

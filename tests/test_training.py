@@ -2,6 +2,8 @@
 import datetime as dt
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from leadlens import config
@@ -40,6 +42,24 @@ def test_valid_leads_null_session_rule(spark):
     assert sorted(r[0] for r in T.valid_leads(df).collect()) == ["L1"]
 
 
+def test_repeated_parameter_is_an_error_by_default(spark):
+    """A run on shards where one purchase repeats a key and another fills ``lead_id``."""
+    from leadlens.operators.training import purchase_events
+    from pyspark.sql import functions as F
+    kv = lambda k, s, i: F.struct(F.lit(k).alias("key"), F.struct(F.lit(s).cast("string").alias("string_value"),
+                                                                 F.lit(i).cast("bigint").alias("int_value")).alias("value"))
+    base = spark.range(1).select(
+        F.lit("u").alias("user_pseudo_id"), F.lit(1).cast("bigint").alias("event_timestamp"), F.lit("purchase").alias("event_name"),
+        F.array(kv("lead_id", None, 7), kv("platform", "a", None)).alias("event_params"),
+        F.array(kv("user_studies", "s", None)).alias("user_properties"),
+        F.struct(F.lit("ES").alias("country"), F.lit("R").alias("region")).alias("geo"))
+    assert purchase_events(base).first()["lead_id"] == 7
+    twice = base.withColumn("event_params", F.array_append("event_params", kv("platform", "b", None)))
+    with pytest.raises(Exception, match="more than one value"):
+        purchase_events(twice).collect()
+    assert purchase_events(twice, strict=False).first()["platform"] == "a"
+
+
 def test_strict_param_lookup_raises_on_repeated_key(spark):
     import pytest
     from leadlens.functions.params import param_value
