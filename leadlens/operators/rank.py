@@ -10,7 +10,7 @@ Core primitive — exact global order statistics without a single-partition wind
 3. checkpoint into the shared folder, so both consumers below see identical rows even if
    executors are lost;
 4. per-(partition, group) counts/sums — at most ``partitions + groups`` rows — give each
-   partition its offset by a running sum over them, a frame that Spark joins as its size allows.
+   partition its offset by a running sum over them; they are broadcast (bounded by construction).
 
 Rank-only consumers stay JVM-side with no further shuffle; running sums add one
 hash-exchange of the (already aggregated) frame for the in-partition cumulative window.
@@ -67,21 +67,21 @@ def running_totals(df: DataFrame, order: list[Column], group: list[str] | None =
     ranged = durable(ranged)
     # one row per (partition, group): where the group starts in the partition and what came before it
     earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = durable(ranged.groupBy("_pid", *group)
-                    .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"),
-                         *[F.coalesce(F.sum(F.col(s)), F.lit(0)).alias(f"_s_{s}") for s in sums]))
-    counts = {tuple(r[c] for c in group): int(r["_n"])
-              for r in stats.groupBy(*group).agg(F.sum("_n").alias("_n")).collect() if r["_n"] is not None}
+    stats = (ranged.groupBy("_pid", *group)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"),
+                  *[F.coalesce(F.sum(F.col(s)), F.lit(0)).alias(f"_s_{s}") for s in sums]))
     before = lambda c, kind: F.coalesce(F.sum(c).over(earlier), F.lit(0)).cast(kind)
     types = dict(df.dtypes)
     kind_of = {s: "bigint" if types[s] in ("tinyint", "smallint", "int", "bigint") else "double" for s in sums}
-    o = stats.select(F.col("_pid").alias("_o_pid"), *[F.col(g).alias(f"_o_{g}") for g in group], "_first",
-                     before("_n", "bigint").alias("_off"),
-                     *[before(f"_s_{s}", kind_of[s]).alias(f"_off_{s}") for s in sums])
+    o = durable(stats.select(F.col("_pid").alias("_o_pid"), *[F.col(g).alias(f"_o_{g}") for g in group], "_first", "_n",
+                             before("_n", "bigint").alias("_off"),
+                             *[before(f"_s_{s}", kind_of[s]).alias(f"_off_{s}") for s in sums]))
+    totals = o.groupBy(*[F.col(f"_o_{g}").alias(g) for g in group]).agg(F.sum("_n").alias("_n")).collect()
+    counts = {tuple(r[c] for c in group): int(r["_n"]) for r in totals if r["_n"] is not None}
     cond = F.col("_pid") == F.col("_o_pid")
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    j = ranged.join(o, cond, "inner")
+    j = ranged.join(F.broadcast(o.drop("_n")), cond, "inner")  # at most partitions + groups rows
     rank = F.col("_off") + (F.col("_pos") - F.col("_first")) + F.lit(1)
     out = j.withColumn(rank_col, rank)
     if sums:

@@ -34,17 +34,17 @@ def _values(column: str) -> str:
 
 _COUNTERS = ", ".join(_counter(c) for c in config.BEHAVIOUR_ORDER)
 # Two groupings say it all: people (events of a user, as histogram, bounds and value lists) and stays (sessions).
-FEATURE_CTES = [O.FX_FLAT, f"""
+FEATURE_CTES = [O.FX_FLAT, "\nsrc AS (SELECT *, [item_a, item_b] AS item_ids FROM fx_flat)", f"""
 people AS (
   SELECT user_pseudo_id, COUNT(*) AS n_events, histogram(event_name) AS names, COUNT(DISTINCT ga_session_id) AS n_sessions,
     MIN(event_timestamp) AS first_visit_ts, {_values('campaign_ids')} AS campaigns, {_values('device_used')} AS devices,
     {_values('page_referrer')} AS referrers,
-    list_sort(list_distinct(list_transform(flatten(list([item_a, item_b])), lambda x: TRY_CAST(x AS BIGINT)))) AS products
-  FROM fx_flat GROUP BY user_pseudo_id
+    list_sort(list_distinct(list_transform(flatten(list(item_ids)), lambda x: TRY_CAST(x AS BIGINT)))) AS products
+  FROM src GROUP BY user_pseudo_id
 )""", """
 stays AS (
   SELECT user_pseudo_id, ga_session_id, (MAX(event_timestamp) - MIN(event_timestamp)) / 1000000 AS seconds
-  FROM fx_flat WHERE ga_session_id IS NOT NULL GROUP BY user_pseudo_id, ga_session_id
+  FROM src WHERE ga_session_id IS NOT NULL GROUP BY user_pseudo_id, ga_session_id
 )""", """
 visits AS (
   SELECT user_pseudo_id, COUNT(*) AS total_sessions, CAST(ROUND(AVG(seconds), 0) AS BIGINT) AS session_duration_avg,
@@ -80,7 +80,7 @@ def q_user_session_summary(spark, sf_dir):
     return FE.user_session_summary(_src(spark, sf_dir))
 
 
-@register("array_unnest_join", fsql("SELECT user_pseudo_id, unnest([item_a, item_b]) AS item_id FROM fx_flat"))
+@register("array_unnest_join", fsql("SELECT user_pseudo_id, unnest(item_ids) AS item_id FROM src"))
 def q_array_unnest_join(spark, sf_dir):
     """One row per element of each event's item-id array (empty/NULL arrays vanish)."""
     return FE.item_rows(_src(spark, sf_dir))
@@ -127,7 +127,7 @@ def q_behaviour_counters(spark, sf_dir):
     return b.withColumn("events_per_session", F.round("events_per_session", 6))
 
 
-_UF_COLUMNS = f"""SELECT p.user_pseudo_id, {_COUNTERS}, v.total_sessions, v.session_duration_avg, v.session_duration_max,
+UF_COLUMNS = f"""SELECT p.user_pseudo_id, {_COUNTERS}, v.total_sessions, v.session_duration_avg, v.session_duration_max,
   v.total_session_time, {_json('p.products', 'products')}, {_number('p.products', 'num_products')},
   {_json('p.campaigns', 'campaings')}, {_number('p.campaigns', 'num_campaigns', '-1')},
   {_json('p.devices', 'used_devices')}, {_number('p.devices', 'num_devices', '-1')},
@@ -135,7 +135,7 @@ _UF_COLUMNS = f"""SELECT p.user_pseudo_id, {_COUNTERS}, v.total_sessions, v.sess
   CASE WHEN p.user_pseudo_id IS NOT NULL THEN p.first_visit_ts END AS first_visit_ts
 FROM people p LEFT JOIN visits v ON v.user_pseudo_id = p.user_pseudo_id"""
 _UF_SELECT = f"""SELECT * REPLACE (ROUND(events_per_session, 6) AS events_per_session,
-  ROUND(session_duration_max, 6) AS session_duration_max) FROM ({_UF_COLUMNS})"""
+  ROUND(session_duration_max, 6) AS session_duration_max) FROM ({UF_COLUMNS})"""
 
 
 @register("user_features", fsql(_UF_SELECT))
@@ -148,7 +148,7 @@ def q_user_features(spark, sf_dir):
 
 @register("feature_left_joins", fsql(
     "SELECT user_pseudo_id, total_events, total_sessions, total_session_time, products, num_products, "
-    f"campaings, num_campaigns, first_visit_ts FROM ({_UF_COLUMNS})"))
+    f"campaings, num_campaigns, first_visit_ts FROM ({UF_COLUMNS})"))
 def q_feature_left_joins(spark, sf_dir):
     """The LEFT JOIN side of the feature build: the NULL user keeps its row, matches nothing."""
     uf = FE.user_features(_src(spark, sf_dir))

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 
 from leadlens.operators import features as FE
-from leadlens.plans.cat_features import FEATURE_CTES
+from leadlens.plans.cat_features import FEATURE_CTES, UF_COLUMNS
 import os, sys  # noqa: E401
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle_check import frame_digest  # noqa: E402
@@ -30,7 +30,7 @@ def _skewed(n=3000, seed=1):
     })
 
 
-def test_user_features_match_seven_view_sql_under_skew(spark):
+def test_user_features_match_sql_under_skew(spark):
     pdf = _skewed()
     schema = ("user_pseudo_id string, ga_session_id bigint, event_timestamp bigint, event_name string, "
               "item_ids array<string>, campaign_ids string, device_used string, page_referrer string")
@@ -40,7 +40,7 @@ def test_user_features_match_seven_view_sql_under_skew(spark):
     con.register("src_raw", pdf)
     con.sql("CREATE VIEW src AS SELECT user_pseudo_id, CAST(ga_session_id AS BIGINT) AS ga_session_id, "
             "event_timestamp, event_name, item_ids, campaign_ids, device_used, page_referrer FROM src_raw")
-    rel = con.sql("WITH " + ",\n".join(FEATURE_CTES[2:]) + "\nSELECT * FROM user_features")
+    rel = con.sql("WITH " + ",\n".join(FEATURE_CTES[2:]) + "\n" + UF_COLUMNS)
     srows = [tuple(r) for r in got.collect()]
     drows = rel.fetchall()
     assert sorted(got.columns) == sorted(rel.columns)

@@ -61,14 +61,13 @@ def test_repeated_parameter_is_an_error_by_default(spark):
 
 
 def test_strict_param_lookup_raises_on_repeated_key(spark):
-    import pytest
     from leadlens.functions.params import param_value
     df = spark.createDataFrame([([("k", ("a", None)), ("k", ("b", None))],)],
                                "p array<struct<key string, value struct<string_value string, int_value bigint>>>")
-    assert df.select(param_value("p", "k", "string_value")).collect()[0][0] == "a"
+    assert df.select(param_value("p", "k", "string_value", strict=False)).collect()[0][0] == "a"
     assert df.select(param_value("p", "absent", "string_value")).collect()[0][0] is None
     with pytest.raises(Exception):
-        df.select(param_value("p", "k", "string_value", strict=True)).collect()
+        df.select(param_value("p", "k", "string_value")).collect()
 
 
 def test_asof_choice_and_fallback(spark):
