@@ -12,7 +12,6 @@ from . import oracle as O
 from .cat_training import dag
 from .catalogue import register
 
-MAIN_FEATS = config.FEATURE_OVERRIDES["main"]
 LOADED_SQL = """SELECT ld_mcs_id, apd_es_matricula AS y, user_pseudo_id, product_id, page_name, page_location, platform,
   form_name, market_site, language_site, ga_session_id, ga_session_number, user_country, user_province, user_studies,
   CASE WHEN lower(trim(platform)) = 'landing' THEN 'landing' ELSE 'main' END AS segmento,
@@ -120,72 +119,94 @@ def q_split_types(spark, sf_dir):
     return _feature_rows(spark, sf_dir).select("segment", "feature", "kind")
 
 
-def _main(spark, sf_dir):
-    df = P.segment_frame(loaded(spark, sf_dir), config.MAIN)
-    feats = P.resolve_features(df.columns, override=MAIN_FEATS)
-    num, cat = P.split_types(df.schema, feats)
+def _segment(spark, sf_dir, segment: str):
+    """Rows of a segment with its numeric and categorical features."""
+    df = P.segment_frame(loaded(spark, sf_dir), segment)
+    num, cat = P.split_types(df.schema, P.resolve_features(df.columns, override=config.FEATURE_OVERRIDES[segment]))
     return df, num, cat
 
 
-PREP_SQL = """SELECT ld_mcs_id, y, CAST(ga_session_number AS DOUBLE) AS ga_session_number,
-  CAST(product_id AS VARCHAR) AS product_id, user_country, user_province, user_studies, form_name, page_name
-FROM loaded WHERE segmento = 'main'"""
+def _each_segment(build):
+    """``build(segment)`` of all segments, with the segment's name, as one frame."""
+    frames = [build(seg).withColumn("segment", F.lit(seg)) for seg in config.SEGMENTS]
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
-@register("prep_features", psql(PREP_SQL))
-def q_prep_features(spark, sf_dir):
-    """Main-segment model frame: numerics as double (NULL kept), categoricals as text."""
-    df, num, cat = _main(spark, sf_dir)
-    return P.prep_features(df, num, cat, keep=["ld_mcs_id", config.TARGET])
+NUMERIC = ["ga_session_number"]
+
+
+def _prep_sql() -> str:
+    parts = []
+    for seg, feats in config.FEATURE_OVERRIDES.items():
+        for f in feats:
+            value = f"CAST({f} AS DOUBLE) AS num, NULL::VARCHAR AS cat" if f in NUMERIC else f"NULL::DOUBLE AS num, CAST({f} AS VARCHAR) AS cat"
+            parts.append(f"SELECT '{seg}' AS segment, ld_mcs_id, y, '{f}' AS feature, {value} FROM loaded WHERE segmento = '{seg}'")
+    return " UNION ALL ".join(parts)
 
 
-@register("num_passthrough", psql("""SELECT ld_mcs_id, COALESCE(CAST(ga_session_number AS DOUBLE), -1.0e9) AS ga_session_number__val,
-  CAST(ga_session_number IS NULL AS DOUBLE) AS ga_session_number__missing FROM loaded WHERE segmento = 'main'"""))
+@register("prep_features", psql(_prep_sql()))
+def q_prep_features(spark, sf_dir):
+    """Model frame of each segment, one row per feature: numerics as double (NULL kept), categoricals as text."""
+    def build(seg):
+        df, num, cat = _segment(spark, sf_dir, seg)
+        wide = P.prep_features(df, num, cat, keep=["ld_mcs_id", config.TARGET])
+        cell = lambda f: F.struct(F.lit(f).alias("feature"), (F.col(f) if f in num else F.lit(None)).cast("double").alias("num"),
+                                  (F.col(f) if f in cat else F.lit(None)).cast("string").alias("cat"))
+        return wide.select("ld_mcs_id", config.TARGET, F.explode(F.array(*map(cell, num + cat))).alias("c")).select(
+            "ld_mcs_id", config.TARGET, "c.feature", "c.num", "c.cat")
+    return _each_segment(build)
+
+
+@register("num_passthrough", psql("""SELECT segmento AS segment, ld_mcs_id, COALESCE(CAST(ga_session_number AS DOUBLE), -1.0e9) AS ga_session_number__val,
+  CAST(ga_session_number IS NULL AS DOUBLE) AS ga_session_number__missing FROM loaded"""))
 def q_num_passthrough(spark, sf_dir):
-    """Numeric model columns: sentinel-filled value and 0/1 missing indicator."""
-    df, num, cat = _main(spark, sf_dir)
-    prepped = P.prep_features(df, num, cat, keep=["ld_mcs_id"])
-    return prepped.select("ld_mcs_id", *P.num_passthrough(prepped, num))
+    """Numeric model columns of each segment: sentinel-filled value and 0/1 missing indicator."""
+    def build(seg):
+        df, num, cat = _segment(spark, sf_dir, seg)
+        prepped = P.prep_features(df, num, cat, keep=["ld_mcs_id"])
+        return prepped.select("ld_mcs_id", *P.num_passthrough(prepped, num))
+    return _each_segment(build)
+
+
+_CAT = [f for f in config.FEATURE_OVERRIDES["main"] if f not in NUMERIC]
+
+
+def _levels_sql() -> str:
+    return " UNION ALL ".join(f"SELECT '{seg}' AS segment, '{f}' AS feature, COALESCE(CAST({f} AS VARCHAR), 'MISSING') AS level "
+                              f"FROM loaded WHERE segmento = '{seg}'"
+                              for seg, feats in config.FEATURE_OVERRIDES.items() for f in feats if f not in NUMERIC)
 
 
-_CAT = ["product_id", "user_country", "user_province", "user_studies", "form_name", "page_name"]
 VOCAB = f"""
-lv AS (
-  UNPIVOT (SELECT {', '.join(f"COALESCE(CAST({c} AS VARCHAR), 'MISSING') AS {c}" for c in _CAT)}
-           FROM loaded WHERE segmento = 'main')
-  ON {', '.join(_CAT)} INTO NAME feature VALUE level
-)""", """
-cnt AS (SELECT feature, level, COUNT(*) AS n FROM lv GROUP BY feature, level)""", """
+lv AS ({_levels_sql()})""", """
+cnt AS (SELECT segment, feature, level, COUNT(*) AS n FROM lv GROUP BY ALL)""", """
 voc AS (
-  SELECT feature, level, n, n >= 20 AS frequent,
-    SUM(CASE WHEN n >= 20 THEN 1 ELSE 0 END) OVER (PARTITION BY feature ORDER BY level ROWS UNBOUNDED PRECEDING) AS r,
-    SUM(CASE WHEN n >= 20 THEN 1 ELSE 0 END) OVER (PARTITION BY feature) AS nf,
-    SUM(CASE WHEN n < 20 THEN 1 ELSE 0 END) OVER (PARTITION BY feature) AS ni
+  SELECT segment, feature, level, n, n >= 20 AS frequent,
+    SUM(CASE WHEN n >= 20 THEN 1 ELSE 0 END) OVER (PARTITION BY segment, feature ORDER BY level ROWS UNBOUNDED PRECEDING) AS r,
+    SUM(CASE WHEN n >= 20 THEN 1 ELSE 0 END) OVER (PARTITION BY segment, feature) AS nf,
+    SUM(CASE WHEN n < 20 THEN 1 ELSE 0 END) OVER (PARTITION BY segment, feature) AS ni
   FROM cnt
 )""", """
 vocab AS (
-  SELECT feature, level, n, frequent, CAST(CASE WHEN frequent THEN r - 1 ELSE nf END AS INTEGER) AS slot,
+  SELECT segment, feature, level, n, frequent, CAST(CASE WHEN frequent THEN r - 1 ELSE nf END AS INTEGER) AS slot,
          CAST(nf + CASE WHEN ni > 0 THEN 1 ELSE 0 END AS INTEGER) AS n_slots FROM voc
 )"""
 
 
-def _vocab(spark, sf_dir):
-    df, num, cat = _main(spark, sf_dir)
-    return P.prep_features(df, num, cat), cat
-
-
 @register("cat_vocab_fit", psql("SELECT * FROM vocab", *VOCAB))
 def q_cat_vocab_fit(spark, sf_dir):
-    """Levels per categorical (NULL → MISSING) with slots; levels seen < 20 times share one slot."""
-    prepped, cat = _vocab(spark, sf_dir)
-    return P.fit_vocabulary(prepped, cat)
+    """Levels per segment and categorical (NULL → MISSING) with slots; levels seen < 20 times share one slot."""
+    def build(seg):
+        df, num, cat = _segment(spark, sf_dir, seg)
+        return P.fit_vocabulary(P.prep_features(df, num, cat), cat)
+    return _each_segment(build)
 
 
 ENCODE_SQL = f"""SELECT e.event_timestamp, e.user_pseudo_id, u.feature,
   CASE WHEN v.slot IS NULL THEN NULL ELSE v.slot END AS slot
 FROM base e,
   (SELECT UNNEST([{', '.join(repr(c) for c in _CAT)}]) AS feature) u
-  LEFT JOIN vocab v ON v.feature = u.feature AND v.level = COALESCE(
+  LEFT JOIN vocab v ON v.segment = 'main' AND v.feature = u.feature AND v.level = COALESCE(
     CASE u.feature {' '.join(f"WHEN '{c}' THEN CAST(e.{c} AS VARCHAR)" for c in _CAT)} END, 'MISSING')"""
 
 
@@ -193,8 +214,8 @@ FROM base e,
 def q_cat_encode(spark, sf_dir):
     """Encode every daily-shard event with the main-segment vocabulary: slot of its level,
     the shared slot for infrequent levels, NULL (all-zero block) for levels never seen."""
-    prepped, cat = _vocab(spark, sf_dir)
-    voc = P.Vocabulary.fit(prepped, cat)
+    df, num, cat = _segment(spark, sf_dir, config.MAIN)
+    voc = P.Vocabulary.fit(P.prep_features(df, num, cat), cat)
     events = T.event_projection(dag(spark, sf_dir).base)
     ev = P.prep_features(events, [], cat, keep=["purchase_timestamp", "user_pseudo_id"])
     idx = voc.index_columns(ev)
