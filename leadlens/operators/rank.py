@@ -216,13 +216,12 @@ def roc_points(curve: Ranked, max_points: int = config.ROC_POINTS) -> DataFrame:
     g = curve.group
     f = _with_totals(curve).select(*g, "k", F.col(curve.score).alias("threshold"),
                                    (F.col("cum_n_s") - F.col("cum_pos_s")).alias("fps"),
-                                   F.col("cum_pos_s").alias("tps"), "n", "p")
-    prev = f.select(*g, (F.col("k") + 1).alias("k"), F.col("fps").alias("fps_prev"), F.col("tps").alias("tps_prev"))
-    nxt = f.select(*g, (F.col("k") - 1).alias("k"), F.col("fps").alias("fps_next"), F.col("tps").alias("tps_next"))
+                                   F.col("cum_pos_s").alias("tps"), "n", "p", "n_s", "pos_s")
+    # a point's own step is its row's counts, so a corner shows by the counts of the next row alone
+    nxt = f.select(*g, (F.col("k") - 1).alias("k"), F.col("n_s").alias("n_next"), F.col("pos_s").alias("pos_next"))
     kmax = per_group(dict(curve.counts), g, "long")
-    j = f.join(prev, g + ["k"], "left").join(nxt, g + ["k"], "left")
-    corner = ((F.col("fps_next") - 2 * F.col("fps") + F.col("fps_prev")) != 0) | \
-             ((F.col("tps_next") - 2 * F.col("tps") + F.col("tps_prev")) != 0)
+    j = f.join(nxt, g + ["k"], "left")
+    corner = (F.col("pos_next") != F.col("pos_s")) | ((F.col("n_next") - F.col("pos_next")) != (F.col("n_s") - F.col("pos_s")))
     small = kmax <= 2
     kept = j.filter((F.col("k") == 1) | (F.col("k") == kmax) | small | corner)
     # rank kept points inside each group; index 0 is the (0, 0) start point
@@ -381,11 +380,11 @@ def decile_lift(binned: DataFrame, y: str = config.TARGET, group: list[str] | No
     """Per quantile bin: conversion, rows and lift vs the group's base; labelled 1.. best-high."""
     group = list(group or [])
     yy = F.col(y).cast("double")
-    per = binned.groupBy(*group, "bin").agg(F.avg(yy).alias("conv"), F.count(F.lit(1)).alias("n"))
-    base = binned.groupBy(*group).agg(F.avg(yy).alias("_base"))
-    base_vals = {tuple(r[g] for g in group): r["_base"] for r in base.collect()}
-    b = per_group(base_vals, group, "double")
-    return per.select(*group, (F.col("bin") + 1).alias("decile"), "conv", "n", F.try_divide(F.col("conv"), b).alias("lift"))
+    per = binned.groupBy(*group, "bin").agg(F.sum(yy).alias("_s"), F.count(yy).alias("_c"), F.count(F.lit(1)).alias("n"))
+    bins = Window.partitionBy(*group)  # a few rows a group: its base rate follows from its bins
+    base = F.try_divide(F.sum("_s").over(bins), F.sum("_c").over(bins).cast("double"))
+    conv = F.try_divide(F.col("_s"), F.col("_c").cast("double"))
+    return per.select(*group, (F.col("bin") + 1).alias("decile"), conv.alias("conv"), "n", F.try_divide(conv, base).alias("lift"))
 
 
 def top_bin_lift(lifts: DataFrame, group: list[str] | None = None) -> DataFrame:

@@ -19,6 +19,14 @@ def test_rank_has_no_single_partition_step(spark):
     assert "BroadcastExchange" in p
 
 
+def test_inputs_are_not_dealt_anew(spark):
+    from leadlens.operators.features import user_features
+    for df in (fx.flat_events(spark, SF_SMALL), fx.event_shards(spark, SF_SMALL), fx.lead_table(spark, SF_SMALL)):
+        assert "RoundRobinPartitioning" not in df._jdf.queryExecution().toString()
+    plan = user_features(fx.feature_source(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "collect_set" not in plan
+
+
 def test_curve_window_is_partitioned(spark):
     c = R.distinct_score_curve(fx.scored_frame(spark, SF_SMALL), group=["segmento"])
     p = _plan(c.frame)
