@@ -22,8 +22,14 @@ def by_value(name: str) -> None:
 by_value(__name__)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Whole texts go through Python, so a batch has 1000 rows instead of Spark's 10000."""
     ensure_session(spark)
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

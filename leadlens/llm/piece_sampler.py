@@ -52,7 +52,7 @@ class PieceSampler:
     model: str = "/opt/tokenizers/piece_bpe_32k.model"
     samples: int = 2
     seed: int = 11
-    chunk_chars: int = 2_000_000
+    chunk_chars: int = 500_000
 
 
 @dataclass(frozen=True)
@@ -266,6 +266,11 @@ def in_bytes(ids: np.ndarray, v: Vocabulary, byte_id: np.ndarray) -> np.ndarray:
                     dtype=np.int64)
 
 
+def decoded(ids, spelt: tuple) -> str:
+    """The text of a segmentation: its bytes without the space that every text begins with."""
+    return b"".join([spelt[i] for i in ids]).decode()[1:]
+
+
 def encode_texts(keys: list, texts: list, v: Vocabulary, spec: PieceSampler) -> list[tuple]:
     """(row, sample, ids, log_prob, perturbed, kappa) of the samples of a chunk of texts."""
     types: dict = {}
@@ -298,7 +303,7 @@ def uniform_seed(x: np.ndarray, sample: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str]):
+def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str], check: bool):
     def frame(rows: list) -> pd.DataFrame:
         got = encode_texts([r[0] for r in rows], [r[1] or "" for r in rows], vocabulary, spec)
         kappa = np.array([x[5] for x in got], dtype=float)
@@ -309,6 +314,8 @@ def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str]):
                 "perturbed": [x[4] for x in got], "inclusion": np.where(np.isneginf(kappa), 1.0, inclusion),
                 "ids": [np.asarray(x[2], dtype=np.int32) for x in got],
                 "doc_id": pd.Series([rows[x[0]][0] for x in got], dtype=object)}
+        if check:
+            data["round_trip"] = [decoded(x[2], vocabulary.spelt) == (rows[x[0]][1] or "") for x in got]
         for j, c in enumerate(others):
             data[c] = pd.Series([rows[x[0]][2 + j] for x in got], dtype=object)
         return pd.DataFrame(data)
@@ -328,16 +335,17 @@ def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str]):
 
 
 def encode(docs: DataFrame, spec: PieceSampler = PieceSampler(), id_col: str = "doc_id", text_col: str = "text",
-           keep: tuple = ()) -> DataFrame:
-    """Rows of id, sample (from 0), n_pieces, log_prob, perturbed, inclusion, ids, and the columns in ``keep``."""
+           keep: tuple = (), check: bool = False) -> DataFrame:
+    """Rows of id, sample (from 0), n_pieces, log_prob, perturbed, inclusion, ids, and the columns in ``keep``; with
+    ``check`` also round_trip, whether decoding the ids gives the text back."""
     vocabulary = load(spec.model)
     types = dict(docs.dtypes)
     # the id goes through Python as a string: a batch with a null would make numbers of it that are not exact
     rows = docs.select(F.col(id_col).cast("string").alias("_key"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep])
     schema = "doc_id string, sample int, n_pieces int, log_prob double, perturbed double, inclusion double, ids array<int>"
-    schema += "".join(f", `{c}` {types[c]}" for c in keep)
-    names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids", *keep]
-    out = rows.mapInPandas(sampler(vocabulary, spec, list(keep)), schema)
+    schema += ", round_trip boolean" * check + "".join(f", `{c}` {types[c]}" for c in keep)
+    names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids", *["round_trip"] * check, *keep]
+    out = rows.mapInPandas(sampler(vocabulary, spec, list(keep), check), schema)
     return out.withColumn("doc_id", F.col("doc_id").cast(types[id_col])).select(*names)
 
 
@@ -346,6 +354,6 @@ def decode(ids: Column, spec: PieceSampler = PieceSampler()) -> Column:
     spelt = load(spec.model).spelt
 
     def text(arrays: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None else b"".join([spelt[i] for i in a]).decode()[1:] for a in arrays], dtype=object)
+        return pd.Series([None if a is None else decoded(a, spelt) for a in arrays], dtype=object)
 
     return F.pandas_udf(text, "string")(ids)
