@@ -42,15 +42,16 @@ from .common import by_value, stored
 by_value(__name__)
 
 Trie, Quantiser, ID_MASK = ngram_trie.Trie, ngram_trie.Quantiser, ngram_trie.ID_MASK
-END, BEGIN = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" end", b" begin"))  # no word holds a space
+KEY_BYTES = 7                 # a word is known by 56 bits of its hash
+END, BEGIN = (np.uint64(xxhash.xxh3_64_intdigest(x) >> 8) for x in (b" end", b" begin"))  # no word holds a space
 SCRAMBLE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Lm:
     mu: float = 12.0
-    block_tokens: int = 2_000_000
-    shard_tokens: int = 2_000_000
+    block_tokens: int = 1_000_000
+    shard_tokens: int = 1_000_000
     folds: int = 5
     held: int = 1
 
@@ -66,17 +67,30 @@ def unsqueeze(b: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel()
 
 
-def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
-    """Shard by range of the hash, so that sorted hashes fall into runs."""
-    return ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+def shard_of(h: np.ndarray, bits: int, shards: int) -> np.ndarray:
+    """Shard by range of a hash of so many bits, so that sorted hashes fall into runs."""
+    return ((h >> np.uint64(bits - 32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
+def cut(a: np.ndarray, size: int) -> bytes:
+    """The ``size`` low bytes of each integer."""
+    return a.view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def uncut(b: bytes, size: int) -> np.ndarray:
+    low = np.frombuffer(b, dtype=np.uint8).reshape(-1, size)
+    return np.concatenate([low, np.zeros((len(low), 8 - size), dtype=np.uint8)], axis=1).view(np.uint64).ravel()
 
 
 def blocker(spec: Lm):
     """Texts to blocks: one row with the distinct words' hashes and all tokens as places among them."""
     def block(number: int, ids: list, held: list, lens: list, tokens: list) -> pd.DataFrame:
-        words, places = np.unique(np.concatenate(tokens), return_inverse=True)
+        words, places, n = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+        order = np.lexsort((words, -n))  # frequent words first: their places are small numbers, which compress well
+        rank = np.empty(len(order), dtype=np.uint32)
+        rank[order] = np.arange(len(order))
         return pd.DataFrame({"block": [number], "ids": [ids], "held": [held], "lens": [lens],
-                             "words": [words.tobytes()], "tokens": [squeeze(places.astype(np.uint32))]})
+                             "words": [cut(words[order], KEY_BYTES)], "tokens": [squeeze(rank[places])]})
 
     def pack(batches):
         number, known = TaskContext.get().partitionId() << 32, {}
@@ -84,7 +98,7 @@ def blocker(spec: Lm):
         for pdf in batches:
             for i, h, text in zip(pdf["doc_id"], pdf["held_out"], pdf["text"]):
                 words = text.encode().lower().split() if text else []
-                t = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w))
+                t = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w) >> 8)
                                  for w in words), dtype=np.uint64, count=len(words))
                 if len(known) > 500_000:
                     known.clear()
@@ -104,7 +118,7 @@ def blocker(spec: Lm):
 
 def opened(r) -> tuple:
     """A block's words, tokens (as places) and which of them are trained on."""
-    words = np.frombuffer(r.words, dtype=np.uint64)
+    words = uncut(r.words, KEY_BYTES)
     tokens = unsqueeze(r.tokens, np.uint32).astype(np.int64)
     lens = np.asarray(r.lens)
     return words, tokens, lens, np.repeat(~np.asarray(r.held, dtype=bool), lens)
@@ -117,8 +131,10 @@ def word_asker(shards: int):
             for r in pdf.itertuples():
                 words, tokens, _, trained = opened(r)
                 counts = np.bincount(tokens[trained], minlength=len(words))
-                cuts = np.searchsorted(shard_of(words, shards), np.arange(shards + 1))
-                rows += [(s, r.block, words[a:b].tobytes(), squeeze(counts[a:b].astype(np.uint32)))
+                order = np.argsort(words)
+                words, counts = words[order], counts[order]
+                cuts = np.searchsorted(shard_of(words, 8 * KEY_BYTES, shards), np.arange(shards + 1))
+                rows += [(s, r.block, cut(words[a:b], KEY_BYTES), squeeze(counts[a:b].astype(np.uint32)))
                          for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
             yield pd.DataFrame(rows, columns=["shard", "block", "keys", "counts"])
     return ask
@@ -126,7 +142,7 @@ def word_asker(shards: int):
 
 def count_words(pdf: pd.DataFrame) -> pd.DataFrame:
     """One shard's total counts, for each block in its order; ``distinct`` counts the known words once."""
-    keys = [np.frombuffer(k, dtype=np.uint64) for k in pdf["keys"]]
+    keys = [uncut(k, KEY_BYTES) for k in pdf["keys"]]
     counts = np.concatenate([unsqueeze(c, np.uint32) for c in pdf["counts"]])
     words, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, weights=counts, minlength=len(words)).astype(np.int64)
@@ -142,6 +158,13 @@ def joined_answers(answers, dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype=dtype)
 
 
+def word_counts(r, words: np.ndarray) -> np.ndarray:
+    """Total counts of a block's words; the answers are in the order of the hashes."""
+    counts = np.empty(len(words), dtype=np.int64)
+    counts[np.argsort(words)] = joined_answers(r.word_answers, np.int64)
+    return counts
+
+
 def bigrams(words: np.ndarray, tokens: np.ndarray, lens: np.ndarray, counts: np.ndarray, begins: int, shards: int,
             total: int) -> tuple:
     """Distinct bigrams of a block in the order (shard, context, successor), and the place of each token's bigram."""
@@ -150,11 +173,12 @@ def bigrams(words: np.ndarray, tokens: np.ndarray, lens: np.ndarray, counts: np.
     context[heads] = -1
     pair, which = np.unique((context + 1) * (len(words) + 1) + tokens, return_inverse=True)
     ctx, nxt = pair // (len(words) + 1) - 1, pair % (len(words) + 1)
-    h = np.where(ctx < 0, BEGIN, words[ctx])
+    full = np.where(ctx < 0, BEGIN, words[ctx])
+    h = full & ID_MASK  # 40 bits tell the contexts of one shard apart
     c = np.where(ctx < 0, begins, counts[ctx])
     ids = words[nxt] & ID_MASK
     spread = np.where(c * 4 * shards > total, words[nxt], np.uint64(0))  # the same for every block: c is the total count
-    shard = shard_of((h ^ spread) * SCRAMBLE, shards)
+    shard = shard_of((full ^ spread) * SCRAMBLE, 64, shards)
     order = np.lexsort((ids, h, shard))
     back = np.empty(len(order), dtype=np.int64)
     back[order] = np.arange(len(order))
@@ -167,15 +191,15 @@ def bigram_asker(begins: int, shards: int, total: int):
             rows = []
             for r in pdf.itertuples():
                 words, tokens, lens, trained = opened(r)
-                counts = joined_answers(r.word_answers, np.int64)
+                counts = word_counts(r, words)
                 shard, h, ids, c, place = bigrams(words, tokens, lens, counts, begins, shards, total)
                 seen = np.bincount(place[trained], minlength=len(h)).astype(np.uint32)
                 cuts = np.searchsorted(shard, np.arange(shards + 1))
                 for s in np.flatnonzero(np.diff(cuts)):
                     a, b = cuts[s], cuts[s + 1]
                     first = np.flatnonzero(np.append(True, h[a + 1:b] != h[a:b - 1]))
-                    small = ids[a:b].view(np.uint8).reshape(-1, 8)[:, :5].tobytes()  # 40 bits each
-                    rows.append((int(s), r.block, h[a:b][first].tobytes(), squeeze(c[a:b][first]),
+                    small = cut(ids[a:b], ngram_trie.ID_BITS // 8)
+                    rows.append((int(s), r.block, cut(h[a:b][first], ngram_trie.ID_BITS // 8), squeeze(c[a:b][first]),
                                  squeeze(np.diff(np.append(first, b - a)).astype(np.uint32)), small, squeeze(seen[a:b])))
             yield pd.DataFrame(rows, columns=["shard", "block", "contexts", "totals", "sizes", "ids", "counts"])
     return ask
@@ -187,12 +211,11 @@ def trie_builder(mu: float, quantiser: Quantiser):
         h, c, ids, seen, cuts = [], [], [], [], [0]
         for r in pdf.itertuples():
             sizes = unsqueeze(r.sizes, np.uint32)
-            h.append(np.repeat(np.frombuffer(r.contexts, dtype=np.uint64), sizes))
+            h.append(np.repeat(uncut(r.contexts, ngram_trie.ID_BITS // 8), sizes))
             c.append(np.repeat(unsqueeze(r.totals, np.int64), sizes))
-            five = np.frombuffer(r.ids, dtype=np.uint8).reshape(-1, 5)
-            ids.append(np.concatenate([five, np.zeros((len(five), 3), dtype=np.uint8)], axis=1).view(np.uint64).ravel())
+            ids.append(uncut(r.ids, ngram_trie.ID_BITS // 8))
             seen.append(unsqueeze(r.counts, np.uint32))
-            cuts.append(cuts[-1] + len(five))
+            cuts.append(cuts[-1] + len(ids[-1]))
         h, c, ids, seen = (np.concatenate(x) for x in (h, c, ids, seen))
         contexts, of = np.unique(h, return_inverse=True)
         key, place = np.unique((of.astype(np.uint64) << np.uint64(ngram_trie.ID_BITS)) | ids, return_inverse=True)
@@ -218,7 +241,7 @@ def scorer(spec: Lm, quantiser: Quantiser, begins: int, shards: int, total: int,
         for pdf in batches:
             for r in pdf.itertuples():
                 words, tokens, lens, _ = opened(r)
-                counts = joined_answers(r.word_answers, np.int64)
+                counts = word_counts(r, words)
                 codes = joined_answers(r.bigram_answers, np.uint8)
                 *_, place = bigrams(words, tokens, lens, counts, begins, shards, total)
                 c = counts[tokens]

@@ -116,7 +116,7 @@ class Trie:
         """``contexts`` sorted; ``owner`` the place of each n-gram's context, ``ids`` its successor, sorted by both."""
         keys = (owner.astype(np.uint64) << np.uint64(ID_BITS)) | ids
         starts = np.searchsorted(owner, np.arange(len(contexts) + 1)).astype(np.uint64)
-        levels = [EliasFano.build(contexts, 64), EliasFano.build(starts, max(1, len(ids)).bit_length()),
+        levels = [EliasFano.build(contexts, int(contexts[-1]).bit_length() if len(contexts) else 1), EliasFano.build(starts, max(1, len(ids)).bit_length()),
                   EliasFano.build(keys, ID_BITS + max(1, len(contexts)).bit_length())]
         arrays = [a for x in levels for a in (x.low, x.high, x.ones, x.first)] + [codes]
         fd, self.path = tempfile.mkstemp(suffix=".trie")
