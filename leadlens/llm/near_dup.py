@@ -6,13 +6,14 @@ node gets a SuperMinHash signature: an element walks the slots in a random order
 a text stops once no slot can improve. Signatures are cut into bands; nodes that share a band are
 candidates and a pair is linked only if its full sets meet the threshold.
 
-A band bucket is not expanded into all pairs. Rounds compare each member with the smallest other
-component's member of its buckets and merge what links, until the buckets hold few components. The
-pairs that are left are those between different components of a bucket. They are pruned by an exact
-bound: shingles that no other left-over node has cannot be shared, so a node (or a pair) with too many
-of them cannot reach the threshold. All remaining pairs are verified, so no link between different
-components is lost within the buckets; a pair at the threshold shares no band with chance
-``(1 - t ** rows) ** bands`` (6e-11 for 0.85, 32 bands of 4 rows).
+A band bucket is not expanded into all pairs. Rounds compare each member with the smallest member of its
+bucket and merge what links. Buckets that still hold several components are left over; shingles that no
+other left-over node has cannot be shared, so a node (or a pair) with too many of them cannot reach the
+threshold and is out. The others are compared with the hub of their bucket, the member with the fewest such
+shingles; what two members share in the hub and outside it bounds what they share at all, and at last all
+pairs that the bounds allow, between different components of
+a bucket, are verified. So no link between components is lost within the buckets; a pair at the
+threshold shares no band with chance ``(1 - t ** rows) ** bands`` (6e-11 for 0.85, 32 bands of 4 rows).
 
 Links, components and sets stay in DataFrames; what steps share is written to the shared folder.
 
@@ -167,16 +168,17 @@ def reaches(common, a, b, threshold: tuple):
     return common * (num + den) >= (a + b) * num
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are close enough."""
-    # sizes first: a pair whose sizes are too far apart cannot reach the threshold
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their sets and how many items are in both."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("items").alias("ia"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("items").alias("ib"))
-    both = pairs.join(left, "a").join(right, "b")
-    both = both.filter(reaches(F.least("na", "nb"), F.col("na"), F.col("nb"), threshold))
     common = F.pandas_udf(common_items, "long")(F.col("ia"), F.col("ib"))
-    return (both.select("a", "b", "na", "nb", common.alias("common"))
-            .filter(reaches(F.col("common"), F.col("na"), F.col("nb"), threshold)).select("a", "b"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "na", "nb", common.alias("common"))
+
+
+def linked(found: DataFrame, threshold: tuple) -> DataFrame:
+    """Those of the compared pairs whose full sets are close enough."""
+    return found.filter(reaches(F.col("common"), F.col("na"), F.col("nb"), threshold)).select("a", "b")
 
 
 def merged(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -212,32 +214,68 @@ def merged(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return stored(out.select("node", F.coalesce("up", "comp").alias("comp")), f"{name}-comps")
 
 
-def left_over(members: DataFrame, comps: DataFrame, sets: DataFrame, tested: DataFrame, spec: NearDup) -> DataFrame:
-    """Pairs of different components in one bucket that no round has compared and the bound does not exclude."""
-    num, den = spec.threshold
+def star_pairs(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Each member with the smallest member of the smallest component of its bucket."""
+    m = members.join(comps, "node")
+    centre = m.groupBy("key").agg(F.min(F.struct("comp", "node")).alias("c"), F.max("comp").alias("hi"))
+    centre = centre.filter(F.col("c.comp") != F.col("hi")).select("key", "c")
+    return (m.join(centre, "key").filter(F.col("comp") != F.col("c.comp"))
+            .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"), "node"))
+
+
+def no_pairs(comps: DataFrame) -> DataFrame:
+    return comps.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+
+
+def as_longs(items: pd.Series) -> pd.Series:
+    return items.map(lambda x: np.frombuffer(x, dtype=np.int64))
+
+
+def mixed_buckets(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """The members, with their components, of the buckets that hold more than one component."""
     m = members.join(comps, "node")
     mixed = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("key")
-    m = stored(m.join(mixed, "key"), "near-left")
+    return m.join(mixed, "key")
+
+
+def left_over(members: DataFrame, comps: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
+    """Members of mixed buckets that may still link (key, node, n, most): ``most`` is how many of a node's items any
+    other left-over node holds, so no link of it shares more."""
+    num, den = spec.threshold
+    m = stored(mixed_buckets(members, comps).select("key", "node"), "near-left")
     own = m.select("node").distinct()
-    # how many items of a node no other left-over node holds
     blocks = sets.join(own, "node", "left_semi")
-    items = blocks.select("node", "n", F.explode(F.pandas_udf(lambda s: s.map(
-        lambda x: np.frombuffer(x, dtype=np.int64)), "array<long>")("items")).alias("item"))
+    items = blocks.select("node", "n", F.explode(F.pandas_udf(as_longs, "array<long>")("items")).alias("item"))
     shared = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("item")
     most = items.join(shared, "item").groupBy("node").agg(F.count(F.lit(1)).alias("most"))
-    sized = stored(blocks.select("node", "n").join(most, "node"), "near-bound")
-    m = m.join(sized, "node")
+    m = m.join(stored(blocks.select("node", "n").join(most, "node"), "near-bound"), "node")
     least = m.groupBy("key").agg(F.min("n").alias("least"))
     # the best partner has all of the shared items and is no smaller than the smallest of the bucket
     m = m.join(least, "key").filter(F.col("most") * (num + den)
                                     >= (F.col("n") + F.greatest("least", F.col("most"))) * num)
-    m = stored(m.select("key", "node", "comp", "n", "most"), "near-bounded")
-    x = m.select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "most")])
-    y = m.select("key", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "n", "most")])
+    return stored(m.select("key", "node", "n", "most"), "near-bounded")
+
+
+def with_hubs(bounded: DataFrame) -> DataFrame:
+    """Each member with the most typical one of its bucket, the one with the fewest items of its own."""
+    hub = bounded.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("most")).alias("rare"), "node")).alias("h"))
+    return bounded.join(hub.select("key", F.col("h.node").alias("hub")), "key")
+
+
+def last_pairs(hubbed: DataFrame, to_hub: DataFrame, comps: DataFrame, spec: NearDup) -> DataFrame:
+    """Pairs of different components in one bucket that the bounds do not exclude. With ``o`` items in the hub and
+    ``e`` shared items outside it, two members share at most the smaller ``o`` plus the smaller ``e``."""
+    m = mixed_buckets(hubbed, comps)
+    known = to_hub.select(F.col("a").alias("node"), F.col("b").alias("hub"), "common")
+    m = m.join(known, ["node", "hub"], "left").withColumn("o", F.coalesce("common", "n"))  # the hub itself
+    m = stored(m.withColumn("e", F.col("most") - F.col("o")), "near-mixed")
+    m = m.join(m.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys")), "node")  # a key per band at most
+    x = m.select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", "n", "o", "e", "keys")])
+    y = m.select("key", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", "n", "o", "e", "keys")])
     pairs = x.join(y, "key").filter((F.col("x_comp") < F.col("y_comp")) & reaches(
-        F.least("x_most", "y_most"), F.col("x_n"), F.col("y_n"), spec.threshold))
-    pairs = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+        F.least("x_o", "y_o") + F.least("x_e", "y_e"), F.col("x_n"), F.col("y_n"), spec.threshold)
+        & (F.element_at(F.array_intersect("x_keys", "y_keys"), 1) == F.col("key")))  # in one of the buckets that they share
+    return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,8 +283,10 @@ def groups(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", t
     base = docs.select(F.col(id_col).alias("doc_id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("tkey"),
                        F.col(text_col).alias("text"))
     id_type = dict(base.dtypes)["doc_id"]
-    rows = stored(base.mapInPandas(sketcher(spec), f"doc_id {id_type}, tkey string, n long, node binary, "
-                                                   "bands array<long>"), "near-sketch")
+    # ids go through Python as strings: a batch with a null would make numbers of them that are not exact
+    sketched = base.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        sketcher(spec), "doc_id string, tkey string, n long, node binary, bands array<long>")
+    rows = stored(sketched.withColumn("doc_id", F.col("doc_id").cast(id_type)), "near-sketch")
     nodes = (rows.filter("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("tkey", "doc_id")).alias("one"), F.first("n").alias("n"),
                   F.first("bands").alias("bands")))
@@ -262,30 +302,27 @@ def groups(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", t
                   .groupBy("node").agg(F.first("n").alias("n"), F.first("items").alias("items")), "near-sets")
 
     comps = stored(members.select("node").distinct().withColumn("comp", F.col("node")), "near-start")
-    tested = None
-    while True:
-        m = members.join(comps, "node")
-        centre = m.groupBy("key").agg(F.min(F.struct("comp", "node")).alias("c"), F.max("comp").alias("hi"))
-        centre = centre.filter(F.col("c.comp") != F.col("hi")).select("key", "c")
-        star = (m.join(centre, "key").filter(F.col("comp") != F.col("c.comp"))
-                .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"), "node"))
-        if tested is None:  # first one partner for each node: most copies need no more
-            star = star.groupBy("node").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
-        star = star.select("a", "b").distinct()
-        if tested is not None:
-            star = star.join(tested, ["a", "b"], "left_anti")
-        star = stored(star, "near-star")
-        if star.limit(1).count() == 0:
-            break
-        links = stored(verified(star, sets, spec.threshold), "near-links")
-        tested = star if tested is None else tested.union(star)
-        new = merged(comps, links, "near")
-        if new is comps and tested is not star:
-            break
-        comps = new
-    if tested is not None:
-        rest = stored(left_over(members, comps, sets, tested, spec), "near-rest")
-        comps = merged(comps, stored(verified(rest, sets, spec.threshold), "near-last"), "near-end")
+    tested = stored(no_pairs(comps), "near-tested")
+
+    def verified(pairs: DataFrame) -> bool:
+        """Compare the new ones of the pairs and merge what links; whether there were new ones."""
+        nonlocal comps, tested
+        new = stored(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        if new.limit(1).count() == 0:
+            return False
+        comps = merged(comps, stored(linked(compared(new, sets), spec.threshold), "near-links"), "near")
+        tested = tested.union(new)
+        return True
+
+    first = star_pairs(members, comps).groupBy("node").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+    if verified(first.distinct()):  # one partner for each node: most copies need no more
+        while verified(star_pairs(members, comps).select("a", "b").distinct()):
+            pass
+        hubbed = stored(with_hubs(left_over(members, comps, sets, spec)), "near-hubs")
+        spokes = hubbed.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        to_hub = stored(compared(spokes, sets), "near-spokes")
+        comps = merged(comps, stored(linked(to_hub, spec.threshold), "near-hub-links"), "near")
+        verified(last_pairs(hubbed, to_hub, comps, spec))
 
     joined = nodes.select("node", "least_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = joined.groupBy("comp").agg(F.min("least_id").alias("component_id"))
