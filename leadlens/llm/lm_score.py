@@ -100,7 +100,7 @@ def blocker(spec: Lm):
                 words = text.encode().lower().split() if text else []
                 t = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w) >> 8)
                                  for w in words), dtype=np.uint64, count=len(words))
-                if len(known) > 500_000:
+                if len(known) > 200_000:
                     known.clear()
                 ids.append(i)
                 held.append(bool(h))
