@@ -42,6 +42,7 @@ by_value(__name__)
 SPACE = "\u2581"
 LITERAL = "\ud800"            # stands for U+2581 in a text; no text holds a lone surrogate
 UNIT = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")  # no piece crosses the end of one
+SLOTS = 1 << 18
 BYTE_WEIGHT = -12.0           # log-weight of a byte piece
 STEP, UNIT_STEP, SAMPLE_STEP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 MIX1, MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -52,19 +53,47 @@ class PieceSampler:
     model: str = "/opt/tokenizers/piece_bpe_32k.model"
     samples: int = 2
     seed: int = 11
-    chunk_chars: int = 500_000
+    chunk_chars: int = 1_000_000
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """All prefixes of the ordinary pieces by hash, in order, with the id (-1: no piece) and log-weight of each; ids
-    of the byte pieces; the bytes that each id stands for."""
+    """All prefixes of the ordinary pieces by hash, with the id (-1: no piece) and log-weight of each; hash tables of
+    their places (a prefix is in the first table whose slot was free); ids of the byte pieces; the bytes that each id
+    stands for."""
     prefixes: np.ndarray
+    slots: tuple
     piece: np.ndarray
     weight: np.ndarray
     byte_ids: tuple
     spelt: tuple
 
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes among the prefixes, -1 for others."""
+        out = np.full(len(h), -1, dtype=np.int64)
+        left = np.arange(len(h))
+        for level, table in enumerate(self.slots):
+            at = table[slot_of(h[left], level)]
+            hit = (at >= 0) & (self.prefixes[at] == h[left])
+            out[left[hit]] = at[hit]
+            left = left[(at >= 0) & ~hit]  # a free slot means that there is no such prefix
+        return out
+
+
+def slot_of(h: np.ndarray, level: int) -> np.ndarray:
+    return ((h >> np.uint64(11 * level)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def slot_tables(keys: np.ndarray) -> tuple:
+    tables, left = [], np.arange(len(keys))
+    while len(left):
+        slot, first = np.unique(slot_of(keys[left], len(tables)), return_index=True)
+        table = np.full(SLOTS, -1, dtype=np.int32)
+        table[slot] = left[first]
+        tables.append(table)
+        left = np.delete(left, first)
+    return tuple(tables)
+
 
 def step_hash(h: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Hash of a string that is one character longer."""
@@ -96,7 +125,8 @@ def load(model: str) -> Vocabulary:
         else:
             spelt.append(b"" if p.is_control(i) or p.is_unknown(i) else piece.replace(SPACE, " ").encode())
     keys = sorted(found)
-    return Vocabulary(np.array(keys, dtype=np.uint64), np.array([found[k][0] for k in keys]),
+    hashes = np.array(keys, dtype=np.uint64)
+    return Vocabulary(hashes, slot_tables(hashes), np.array([found[k][0] for k in keys]),
                       np.array([found[k][1] for k in keys]), tuple(byte_ids), tuple(spelt))
 
 
@@ -117,17 +147,16 @@ class Lattice:
         n = len(code)
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         end = np.repeat(np.cumsum(size), size)
-        self.roots = np.cumsum(size) - size
         at, h, m = np.arange(n), np.zeros(n, dtype=np.uint64), 0
         arcs, alone = [], np.ones(n, dtype=bool)
         while len(at):
             h = step_hash(h, code[at + m])
             m += 1
-            spot = np.minimum(np.searchsorted(v.prefixes, h), len(v.prefixes) - 1)
-            known = v.prefixes[spot] == h
+            spot = v.find(h)
+            known = spot >= 0
             at, h, spot = at[known], h[known], spot[known]
             whole = v.piece[spot] >= 0
-            arcs.append((at[whole], at[whole] + m, v.weight[spot[whole]], v.piece[spot[whole]]))
+            arcs.append((at[whole], np.full(int(whole.sum()), m), v.weight[spot[whole]], v.piece[spot[whole]]))
             if m == 1:
                 alone[at[whole]] = False
             more = at + m < end[at]
@@ -135,40 +164,47 @@ class Lattice:
         spelt = np.flatnonzero(alone)
         c = code[spelt]
         length = 1 + (c >= 0x80).astype(np.int64) + (c >= 0x800) + (c >= 0x10000)
-        arcs.append((spelt, spelt + 1, BYTE_WEIGHT * length, -1 - c))
-        src, dst, w, piece = (np.concatenate(x) for x in zip(*arcs))
-        # words are solved from their ends: nodes by what is left of the word, arcs with their nodes
+        arcs.append((spelt, np.ones(len(spelt), dtype=np.int64), BYTE_WEIGHT * length, -1 - c))
+        src, m, w, piece = (np.concatenate(x) for x in zip(*arcs))
+        # words are solved from their ends: nodes by what is left of the word, arcs with their nodes, short ones first
         left = end[src] - src
-        order = np.lexsort((dst, src, left))
-        src, dst, w, left = src[order], np.where(dst[order] == end[src[order]], n, dst[order]), w[order], left[order]
+        order = np.argsort((left * (n + 1) + src) * 64 + m)
+        src, left, w, self.piece = src[order], left[order], w[order], piece[order]
+        dst = src + m[order]
+        dst[dst == end[src]] = n
+        new = np.append(True, src[1:] != src[:-1])[:len(src)]
+        node = np.cumsum(new) - 1
+        self.edge_at = np.append(np.flatnonzero(new), len(src))
         beta = np.zeros(n + 1)
         cuts = np.append(np.flatnonzero(np.append(True, left[1:] != left[:-1])), len(left)) if n else []
         for a, b in zip(cuts[:-1], cuts[1:]):
             total = w[a:b] + beta[dst[a:b]]
-            first = np.flatnonzero(np.append(True, src[a + 1:b] != src[a:b - 1]))
+            first = np.flatnonzero(new[a:b])
             top = np.maximum.reduceat(total, first)
             mass = np.add.reduceat(np.exp(total - np.repeat(top, np.diff(np.append(first, b - a)))), first)
             beta[src[a + first]] = top + np.log(mass)
-        logq = w + beta[dst] - beta[src]
-        order2 = np.lexsort((dst, src))
-        src, self.logq = src[order2], np.minimum(logq[order2], 0.0)
-        self.to = np.where(dst[order2] == n, -1, dst[order2])
-        self.piece = piece[order][order2]
-        self.edge_at = np.searchsorted(src, np.arange(n + 1))
+        self.logq = np.minimum(w + beta[dst] - beta[src], 0.0)
+        number = np.full(n + 1, -1)
+        number[src[new]] = np.arange(len(self.edge_at) - 1)
+        self.to = number[dst]
+        self.roots = number[np.cumsum(size) - size]
         run = np.cumsum(np.exp(self.logq))
-        begin = self.edge_at[src]
-        self.cum = src + np.clip(run - np.where(begin > 0, run[begin - 1], 0.0), 0.0, 1.0)
-        self.cum[self.edge_at[1:] - 1] = np.arange(n) + 1.0
+        before = np.append(0.0, run)[self.edge_at[:-1]]
+        self.cum = node + np.clip(run - before[node], 0.0, 1.0)
+        self.cum[self.edge_at[1:] - 1] = np.arange(len(self.edge_at) - 1) + 1.0
 
 
-def walk(roots: np.ndarray, seeds: np.ndarray, cum: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def walk(roots: np.ndarray, seeds: np.ndarray, cum: np.ndarray, to: np.ndarray, edge_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One random path for each word, all words a step at a time: arcs in order, and where each word's begin."""
     unit, node, step = np.arange(len(roots)), roots, 0
     arcs, units = [], []
     while len(unit):
         u = uniform(seeds[unit] + np.uint64(step * int(STEP) % 2 ** 64))
-        e = np.searchsorted(cum, node + u, side="right")
-        e = np.minimum(e, len(cum) - 1)
+        e, want = edge_at[node], node + u
+        late = np.flatnonzero(cum[e] <= want)
+        while len(late):  # on to the next arc of the node; the last one always does
+            e[late] += 1
+            late = late[cum[e[late]] <= want[late]]
         arcs.append(e)
         units.append(unit)
         node = to[e]
@@ -268,21 +304,25 @@ def in_bytes(ids: np.ndarray, v: Vocabulary, byte_id: np.ndarray) -> np.ndarray:
 
 def decoded(ids, spelt: tuple) -> str:
     """The text of a segmentation: its bytes without the space that every text begins with."""
-    return b"".join([spelt[i] for i in ids]).decode()[1:]
+    return b"".join(map(spelt.__getitem__, ids.tolist())).decode()[1:] if len(ids) else ""
 
 
 def encode_texts(keys: list, texts: list, v: Vocabulary, spec: PieceSampler) -> list[tuple]:
     """(row, sample, ids, log_prob, perturbed, kappa) of the samples of a chunk of texts."""
     types: dict = {}
-    words = [[types.setdefault(w, len(types)) for w in units_of(t)] for t in texts]
+    words, sizes = [], []
+    for t in texts:
+        units = units_of(t)
+        words += [types.setdefault(w, len(types)) for w in units]
+        sizes.append(len(units))
     lattice = Lattice(list(types), v)
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    roots = lattice.roots[np.fromiter((w for ws in words for w in ws), dtype=np.int64, count=int(sizes.sum()))]
+    sizes = np.array(sizes, dtype=np.int64)
+    roots = lattice.roots[np.array(words, dtype=np.int64)]
     seeds = np.array([xxhash.xxh3_64_intdigest(f"{spec.seed}:{key}") for key in keys], dtype=np.uint64)
     at = np.concatenate([[0], np.cumsum(sizes)])
     within = (np.arange(len(roots)) - np.repeat(at[:-1], sizes)).astype(np.uint64)
     unit_seed = np.repeat(seeds, sizes) + (within + np.uint64(1)) * UNIT_STEP
-    walks = [walk(roots, uniform_seed(unit_seed, s), lattice.cum, lattice.to) for s in range(spec.samples)]
+    walks = [walk(roots, uniform_seed(unit_seed, s), lattice.cum, lattice.to, lattice.edge_at) for s in range(spec.samples)]
     out, byte_id = [], np.array(v.byte_ids)
     for i, n in enumerate(sizes):
         if n == 0:
