@@ -1,6 +1,10 @@
 """License scan by an exact containment join of text blocks with license templates.
 
-Blocks are the lines of a text, templates are short notices; both are sets of words. A block
+Blocks are the lines of a text, templates are short notices; both are sets of words. With ``wrapped``
+a notice may run over lines: the blocks of a template of n words are then the lines and every stretch
+of n neighbouring words, wherever the lines are broken. (Whole neighbouring lines would be too wide: on
+sf0.1 they make "mit" of an Apache notice below a line with that German word.) A stretch is looked at
+only if it begins with a word of the template, as the next one holds no less otherwise. A block
 meets a template when it holds at least ``ceil(threshold * |template|)`` of its words. The join
 is the prefix-filtered one: template words are ordered by how many documents of the whole corpus
 hold them (rarest first), so a block that meets the threshold must hold one of the first
@@ -49,19 +53,25 @@ TEMPLATES = (
 
 @dataclass(frozen=True)
 class LicenseScan:
-    """``threshold`` is the share of a template's words that a line must hold."""
+    """``threshold`` is the share of a template's words that a block must hold; ``wrapped``: also stretches of words over lines."""
     threshold: float = 0.8
+    wrapped: bool = False
     phrases: tuple = PHRASES
     templates: tuple = TEMPLATES
     text_col: str = "text"
     keep: tuple = field(default=("doc_id",))
 
 
-def words_of(line: str) -> list[str]:
-    """Distinct words of a template (driver side, constants only)."""
+def all_words(line: str) -> list[str]:
+    """Words of a template (driver side, constants only)."""
     import re
     low = line.translate({i: i + 32 for i in range(65, 91)})
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def words_of(line: str) -> list[str]:
+    """Distinct words of a template."""
+    return sorted(set(all_words(line)))
 
 
 def spaced(lowered: Column) -> Column:
@@ -92,16 +102,30 @@ def template_hits(blocks: Column, words: list[str], needed: int) -> Column:
     return F.coalesce(F.array_max(F.filter(counts, lambda n: n >= F.lit(needed))), F.lit(0))
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it and wherever a filter carries it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def wrapped_blocks(t: Column, order: list[str], words: list[str], needed: int, length: int) -> Column:
+    """The lines and the stretches of ``length`` words; none where the whole text holds too few of the template's."""
+    full = literal_array(words)
+    first = F.filter(F.transform(t["words"], lambda w, i: F.when(F.array_contains(full, w), i)), lambda i: i.isNotNull())
+    stretch = lambda i: F.array_intersect(literal_array(order), F.slice(t["words"], i + 1, length))
+    enough = F.size(F.array_intersect(full, t["words"])) >= F.lit(needed)
+    return F.when(enough, F.concat(t["lines"], F.transform(first, stretch))).otherwise(F.array().cast("array<array<string>>"))
+
+
 def scan(docs: DataFrame, spec: LicenseScan = LicenseScan()) -> DataFrame:
     """Per row: kept columns, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    templates = [(label, words_of(t)) for label, t in spec.templates]
-    templates = [(label, w, max(1, ceil(spec.threshold * len(w) - 1e-9))) for label, w in templates if w]
-    vocabulary = sorted({w for _, ws, _ in templates for w in ws})
+    templates = [(label, words_of(t), len(all_words(t))) for label, t in spec.templates]
+    templates = [(label, w, max(1, ceil(spec.threshold * len(w) - 1e-9)), n) for label, w, n in templates if w]
+    vocabulary = sorted({w for _, ws, _, _ in templates for w in ws})
     freq = word_frequencies(docs, vocabulary, spec.text_col)
     order = sorted(vocabulary, key=lambda w: (freq[w], w))
     at = {w: i for i, w in enumerate(order)}
-    templates = [(label, sorted(ws, key=at.__getitem__), need) for label, ws, need in templates]
-    anchors = sorted({w for _, ws, need in templates for w in ws[:len(ws) - need + 1]})
+    templates = [(label, sorted(ws, key=at.__getitem__), need, n) for label, ws, need, n in templates]
+    anchors = sorted({w for _, ws, need, _ in templates for w in ws[:len(ws) - need + 1]})
 
     low = ascii_lower(F.coalesce(F.col(spec.text_col), F.lit("")))
     df = docs.select(*spec.keep, low.alias("_low"))
@@ -127,18 +151,24 @@ def scan(docs: DataFrame, spec: LicenseScan = LicenseScan()) -> DataFrame:
     none = F.lit(None).cast("long")
 
     # lines of the texts that hold a prefix word at all; the others cannot meet any template
-    line_words = lambda l: F.array_intersect(literal_array(order), F.split(spaced(l), " "))
     near = F.arrays_overlap(F.split(F.trim(s), " "), literal_array(anchors))
+    line_words = lambda l: F.array_intersect(literal_array(order), F.split(spaced(l), " "))
     lines = F.filter(F.transform(F.split(F.col("_low"), "\n"), line_words), lambda b: F.size(b) > 0)
-    df = df.withColumn("_blocks", F.when(near, lines).otherwise(F.array().cast("array<array<string>>")))
+    lines = F.when(near, lines).otherwise(F.array().cast("array<array<string>>"))
+    hits = lambda blocks: F.array(*[F.struct(F.lit(label).alias("label"),
+                                             (template_hits(blocks(ws, need, n), ws, need) / F.lit(len(ws))).alias("share"))
+                                    for label, ws, need, n in templates])
+    if spec.wrapped:
+        text = F.struct(lines.alias("lines"), F.when(near, F.split(F.trim(s), " ")).alias("words"))
+        found = bound(text, lambda t: hits(lambda ws, need, n: wrapped_blocks(t, order, ws, need, n)))
+    else:
+        found = bound(lines, lambda b: hits(lambda ws, need, n: b))
     df = df.select(*spec.keep, "n_words", n_base.alias("n_base"),
                    (best_of(F.least, firsts) if firsts else none).alias("first_word"),
                    (best_of(F.greatest, lasts) if lasts else none).alias("last_word"),
                    F.array_sort(F.array_distinct(F.array_compact(F.array(*labels) if labels else literal_array([]))))
                    .alias("_base"),
-                   F.array(*[F.struct(F.lit(label).alias("label"), (template_hits(F.col("_blocks"), ws, need)
-                                                                    / F.lit(len(ws))).alias("share"))
-                             for label, ws, need in templates]).alias("_hits"))
+                   found.alias("_hits"))
     met = F.filter(F.col("_hits"), lambda h: h["share"] > 0)
     own = F.transform(met, lambda h: h["label"])
     best = F.coalesce(F.array_max(F.transform(met, lambda h: h["share"])), F.lit(0.0))

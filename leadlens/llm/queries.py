@@ -51,8 +51,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases and templates in every whole text of ``documents``."""
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    """License phrases and templates, also those wrapped over lines, in every whole text of ``documents``."""
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.LicenseScan(wrapped=True))
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -334,6 +334,46 @@ def test_licenses_by_hand(spark, odd):
     assert license_scan.scan(empty(spark)).count() == 0
 
 
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+       "of this software and associated documentation files (the \"Software\"), to deal\nin the Software")
+BSD = ("# Redistribution and use in source and binary forms, with or without\r\n"
+       "# modification, are permitted provided that the following conditions\r\n# are met:")
+
+
+def test_wrapped_licenses_by_hand(spark, odd, tmp_path):
+    from leadlens.llm import queries
+    rng = random.Random(7)
+    spec = license_scan.LicenseScan(wrapped=True)
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower().decode())
+    rows = odd + [(50, MIT, "s"), (51, BSD, "s"), (52, "Released\n\nunder\nthe\nMIT\nLicense", "s"),
+                  (53, "a b c " * 20 + MIT.replace("\n", "\n \n// "), "s"),
+                  (54, "Released under\n" + "a b\n" * 9 + "the MIT License", "s"), (55, "\n\nCopyright (c)\nAll rights", "s"),
+                  (56, "da mit der\nLicensed under the Apache License, Version 2.0.", "s")]
+    for k in range(120):  # notices with words lost, broken anywhere, with other lines before and after
+        w = [x for x in cut(rng.choice(spec.templates)[1]) if rng.random() < 0.9]
+        w = cut(words(rng, rng.randint(0, 9))) + w + cut(words(rng, rng.randint(0, 9)))
+        rows.append((1000 + k, "".join(x + rng.choice([" ", " ", " ", "\n", "\n\n"]) for x in w), "s"))
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.labels, r.score) for r in queries.op8_license_scan(spark, str(tmp_path)).collect() if r.doc_id}
+    for i, t, _ in rows:
+        lines, w = list(map(cut, (t or "").split("\n"))), cut(t)
+        more, best = set(), 0.0
+        for label, template in spec.templates:
+            n, need = len(cut(template)), set(cut(template))
+            for block in lines + [w[k:k + n] for k in range(len(w))]:
+                share = len(need & set(block)) / len(need)
+                if share >= spec.threshold - 1e-9:
+                    more.add(label)
+                    best = max(best, share)
+        if i:
+            text = f" {' '.join(cut(t))} "
+            base = {label for phrase, label in spec.phrases if f" {phrase} " in text}
+            assert got[i] == (",".join(sorted(base | more)), pytest.approx(1.0 if base else best)), t
+    assert got[50][0] == got[53][0] == "mit" and got[51][0] == "bsd" and got[52][0] == "mit" and got[54][0] == ""
+    assert got[56][0] == "apache"
+    assert sum(got[1000 + k][1] > 0 for k in range(120)) > 60
+
+
 def test_license_plan_is_native(spark, odd):
     plan = license_scan.scan(frame(spark, odd))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
