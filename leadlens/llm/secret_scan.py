@@ -4,7 +4,9 @@ The labelled samples are taken from the whole table: what the base patterns find
 runs of identifier characters are ordinary. Both classes are reduced to counts of character pairs (at
 most ``2 * 69 * 69`` rows), from which two smoothed first-order models follow. A run of ``min_run``
 characters or more outside the base spans is a secret when the ratio of its likelihoods under the two
-models is at least ``threshold`` nats and ``per_char`` nats a character.
+models is at least ``threshold`` nats and ``per_char`` nats a character. A run that base spans touch is
+cut at them, as it is for the samples, and each part outside is judged by itself, without the signs that
+join it to the span (a "/" at the edge would speak against a key that it only sets off).
 
 Only pair counts are shuffled; each text is judged on its own row, so size and skew do not matter.
 
@@ -35,6 +37,7 @@ ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 KINDS = ("assign", "access", "hex", "markov")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+JOINERS = "+/_=-"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 EDGE = len(ALPHABET)          # before the first and after the last character
 SIZE = EDGE + 1
@@ -75,14 +78,19 @@ def secret_value(text: str, span: tuple[int, int, int]) -> str:
     return ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end]
 
 
-def outside(text: str, spans: list[tuple[int, int, int]]) -> str:
-    """The text with a space for each base span."""
-    parts, at = [], 0
+def gaps(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the stretches that no span covers; the spans are in order."""
+    out, at = [], 0
     for start, _, end in spans:
         if start >= at:
-            parts.append(text[at:start])
+            out.append((at, start))
         at = max(at, end)
-    return " ".join([*parts, text[at:]])
+    return [*out, (at, len(text))]
+
+
+def outside(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with a space for each base span."""
+    return " ".join(text[a:b] for a, b in gaps(text, spans))
 
 
 def pair_counts(samples: Counter) -> np.ndarray:
@@ -135,12 +143,19 @@ def ratio(run: str, llr: np.ndarray) -> float:
 def all_spans(text: str, llr: np.ndarray, spec: SecretScan) -> tuple[list, list]:
     base = base_spans(text)
     more = []
-    for m in RUN.finditer(text) if b"x" * spec.min_run in text.encode().translate(RUN_MAP) else ():
-        n = m.end() - m.start()
-        if n >= spec.min_run and not any(s < m.end() and m.start() < e for s, _, e in base):
-            score = ratio(m.group(), llr)
-            if score >= spec.threshold and score >= spec.per_char * n:
-                more.append((m.start(), 3, m.end()))
+    for begin, close in gaps(text, base) if b"x" * spec.min_run in text.encode().translate(RUN_MAP) else ():
+        for m in RUN.finditer(text, begin, close):
+            run, end = m.group(), m.end()
+            if end == close < len(text):
+                run = run.rstrip(JOINERS)
+                end = m.start() + len(run)
+            if m.start() == begin > 0:
+                run = run.lstrip(JOINERS)
+            n = len(run)
+            if n >= spec.min_run:
+                score = ratio(run, llr)
+                if score >= spec.threshold and score >= spec.per_char * n:
+                    more.append((end - n, 3, end))
     return base, sorted(base + more)
 
 
