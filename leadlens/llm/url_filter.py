@@ -5,9 +5,9 @@ The rest is judged by templates learned from all urls, where the urls under a ru
 ones. Per host, paths are read segment by segment. A segment stays literal when enough urls share it
 and their labels (blocked, allowed, none) differ significantly from those of its siblings; rare
 segments and branches that look like their siblings are merged into the wildcard ``*``. The purity of
-a template is the blocked share of its labelled urls, smoothed by ``prior`` allowed ones. A template
-is rejected when its purity reaches ``reject`` and at least ``min_labelled`` of its urls are labelled,
-so that a few blocked urls do not speak for a branch that nobody has judged.
+a template is the blocked share of its labelled urls, smoothed by ``prior`` allowed ones, which alone
+guards against thin evidence: a template is rejected when its purity reaches ``reject``, however many of
+its urls are unlabelled.
 
 Everything is aggregated by (host, path) before it is shuffled, and each level by (host, template,
 segment), so a hot host costs rows of counts only and no group is collected.
@@ -38,7 +38,6 @@ class UrlFilter:
     differs: float = 5.99      # chi-square, two degrees of freedom, 5 %
     prior: float = 2.0         # allowed urls that the smoothing adds
     reject: float = 0.5
-    min_labelled: float = 0.5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -110,15 +109,13 @@ def judge(pages: DataFrame, spec: UrlFilter = UrlFilter(), id_col: str = "page_i
                   F.sum(F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0)).alias("allowed"),
                   F.sum(F.when(F.col("ruled").isNull(), F.col("n")).otherwise(0)).alias("unlabelled")))
     learned = templates(paths, spec)
-    tree = learned.groupBy("host", "template").agg(F.sum("blocked").alias("bad"), F.sum("allowed").alias("good"),
-                                                   F.sum("unlabelled").alias("open"))
+    tree = learned.groupBy("host", "template").agg(F.sum("blocked").alias("bad"), F.sum("allowed").alias("good"))
     labelled = F.col("bad") + F.col("good")
-    tree = tree.select("host", "template", (F.col("bad") / (labelled + F.lit(spec.prior))).alias("purity"),
-                       (labelled / (labelled + F.col("open"))).alias("coverage"))
+    tree = tree.select("host", "template", (F.col("bad") / (labelled + F.lit(spec.prior))).alias("purity"))
     chosen = (learned.select("host", "path", "template").join(tree, ["host", "template"])
               .withColumnsRenamed({"host": "c_host", "path": "c_path"}))
     out = df.join(chosen, (F.col("host") == F.col("c_host")) & (F.col("path") == F.col("c_path")), "left")
-    bad = (F.col("host") != "") & (F.col("purity") >= spec.reject) & (F.col("coverage") >= spec.min_labelled)
+    bad = (F.col("host") != "") & (F.col("purity") >= spec.reject)
     own = F.when(bad, F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", "rule", F.coalesce(F.col("ruled"), own).alias("verdict"),
                       "template", "purity")

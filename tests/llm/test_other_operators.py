@@ -73,6 +73,67 @@ def test_templates_learn_from_ruled_urls(spark):
     assert all(got[f"http://shop.org/es/{k}"].verdict == "allow" for k in range(40))
 
 
+def verdicts_by_hand(urls, spec):
+    """(verdict, template, purity) of urls like http://host/path, path by path down the tree of each host."""
+    ruled, paths = {}, {}
+    for u in urls:
+        host, _, path = u.split("://")[1].partition("/")
+        fits = [(len(r), kind) for kind, r in spec.rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0]))
+                and f"/{path}".startswith("/" + r.split("/", 1)[1])]
+        ruled[u] = max(fits)[1] if fits else "none"
+        paths.setdefault((host, ""), []).append((u, [x for x in path.split("/") if x]))
+    count = lambda us: [sum(ruled[u] == k for u, _ in us) for k in ("block", "allow", "none")]
+    out, level = {}, 0
+    while paths:
+        below = {}
+        for (host, template), members in paths.items():
+            ends = [m for m in members if len(m[1]) == level]
+            inner = [m for m in members if len(m[1]) > level]
+            for u, _ in ends:
+                out[u] = (host, template)
+            total = count(inner)
+            for seg in {m[1][level] for m in inner}:
+                mine = [m for m in inner if m[1][level] == seg]
+                part, n, rest = count(mine), len(mine), len(inner) - len(mine)
+                chi = sum((a - t * n / len(inner)) ** 2 / (t * n / len(inner))
+                          + (t - a - t * rest / len(inner)) ** 2 / (t * rest / len(inner)) for a, t in zip(part, total) if t and rest)
+                literal = n >= spec.min_urls and (not rest or chi >= spec.differs)
+                below.setdefault((host, f"{template}/{seg if literal else '*'}"), []).extend(mine)
+        paths, level = below, level + 1
+    groups = {}
+    for u, key in out.items():
+        groups.setdefault(key, []).append((u, None))
+    for u, key in out.items():
+        bad, good, _ = count(groups[key])
+        purity = bad / (bad + good + spec.prior)
+        own = "block" if purity >= spec.reject else "allow"
+        out[u] = (ruled[u] if ruled[u] != "none" else own, key[1], pytest.approx(purity))
+    return out
+
+
+def compare_verdicts(spark, urls, rules):
+    spec = url_filter.UrlFilter(rules=(*url_filter.RULES, *rules))
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    got = {urls[r.page_id]: (r.verdict, r.template, r.purity) for r in url_filter.judge(df, spec).collect()}
+    return got, verdicts_by_hand(urls, spec)
+
+
+def test_verdicts_by_hand(spark):
+    rng = random.Random(21)
+    urls = {f"http://h{rng.randrange(6)}.org/{rng.choice('abcd')}/{rng.choice(['x', 'y', rng.randrange(99)])}/{rng.randrange(40)}"
+            for _ in range(1500)}
+    urls |= {f"http://big.org/bad/{k}" for k in range(500)} | {f"http://thin.org/p/{k}" for k in range(60)}
+    rules = [("block", f"big.org/bad/{k}") for k in (11, 13, 21, 22, 23, 24)] + [("block", "thin.org/p/59")]
+    rules += [("block", f"h{h}.org/a/x/") for h in (0, 1)] + [("block", f"h2.org/{c}/{k}/") for c in "ab" for k in range(20)]
+    rules += [("allow", f"h{h}.org/a/y/") for h in (0, 3)] + [("block", f"h4.org/b/y/{k}") for k in range(3)]
+    got, exp = compare_verdicts(spark, sorted(urls), rules)
+    assert got == exp
+    # a template that is mostly unlabelled is judged by its labelled urls, one blocked url alone does not decide
+    assert got["http://big.org/bad/499"][0] == "block" and got["http://thin.org/p/1"][0] == "allow"
+    more = sorted(urls | {f"http://big.org/bad/x{k}" for k in range(500)})
+    assert compare_verdicts(spark, more, rules)[0]["http://big.org/bad/x7"][0] == "block"
+
+
 def test_urls_of_an_empty_table(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
