@@ -12,8 +12,9 @@ its urls are unlabelled.
 Everything is aggregated by (host, path) before it is shuffled, and each level by (host, template,
 segment), so a hot host costs rows of counts only and no group is collected.
 
-Edge cases: a null url, or one without ``://``, has empty host and path and is allowed; a path deeper
-than ``max_depth`` has its tail as one wildcard; repeated urls are judged alike; an empty table gives
+Edge cases: a null url, or one without ``://``, has empty host and path and is allowed; below
+``max_depth`` segments only prefixes that hold blocked and unlabelled urls are read on, as no other can get
+another verdict, and the tail of the others is ``**``; repeated urls are judged alike; an empty table gives
 an empty result; only id and url are read, so other columns cannot clash.
 """
 from __future__ import annotations
@@ -72,13 +73,22 @@ def chi_square(part: list[Column], whole: list[Column]) -> Column:
 def templates(paths: DataFrame, spec: UrlFilter) -> DataFrame:
     """Adds ``template`` to rows of (host, path, blocked, allowed, unlabelled)."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    cut = F.when(F.size("segs") > spec.max_depth,
-                 F.concat(F.slice("segs", 1, spec.max_depth), F.array(F.lit("**")))).otherwise(F.col("segs"))
-    cur = stored(paths.withColumn("segs", segments).withColumn("segs", cut).withColumn("template", F.lit("")),
-                 "url-paths")
+    cur = stored(paths.withColumn("segs", segments).withColumn("template", F.lit("")), "url-paths")
     depth = cur.agg(F.max(F.size("segs"))).first()[0] or 0
-    classes = ["blocked", "allowed", "unlabelled"]
+    classes, done = ["blocked", "allowed", "unlabelled"], []
     for d in range(depth):
+        if d >= spec.max_depth:
+            deep = F.size("segs") > d
+            mixed = (cur.filter(deep).groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in classes])
+                     .filter("blocked > 0 AND unlabelled > 0")
+                     .select(F.col("host").alias("k_host"), F.col("template").alias("k_template")))
+            split = stored(cur.join(mixed, (F.col("host") == F.col("k_host")) & (F.col("template") == F.col("k_template")), "left")
+                           .withColumn("on", deep & F.col("k_host").isNotNull()).drop("k_host", "k_template"), f"url-deep-{d}")
+            tail = F.when(deep, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
+            done.append(split.filter(~F.col("on")).withColumn("template", tail).drop("on"))
+            cur = split.filter("on").drop("on")
+            if cur.isEmpty():
+                break
         seg = F.get("segs", F.lit(d))
         child = (cur.filter(F.size("segs") > d).groupBy("host", "template", seg.alias("seg"))
                  .agg(*[F.sum(c).alias(c) for c in classes]))
@@ -94,6 +104,8 @@ def templates(paths: DataFrame, spec: UrlFilter) -> DataFrame:
         step = F.when(F.size("segs") > d, F.concat(F.col("template"), F.lit("/"), F.coalesce("k_seg", F.lit("*"))))
         cur = stored(nxt.withColumn("template", F.coalesce(step, F.col("template"))).drop("k_host", "k_template", "k_seg"),
                      f"url-level-{d}")
+    for part in done:
+        cur = cur.unionByName(part)
     return cur.drop("segs")
 
 

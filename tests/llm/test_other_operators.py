@@ -134,6 +134,18 @@ def test_verdicts_by_hand(spark):
     assert compare_verdicts(spark, more, rules)[0]["http://big.org/bad/x7"][0] == "block"
 
 
+def test_deep_paths_by_hand(spark):
+    deep = "/".join("abcdefgh")
+    urls = [f"http://d.org/{deep}/{x}/{y}/{k}" for x in ("bad", "good") for y in ("s", "t") for k in range(40)]
+    urls += [f"http://d.org/{deep}/bad/s/{k}/" + "/".join("x" * 30) for k in range(20)] + [f"http://d.org/{deep}", "http://d.org/a"]
+    urls += [f"http://e.org/{deep}/{k}/{k % 3}" for k in range(30)]  # no rule: the tail cannot matter
+    got, exp = compare_verdicts(spark, urls, [("block", f"d.org/{deep}/bad/{y}/{k}") for y in "st" for k in (1, 2)])
+    assert {u: v[0] for u, v in got.items()} == {u: v[0] for u, v in exp.items()}
+    assert got[f"http://d.org/{deep}/bad/t/39"][0] == "block" and got[f"http://d.org/{deep}/good/t/39"][0] == "allow"
+    assert all(got[u] == exp[u] for u in urls if not got[u][1].endswith("**"))
+    assert got[urls[-1]][1] == f"/{deep}/**"
+
+
 def test_urls_of_an_empty_table(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
