@@ -3,7 +3,7 @@
 1. Quality rules: documents that the rules reject go.
 2. Near duplicates (5-word shingles, similarity 0.8): one document of each group stays.
 3. Secrets are replaced by a mark.
-4. Sources are mixed to weights 3, 1, 2, ...: 150 % of the words, in blocks of 512 words, no source beyond twice its size.
+4. Sources are mixed to weights 3, 1, 2, ...: 150 % of the words, in op9's blocks of 16 words, no source beyond twice its size.
 5. SentencePiece: two sampled segmentations of each text.
 
 All stages but the last return the columns of ``documents``. ``run`` writes each stage as Parquet into the
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from leadlens.llm import mixing, near_dup, piece_sampler, quality, secret_scan
 from leadlens.llm.common import stored, table
 
-MIX = mixing.Mix(block_words=512)
+MIX = mixing.Mix()
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

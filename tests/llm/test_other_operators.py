@@ -185,6 +185,29 @@ def test_pipeline_stages_on_planted_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, path).select("doc_id").distinct().count() == len(pieces)
 
 
+def test_pipeline_mix_keeps_small_sources(spark):
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    sizes = {f"s{k:02d}": n for k, n in enumerate([20, 35, 64, 90, 127, 128, 150, 200, 25, 110, 3000])}
+    rows = [(100 * k + j, " ".join(f"w{rng.randrange(500)}" for _ in range(n)), "en", s, 0)
+            for k, (s, total) in enumerate(sizes.items()) for j, n in enumerate([total // 2, total - total // 2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    taken, want = Counter(), {}
+    for r in corpus_pipeline.source_mix(spark, docs, "").collect():
+        taken[r.source] += len(r.text.split())
+    names, weights, capped, goal = sorted(sizes), corpus_pipeline.MIX.weights, {}, 1.5 * sum(sizes.values())
+    weight = {s: weights[k % 3] for k, s in enumerate(names)}
+    while not want:
+        rest = [s for s in names if s not in capped]
+        level = (goal - sum(capped.values())) / sum(weight[s] for s in rest)
+        over = [s for s in rest if 2 * sizes[s] < level * weight[s]]
+        capped.update({s: 2 * sizes[s] for s in over})
+        want = {} if over else {s: capped.get(s, level * weight[s]) for s in names}
+    for s in names:  # rounded to a block, and the last block of a run may be short
+        assert taken[s] > 0 and abs(taken[s] - want[s]) <= 2 * corpus_pipeline.MIX.block_words, s
+
+
 def test_all_queries_are_registered():
     import __spark_entry__ as entry
 
