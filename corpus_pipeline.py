@@ -50,7 +50,7 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("secrets", secrets),
           ("source mix", source_mix), ("pieces", pieces)]
 
-#: No stage but the base counts of the first can be stated in SQL; tests hold the stages against brute force.
+#: No stage but the base counts of the first can be stated in SQL; tests hold parts of them against brute force.
 ORACLE_SQL = None
 
 
