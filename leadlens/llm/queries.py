@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, lm_score, mixing, near_dup, piece_sampler, quality, secret_scan, substring_dedup, topk_search, url_filter
+from . import (bucket_resample, centroid_clusters, learned_search, license_scan, lm_score, mixing, near_dup, piece_sampler, quality,
+               secret_scan, sql, substring_dedup, topk_search, url_filter)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_bucket_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of ``documents``, drawn towards the words and word pairs of ``benchmark``."""
+    return bucket_resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 exact clusters of ``embeddings`` after three rounds."""
+    return centroid_clusters.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_learned_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every query row of ``embeddings`` (ids divisible by 20)."""
+    return learned_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_piece_sampler": op2_piece_sampler,
@@ -77,21 +93,10 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_source_mix": op9_source_mix,
     "op10_url_filter": op10_url_filter,
+    "op11_bucket_resample": op11_bucket_resample,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_learned_search": op13_learned_search,
 }
 
-TOPK_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
-  FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (
-  SELECT q.vec_id AS query_id, o.vec_id, CAST(list_inner_product(q.c, o.c) AS BIGINT) AS score
-  FROM v q JOIN v o ON o.vec_id <> q.vec_id AND len(o.c) = len(q.c)
-  WHERE q.vec_id % 50 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-FROM s QUALIFY rank <= 5
-"""
-
 #: DuckDB SQL of the queries that SQL can state; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {"op4_topk_search": TOPK_SQL}
+ORACLE: dict[str, str] = {"op4_topk_search": sql.TOPK, "op11_bucket_resample": sql.RESAMPLE, "op12_centroid_clusters": sql.CLUSTERS}
