@@ -362,6 +362,17 @@ class Booster:
         return [tuple(getattr(t, name).tobytes() for name in TREE_FIELDS) for t in self.trees]
 
 
+def scorer(models: dict[str, Booster]):
+    """Probability of each row by the model named in its field ``model_segment``; features as ``Layout.codes`` reads them."""
+    def run(rows: pd.DataFrame) -> pd.Series:
+        out = np.zeros(len(rows))
+        for name, at in rows.groupby("model_segment").indices.items():
+            b = models[name]
+            out[at] = b.probabilities(b.layout.codes(rows.iloc[at]))
+        return pd.Series(out)
+    return F.pandas_udf(run, "double")
+
+
 TREE_FIELDS = ("feature", "code", "missing_left", "gain", "cover", "value")
 TREE_TYPES = dict(feature=np.int32, code=np.int32, missing_left=bool, gain=float, cover=float, value=float)
 TREES = "model int, tree int, watched double, " + ", ".join(f"{n} binary" for n in TREE_FIELDS)
@@ -482,7 +493,7 @@ CHOSEN = ("model int, node long, g long, h long, feature int, code int, missing_
 def chooser(models: list[Growing]):
     by_model = {m.task.model: m for m in models}
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         m = by_model[int(key[0])]
         out = []
         curve, cells = pdf[pdf["node"] < 0], pdf[pdf["node"] >= 0]
@@ -592,7 +603,7 @@ def numeric_cuts(df: DataFrame, num: list[str], by: str, max_bins: int = MAX_BIN
 
 def packer(layouts: dict[int, Layout], block_rows: int):
     """Rows of one partition to blocks."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         layout = layouts[int(key[0])]
         out = []
         for a in range(0, len(pdf), block_rows):

@@ -15,7 +15,7 @@ from leadlens.streaming.scoring import LiveModels, score_stream
 
 from conftest import SF_MID
 
-TINY = M.TrainBudget(n_iter=1, n_folds=2, search_rounds=2, max_rounds=5, n_seeds=1, seed=7, parallelism=2)
+TINY = M.TrainBudget(n_iter=1, n_folds=2, search_rounds=2, max_rounds=5, n_seeds=1, seed=7)
 
 
 @pytest.fixture(scope="module")
