@@ -341,9 +341,9 @@ class Booster:
     def probabilities(self, codes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-self.margins(codes)))
 
-    def table(self) -> pd.DataFrame:
-        """One row a node that is reached: tree, node, feature (null: leaf), cut (a numeric split's upper bound), slot (a
-        categorical one's), missing_left, gain, cover, value."""
+    def table(self) -> list[tuple]:
+        """One row a node that rows can reach: tree, node, feature (null: leaf), cut (a numeric split's upper bound), slot (a
+        categorical one's), missing_left, gain, cover, value (of a leaf)."""
         rows = []
         for i, t in enumerate(self.used()):
             todo = [1]
@@ -354,9 +354,10 @@ class Booster:
                 names = self.layout.num + self.layout.cat
                 rows.append((i, n, names[f] if f >= 0 else None, float(self.layout.cuts[names[f]][t.code[n] - 1]) if numeric else None,
                              int(t.code[n]) if f >= 0 and not numeric else None, bool(t.missing_left[n]) if numeric else None,
-                             float(t.gain[n]) if f >= 0 else None, float(t.cover[n]), float(t.value[n])))
+                             float(t.gain[n]) if f >= 0 else None, float(t.cover[n]),
+                             None if f >= 0 else float(t.value[n])))
                 todo += [2 * n, 2 * n + 1] if f >= 0 else []
-        return pd.DataFrame(rows, columns=["tree", "node", "feature", "cut", "slot", "missing_left", "gain", "cover", "value"])
+        return rows
 
     def packed(self) -> list[tuple[bytes, ...]]:
         return [tuple(getattr(t, name).tobytes() for name in TREE_FIELDS) for t in self.trees]
@@ -373,6 +374,8 @@ def scorer(models: dict[str, Booster]):
     return F.pandas_udf(run, "double")
 
 
+NODES = ("tree int, node int, feature string, cut double, slot int, missing_left boolean, gain double, cover double, "
+         "value double")
 TREE_FIELDS = ("feature", "code", "missing_left", "gain", "cover", "value")
 TREE_TYPES = dict(feature=np.int32, code=np.int32, missing_left=bool, gain=float, cover=float, value=float)
 TREES = "model int, tree int, watched double, " + ", ".join(f"{n} binary" for n in TREE_FIELDS)

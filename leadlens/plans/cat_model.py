@@ -16,10 +16,12 @@ from ..operators import model as M
 from ..operators import prepare as P
 from ..operators import rank as R
 from ..operators import registry as RG
+from ..operators.boosting import NODES
 from ..operators.split import stratified_folds, stratified_split
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from .cat_prepare import loaded, psql
+from . import boost_sql as BS
 from . import oracle as O
 from .catalogue import register
 from .training_run import train_segments
@@ -106,6 +108,32 @@ def q_fit_early_stop(spark, sf_dir):
     return spark.createDataFrame(rows, "segment string, round int, eval_pr_auc double, best boolean, best_iteration int")
 
 
+#: A fit that SQL can restate: no sampling, two levels a tree, the least number of production rounds.
+FIXED = {"max_depth": 2, "learning_rate": 0.3, "reg_lambda": 1.5, "reg_alpha": 0.25, "min_child_weight": 2, "gamma": 0.5}
+BOOST_CTES = [*BS.encoded(config.FEATURE_OVERRIDES, {"ga_session_number"}), *BS.fitted(FIXED, config.MIN_ROUNDS)]
+
+
+def _fixed_bundles(spark, sf_dir):
+    df = P.load_training_frame(loaded_table(spark, sf_dir))
+    parts = {seg: P.segment_frame(df, seg) for seg in config.SEGMENTS}
+    return {seg: M.fit_production(p, seg, M.feature_spec(p, config.FEATURE_OVERRIDES[seg]), FIXED, 1) for seg, p in parts.items()}
+
+
+@register("boosted_trees", psql(BS.trees_select(config.MIN_ROUNDS), *BOOST_CTES))
+def q_boosted_trees(spark, sf_dir):
+    """Every node of the models that fixed parameters give on 100 % of each segment."""
+    rows = [(seg, *r) for seg, b in _fixed_bundles(spark, sf_dir).items() for r in b.model.table()]
+    out = spark.createDataFrame(rows, f"segment string, {NODES}")
+    return out.withColumns({c: F.round(c, 9) for c in ("gain", "cover", "value")})
+
+
+@register("boosted_scores", psql(BS.scores_select(config.MIN_ROUNDS), *BOOST_CTES))
+def q_boosted_scores(spark, sf_dir):
+    """Batch scores of all leads by those models, in one scan."""
+    out = M.score_batch(loaded(spark, sf_dir), _fixed_bundles(spark, sf_dir), ["ld_mcs_id"])
+    return out.select("ld_mcs_id", config.SEGMENT_COL, "model_segment", F.round("score", 9).alias("score"))
+
+
 def _meta_frame(spark, sf_dir, keys):
     res = trained(spark, sf_dir)
     rows = [(seg, *[json.dumps(b.meta.get(k), default=str) if isinstance(b.meta.get(k), (dict, list)) else str(b.meta.get(k))
