@@ -166,7 +166,7 @@ def shrunk(g: np.ndarray, alpha: float) -> np.ndarray:
 
 
 def leaf_value(g, h, task: Task):
-    return -shrunk(g, task.param("reg_alpha", 0)) / (h + task.param("reg_lambda", 1)) * task.param("learning_rate", 0.3)
+    return (0 - shrunk(g, task.param("reg_alpha", 0))) / (h + task.param("reg_lambda", 1)) * task.param("learning_rate", 0.3)
 
 
 def allowed_splits(layout: Layout, task: Task, rnd: int) -> np.ndarray:

@@ -94,7 +94,7 @@ def fitted(p: dict, rounds: int) -> list[str]:
         weight = "CAST(sum(h) AS DOUBLE) / {u}".format(u=UNIT)
         out.append(f"""v{i} AS MATERIALIZED (
   SELECT seg, node, {weight} AS cover,
-         -(sign({total}) * greatest(abs({total}) - {p['reg_alpha']}, 0)) / ({weight} + {p['reg_lambda']}) * {p['learning_rate']} AS value
+         (0 - sign({total}) * greatest(abs({total}) - {p['reg_alpha']}, 0)) / ({weight} + {p['reg_lambda']}) * {p['learning_rate']} AS value
   FROM l{i} GROUP BY seg, node)""")
         out.append(f"""m{i + 1} AS MATERIALIZED (
   SELECT m.seg, m.rid, ld_mcs_id, y, w, m.m + v.value AS m FROM m{i} m JOIN l{i} l ON l.seg = m.seg AND l.rid = m.rid JOIN v{i} v ON v.seg = l.seg AND v.node = l.node)""")
