@@ -43,6 +43,16 @@ def literal_array(values: list) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
+def free_names(taken: list[str], n: int) -> list[str]:
+    """Column names that are not among ``taken``, in any case."""
+    used, out, i = {c.lower() for c in taken}, [], 0
+    while len(out) < n:
+        if f"_t{i}" not in used:
+            out.append(f"_t{i}")
+        i += 1
+    return out
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back: both a lineage cut and a pruned, typed table."""
     spark = df.sparkSession
@@ -53,5 +63,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-__all__ = ["WORD", "LOWER_TABLE", "ascii_lower", "by_value", "durable", "ensure_session", "literal_array",
+__all__ = ["WORD", "LOWER_TABLE", "ascii_lower", "by_value", "durable", "ensure_session", "free_names", "literal_array",
            "scratch_path", "stored", "table"]

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, stored
+from .common import by_value, free_names, stored
 
 by_value(__name__)
 
@@ -335,7 +335,8 @@ def groups(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", t
 
 def keep_one(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row of each group with its smallest id, with all columns; of rows that repeat id and text one stays."""
+    id_, tkey = free_names(docs.columns, 2)
     found = groups(docs, spec, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__id__"), F.col("tkey").alias("__tkey__")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__id__"))
-                     & (F.md5(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__tkey__"))).select(*docs.columns)
+        F.col("doc_id").alias(id_), F.col("tkey").alias(tkey)).distinct()
+    return docs.join(found, F.col(id_col).eqNullSafe(F.col(id_))
+                     & (F.md5(F.coalesce(F.col(text_col), F.lit(""))) == F.col(tkey))).select(*docs.columns)

@@ -15,7 +15,8 @@ queue as sets of their own. The next bound left in the queue is the threshold ``
 key and the place, so results do not depend on how rows are dealt.
 
 Each row is handled alone, so size and skew do not matter; the distinct words of a chunk of rows get their
-lattices at once, and a text longer than ``chunk_chars`` is a chunk of its own.
+lattices at once, and a text longer than ``chunk_chars`` is a chunk of its own. A task keeps the lattices of words that it
+has met, up to ``word_chars`` characters, then begins anew; memory is bounded by both.
 
 Edge cases: null and empty texts have one segmentation, without pieces; a text with fewer segmentations
 than ``samples`` gives all it has, with inclusion score 1; rows that repeat the key and the text get equal
@@ -27,7 +28,9 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, field
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -53,7 +56,8 @@ class PieceSampler:
     model: str = "/opt/tokenizers/piece_bpe_32k.model"
     samples: int = 2
     seed: int = 11
-    chunk_chars: int = 1_000_000
+    chunk_chars: int = 200_000   # texts that are solved together; a row counts as 40 characters at least
+    word_chars: int = 400_000    # words whose lattices are kept from chunk to chunk
 
 
 @dataclass(frozen=True)
@@ -194,6 +198,18 @@ class Lattice:
         self.cum[self.edge_at[1:] - 1] = np.arange(len(self.edge_at) - 1) + 1.0
 
 
+    def extended(self, other: "Lattice") -> "Lattice":
+        """Both lattices as one, the other's words after the own."""
+        arcs, nodes = len(self.piece), len(self.edge_at) - 1
+        out = object.__new__(Lattice)
+        out.piece, out.logq = np.concatenate([self.piece, other.piece]), np.concatenate([self.logq, other.logq])
+        out.to = np.concatenate([self.to, np.where(other.to < 0, -1, other.to + nodes)])
+        out.edge_at = np.concatenate([self.edge_at, other.edge_at[1:] + arcs])
+        out.cum = np.concatenate([self.cum, other.cum + nodes])
+        out.roots = np.concatenate([self.roots, other.roots + nodes])
+        return out
+
+
 def walk(roots: np.ndarray, seeds: np.ndarray, cum: np.ndarray, to: np.ndarray, edge_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One random path for each word, all words a step at a time: arcs in order, and where each word's begin."""
     unit, node, step = np.arange(len(roots)), roots, 0
@@ -240,16 +256,16 @@ class Search:
             self.order += 1
             heapq.heappush(self.queue, (-bound, self.order, arcs, words, t, out))
 
-    def branch(self, arcs: np.ndarray, words: np.ndarray, since: int, bound: float) -> float:
+    def branch(self, arcs: np.ndarray, words: np.ndarray, since: int, bound: float, most: int) -> float:
         """Queue the sets that a path passed by from step ``since`` on; its log-probability comes back. Only the
-        ``samples`` best of them can ever be popped."""
+        ``most`` best of them can ever be popped or be the threshold."""
         lq = self.logq[arcs]
         mass = np.concatenate([[0.0], np.cumsum(lq)])
         with np.errstate(divide="ignore"):
             rest = mass[since:-1] + np.log1p(-np.minimum(np.exp(lq[since:]), 1.0))
         g = below(rest, bound, self.noise(len(rest)))
-        best = np.argpartition(-g, self.samples)[:self.samples] if len(g) > self.samples else np.arange(len(g))
-        for i in best.tolist():
+        best = [g.argmax()] if most == 1 and len(g) else np.argpartition(-g, most)[:most].tolist() if len(g) > most else range(len(g))
+        for i in best:
             self.push(float(g[i]), arcs, words, since + i, (int(arcs[since + i]),))
         return float(mass[-1])
 
@@ -277,11 +293,11 @@ class Search:
         """(arcs, log-probability, perturbed value) of the samples, best first, and the threshold."""
         arcs, words = self.paths[0]
         bound = float(-np.log(-np.log(self.noise(1)[0])))
-        found = [(arcs, self.branch(arcs, words, 0, bound), bound)]
+        found = [(arcs, self.branch(arcs, words, 0, bound, self.samples), bound)]
         while self.queue and len(found) < self.samples:
             g, _, arcs, words, t, out = heapq.heappop(self.queue)
             path, path_words = self.fork(len(found), arcs, words, t, out, -g)
-            found.append((path, self.branch(path, path_words, t + 1, -g), -g))
+            found.append((path, self.branch(path, path_words, t + 1, -g, self.samples - len(found)), -g))
         return found, -self.queue[0][0] if self.queue else -np.inf
 
 
@@ -307,15 +323,31 @@ def decoded(ids, spelt: tuple) -> str:
     return b"".join(map(spelt.__getitem__, ids.tolist())).decode()[1:] if len(ids) else ""
 
 
-def encode_texts(keys: list, texts: list, v: Vocabulary, spec: PieceSampler) -> list[tuple]:
+@dataclass
+class Known:
+    """The words that a task has met, numbered in this order, with their lattices."""
+    types: defaultdict = field(default_factory=lambda: defaultdict(count().__next__))
+    lattice: Lattice | None = None
+
+    def learn(self, v: Vocabulary) -> Lattice:
+        """The lattice of all words, those without one solved now."""
+        have = 0 if self.lattice is None else len(self.lattice.roots)
+        if have < len(self.types) or self.lattice is None:
+            new = Lattice(list(self.types)[have:], v)
+            self.lattice = new if self.lattice is None else self.lattice.extended(new)
+        return self.lattice
+
+
+def encode_texts(keys: list, texts: list, v: Vocabulary, spec: PieceSampler, known: Known | None = None) -> list[tuple]:
     """(row, sample, ids, log_prob, perturbed, kappa) of the samples of a chunk of texts."""
-    types: dict = {}
+    known = Known() if known is None else known
+    types = known.types
     words, sizes = [], []
     for t in texts:
         units = units_of(t)
-        words += [types.setdefault(w, len(types)) for w in units]
+        words.extend(map(types.__getitem__, units))
         sizes.append(len(units))
-    lattice = Lattice(list(types), v)
+    lattice = known.learn(v)
     sizes = np.array(sizes, dtype=np.int64)
     roots = lattice.roots[np.array(words, dtype=np.int64)]
     seeds = np.array([xxhash.xxh3_64_intdigest(f"{spec.seed}:{key}") for key in keys], dtype=np.uint64)
@@ -344,8 +376,8 @@ def uniform_seed(x: np.ndarray, sample: int) -> np.ndarray:
 
 
 def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str], check: bool):
-    def frame(rows: list) -> pd.DataFrame:
-        got = encode_texts([r[0] for r in rows], [r[1] or "" for r in rows], vocabulary, spec)
+    def frame(rows: list, known: Known) -> pd.DataFrame:
+        got = encode_texts([r[0] for r in rows], [r[1] or "" for r in rows], vocabulary, spec, known)
         kappa = np.array([x[5] for x in got], dtype=float)
         logp = np.array([x[3] for x in got], dtype=float)
         with np.errstate(over="ignore"):
@@ -361,16 +393,18 @@ def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str], check
         return pd.DataFrame(data)
 
     def sample(batches):
-        rows, chars = [], 0
+        rows, chars, known = [], 0, Known()
         for pdf in batches:
             for r in pdf.itertuples(index=False, name=None):
                 rows.append(tuple(None if x is None or x != x else x for x in r))
-                chars += len(r[1] or "")
+                chars += max(len(r[1] or ""), 40)
                 if chars >= spec.chunk_chars:
-                    yield frame(rows)
+                    yield frame(rows, known)
                     rows, chars = [], 0
+                    if known.lattice is not None and len(known.lattice.edge_at) > spec.word_chars:
+                        known = Known()
         if rows:
-            yield frame(rows)
+            yield frame(rows, known)
     return sample
 
 

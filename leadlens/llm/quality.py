@@ -7,12 +7,12 @@ probability of being good reaches ``keep_at`` (and the base rule, fewer than 50
 of them in repeated windows, has not failed it).
 
 Votes depend on one text each. The table is reduced to counts of vote patterns (at most
-``3 ** len(RULES)`` rows, whatever its size) before anything reaches the driver; the verdict is then a
-literal lookup by pattern, so no row is shuffled.
+``3 ** len(RULES)`` rows, whatever its size) before anything reaches the driver; the posterior of each
+pattern goes back by a broadcast join with as many rows, so no text is shuffled.
 
 Edge cases: a null or empty text has no words, counts 0 and fails the base rule; repeated rows are
-judged alike and each counts in the estimate; an empty table gives an empty result; a column
-of the input is only replaced if it is called ``__quality__``.
+judged alike and each counts in the estimate; an empty table gives an empty result; columns that are
+added on the way have names that the input does not use.
 """
 from __future__ import annotations
 
@@ -22,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, stored
+from .common import by_value, free_names, stored
 
 by_value(__name__)
 
@@ -36,7 +36,7 @@ STOP_WORDS = frozenset("the of and to in a is that for it as was with be by on n
                        "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch "
                        "de la le et les des en un du une que est pour qui dans par plus pas au sur "
                        "el y los del las se por con no para su al lo como más".encode().split())
-TEMP = "__quality__"
+TEMP = "measures"
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SCHEMA = ", ".join(f"{m} long" for m in METRICS) + ", votes string"
 
@@ -109,9 +109,9 @@ def metrics(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([measure(t) for t in texts], columns=[*METRICS, "votes"])
 
 
-def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def measured(docs: DataFrame, text_col: str = "text", name: str = TEMP) -> DataFrame:
     udf = F.pandas_udf(metrics, SCHEMA)
-    return docs.withColumn(TEMP, udf(F.col(text_col)))
+    return docs.withColumn(name, udf(F.col(text_col)))
 
 
 def estimate(patterns: dict[str, int], n_rules: int, rounds: int = 500, tol: float = 1e-8) -> Model:
@@ -142,31 +142,33 @@ def fit(rows: DataFrame) -> Model:
     return estimate({r["votes"]: r["n"] for r in counts}, len(measure("")[-1]))
 
 
-def base_failed():
-    q = F.col(TEMP)
+def base_failed(name: str = TEMP):
+    q = F.col(name)
     return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 
 
-def verdict(rows: DataFrame, model: Model, keep_at: float):
-    """Posterior and kept as columns; the lookup table is as large as the set of vote patterns at most."""
-    items = [x for k, p in sorted(model.posterior.items()) for x in (F.lit(k), F.lit(p))]
-    post = F.element_at(F.create_map(*items), F.col(TEMP)["votes"]) if items else F.lit(None).cast("double")
-    return rows.withColumn("__posterior__", post), ~base_failed() & (F.col("__posterior__") >= keep_at)
+def verdict(rows: DataFrame, model: Model, keep_at: float, name: str = TEMP) -> tuple[DataFrame, str, Column]:
+    """The rows with their posterior, the name of its column, and whether a row is kept."""
+    votes, post = free_names(rows.columns, 2)
+    table = rows.sparkSession.createDataFrame(sorted(model.posterior.items()), f"{votes} string, {post} double")
+    out = rows.join(F.broadcast(table), F.col(name)["votes"] == F.col(votes), "left").drop(votes)
+    return out, post, ~base_failed(name) & (F.col(post) >= keep_at)
 
 
 def rate(docs: DataFrame, keep_at: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, the base counts, base_failed, kept and the posterior."""
     rows = stored(measured(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text")
                   .select("doc_id", TEMP), "quality")
-    rows, kept = verdict(rows, fit(rows), keep_at)
+    rows, post, kept = verdict(rows, fit(rows), keep_at)
     return rows.select("doc_id", *[F.col(TEMP)[m].alias(m) for m in METRICS], base_failed().alias("base_failed"),
-                       kept.alias("kept"), F.col("__posterior__").alias("posterior"))
+                       kept.alias("kept"), F.col(post).alias("posterior"))
 
 
 def keep_good(docs: DataFrame, keep_at: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns. The texts are measured twice, once for the
     estimate and once for the verdict, instead of being shuffled or stored."""
     columns = docs.columns
-    model = fit(measured(docs.select(text_col), text_col))
-    rows, kept = verdict(measured(docs, text_col), model, keep_at)
+    model = fit(measured(docs.select(F.col(text_col).alias("text"))))
+    name = free_names(columns, 1)[0]
+    rows, _, kept = verdict(measured(docs, text_col, name), model, keep_at, name)
     return rows.filter(kept).select(*columns)

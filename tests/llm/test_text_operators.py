@@ -467,6 +467,85 @@ def test_mix_meets_targets(spark, odd):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def seats_by_hand(votes, caps, house):
+    """Seats one after the other to the highest quotient; ties to the earlier party."""
+    won = [0] * len(votes)
+    for _ in range(house):
+        able = [(-v / (2 * w + 1), i) for i, (v, w, c) in enumerate(zip(votes, won, caps)) if w < c and v > 0]
+        if not able:
+            break
+        won[min(able)[1]] += 1
+    return won
+
+
+@pytest.mark.parametrize("n,most,block", [(400, 5, 16), (60, 200, 16), (7, 3000, 16), (30, 40, 3)])
+def test_taken_words_by_hand(spark, n, most, block):
+    """Every document's share: seats of sources and of shards by highest quotients, passes and blocks at equal steps."""
+    rng = random.Random(n)
+    rows = []
+    for s in range(n):
+        left = most if most == 5 else rng.randint(1, most)
+        while left:
+            k = rng.randint(1, left)
+            rows.append((len(rows), words(rng, k), f"s{s:04d}"))
+            left -= k
+    spec = mixing.Mix(shard_rows=4, block_words=block)
+    df = frame(spark, rows)
+    got = {r.doc_id: r for r in mixing.mix(df, spec).collect()}
+    sizes = Counter()
+    for r in got.values():
+        sizes[r.source] += r.size
+    want = targets_by_hand(sizes, spec.weights, spec.share, spec.epochs)
+    names = sorted(sizes)
+    seat = max(1, min(block, int(min(v for v in want.values() if v > 0) / 8)))
+    caps = [-(-sizes[s] * spec.epochs // seat) for s in names]
+    seats = dict(zip(names, seats_by_hand([want[s] for s in names], caps, int(sum(want.values()) / seat + 0.5))))
+    exp = {}
+    for s in names:
+        mine = [r for r in got.values() if r.source == s]
+        n_shards = -(-len(mine) // spec.shard_rows)
+        shards = {k: sorted([r for r in mine if r.row_hash % n_shards == k], key=lambda r: (r.row_hash, r.doc_id)) for k in range(n_shards)}
+        shards = {k: v for k, v in shards.items() if v}
+        total = [sum(r.size for r in v) for v in shards.values()]
+        quota = seats_by_hand(total, [-(-t * spec.epochs // seat) for t in total], seats[s])
+        starts = {r.k: r.h for r in spark.createDataFrame([(s, k) for k in shards], "s string, k long")
+                  .select("k", F.xxhash64(F.lit(spec.seed), "s", "k").alias("h")).collect()} if n < 100 else None
+        for (k, docs), t, q in zip(shards.items(), total, quota):
+            give = min(q * seat, t * spec.epochs)
+            b = block if t >= 64 * block else 1
+            blocks, passes = -(-t // b), give // t
+            extra = min(int((give - passes * t) / b + 0.5), blocks)
+            if starts is None:
+                exp.update({r.doc_id: None for r in docs})
+                exp[s, k] = (passes, extra, blocks, t, b)
+                continue
+            start, place = starts[k] % blocks, 0
+            for r in docs:
+                hit = sum(1 for w in range(place, place + r.size) if ((w // b + 1) * extra + start) // blocks > (w // b * extra + start) // blocks)
+                exp[r.doc_id] = passes * r.size + hit
+                place += r.size
+    if n < 100:
+        assert {i: r.taken for i, r in got.items()} == exp
+    taken = Counter()
+    for r in got.values():
+        taken[r.source] += r.taken
+        assert 0 <= r.taken <= spec.epochs * r.size
+    for s in names:
+        shards = -(-sum(r.source == s for r in got.values()) // spec.shard_rows)
+        assert abs(taken[s] - want[s]) <= seat + shards * (block if sizes[s] >= 64 * block else 1), s
+    assert abs(sum(taken.values()) - sum(want.values())) <= 0.02 * sum(want.values()) + 2 * seat
+
+
+def test_mix_with_clashing_columns(spark):
+    df = frame(spark, [(i, "a b c " * 9, "s") for i in range(20)])
+    for c in ("__passes__", "__id__", "_t0", "_T1", "target", "taken"):
+        df = df.withColumn(c, F.lit(1))
+    out = mixing.mixed(df, length_col="n_chars")
+    assert out.columns == df.columns and out.count() >= 20
+    kept = near_dup.keep_one(df, near_dup.NearDup(shingle=5, threshold=(80, 100)))
+    assert kept.columns == df.columns and kept.count() == 1
+
+
 def test_mixed_rows_hold_the_taken_words(spark):
     rng = random.Random(3)
     rows = [(k, words(rng, rng.randint(0, 90)), f"s{k % 4}") for k in range(80)] + [(99, None, "s0")]
