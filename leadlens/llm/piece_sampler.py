@@ -56,8 +56,8 @@ class PieceSampler:
     model: str = "/opt/tokenizers/piece_bpe_32k.model"
     samples: int = 2
     seed: int = 11
-    chunk_chars: int = 200_000   # texts that are solved together; a row counts as 40 characters at least
-    word_chars: int = 400_000    # words whose lattices are kept from chunk to chunk
+    chunk_chars: int = 150_000   # texts that are solved together; a row counts as 40 characters at least
+    word_chars: int = 150_000    # words whose lattices are kept from chunk to chunk
 
 
 @dataclass(frozen=True)
