@@ -1,17 +1,23 @@
 """Data fingerprint, provenance, model registry, promotion gate and live-model lookup.
 
-The registry is an append-only parquet table; "live" for a segment is its newest
-``stage = 'live'`` row. Promotion appends a live row pointing at the candidate's bundle.
+The registry is an append-only table: rows are written to a folder of their own and become part of it by an entry of its
+commit log, so concurrent writers lose nothing and readers see whole commits only. "Live" for a segment is its newest
+``stage = 'live'`` row. Promotion appends a live row pointing at the candidate's bundle, if the live version is still the
+one that the gate judged against. (Parquet files at the root of the folder, written by other means, count as rows too.)
 """
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config
+from ..session import hadoop_fs
+from ..sources.commits import CommitLog
 
 REGISTRY_SCHEMA = ("segment string, stage string, version string, path string, metric string, "
                    "metric_value double, created_at timestamp, meta string")
@@ -91,20 +97,66 @@ def live_metric(registry: DataFrame, metric: str = config.PROMOTION["metric"]) -
     return live.select("segment", F.when(F.col("metric") == F.lit(metric), F.col("metric_value")).alias("metric_value"))
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    from ..session import hadoop_fs
+def _rows_of(spark: SparkSession, path: str, entries: list[dict]) -> DataFrame:
     fs, p = hadoop_fs(spark, path)
-    if not fs.exists(p):
+    parts = [f"{path.rstrip('/')}/{e['add']}" for e in entries]
+    if fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p)):
+        parts.append(path)
+    if not parts:
         return spark.createDataFrame([], REGISTRY_SCHEMA)
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(*parts)
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """All committed rows."""
+    return _rows_of(spark, path, CommitLog(spark, path).entries())
+
+
+def _write_rows(rows: DataFrame, path: str) -> str:
+    """Rows in a folder of their own, not yet part of the registry; its name."""
+    name = f"_rows/{uuid.uuid4().hex}"
+    rows.select(*[f.split()[0] for f in REGISTRY_SCHEMA.split(", ")]).write.parquet(f"{path.rstrip('/')}/{name}")
+    return name
 
 
 def append_registry(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    rows.select(*[f.split()[0] for f in REGISTRY_SCHEMA.split(", ")]).write.mode("append").parquet(path)
+    """Append rows in one commit; safe beside other writers."""
+    name = _write_rows(rows, path)
+    CommitLog(spark, path).commit(lambda entries: {"add": name, "kind": "append"})
+
+
+def live_versions(registry: DataFrame) -> dict[str, str]:
+    return {r["segment"]: r["version"] for r in latest_per_segment(registry, "live").select("segment", "version").collect()}
+
+
+def promote_if_unchanged(spark: SparkSession, path: str, decisions: DataFrame, judged_against: dict[str, str],
+                         now: dt.datetime) -> list[str]:
+    """Append the live rows of promoted segments whose live version is still the one in ``judged_against`` (no entry: none
+    was live); the promoted segments come back. A run that another promotion has overtaken changes nothing there."""
+    wanted = [r["segment"] for r in decisions.filter(F.col("promoted")).select("segment").collect()]
+    done: list[str] = []
+
+    def build(entries: list[dict]) -> dict | None:
+        registry = _rows_of(spark, path, entries)
+        live = live_versions(registry)
+        done[:] = [s for s in wanted if live.get(s) == judged_against.get(s)]
+        if not done:
+            return None
+        rows = promote(registry, decisions.filter(F.col("segment").isin(done)), now)
+        return {"add": _write_rows(rows, path), "kind": "promote", "segments": done}
+
+    CommitLog(spark, path).commit(build)
+    return done
+
+
+def registered_hash(meta: str | None) -> str | None:
+    """Content hash of a bundle as its registry row states it."""
+    return json.loads(meta).get("content_sha256") if meta else None
 
 
 def load_live_models(spark: SparkSession, registry: DataFrame, segments=config.SEGMENTS) -> tuple[dict, dict]:
-    """Live bundle per segment; a segment that fails to load is skipped, not fatal.
+    """Live bundle per segment; a segment that fails to load, or whose content is not what was registered, is skipped, not
+    fatal.
 
     Returns ``(bundles, versions)``.
     """
@@ -116,7 +168,7 @@ def load_live_models(spark: SparkSession, registry: DataFrame, segments=config.S
         if r is None:
             continue
         try:
-            bundles[seg] = ModelBundle.load(spark, r["path"])
+            bundles[seg] = ModelBundle.load(spark, r["path"], registered_hash(r["meta"]))
             versions[seg] = r["version"]
         except Exception as e:  # noqa: BLE001 — one bad segment must not take down the others
             print(f"segment {seg}: bundle {r['path']} is unreadable and left out ({e})")

@@ -75,9 +75,9 @@ def train_segments(spark: SparkSession, table: DataFrame, models_root: str, regi
     cand_df = spark.createDataFrame(cand_rows, RG.REGISTRY_SCHEMA)
     RG.append_registry(spark, cand_df, registry_path)
     registry = RG.read_registry(spark, registry_path)
+    judged_against = RG.live_versions(registry)
     decisions = durable(RG.promotion_gate(cand_df.select("segment", "metric_value"), RG.live_metric(registry)))
-    # written from a frame that no longer reads the folder it is appended to
-    RG.append_registry(spark, durable(RG.promote(registry, decisions, now + dt.timedelta(seconds=1))), registry_path)
+    RG.promote_if_unchanged(spark, registry_path, decisions, judged_against, now + dt.timedelta(seconds=1))
     df.unpersist()
     return RunResult(registry_path, models_root, decisions, candidates, reports)
 

@@ -4,14 +4,16 @@
 ``reload_interval_s`` (0 or less: never after the first load) the live registry is re-read; segments
 whose live version changed are reloaded (a failing segment keeps its previous model). The versions of
 a batch are stored by its id before it is scored and hold for its replays. Each batch is scored with
-``score_batch`` — the exact batch path — and written with the model version used into a
-per-batch folder (``batch_id=N``, overwritten on replay, so a retried batch is idempotent);
-stream output equals batch output for the same models.
+``score_batch`` — the exact batch path — and written with the model version used into a folder of its own, which
+becomes part of the sink by an entry of the sink's commit log under the batch's number. Readers (``read_sink``) follow the
+log: a half-written batch is never seen, and a replay of a committed batch writes nothing.
+Stream output equals batch output for the same models.
 """
 from __future__ import annotations
 
 import json
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from .. import config
 from ..operators import model as M
 from ..operators import registry as RG
 from ..session import hadoop_fs
+from ..sources.commits import CommitLog
 
 VERSIONS = "segment string, version string, path string"
 
@@ -50,19 +53,19 @@ class LiveModels:
             if self.versions.get(seg) == r["version"]:
                 continue
             try:
-                self.bundles[seg] = self._bundle(r["path"])
+                self.bundles[seg] = self._bundle(r["path"], RG.registered_hash(r["meta"]))
                 self.versions[seg], self.paths[seg] = r["version"], r["path"]
                 changed.append(seg)
             except Exception as e:  # noqa: BLE001 — keep serving the previous model
                 print(f"segment {seg}: bundle {r['path']} is unreadable, the one in use stays ({e})")
         return changed
 
-    def _bundle(self, path: str) -> M.ModelBundle:
+    def _bundle(self, path: str, expected: str | None = None) -> M.ModelBundle:
         """A bundle by its path; bundles are written once, so those in use need no second load."""
         if path not in self._loaded:
             keep = set(self.paths.values())
             self._loaded = {p: b for p, b in self._loaded.items() if p in keep}
-            self._loaded[path] = M.ModelBundle.load(self.spark, path)
+            self._loaded[path] = M.ModelBundle.load(self.spark, path, expected)
         return self._loaded[path]
 
     def for_batch(self, marker: str) -> tuple[dict[str, M.ModelBundle], dict[str, str]]:
@@ -82,6 +85,19 @@ class LiveModels:
         return dict(self.bundles), dict(self.versions)
 
 
+def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """All committed batches, with ``batch_id``; None of them: an error, as the schema is not known."""
+    entries = CommitLog(spark, sink_dir).entries()
+    if not entries:
+        raise FileNotFoundError(f"{sink_dir} has no committed batch")
+    return spark.read.parquet(*[f"{sink_dir.rstrip('/')}/{e['add']}" for e in entries])
+
+
+def commit_batch(spark: SparkSession, sink_dir: str, batch_id: int, data: str) -> bool:
+    """Make a written folder the content of a batch, unless the batch has one."""
+    return CommitLog(spark, sink_dir).put(batch_id, {"add": data, "batch_id": batch_id})
+
+
 def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str, checkpoint_dir: str,
                  live: LiveModels, keep: list[str], max_files_per_trigger: int | None = None,
                  processing_time: str | None = None):
@@ -93,17 +109,20 @@ def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sin
     stream = reader.parquet(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch_id in CommitLog(spark, sink_dir).numbers():
+            return
         bundles, versions = live.for_batch(f"{sink_dir}/_versions/batch_id={batch_id}.json")
         scored = M.score_batch(batch, bundles, keep)
         ver = F.create_map(*[x for s, v in versions.items() for x in (F.lit(s), F.lit(v))]) if versions else None
         out = scored.withColumn(
             "model_version", F.try_element_at(ver, F.col("model_segment")) if ver is not None else F.lit(None).cast("string"))
-        # one folder per micro-batch, overwritten on replay: a retried batch never duplicates rows
-        out.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+        data = f"_data/{batch_id}-{uuid.uuid4().hex}"
+        out.withColumn("batch_id", F.lit(batch_id)).write.parquet(f"{sink_dir}/{data}")
+        commit_batch(spark, sink_dir, batch_id, data)
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_dir)
     if processing_time:
         return w.trigger(processingTime=processing_time).start()
     q = w.trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(sink_dir)
+    return read_sink(spark, sink_dir)

@@ -126,3 +126,58 @@ def test_failing_live_segment_does_not_stop_others(spark, run):
     scored = M.score_batch(payload, bundles, ["ld_mcs_id"])
     assert scored.count() == payload.count()
     assert {r[0] for r in scored.select("model_segment").distinct().collect()} == {"main"}
+
+
+def test_damaged_bundle_leaves_the_others(spark, run, tmp_path):
+    import shutil
+    _, _, res = run
+    reg = RG.manual_promote(RG.read_registry(spark, res.registry_path), dt.datetime(2024, 4, 1)).collect()
+    moved = []
+    for r in reg:
+        path = str(tmp_path / r["segment"])
+        shutil.copytree(r["path"], path)
+        moved.append((*r[:3], path, *r[4:]))
+    live = spark.createDataFrame(moved, RG.REGISTRY_SCHEMA)
+    assert set(RG.load_live_models(spark, live)[0]) == set(config.SEGMENTS)
+    meta = tmp_path / "main" / "meta"
+    text = spark.read.text(str(meta)).collect()[0][0].replace('"early": false', '"early": true')
+    spark.createDataFrame([(text,)], "v string").coalesce(1).write.mode("overwrite").text(str(meta))
+    bundles, versions = RG.load_live_models(spark, live)
+    assert set(bundles) == set(versions) == {"landing"}
+
+
+def test_stream_that_dies_between_write_and_commit(spark, run, monkeypatch):
+    from leadlens.streaming import scoring as S
+    root, table, res = run
+    reg_path = f"{root}/crash_registry"
+    RG.append_registry(spark, RG.read_registry(spark, res.registry_path).unionByName(
+        RG.manual_promote(RG.read_registry(spark, res.registry_path), dt.datetime(2024, 1, 31, 12))), reg_path)
+    payload = P.load_training_frame(table).drop(config.TARGET, config.SEGMENT_COL, "page_path", "utm_campaign")
+    payload.write.parquet(f"{root}/crash_src/part=1")
+    args = (spark, f"{root}/crash_src", payload.schema, f"{root}/crash_sink", f"{root}/crash_ckpt")
+
+    def die(*_):
+        raise RuntimeError("killed")
+    monkeypatch.setattr(S, "commit_batch", die)
+    with pytest.raises(Exception):
+        score_stream(*args, LiveModels(spark, reg_path), ["ld_mcs_id"])
+    with pytest.raises(FileNotFoundError):
+        S.read_sink(spark, f"{root}/crash_sink")  # the rows are written, but no batch is committed
+    monkeypatch.undo()
+    out = score_stream(*args, LiveModels(spark, reg_path), ["ld_mcs_id"])
+    bundles, _ = RG.load_live_models(spark, RG.read_registry(spark, reg_path))
+    key = lambda r: (r["ld_mcs_id"], r["score"], r["grade"])
+    assert sorted(map(key, out.collect())) == sorted(map(key, M.score_batch(payload, bundles, ["ld_mcs_id"]).collect()))
+
+
+def test_seed_summary_against_sql(spark):
+    import duckdb
+    import pandas as pd
+    values = [(s, m, (s * 7 + len(m)) % 5 / 3) for s in range(5) for m in ("pr_auc", "roc", "lift_A")]
+    iters = [3, 9, 4, 12, 5, 8]
+    got = M.seed_summary(spark, values, iters)
+    df, it = pd.DataFrame(values, columns=["seed", "metric", "value"]), pd.DataFrame({"n": iters})  # noqa: F841
+    sql = duckdb.sql("SELECT metric, avg(value), stddev_pop(value) FROM df GROUP BY metric").fetchall()
+    for metric, mean, std in sql:
+        assert got[metric] == {"mean": pytest.approx(mean), "std": pytest.approx(std)}
+    assert got["median_best_iter"] == duckdb.sql("SELECT CAST(trunc(median(n)) AS INTEGER) FROM it").fetchall()[0][0] == 6
