@@ -1,10 +1,11 @@
 """Secret scan: base patterns plus a log-likelihood ratio of two character Markov models.
 
-The labelled samples are taken from the whole table: what the base patterns find is random, the other
-runs of identifier characters are ordinary. Both classes are reduced to counts of character pairs (at
-most ``2 * 69 * 69`` rows), from which two smoothed first-order models follow. A run of ``min_run``
-characters or more outside the base spans is a secret when the ratio of its likelihoods under the two
-models is at least ``threshold`` nats and ``per_char`` nats a character. A run that base spans touch is
+The labelled samples are taken from the whole table: the values that the base patterns find are random, the other
+runs of identifier characters are ordinary. Random values are of two kinds with a model each, hexadecimal ones and all
+others, as the one would rule a common model by its number; a value counts once a text, however many patterns find it.
+The classes are reduced to counts of character pairs (at most ``3 * 69 * 69`` rows), from which three smoothed first-order
+models follow. A run of ``min_run`` characters or more outside the base spans is a secret when the ratio of its likelihoods
+under the better random model and the ordinary one is at least ``threshold`` nats and ``per_char`` nats a character. A run that base spans touch is
 cut at them, as it is for the samples, and each part outside is judged by itself, without the signs that
 join it to the span (a "/" at the edge would speak against a key that it only sets off).
 
@@ -33,6 +34,7 @@ by_value(__name__)
 # The base patterns as stated, in the order of their kinds, with the least length of what counts.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
+HEX_ONLY = re.compile(r"[0-9a-f]+")
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 KINDS = ("assign", "access", "hex", "markov")
@@ -107,37 +109,38 @@ def pair_counts(samples: Counter) -> np.ndarray:
 
 
 def sample_counts(batches):
-    """Pair counts of one partition's labelled samples, one row per class and pair."""
-    total = np.zeros((2, SIZE * SIZE))
+    """Pair counts of one partition's labelled samples, one row per class (hexadecimal, other random, ordinary) and pair."""
+    total = np.zeros((3, SIZE * SIZE))
     for pdf in batches:
-        random, ordinary = Counter(), Counter()
+        hexes, random, ordinary = Counter(), Counter(), Counter()
         for text in pdf["text"]:
             if text:
                 spans = base_spans(text)
-                random.update(secret_value(text, s).encode() for s in spans)
+                for v in {secret_value(text, s) for s in spans}:
+                    (hexes if HEX_ONLY.fullmatch(v) else random)[v.encode()] += 1
                 words = (outside(text, spans) if spans else text).encode().translate(RUN_ONLY).split()
                 ordinary.update(w for w in words if len(w) >= 8)
-        total += [pair_counts(random), pair_counts(ordinary)]
+        total += [pair_counts(hexes), pair_counts(random), pair_counts(ordinary)]
     cls, pair = np.nonzero(total)
     yield pd.DataFrame({"cls": cls, "pair": pair, "n": total[cls, pair].astype(np.int64)})
 
 
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Log-likelihood ratio, random over ordinary, of every character pair."""
+    """Log-likelihood ratio of every character pair, hexadecimal and other random values over ordinary runs."""
     counted = docs.select(F.col(text_col).alias("text")).mapInPandas(sample_counts, "cls long, pair long, n long")
-    counts = np.zeros((2, SIZE, SIZE))
+    counts = np.zeros((3, SIZE, SIZE))
     for r in counted.groupBy("cls", "pair").agg(F.sum("n").alias("n")).collect():
         counts[r["cls"], r["pair"] // SIZE, r["pair"] % SIZE] += r["n"]
     # pairs are smoothed by single characters, and these by one of each, so that no pair is impossible
     single = counts.sum(axis=1, keepdims=True) + 1
     single /= single.sum(axis=2, keepdims=True)
     logp = np.log((counts + SMOOTH * single) / (counts.sum(axis=2, keepdims=True) + SMOOTH))
-    return logp[0] - logp[1]
+    return logp[:2] - logp[2]
 
 
 def ratio(run: str, llr: np.ndarray) -> float:
     c = np.concatenate([[EDGE], CODE[np.frombuffer(run.encode(), dtype=np.uint8)], [EDGE]])
-    return float(llr[c[:-1], c[1:]].sum())
+    return float(llr[:, c[:-1], c[1:]].sum(axis=1).max())
 
 
 def all_spans(text: str, llr: np.ndarray, spec: SecretScan) -> tuple[list, list]:

@@ -299,6 +299,28 @@ def test_models_find_random_strings_and_leave_words(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_recall_and_false_alarms_on_held_out_samples(spark):
+    """Models of four fifths of the given texts; random strings of several alphabets, the values and the ordinary runs of
+    the last fifth."""
+    from collections import Counter
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    llr = secret_scan.train(df.filter("doc_id % 5 <> 0"))
+    spec, rng = secret_scan.SecretScan(), random.Random(4)
+    flagged = lambda run: (lambda x: x >= spec.threshold and x >= spec.per_char * len(run))(secret_scan.ratio(run, llr))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for chars, n, head in ((letters + "0123456789", 16, ""), (letters + "0123456789", 20, ""), (letters + "0123456789", 40, ""),
+                           (letters + "0123456789+/", 40, ""), (letters + "0123456789", 36, "ghp_"), ("0123456789abcdef", 20, ""),
+                           (letters[:26] + "0123456789", 20, "")):
+        assert sum(flagged(head + "".join(rng.choice(chars) for _ in range(n))) for _ in range(300)) >= 270, (chars, n)
+    ordinary, values = Counter(), []
+    for r in df.filter("doc_id % 5 = 0").select("text").collect():
+        spans = secret_scan.base_spans(r.text or "")
+        values += [v for v in {secret_scan.secret_value(r.text, s) for s in spans} if len(v) >= spec.min_run]
+        ordinary.update(x for x in secret_scan.RUN.findall(secret_scan.outside(r.text or "", spans)) if len(x) >= spec.min_run)
+    assert len(values) > 20 and sum(map(flagged, values)) >= 0.9 * len(values)
+    assert len(ordinary) > 100 and sum(map(flagged, ordinary)) <= 0.02 * len(ordinary)
+
+
 def test_parts_of_runs_beside_base_spans(spark, odd):
     rng = random.Random(16)
     key = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
@@ -325,7 +347,7 @@ def test_parts_of_runs_beside_base_spans(spark, odd):
             while b > a and any(e == m.start() for _, k, e in spans if k < 3) and t[a] in "+/_=-":
                 a += 1
             code = [secret_scan.EDGE, *map(secret_scan.ALPHABET.index, t[a:b]), secret_scan.EDGE]
-            score = sum(llr[x, y] for x, y in zip(code, code[1:]))
+            score = max(sum(m[x, y] for x, y in zip(code, code[1:])) for m in llr)
             if b - a >= 16 and score >= max(spec.threshold, spec.per_char * (b - a)):
                 spans.append((a, 3, b))
         exp[i, ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))] += 1
