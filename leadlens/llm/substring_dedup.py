@@ -291,10 +291,14 @@ def repeats(docs: DataFrame, spec: Repeats, text_col: str) -> tuple[DataFrame, D
     classes = stored(classes, "repeat-classes")
     whole = classes.filter("m > 1").select("akey", "chash", F.lit(0).cast("long").alias("a"), (F.col("n") - 1).alias("b"))
 
-    variants = classes.groupBy("akey").agg(F.count(F.lit(1)).alias("variants"))
+    variants = classes.groupBy("akey").agg(F.count(F.lit(1)).alias("variants"), F.sum("n").alias("starts"),
+                                           F.sum(F.col("n") + spec.length).alias("bytes"))
     open_ = classes.join(variants, "akey").filter("variants > 1 OR (twice AND m = 1)")
-    open_ = open_.withColumns({"parts": F.ceil(F.col("variants") / spec.shard_contexts),
-                               "ranges": F.ceil(F.col("variants") * F.lit(spec.window) / spec.range_starts)})
+    # an anchor is dealt over shards by its contexts and by their bytes: a run of equal bytes is one long context
+    heavy = F.when(F.col("bytes") > 2 * spec.shard_bytes, F.ceil(F.col("bytes") / spec.shard_bytes)).otherwise(F.lit(1))
+    open_ = open_.withColumns({
+        "parts": F.greatest(F.ceil(F.col("variants") / spec.shard_contexts), heavy),
+        "ranges": F.ceil(F.greatest(F.col("variants") * F.lit(spec.window), F.col("starts")) / spec.range_starts)})
     open_ = stored(open_.select("akey", "chash", "n", "parts", "ranges", F.col("one.tkey").alias("tkey"),
                                 F.col("one.first").alias("first")), "repeat-open")
     total = open_.agg(F.sum(F.col("n") + spec.length)).first()[0] or 0

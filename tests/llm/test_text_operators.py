@@ -95,6 +95,15 @@ def test_repeated_strings_by_hand(spark, odd, contexts):
     assert all(r.n_bytes - r.n_removed == len(r.kept_bytes) for r in got)
 
 
+def test_long_runs_of_one_byte_are_dealt_by_bytes(spark):
+    """One anchor holds all contexts here: it is split by their bytes, and the parts are merged."""
+    rng = random.Random(8)
+    rows = [(i, words(rng, 5) + " " + "x" * (600 + 7 * i) + words(rng, 4), "s") for i in range(30)] + [(99, "x" * 300, "s"), (100, "x" * 41, "s")]
+    spec = substring_dedup.Repeats(length=40, window=20, range_starts=500, shard_bytes=3000)
+    got = substring_dedup.remove_repeats(frame(spark, rows), spec).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == removed_by_hand(rows, 40)
+
+
 def test_repeated_strings_of_an_empty_table(spark):
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0
 
