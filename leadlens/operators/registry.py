@@ -149,6 +149,30 @@ def promote_if_unchanged(spark: SparkSession, path: str, decisions: DataFrame, j
     return done
 
 
+def live_history(registry: DataFrame) -> DataFrame:
+    """Which version was live when: (segment, version, valid_from, valid_to), the newest without an end. Of live rows of one
+    instant the one that sorts last counts."""
+    live = registry.filter(F.col("stage") == "live").groupBy("segment", "created_at").agg(F.max("version").alias("version"))
+    w = Window.partitionBy("segment").orderBy("created_at")
+    return live.select("segment", "version", F.col("created_at").alias("valid_from"), F.lead("created_at").over(w).alias("valid_to"))
+
+
+MOST_VERSIONS = 100_000
+
+
+def versions_asof(rows: DataFrame, registry: DataFrame, time_col: str, segment_col: str = config.SEGMENT_COL) -> DataFrame:
+    """``rows`` with the ``model_version`` that was live for their segment when they arrived (NULL: none yet). ``rows`` may
+    be a stream: a stream-static join, so a replay gives the same versions whatever has been promoted since. The history
+    has one row a promotion; it is broadcast up to ``MOST_VERSIONS`` of them and joined by segment beyond."""
+    h = live_history(registry).select(F.col("segment").alias("_seg"), F.col("version").alias("model_version"),
+                                      F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"))
+    if h.limit(MOST_VERSIONS + 1).count() <= MOST_VERSIONS:
+        h = F.broadcast(h)
+    at = F.col(time_col)
+    return rows.join(h, (F.col(segment_col) == F.col("_seg")) & (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to"))),
+                     "left").drop("_seg", "_from", "_to")
+
+
 def registered_hash(meta: str | None) -> str | None:
     """Content hash of a bundle as its registry row states it."""
     return json.loads(meta).get("content_sha256") if meta else None

@@ -1,4 +1,4 @@
-"""Registered queries: stream scoring and model hot swap. Rows-only checks.
+"""Registered queries: stream scoring and model hot swap: rows-only checks, and the versions by SQL.
 
 Lead payloads are the prepared training-table rows written as parquet files into a source
 folder; the stream scores them with the live models of the registry of a trained run.
@@ -16,6 +16,9 @@ from ..streaming.scoring import LiveModels, score_stream
 from .cat_model import operator_registry, trained
 from .cat_prepare import loaded
 from .catalogue import register
+from . import oracle as O
+from ..functions.text import route_segment
+from ..sources import fixtures as fx
 
 PAYLOAD_COLS = ["ld_mcs_id", "user_pseudo_id", "product_id", "page_name", "page_location", "platform", "form_name",
                 "market_site", "language_site", "ga_session_id", "ga_session_number", "user_country",
@@ -66,3 +69,36 @@ def q_model_hot_swap(spark, sf_dir):
     out = score_stream(spark, src, schema, f"{root}/sink", f"{root}/checkpoint", live, ["ld_mcs_id"])
     return (out.groupBy("batch_id", "model_segment", "model_version")
             .agg(F.count(F.lit(1)).alias("n_scored"), F.avg("score").alias("mean_score")))
+
+
+VERSIONS_SQL = f"""WITH {O.FX_FLAT},
+arrived AS (
+  SELECT event_id, CASE WHEN lower(trim(platform)) = 'landing' THEN 'landing' ELSE 'main' END AS segmento, event_timestamp, event_name FROM fx_flat),
+history AS (
+  SELECT segmento, min(event_timestamp) AS since, 'v' || CAST(event_timestamp // 86400000000 AS VARCHAR) AS version
+  FROM arrived WHERE event_name = 'purchase' GROUP BY segmento, event_timestamp // 86400000000)
+SELECT a.event_id, a.segmento, h.version AS model_version
+FROM arrived a ASOF LEFT JOIN history h ON a.segmento = h.segmento AND a.event_timestamp >= h.since"""
+
+
+def _arrivals(spark, sf_dir):
+    flat = fx.flat_events(spark, sf_dir)
+    return flat.select("event_id", route_segment(F.col("platform")).alias(config.SEGMENT_COL),
+                       F.timestamp_micros("event_timestamp").alias("arrived_at"), "event_name")
+
+
+def _daily_versions(spark, sf_dir):
+    """A registry in which each segment's first purchase of a day promotes a version named by the day."""
+    day = F.expr("unix_micros(arrived_at) div 86400000000")
+    first = (_arrivals(spark, sf_dir).filter(F.col("event_name") == "purchase").groupBy(config.SEGMENT_COL, day.alias("day"))
+             .agg(F.min("arrived_at").alias("created_at")))
+    return first.select(F.col(config.SEGMENT_COL).alias("segment"), F.lit("live").alias("stage"),
+                        F.concat(F.lit("v"), F.col("day").cast("string")).alias("version"), F.lit("p").alias("path"),
+                        F.lit("lift_A").alias("metric"), F.lit(1.0).alias("metric_value"), "created_at", F.lit("{}").alias("meta"))
+
+
+@register("model_versions_asof", VERSIONS_SQL)
+def q_model_versions_asof(spark, sf_dir):
+    """The model version that was live for each event's segment when the event arrived."""
+    out = RG.versions_asof(_arrivals(spark, sf_dir), _daily_versions(spark, sf_dir), "arrived_at")
+    return out.select("event_id", config.SEGMENT_COL, "model_version")

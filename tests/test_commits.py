@@ -81,3 +81,27 @@ def test_one_of_two_racing_promotions_wins(spark, folder):
         won = list(pool.map(lambda d: RG.promote_if_unchanged(spark, folder, yes, judged, WHEN(d)), (3, 4, 5)))
     assert sorted(won) == [[], [], ["main"]]
     assert RG.read_registry(spark, folder).filter(F.col("stage") == "live").count() == 2
+
+
+def test_versions_as_of_arrival(spark):
+    reg = rows(spark, row("main", "live", "v1", 2), row("main", "live", "v2", 5), row("main", "candidate", "x", 3),
+               row("landing", "live", "w1", 4), row("main", "live", "v2b", 5))
+    came = spark.createDataFrame([("main", WHEN(d)) for d in (1, 2, 4, 5, 9)] + [("landing", WHEN(3)), ("landing", WHEN(4)), (None, WHEN(9))],
+                                 "segmento string, at timestamp")
+    got = sorted(((r.segmento or "", r.at.day, r.model_version) for r in RG.versions_asof(came, reg, "at").collect()))
+    assert got == [("", 9, None), ("landing", 3, None), ("landing", 4, "w1"), ("main", 1, None), ("main", 2, "v1"), ("main", 4, "v1"),
+                   ("main", 5, "v2b"), ("main", 9, "v2b")]
+
+
+def test_replayed_stream_keeps_its_versions(spark, folder):
+    """A stream joined with the history, before and after a swap that comes later than its rows."""
+    came = spark.createDataFrame([("main", WHEN(d), d) for d in (3, 6)], "segmento string, at timestamp, n int")
+    came.write.parquet(f"{folder}/in")
+    reg = rows(spark, row("main", "live", "v1", 2), row("main", "live", "v2", 5))
+    later = reg.unionByName(rows(spark, row("main", "live", "v3", 8)))
+    for name, registry in (("first", reg), ("replay", later)):
+        stream = spark.readStream.schema(came.schema).parquet(f"{folder}/in")
+        q = (RG.versions_asof(stream, registry, "at").writeStream.format("parquet").option("checkpointLocation", f"{folder}/{name}-ckpt")
+             .trigger(availableNow=True).start(f"{folder}/{name}"))
+        q.awaitTermination()
+        assert sorted((r.n, r.model_version) for r in spark.read.parquet(f"{folder}/{name}").collect()) == [(3, "v1"), (6, "v2")]
