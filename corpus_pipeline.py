@@ -6,6 +6,10 @@
 4. Sources are mixed to weights 3, 1, 2, ...: 150 % of the words, in op9's blocks of 16 words, no source beyond twice its size.
 5. SentencePiece: two sampled segmentations of each text.
 
+Edge cases, as the operators define them: a null or empty text has no words, fails the base rule of stage 1 and goes; long
+texts are handled whole; a row that repeats id and text is one document in stage 2; a null source is a source of its own;
+a null id is an id; an empty table gives an empty result; extra columns are carried to stage 4, whatever their names.
+
 All stages but the last return the columns of ``documents``. ``run`` writes each stage as Parquet into the
 shared checkpoint folder and reads it again, so a lost executor costs part of one stage.
 """

@@ -213,3 +213,39 @@ def test_all_queries_are_registered():
 
     names = entry.queries()
     assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10 and "pipeline" in names
+
+
+def stages(spark, docs):
+    import corpus_pipeline
+    from leadlens.llm.common import stored
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        out.append(docs)
+        docs = stored(docs, "test-pipeline")
+    return out
+
+
+def test_pipeline_of_an_empty_table(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    got = stages(spark, spark.createDataFrame([], schema))
+    assert [d.count() for d in got] == [0] * 5 and got[3].columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_pipeline_with_odd_rows_and_clashing_columns(spark):
+    rng = random.Random(21)
+    say = lambda n: " ".join(rng.choice(["the", "house", "of", "a", "river", "and", "some", "green", "hills", "was", "here"]) + str(rng.choice(["", "s", "ly"]))
+                             for _ in range(n)).capitalize() + "."
+    texts = [say(120) for _ in range(40)]
+    rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(texts)]
+    rows += [(100, None, None, None, None), (101, "", "en", "s0", 0), (102, texts[0], "en", "s1", len(texts[0])), rows[1],
+             (None, say(90), "en", None, 1), (103, " ".join(f"The river{i} of hills{i} was green." for i in range(9000)), "en", "s2", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("__id__", "__passes__", "measures", "_t0", "posterior", "kept"):
+        df = df.withColumn(c, F.lit("x"))
+    got = stages(spark, df.repartition(3))
+    assert all(d.columns == df.columns for d in got[:4])
+    kept = {r.doc_id for r in got[1].collect()}
+    assert 102 not in kept and not kept & {100, 101} and 103 in kept
+    sampled = got[4].filter("doc_id = 103").collect()
+    assert sampled and all(r.n_pieces > 30_000 for r in sampled)
