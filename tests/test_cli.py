@@ -8,6 +8,7 @@ from leadlens.__main__ import main
 from leadlens.operators import registry as RG
 from leadlens.sources import events as EV
 from leadlens.sources import fixtures as fx
+from leadlens.streaming.scoring import read_sink
 
 from conftest import SF_MID
 
@@ -33,6 +34,6 @@ def test_cli_build_train_score(spark):
     assert scored.count() == 430
     main(["stream", "--source", f"{root}/table", "--registry", reg_path, "--sink", f"{root}/sink",
           "--checkpoint", f"{root}/ckpt", "--reload-interval", "0"])
-    streamed = spark.read.parquet(f"{root}/sink")
+    streamed = read_sink(spark, f"{root}/sink")
     key = lambda r: (r["ld_mcs_id"], round(r["score"], 12))
     assert sorted(map(key, streamed.collect())) == sorted(map(key, scored.collect()))
