@@ -1,27 +1,30 @@
 """Language-model scores with a sharded Elias-Fano n-gram trie.
 
-A bigram model of the training texts with Dirichlet smoothing towards the base distribution:
-``P(w | v) = (c(v, w) + mu * B(w)) / (c(v) + mu)`` with ``B(w) = (c(w) + 1/2) / (N + (V + 1) / 2)``. The
-part of the n-gram, ``c(v, w) / (c(v) + mu)``, is what the trie holds, quantised to a byte; the rest
-follows from the counts of words. A text is its words (A-Z lowered), then one end; the first word's
-context is the beginning.
+An n-gram model of the training texts with Dirichlet smoothing of each order towards the one below:
+``P(w | u v) = (c(u, v, w) + mu * P(w | v)) / (c(u, v) + mu)``, down to the base distribution
+``B(w) = (c(w) + 1/2) / (N + (V + 1) / 2)``. The part of the n-gram, ``c(u, v, w) / (c(u, v) + mu)``, is what
+a trie holds, quantised to a byte; the rest follows from the counts of contexts. A text is its words (A-Z
+lowered), then one end; before its first word stand as many beginnings as the order needs.
 
 1. Texts are packed into blocks of about ``block_tokens`` tokens: the sorted hashes of the distinct words
    and the tokens as places in them. The blocks are written once, and every later step reads them.
 2. Word counts: each block sends its words with their training counts to shards by hash range and gets
    the total counts back, in the same order.
-3. Bigrams: each block sends its distinct bigrams (sorted, with training counts) to shards by the
-   context's hash. A shard adds them up, builds its trie and answers what the blocks asked, one byte a
-   bigram. A context that makes up more than a quarter of a shard's share of tokens is dealt over all
-   shards by the next word, so no word makes one task large.
-4. Blocks and answers meet again by block and give the scores of their texts.
+3. For each order from 2 to ``order``: each block sends its distinct n-grams (sorted, with training counts)
+   to shards by the context's hash. A shard adds them up, builds its trie, one level a word, and answers what
+   the blocks asked: one byte an n-gram, and its count where a higher order needs it as a context's. A context
+   that makes up more than a quarter of a shard's share of tokens is dealt over all shards by the next word,
+   so no word or run of words makes one task large.
+4. Blocks and answers meet again by block and give the scores of their texts. All joins with the blocks are in
+   one plan, so that the blocks are shuffled once, whatever the order.
 
 What is shuffled is packed, pre-aggregated arrays, never a row a token; no task holds more than a block
 or a shard, whose number grows with the corpus; nothing but the totals N and V reaches the driver.
 
 Edge cases: a null, empty or blank text is one end token; a null id counts as the empty string and is
 trained on; rows that repeat an id or a text count each time; without training rows N = V = 0 and every
-token has the base probability 1; an empty table gives an empty result; only id and text are read.
+token has the base probability 1; an empty table gives an empty result; only id and text are read; with
+``order`` 1 the score is the base score.
 """
 from __future__ import annotations
 
@@ -43,12 +46,14 @@ by_value(__name__)
 
 Trie, Quantiser, ID_MASK = ngram_trie.Trie, ngram_trie.Quantiser, ngram_trie.ID_MASK
 KEY_BYTES = 7                 # a word is known by 56 bits of its hash
+ID_BYTES = ngram_trie.ID_BITS // 8  # a word after its context by fewer
 END, BEGIN = (np.uint64(xxhash.xxh3_64_intdigest(x) >> 8) for x in (b" end", b" begin"))  # no word holds a space
 SCRAMBLE = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Lm:
+    order: int = 2
     mu: float = 12.0
     block_tokens: int = 1_000_000
     shard_tokens: int = 1_000_000
@@ -152,9 +157,9 @@ def count_words(pdf: pd.DataFrame) -> pd.DataFrame:
                          "distinct": [int((total > 0).sum())] + [0] * (len(pdf) - 1)})
 
 
-def joined_answers(answers, dtype) -> np.ndarray:
+def joined_answers(answers, dtype, field: str = "answer") -> np.ndarray:
     """A block's answers of all shards, put together in the order of the shards."""
-    parts = [unsqueeze(a["answer"], dtype) for a in sorted(answers, key=lambda a: a["shard"])]
+    parts = [unsqueeze(a[field], dtype) for a in sorted(answers, key=lambda a: a["shard"])]
     return np.concatenate(parts) if parts else np.empty(0, dtype=dtype)
 
 
@@ -165,74 +170,94 @@ def word_counts(r, words: np.ndarray) -> np.ndarray:
     return counts
 
 
-def bigrams(words: np.ndarray, tokens: np.ndarray, lens: np.ndarray, counts: np.ndarray, begins: int, shards: int,
-            total: int) -> tuple:
-    """Distinct bigrams of a block in the order (shard, context, successor), and the place of each token's bigram."""
+@dataclass
+class Grams:
+    """A block's distinct n-grams of one order, sorted by shard and hashes."""
+    shard: np.ndarray
+    keys: list            # one array of hashes a word
+    totals: np.ndarray    # the context's total count
+    place: np.ndarray     # of each token's n-gram
+
+
+def width(level: int) -> int:
+    return ID_BYTES if level else KEY_BYTES
+
+
+def grams(r, opened_block: tuple, begins: int, shards: int, total: int, upto: int):
+    """Orders 2 to ``upto`` of a block; each order but the last takes the counts of its n-grams from the answers."""
+    words, tokens, lens, _ = opened_block
     heads = np.concatenate([[0], np.cumsum(lens)[:-1]])
-    context = np.concatenate([[-1], tokens[:-1]])
-    context[heads] = -1
-    pair, which = np.unique((context + 1) * (len(words) + 1) + tokens, return_inverse=True)
-    ctx, nxt = pair // (len(words) + 1) - 1, pair % (len(words) + 1)
-    full = np.where(ctx < 0, BEGIN, words[ctx])
-    h = full & ID_MASK  # 40 bits tell the contexts of one shard apart
-    c = np.where(ctx < 0, begins, counts[ctx])
-    ids = words[nxt] & ID_MASK
-    spread = np.where(c * 4 * shards > total, words[nxt], np.uint64(0))  # the same for every block: c is the total count
-    shard = shard_of((full ^ spread) * SCRAMBLE, 64, shards)
-    order = np.lexsort((ids, h, shard))
-    back = np.empty(len(order), dtype=np.int64)
-    back[order] = np.arange(len(order))
-    return shard[order], h[order], ids[order], c[order], back[which]
-
-
-def bigram_asker(begins: int, shards: int, total: int):
+    place, counts, path = tokens, word_counts(r, words), [words]
+    for order in range(2, upto + 1):
+        context = np.concatenate([[-1], place[:-1]])
+        context[heads] = -1  # nothing but beginnings
+        pair, which = np.unique((context + 1) * (len(words) + 1) + tokens, return_inverse=True)
+        ctx, nxt = pair // (len(words) + 1) - 1, pair % (len(words) + 1)
+        c = np.where(ctx < 0, begins, counts[ctx])
+        path = [np.where(ctx < 0, BEGIN, p[ctx]) for p in path]
+        mixed = path[0]
+        for p in path[1:]:
+            mixed = (mixed * SCRAMBLE) ^ p
+        spread = np.where(c * 4 * shards > total, words[nxt], np.uint64(0))  # the same for every block: c is the total count
+        shard = shard_of((mixed ^ spread) * SCRAMBLE, 64, shards)
+        path.append(words[nxt])
+        keys = [p & ID_MASK if level else p for level, p in enumerate(path)]
+        by = np.lexsort((*keys[::-1], shard))
+        back = np.empty(len(by), dtype=np.int64)
+        back[by] = np.arange(len(by))
+        path, place = [p[by] for p in path], back[which]
+        yield Grams(shard[by], [k[by] for k in keys], c[by], place)
+        if order < upto:
+            counts = joined_answers(getattr(r, f"answers_{order}"), np.int64, "counts")
+
+
+def gram_asker(order: int, begins: int, shards: int, total: int):
     def ask(batches):
         for pdf in batches:
             rows = []
             for r in pdf.itertuples():
-                words, tokens, lens, trained = opened(r)
-                counts = word_counts(r, words)
-                shard, h, ids, c, place = bigrams(words, tokens, lens, counts, begins, shards, total)
-                seen = np.bincount(place[trained], minlength=len(h)).astype(np.uint32)
-                cuts = np.searchsorted(shard, np.arange(shards + 1))
+                block = opened(r)
+                *_, own = grams(r, block, begins, shards, total, order)
+                seen = np.bincount(own.place[block[3]], minlength=len(own.shard)).astype(np.uint32)
+                cuts = np.searchsorted(own.shard, np.arange(shards + 1))
                 for s in np.flatnonzero(np.diff(cuts)):
                     a, b = cuts[s], cuts[s + 1]
-                    first = np.flatnonzero(np.append(True, h[a + 1:b] != h[a:b - 1]))
-                    small = cut(ids[a:b], ngram_trie.ID_BITS // 8)
-                    rows.append((int(s), r.block, cut(h[a:b][first], ngram_trie.ID_BITS // 8), squeeze(c[a:b][first]),
-                                 squeeze(np.diff(np.append(first, b - a)).astype(np.uint32)), small, squeeze(seen[a:b])))
+                    change = np.any([k[a + 1:b] != k[a:b - 1] for k in own.keys[:-1]], axis=0)
+                    first = np.flatnonzero(np.append(True, change))
+                    rows.append((int(s), r.block, [cut(k[a:b][first], width(i)) for i, k in enumerate(own.keys[:-1])],
+                                 squeeze(own.totals[a:b][first]),
+                                 squeeze(np.diff(np.append(first, b - a)).astype(np.uint32)),
+                                 cut(own.keys[-1][a:b], ID_BYTES), squeeze(seen[a:b])))
             yield pd.DataFrame(rows, columns=["shard", "block", "contexts", "totals", "sizes", "ids", "counts"])
     return ask
 
 
-def trie_builder(mu: float, quantiser: Quantiser):
+def trie_builder(order: int, mu: float, quantiser: Quantiser, counted: bool):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One shard: all blocks' bigrams added up, the trie built, and what each block asked looked up in it."""
-        h, c, ids, seen, cuts = [], [], [], [], [0]
+        """One shard: all blocks' n-grams added up, the trie built, and what each block asked looked up in it."""
+        keys, c, seen, cuts = [[] for _ in range(order)], [], [], [0]
         for r in pdf.itertuples():
             sizes = unsqueeze(r.sizes, np.uint32)
-            h.append(np.repeat(uncut(r.contexts, ngram_trie.ID_BITS // 8), sizes))
+            for level, packed in enumerate(r.contexts):
+                keys[level].append(np.repeat(uncut(packed, width(level)), sizes))
+            keys[-1].append(uncut(r.ids, ID_BYTES))
             c.append(np.repeat(unsqueeze(r.totals, np.int64), sizes))
-            ids.append(uncut(r.ids, ngram_trie.ID_BITS // 8))
             seen.append(unsqueeze(r.counts, np.uint32))
-            cuts.append(cuts[-1] + len(ids[-1]))
-        h, c, ids, seen = (np.concatenate(x) for x in (h, c, ids, seen))
-        contexts, of = np.unique(h, return_inverse=True)
-        key, place = np.unique((of.astype(np.uint64) << np.uint64(ngram_trie.ID_BITS)) | ids, return_inverse=True)
-        count = np.bincount(place, weights=seen, minlength=len(key))
-        first = np.empty(len(key), dtype=np.int64)
-        first[place] = np.arange(len(place))
-        owner, key_ids, total = of[first], ids[first], c[first]
+            cuts.append(cuts[-1] + len(seen[-1]))
+        keys, c, seen = [np.concatenate(k) for k in keys], np.concatenate(c), np.concatenate(seen)
+        by = np.lexsort(keys[::-1])
+        new = np.append(True, np.any([k[by[1:]] != k[by[:-1]] for k in keys], axis=0))
+        place = np.empty(len(by), dtype=np.int64)
+        place[by] = np.cumsum(new) - 1
+        first = by[new]
+        keys, c = [k[first] for k in keys], c[first]
+        count = np.bincount(place, weights=seen, minlength=len(first)).astype(np.int64)
         known = count > 0
-        codes = quantiser.encode(np.log10(count[known] / (total[known] + mu)))
-        in_use, node = np.unique(owner[known], return_inverse=True)
-        trie = Trie(contexts[in_use], node, key_ids[known], codes)
-        try:
-            found = trie.lookup(contexts[owner], key_ids)[place]
-        finally:
-            trie.close()
-        return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"],
-                             "answer": [squeeze(found[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]})
+        trie = Trie([k[known] for k in keys], quantiser.encode(np.log10(count[known] / (c[known] + mu))))
+        found = trie.lookup(keys)[place]
+        spans = list(zip(cuts[:-1], cuts[1:]))
+        return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"], "answer": [squeeze(found[a:b]) for a, b in spans],
+                             "counts": [squeeze(count[place[a:b]]) if counted else None for a, b in spans]})
     return build
 
 
@@ -240,16 +265,15 @@ def scorer(spec: Lm, quantiser: Quantiser, begins: int, shards: int, total: int,
     def score(batches):
         for pdf in batches:
             for r in pdf.itertuples():
-                words, tokens, lens, _ = opened(r)
-                counts = word_counts(r, words)
-                codes = joined_answers(r.bigram_answers, np.uint8)
-                *_, place = bigrams(words, tokens, lens, counts, begins, shards, total)
-                c = counts[tokens]
+                block = opened(r)
+                words, tokens, lens, _ = block
+                c = word_counts(r, words)[tokens]
                 heads = np.concatenate([[0], np.cumsum(lens)[:-1]]).astype(np.int64)
                 base = (c + 0.5) / (total + 0.5 * (distinct + 1))
-                before = np.concatenate([[0], c[:-1]])
-                before[heads] = begins
-                p = 10.0 ** quantiser.decode(codes[place]) + spec.mu / (before + spec.mu) * base
+                p = base
+                for order, own in enumerate(grams(r, block, begins, shards, total, spec.order), 2):
+                    codes = joined_answers(getattr(r, f"answers_{order}"), np.uint8)
+                    p = 10.0 ** quantiser.decode(codes[own.place]) + spec.mu / (own.totals[own.place] + spec.mu) * p
                 yield pd.DataFrame({
                     "doc_id": pd.Series(list(r.ids), dtype=object), "held_out": r.held, "n_tokens": lens,
                     "n_known": np.add.reduceat(c > 0, heads, dtype=np.int64), "train_tokens": total,
@@ -260,7 +284,7 @@ def scorer(spec: Lm, quantiser: Quantiser, begins: int, shards: int, total: int,
 
 def with_answers(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
     """Each block with the answers of all shards as one array (one small entry a shard)."""
-    own = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "answer")).alias(name))
+    own = answers.groupBy("block").agg(F.collect_list(F.struct(*(c for c in answers.columns if c != "block"))).alias(name))
     return blocks.join(own, "block")
 
 
@@ -284,12 +308,13 @@ def score(docs: DataFrame, spec: Lm = Lm(), id_col: str = "doc_id", text_col: st
     distinct = words.agg(F.sum("distinct")).first()[0] or 0
     quantiser = Quantiser(-math.log10(total + spec.mu + 1) - 0.5)
     known = with_answers(blocks, words.select("block", "shard", "answer"), "word_answers")
-    asked = known.mapInPandas(bigram_asker(begins, shards, total), "shard long, block long, contexts binary, totals binary, "
-                                                                   "sizes binary, ids binary, counts binary")
-    codes = stored(asked.groupBy("shard").applyInPandas(trie_builder(spec.mu, quantiser),
-                                                        "block long, shard long, answer binary"), "lm-bigrams")
-    both = with_answers(known, codes, "bigram_answers")
-    out = both.mapInPandas(scorer(spec, quantiser, begins, shards, total, distinct),
-                           "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                           "base_score double, score double")
+    for order in range(2, spec.order + 1):
+        asked = known.mapInPandas(gram_asker(order, begins, shards, total), "shard long, block long, contexts array<binary>, "
+                                  "totals binary, sizes binary, ids binary, counts binary")
+        codes = asked.groupBy("shard").applyInPandas(trie_builder(order, spec.mu, quantiser, order < spec.order),
+                                                     "block long, shard long, answer binary, counts binary")
+        known = with_answers(known, codes, f"answers_{order}")
+    out = known.mapInPandas(scorer(spec, quantiser, begins, shards, total, distinct),
+                            "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                            "base_score double, score double")
     return out.withColumn("doc_id", F.col("doc_id").cast(id_type))

@@ -1,11 +1,13 @@
 """A shard of an n-gram trie in compact memory-mapped levels.
 
-Level one holds the contexts in sorted order and, as a monotone sequence of pointers, where the
-successors of each begin in level two; level two holds the successors as one monotone sequence of
-(place of the context, successor), and one byte for each with its quantised smoothed probability. All
-sequences are Elias-Fano coded: the low bits of each value are packed, the high bits are the gaps of a
-bit vector. A successor is looked up relative to its context: the context is found first, then the next
-value at or after the successor's in the part of level two that the pointers give.
+Level one holds the first words of the n-grams in sorted order. Each further level holds the successors of
+all nodes above, node after node, and a monotone sequence of pointers says where those of each node begin.
+A successor is stored relative to its context: its hash is added to the last value of the context before it,
+so a level is one rising sequence, and a hash can be told only by someone who knows where its context begins.
+The last level has one byte for each n-gram with its quantised smoothed probability. All sequences are
+Elias-Fano coded: the low bits of each value are packed, the high bits are the gaps of a bit vector. A lookup
+goes down level by level: the pointers give the part of the next level that belongs to the node found, the
+value before that part gives the offset, and the next value at or after offset and hash is searched there.
 """
 from __future__ import annotations
 
@@ -109,44 +111,71 @@ class Quantiser:
         return np.where(codes > 0, (1 - (codes.astype(float) - 1) / 254) * self.low, -np.inf)
 
 
+def before(values: EliasFano, places: np.ndarray) -> np.ndarray:
+    """The value before each place, 0 before the first."""
+    known, of = np.unique(places, return_inverse=True)
+    out = np.zeros(len(known), dtype=np.uint64)
+    out[known > 0] = values.at(known[known > 0] - 1)
+    return out[of]
+
+
 class Trie:
-    """Contexts, pointers and successors with their codes, mapped from one file while the object lives."""
-
-    def __init__(self, contexts: np.ndarray, owner: np.ndarray, ids: np.ndarray, codes: np.ndarray):
-        """``contexts`` sorted; ``owner`` the place of each n-gram's context, ``ids`` its successor, sorted by both."""
-        keys = (owner.astype(np.uint64) << np.uint64(ID_BITS)) | ids
-        starts = np.searchsorted(owner, np.arange(len(contexts) + 1)).astype(np.uint64)
-        levels = [EliasFano.build(contexts, int(contexts[-1]).bit_length() if len(contexts) else 1), EliasFano.build(starts, max(1, len(ids)).bit_length()),
-                  EliasFano.build(keys, ID_BITS + max(1, len(contexts)).bit_length())]
+    """Nodes, pointers and codes, mapped from one file that has no name any more once the trie is open."""
+
+    def __init__(self, grams: list[np.ndarray], codes: np.ndarray):
+        """``grams``: one array a level, together the n-grams, distinct and sorted; hashes below the first level are
+        of ``ID_BITS`` bits, so that 2^24 contexts have room."""
+        new, sequences, above = np.zeros(len(codes), dtype=bool), [], None
+        new[:1] = True
+        for level, g in enumerate(grams):
+            new[1:] |= g[1:] != g[:-1]
+            rows = np.flatnonzero(new)  # where each node of this level begins
+            values = g[rows].astype(np.uint64)
+            if level:
+                if len(above) >> (64 - ID_BITS):
+                    raise ValueError("too many contexts for one shard")
+                starts = np.append(np.searchsorted(rows, above), len(rows))
+                step = values[starts[1:] - 1] + np.uint64(1)
+                offset = np.cumsum(step) - step
+                values += np.repeat(offset, np.diff(starts)) + np.uint64(1)
+                sequences.append(starts.astype(np.uint64))
+            sequences.append(values)
+            above = rows
+        levels = [EliasFano.build(v, max(1, int(v[-1]).bit_length() if len(v) else 1)) for v in sequences]
         arrays = [a for x in levels for a in (x.low, x.high, x.ones, x.first)] + [codes]
-        fd, self.path = tempfile.mkstemp(suffix=".trie")
-        at = []
-        with os.fdopen(fd, "wb") as f:
-            for a in arrays:
-                at.append(f.tell())
-                f.write(a.tobytes())
-        self.bytes = os.path.getsize(self.path)
-        mapped = [np.memmap(self.path, dtype=a.dtype, mode="r", offset=o, shape=a.shape) if a.size else a
-                  for a, o in zip(arrays, at)]
-        self.contexts, self.pointers, self.successors = (EliasFano(x.n, x.width, mapped[4 * i:4 * i + 4])
-                                                         for i, x in enumerate(levels))
+        fd, path = tempfile.mkstemp(suffix=".trie")
+        try:
+            at = []
+            with os.fdopen(fd, "wb") as f:
+                for a in arrays:
+                    at.append(f.tell())
+                    f.write(a.tobytes())
+            self.bytes = os.path.getsize(path)
+            mapped = [np.memmap(path, dtype=a.dtype, mode="r", offset=o, shape=a.shape) if a.size else a
+                      for a, o in zip(arrays, at)]
+        finally:
+            os.unlink(path)  # the maps keep the bytes; nothing stays behind when the task is killed
+        self.sequences = [EliasFano(x.n, x.width, mapped[4 * i:4 * i + 4]) for i, x in enumerate(levels)]
         self.codes = mapped[-1]
 
-    def lookup(self, contexts: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Codes of n-grams sorted by (context, id), 0 where the trie has none."""
-        out = np.zeros(len(contexts), dtype=np.uint8)
-        known, of = np.unique(contexts, return_inverse=True)
-        place, value = self.contexts.successors(known)
-        found = (place < self.contexts.n) & (value == known)
-        ask = np.flatnonzero(found[of])
-        if len(ask):
-            node = place[of[ask]]
-            begin, end = self.pointers.at(node).astype(np.int64), self.pointers.at(node + 1).astype(np.int64)
-            key = (node.astype(np.uint64) << np.uint64(ID_BITS)) | ids[ask]
-            spot, got = self.successors.successors(key)
-            hit = (spot >= begin) & (spot < end) & (got == key)
-            out[ask[hit]] = self.codes[spot[hit]]
+    def lookup(self, grams: list[np.ndarray]) -> np.ndarray:
+        """Codes of sorted n-grams, 0 where the trie has none."""
+        out = np.zeros(len(grams[0]), dtype=np.uint8)
+        first, of = np.unique(grams[0], return_inverse=True)
+        place, value = self.sequences[0].successors(first)
+        found = (place < self.sequences[0].n) & (value == first)
+        alive = np.flatnonzero(found[of])
+        node = place[of[alive]]
+        for g, pointers, values in zip(grams[1:], self.sequences[1::2], self.sequences[2::2]):
+            if not len(alive):
+                break
+            known, of = np.unique(node, return_inverse=True)
+            begin, end = pointers.at(known).astype(np.int64), pointers.at(known + 1).astype(np.int64)
+            key = before(values, begin)[of] + g[alive] + np.uint64(1)
+            inside = key <= before(values, end)[of]  # beyond the context's last successor begins the next context
+            alive, of, key = alive[inside], of[inside], key[inside]
+            spot, got = values.successors(key)
+            hit = (spot >= begin[of]) & (spot < end[of]) & (got == key)
+            alive, node = alive[hit], spot[hit]
+        out[alive] = self.codes[node]
         return out
-
-    def close(self) -> None:
-        os.unlink(self.path)

@@ -172,31 +172,39 @@ def test_near_duplicates_of_an_empty_table(spark):
 
 # ------------------------------------------------------------------ language model
 
-def scores_by_hand(rows, mu):
-    c, b, texts, out = Counter(), Counter(), 0, []
+def scores_by_hand(rows, mu, order=2):
+    c, grams, texts, out = Counter(), Counter(), 0, []
     held = [zlib.crc32(str("" if i is None else i).encode()) % 5 == 1 for i, _, _ in rows]
     tokens = [(t or "").encode().lower().split() + [None] for _, t, _ in rows]
-    for h, w in zip(held, tokens):
+    padded = [["begin"] * (order - 1) + w for w in tokens]
+    for h, w, x in zip(held, tokens, padded):
         if not h:
             c.update(w)
-            b.update(zip(["begin", *w], w))
+            grams.update(tuple(x[k - m:k + 1]) for k in range(order - 1, len(x)) for m in range(1, order))
             texts += 1
     n, v = sum(c.values()), len(c)
-    for (i, _, _), h, w in zip(rows, held, tokens):
-        base = [(c[x] + 0.5) / (n + 0.5 * (v + 1)) for x in w]
-        p = [(b[a, x] + mu * q) / ((texts if k == 0 else c[a]) + mu)
-             for k, (a, x, q) in enumerate(zip(["begin", *w], w, base))]
-        out.append((i, h, len(w), sum(c[x] > 0 for x in w), n, sum(map(math.log10, base)), sum(map(math.log10, p))))
+    context = lambda g: texts if set(g) == {"begin"} else c[g[0]] if len(g) == 1 else grams[g]
+    for (i, _, _), h, w, x in zip(rows, held, tokens, padded):
+        base = [(c[a] + 0.5) / (n + 0.5 * (v + 1)) for a in w]
+        score = 0.0
+        for k, p in enumerate(base, order - 1):
+            for m in range(1, order):
+                p = (grams[tuple(x[k - m:k + 1])] + mu * p) / (context(tuple(x[k - m:k])) + mu)
+            score += math.log10(p)
+        out.append((i, h, len(w), sum(c[a] > 0 for a in w), n, sum(map(math.log10, base)), score))
     return out
 
 
-def test_scores_by_hand(spark, odd):
-    spec = lm_score.Lm(block_tokens=500, shard_tokens=700)
-    got = lm_score.score(clashing(frame(spark, odd)), spec).collect()
-    order = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
-    for g, e in zip(sorted(map(tuple, got), key=order), sorted(scores_by_hand(odd, spec.mu), key=order), strict=True):
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_by_hand(spark, odd, order):
+    more = [(500 + k, "the cat sat on the mat and the cat " + "sat on it " * (k % 4), "s0") for k in range(40)]
+    rows = odd + more
+    spec = lm_score.Lm(order=order, block_tokens=500, shard_tokens=700)
+    got = lm_score.score(clashing(frame(spark, rows)), spec).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
+    for g, e in zip(sorted(map(tuple, got), key=key), sorted(scores_by_hand(rows, spec.mu, order), key=key), strict=True):
         assert g[:5] == e[:5] and g[5] == pytest.approx(e[5], rel=1e-9)
-        assert abs(g[6] - e[6]) <= 0.02 * e[2]  # half a step of the quantiser a token
+        assert abs(g[6] - e[6]) <= 0.02 * e[2]  # half a step of the quantiser a token and order
 
 
 def test_model_beats_base_on_held_out_texts(spark):
@@ -206,25 +214,28 @@ def test_model_beats_base_on_held_out_texts(spark):
     assert got[0] > 0.8 * got[1]
 
 
-def test_trie_finds_what_it_holds_and_nothing_else():
+@pytest.mark.parametrize("depth", [2, 3])
+def test_trie_finds_what_it_holds_and_nothing_else(depth):
     from leadlens.llm.ngram_trie import EliasFano, Trie
     r = np.random.RandomState(0)
-    contexts = np.unique(r.randint(0, 2 ** 63, 4000).astype(np.uint64))
-    owner = np.sort(r.randint(0, len(contexts), 90_000))
-    ids = r.randint(0, 2 ** 40, len(owner)).astype(np.uint64)
-    order = np.lexsort((ids, owner))
-    owner, ids = owner[order], ids[order]
-    codes = r.randint(1, 256, len(ids)).astype(np.uint8)
-    trie = Trie(contexts, owner, ids, codes)
-    ask = np.concatenate([np.stack([contexts[owner], ids]), np.stack([contexts[owner], ids ^ np.uint64(1)])], axis=1)
-    key = np.lexsort((ask[1], ask[0]))
-    found = np.zeros(len(key), dtype=np.uint8)
-    found[key] = trie.lookup(ask[0][key], ask[1][key])
-    held = set(zip(owner.tolist(), ids.tolist()))
-    assert (found[:len(ids)] == codes).all()
-    assert all(bool(f) == ((o, i) in held) for f, o, i in zip(found[len(ids):], owner.tolist(), (ids ^ np.uint64(1)).tolist()))
-    assert trie.bytes < 8 * len(ids)
-    trie.close()
+    pools = [r.randint(0, 2 ** (56 if k == 0 else 40), 4000 // 20 ** (depth - 2 - k) if k < depth - 1 else 60_000) for k in range(depth)]
+    grams = np.unique(np.stack([r.choice(p, 90_000) for p in pools]).astype(np.uint64), axis=1)
+    codes = r.randint(1, 256, grams.shape[1]).astype(np.uint8)
+    trie = Trie(list(grams), codes)
+    other = np.concatenate([grams, grams], axis=1)
+    other[-1, grams.shape[1]:] ^= np.uint64(1)
+    by = np.lexsort(other[::-1])
+    found = np.zeros(len(by), dtype=np.uint8)
+    found[by] = trie.lookup(list(other[:, by]))
+    held = set(map(tuple, grams.T.tolist()))
+    n = grams.shape[1]
+    assert (found[:n] == codes).all()
+    assert all(bool(f) == (tuple(g) in held) for f, g in zip(found[n:], other[:, n:].T.tolist()))
+    assert trie.bytes < 8 * n * (depth - 1)
+    good = trie.sequences[1]
+    moved = np.minimum(good.at(np.arange(good.n)) + np.uint64(1), np.uint64(trie.sequences[2].n))
+    trie.sequences[1] = EliasFano.build(moved, int(moved[-1]).bit_length())
+    assert (trie.lookup(list(grams)) == codes).mean() < 0.5  # successors are relative: wrong pointers find little
     values = np.sort(r.randint(0, 2 ** 50, 70_000).astype(np.uint64))
     coded = EliasFano.build(values, 50)
     assert (np.concatenate([coded.chunk(k) for k in range(len(coded.first))]) == values).all()
