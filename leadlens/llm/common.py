@@ -1,8 +1,11 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +25,45 @@ def by_value(name: str) -> None:
 by_value(__name__)
 
 
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def give_back() -> None:
+    """Return what this process has freed to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library that has no such call
+        pass
+
+
+def giving_back(work):
+    """``work`` (batches to batches) that returns its memory when its task ends. A worker waits for its next task with
+    all that it holds, beside those at work, and an executor's memory is for all of them."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+    return run
+
+
+#: Whole texts go through Python: what a batch may hold, and the defaults of Spark that give way to it
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+           "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, its session set to batches of 1000 rows and 8 MB where it still has Spark's own sizes."""
+    conf = docs.sparkSession.conf
+    for name, (default, own) in BATCHES.items():
+        if conf.get(name, None) == default:
+            conf.set(name, own)
+    return docs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder. Whole texts go through Python, so a batch has 1000 rows instead of Spark's 10000."""
+    """A table of the folder."""
     ensure_session(spark)
-    if spark.conf.get(BATCH_ROWS) == "10000":
-        spark.conf.set(BATCH_ROWS, "1000")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def ascii_lower(c: Column) -> Column:
@@ -63,5 +96,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-__all__ = ["WORD", "LOWER_TABLE", "ascii_lower", "by_value", "durable", "ensure_session", "free_names", "literal_array",
-           "scratch_path", "stored", "table"]
+__all__ = ["WORD", "LOWER_TABLE", "ascii_lower", "by_value", "durable", "ensure_session", "free_names", "give_back", "giving_back", "literal_array",
+           "scratch_path", "small_batches", "stored", "table"]

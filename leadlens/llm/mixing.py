@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rank import running_totals
-from .common import WORD, by_value, free_names, stored
+from .common import WORD, by_value, free_names, small_batches, stored
 
 by_value(__name__)
 
@@ -200,7 +200,7 @@ def mixed(docs: DataFrame, spec: Mix = Mix(), id_col: str = "doc_id", text_col:
     same share each; a text of no words gives nothing to a mix and goes."""
     columns = docs.columns
     id_, hash_, passes, spans, row, turn = free_names(columns, 6)
-    places = mix(docs, spec, id_col, text_col, source_col)
+    places = mix(small_batches(docs), spec, id_col, text_col, source_col)
     places = places.filter("taken > 0").groupBy("doc_id", "row_hash").agg(F.max(F.struct("passes", "parts")).alias("p"))
     places = places.select(F.col("doc_id").alias(id_), F.col("row_hash").alias(hash_),
                            F.col("p.passes").alias(passes), F.col("p.parts").alias(spans))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, free_names, stored
+from .common import by_value, free_names, giving_back, small_batches, stored
 
 by_value(__name__)
 
@@ -67,7 +67,7 @@ def shingle_set(words: list[bytes], size: int, known: dict) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     ids = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh3_64_intdigest(w)) for w in words),
                       dtype=np.uint64, count=len(words))
-    if len(known) > 500_000:
+    if len(known) > 100_000:
         known.clear()
     size = min(size, len(words))
     h = np.full(len(ids) - size + 1, size, dtype=np.uint64)
@@ -280,12 +280,12 @@ def last_pairs(hubbed: DataFrame, to_hub: DataFrame, comps: DataFrame, spec: Nea
 
 def groups(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``tkey`` (hash of the text), n_shingles, component_id (smallest id of the group) and kept."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("tkey"),
+    base = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("tkey"),
                        F.col(text_col).alias("text"))
     id_type = dict(base.dtypes)["doc_id"]
     # ids go through Python as strings: a batch with a null would make numbers of them that are not exact
     sketched = base.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        sketcher(spec), "doc_id string, tkey string, n long, node binary, bands array<long>")
+        giving_back(sketcher(spec)), "doc_id string, tkey string, n long, node binary, bands array<long>")
     rows = stored(sketched.withColumn("doc_id", F.col("doc_id").cast(id_type)), "near-sketch")
     nodes = (rows.filter("node is not null").groupBy("node")
              .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("tkey", "doc_id")).alias("one"), F.first("n").alias("n"),
@@ -298,7 +298,7 @@ def groups(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", t
               .select("node", "n", F.col("one.tkey").alias("k_tkey"), F.col("one.doc_id").alias("k_id")))
     texts = base.join(chosen, (F.col("tkey") == F.col("k_tkey")) & F.col("doc_id").eqNullSafe(F.col("k_id")))
     # a row that repeats id and text would give its set twice
-    sets = stored(texts.select("node", "n", "text").mapInPandas(set_builder(spec), "node binary, n long, items binary")
+    sets = stored(texts.select("node", "n", "text").mapInPandas(giving_back(set_builder(spec)), "node binary, n long, items binary")
                   .groupBy("node").agg(F.first("n").alias("n"), F.first("items").alias("items")), "near-sets")
 
     comps = stored(members.select("node").distinct().withColumn("comp", F.col("node")), "near-start")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value
+from .common import by_value, giving_back, small_batches
 
 by_value(__name__)
 
@@ -415,11 +415,11 @@ def encode(docs: DataFrame, spec: PieceSampler = PieceSampler(), id_col: str = "
     vocabulary = load(spec.model)
     types = dict(docs.dtypes)
     # the id goes through Python as a string: a batch with a null would make numbers of it that are not exact
-    rows = docs.select(F.col(id_col).cast("string").alias("_key"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep])
+    rows = small_batches(docs).select(F.col(id_col).cast("string").alias("_key"), F.col(text_col).alias("_text"), *[F.col(c) for c in keep])
     schema = "doc_id string, sample int, n_pieces int, log_prob double, perturbed double, inclusion double, ids array<int>"
     schema += ", round_trip boolean" * check + "".join(f", `{c}` {types[c]}" for c in keep)
     names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", "ids", *["round_trip"] * check, *keep]
-    out = rows.mapInPandas(sampler(vocabulary, spec, list(keep), check), schema)
+    out = rows.mapInPandas(giving_back(sampler(vocabulary, spec, list(keep), check)), schema)
     return out.withColumn("doc_id", F.col("doc_id").cast(types[id_col])).select(*names)
 
 

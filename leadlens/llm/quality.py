@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, free_names, stored
+from .common import by_value, free_names, small_batches, stored
 
 by_value(__name__)
 
@@ -111,7 +111,7 @@ def metrics(texts: pd.Series) -> pd.DataFrame:
 
 def measured(docs: DataFrame, text_col: str = "text", name: str = TEMP) -> DataFrame:
     udf = F.pandas_udf(metrics, SCHEMA)
-    return docs.withColumn(name, udf(F.col(text_col)))
+    return small_batches(docs).withColumn(name, udf(F.col(text_col)))
 
 
 def estimate(patterns: dict[str, int], n_rules: int, rounds: int = 500, tol: float = 1e-8) -> Model:

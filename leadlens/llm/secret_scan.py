@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value
+from .common import by_value, giving_back, small_batches
 
 by_value(__name__)
 
@@ -127,7 +127,8 @@ def sample_counts(batches):
 
 def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Log-likelihood ratio of every character pair, hexadecimal and other random values over ordinary runs."""
-    counted = docs.select(F.col(text_col).alias("text")).mapInPandas(sample_counts, "cls long, pair long, n long")
+    texts = small_batches(docs).select(F.col(text_col).alias("text"))
+    counted = texts.mapInPandas(giving_back(sample_counts), "cls long, pair long, n long")
     counts = np.zeros((3, SIZE, SIZE))
     for r in counted.groupBy("cls", "pair").agg(F.sum("n").alias("n")).collect():
         counts[r["cls"], r["pair"] // SIZE, r["pair"] % SIZE] += r["n"]
