@@ -287,3 +287,27 @@ def q_snap_asof_stored(spark, sf_dir):
         L.append_snapshot(spark, leads.filter(F.to_date("ld_createdon") <= F.lit(d)), path, d,
                           dt.datetime(d.year, d.month, d.day))
     return _history_text(L.asof_snapshot(L.read_history(spark, path), dt.date(2024, 1, 25)))
+
+
+_CYCLE_SRC = """(
+  SELECT DATE '2024-01-10' AS execution_date, TIMESTAMP '2024-01-10 09:00:00' AS execution_timestamp, *
+  FROM fx_leads WHERE CAST(ld_createdon AS DATE) <= DATE '2024-01-10'
+  UNION ALL
+  SELECT DATE '2026-01-05', TIMESTAMP '2026-01-05 07:00:00', * FROM fx_leads
+)"""
+
+
+@register("snap_replace_stored", O.with_ctes(O.FX_LEADS, select=HIST_SQL.format(src=_CYCLE_SRC)))
+def q_snap_replace_stored(spark, sf_dir):
+    """Six physical appends, each one manifest: two days, a rerun of the second, a day that a rerun without leads
+    clears, and one two years later that expires the first; then the whole history as a reader sees it."""
+    from ..session import scratch_path
+    ensure_session(spark)
+    path = scratch_path(spark, "lead_history")
+    leads = fx.lead_table(spark, sf_dir)
+    until = lambda d: leads.filter(F.to_date("ld_createdon") <= F.lit(d))
+    first, second, cleared = dt.date(2024, 1, 2), dt.date(2024, 1, 10), dt.date(2024, 1, 15)
+    for d, rows, hour in ((first, until(first), 7), (second, leads, 7), (second, until(second), 9), (cleared, leads, 7),
+                          (cleared, leads.filter(F.lit(False)), 8), (dt.date(2026, 1, 5), leads, 7)):
+        L.append_snapshot(spark, rows, path, d, dt.datetime(d.year, d.month, d.day, hour))
+    return _history_text(L.read_history(spark, path))

@@ -69,9 +69,21 @@ class CommitLog:
     def commit(self, build: Callable[[list[dict]], dict | None], tries: int = 100) -> dict | None:
         """Put the entry that ``build`` makes of the earlier ones, again from the start if another writer was faster;
         None from ``build``: nothing to commit."""
+        return self._put_next(lambda numbers: build([self.read(n) for n in numbers]), tries)
+
+    def last(self) -> dict | None:
+        """The newest entry."""
+        numbers = self.numbers()
+        return self.read(numbers[-1]) if numbers else None
+
+    def replace(self, build: Callable[[dict | None], dict | None], tries: int = 100) -> dict | None:
+        """As ``commit``, for a log whose every entry is a whole state: ``build`` sees the newest one alone."""
+        return self._put_next(lambda numbers: build(self.read(numbers[-1]) if numbers else None), tries)
+
+    def _put_next(self, build: Callable[[list[int]], dict | None], tries: int) -> dict | None:
         for _ in range(tries):
             numbers = self.numbers()
-            entry = build([self.read(n) for n in numbers])
+            entry = build(numbers)
             if entry is None:
                 return None
             if self.put(numbers[-1] + 1 if numbers else 1, entry):
