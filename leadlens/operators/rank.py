@@ -15,7 +15,8 @@ Core primitive — exact global order statistics without a single-partition wind
 Rank-only consumers stay JVM-side with no further shuffle; running sums add one
 hash-exchange of the (already aggregated) frame for the in-partition cumulative window.
 Metrics that only need the score order (AP, ROC AUC, ROC points) work on the per-distinct-
-score aggregate, never on per-row data.
+score aggregate, never on per-row data. Cutoffs, decile bins and confusion counts need no rank:
+their quantiles come from a distributed selection (``select_at``) that moves no row.
 """
 from __future__ import annotations
 
@@ -123,41 +124,94 @@ def _np_lerp(a: float, b: float, t: float) -> float:
     return b - diff * (1 - t) if t >= 0.5 else a + diff * t
 
 
-def exact_quantiles(rk: Ranked, score: str, probs: list[float]) -> dict[tuple, list[float]]:
-    """Linear-interpolated quantiles (numpy's default) per group from the global rank.
+#: rows of open intervals that may come to the driver in the last step of a selection
+SELECT_ROWS = 10_000
 
-    Only the ≤ 2·len(probs) rows at the needed positions are fetched, per group.
+
+def _grid(fractions: set[float], width: float = 1 / 2000) -> list[float]:
+    """Percentages around each wanted one, close enough that what lies between holds about a thousandth of the rows."""
+    around = {min(1.0, max(0.0, f + d)) for f in fractions for d in (-width, 0.0, width)}
+    return sorted(around | {0.0, 1.0})
+
+
+def select_at(df: DataFrame, value: str, positions: dict[tuple, set[int]], counts: dict[tuple, int],
+              group: list[str] | None = None, finish_rows: int = SELECT_ROWS) -> dict[tuple, dict[int, float]]:
+    """Exact values at 0-based ascending ``positions`` of each group, without sorting or moving its rows.
+
+    A round has two passes with partial aggregates: sketch quantiles of the open intervals give pivots (observed values),
+    then the rows equal to each pivot and between neighbours are counted exactly. A position that falls on a pivot is done;
+    for the others the interval between two pivots is open in the next round, about a thousandth of it. When no more
+    than ``finish_rows`` rows are open, these are fetched. The sketch only chooses pivots, so results are exact whatever
+    its error, and every round leaves out its pivots, so the rounds end; a hot value is a pivot at the latest when its
+    neighbours are.
     """
-    want: dict[tuple, set[int]] = {}
+    group = list(group or [])
+    found: dict[tuple, dict[int, float]] = {g: {} for g in counts}
+    # open intervals: group → [(low, high, rows at or below low, rows inside, wanted positions)], ends exclusive
+    todo = {g: [(None, None, 0, counts[g], set(ps))] for g, ps in positions.items() if ps and counts.get(g)}
+    x = F.col(value).cast("double")
+    while todo:
+        flat = [(g, *interval) for g, parts in sorted(todo.items(), key=repr) for interval in parts]
+
+        def inside(g, low, high):
+            cond = x.isNotNull() & ~F.isnan(x)
+            for i, c in enumerate(group):
+                cond = cond & F.col(c).eqNullSafe(F.lit(g[i]))
+            cond = cond if low is None else cond & (x > F.lit(low))
+            return cond if high is None else cond & (x < F.lit(high))
+
+        which = F.coalesce(*[F.when(inside(g, lo, hi), F.lit(i)) for i, (g, lo, hi, *_) in enumerate(flat)])
+        rows = df.select(which.alias("_i"), x.alias("_x")).filter(F.col("_i").isNotNull())
+        last = sum(n for *_, n, _ in flat) <= finish_rows
+        if last:
+            held: dict[int, list[float]] = {}
+            for r in rows.collect():
+                held.setdefault(r["_i"], []).append(r["_x"])
+            for i, (g, _, _, below, _, wanted) in enumerate(flat):
+                ordered = sorted(held.get(i, []))
+                found[g].update({p: ordered[p - below] for p in wanted})
+            return found
+        fractions = {(p - below + 0.5) / n for _, _, _, below, n, wanted in flat for p in wanted}
+        sketch = rows.groupBy("_i").agg(F.percentile_approx("_x", _grid(fractions), 10_000).alias("q")).collect()
+        pivots = {r["_i"]: sorted(set(r["q"])) for r in sketch}
+        mine = F.try_element_at(F.create_map(*[c for i, q in pivots.items() for c in (F.lit(i), F.array(*[F.lit(v) for v in q]))]),
+                                F.col("_i"))
+        # 2j: between the pivots j - 1 and j, 2j + 1: equal to pivot j
+        slot = F.size(F.filter(mine, lambda p: p < F.col("_x"))) + F.size(F.filter(mine, lambda p: p <= F.col("_x")))
+        sizes: dict[int, dict[int, int]] = {}
+        for r in rows.groupBy("_i", slot.alias("_s")).agg(F.count(F.lit(1)).alias("n")).collect():
+            sizes.setdefault(r["_i"], {})[r["_s"]] = r["n"]
+        todo = {}
+        for i, (g, low, high, below, _, wanted) in enumerate(flat):
+            at, edges = below, [low, *pivots[i], high]
+            for s in range(2 * len(pivots[i]) + 1):
+                n = sizes[i].get(s, 0)
+                here = {p for p in wanted if at <= p < at + n}
+                if here and s % 2:
+                    found[g].update({p: edges[s // 2 + 1] for p in here})
+                elif here:
+                    todo.setdefault(g, []).append((edges[s // 2], edges[s // 2 + 1], at, n, here))
+                at += n
+    return found
+
+
+def select_quantiles(df: DataFrame, score: str, probs: list[float], group: list[str] | None = None,
+                     finish_rows: int = SELECT_ROWS) -> dict[tuple, list[float]]:
+    """Linear-interpolated quantiles (numpy's default) per group by distributed selection.
+
+    ``group`` is of low cardinality. Scores that are null or NaN have no place in the order and are left out; a group without others has no entry.
+    """
+    group = list(group or [])
+    x = F.col(score).cast("double")
+    seen = df.filter(x.isNotNull() & ~F.isnan(x)).groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).collect()
+    counts = {tuple(r[c] for c in group): int(r["_n"]) for r in seen if r["_n"]}
     plan: dict[tuple, list[tuple[int, int, float]]] = {}
-    for g, n in rk.counts.items():
-        if n == 0:
-            continue
-        pts = []
-        for q in probs:
-            h = q * (n - 1)
-            lo = math.floor(h)
-            hi = min(lo + 1, n - 1)
-            pts.append((lo, hi, h - lo))
-            # ascending position p ↔ descending rank n − p
-            want.setdefault(g, set()).update({n - lo, n - hi})
-        plan[g] = pts
-    if not want:
-        return {}
-    cond = None
-    for g, ranks in want.items():
-        c = F.col("rank").isin(sorted(ranks))
-        for i, gc in enumerate(rk.group):
-            c = c & F.col(gc).eqNullSafe(F.lit(g[i]))
-        cond = c if cond is None else cond | c
-    rows = rk.frame.filter(cond).select(*rk.group, "rank", score).collect()
-    val = {(tuple(r[gc] for gc in rk.group), int(r["rank"])): float(r[score]) for r in rows}
-    out = {}
-    for g, pts in plan.items():
-        n = rk.counts[g]
-        out[g] = [_np_lerp(val[(g, n - lo)], val[(g, n - hi)], t) if hi != lo else val[(g, n - lo)]
-                  for lo, hi, t in pts]
-    return out
+    for g, n in counts.items():
+        heights = [q * (n - 1) for q in probs]
+        plan[g] = [(math.floor(h), min(math.floor(h) + 1, n - 1), h - math.floor(h)) for h in heights]
+    want = {g: {p for lo, hi, _ in pts for p in (lo, hi)} for g, pts in plan.items()}
+    val = select_at(df, score, want, counts, group, finish_rows)
+    return {g: [_np_lerp(val[g][lo], val[g][hi], t) if hi != lo else val[g][lo] for lo, hi, t in pts] for g, pts in plan.items()}
 
 
 # ----------------------------------------------------------------------------- metrics
@@ -348,20 +402,31 @@ def qcut_probabilities(q: int = 10) -> list[float]:
     return [float(x) for x in (np.linspace(0, 1, q + 1) * 100) / 100]
 
 
-def _quantiles(rk: Ranked, score: str, probs: list[float], approx_accuracy: int | None) -> dict[tuple, list[float]]:
-    """Exact quantiles from the rank (default) or, opted in, sketch quantiles."""
+@dataclass
+class Scored:
+    """Scored rows without a rank, for what only needs quantiles: cutoffs, bins, confusion counts."""
+    frame: DataFrame
+    group: list[str]
+
+
+def scored(df: DataFrame, group: list[str] | None = None) -> Scored:
+    return Scored(df, list(group or []))
+
+
+def _quantiles(rk: Ranked | Scored, score: str, probs: list[float], approx_accuracy: int | None) -> dict[tuple, list[float]]:
+    """Exact quantiles by selection (default) or, opted in, sketch quantiles."""
     if approx_accuracy:
         return approx_quantiles(rk.frame, score, probs, rk.group, approx_accuracy)
-    return exact_quantiles(rk, score, probs)
+    return select_quantiles(rk.frame, score, probs, rk.group)
 
 
-def qcut_edges(rk: Ranked, score: str = "score", q: int = 10,
+def qcut_edges(rk: Ranked | Scored, score: str = "score", q: int = 10,
                approx_accuracy: int | None = None) -> dict[tuple, list[float]]:
     qs = _quantiles(rk, score, qcut_probabilities(q), approx_accuracy)
     return {g: sorted(set(v)) for g, v in qs.items()}
 
 
-def qcut_bins(rk: Ranked, score: str = "score", q: int = 10, approx_accuracy: int | None = None) -> DataFrame:
+def qcut_bins(rk: Ranked | Scored, score: str = "score", q: int = 10, approx_accuracy: int | None = None) -> DataFrame:
     """Quantile bin per row: right-closed bins over distinct edges, lowest edge included,
     relabelled 0..k−1 (``bin = max(#edges < s, 1) − 1``)."""
     edges = qcut_edges(rk, score, q, approx_accuracy)
@@ -393,7 +458,7 @@ def top_bin_lift(lifts: DataFrame, group: list[str] | None = None) -> DataFrame:
     return top
 
 
-def confusion_at_top(rk: Ranked, score: str = "score", y: str = config.TARGET,
+def confusion_at_top(rk: Ranked | Scored, score: str = "score", y: str = config.TARGET,
                      frac: float = config.TOP_FRACTION, approx_accuracy: int | None = None) -> DataFrame:
     """Threshold = quantile(1 − frac); positive iff score ≥ threshold; confusion counts and
     precision/recall (0 when undefined)."""
@@ -411,7 +476,7 @@ def confusion_at_top(rk: Ranked, score: str = "score", y: str = config.TARGET,
                       "tn", "fp", "fn", "tp", prec.alias("precision"), rec.alias("recall"))
 
 
-def grade_thresholds(rk: Ranked, score: str = "score",
+def grade_thresholds(rk: Ranked | Scored, score: str = "score",
                      approx_accuracy: int | None = None) -> dict[tuple, dict[str, float]]:
     """Score cutoffs at each band's lower percentile (A: q75, B: q50) per group."""
     probs = [q / 100 for _, q in config.GRADE_BANDS]

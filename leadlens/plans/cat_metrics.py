@@ -171,7 +171,7 @@ dlift AS (
 
 
 def _binned(spark, sf_dir, ties=False):
-    return R.qcut_bins(_ranked(spark, sf_dir, ties), "score", 10)
+    return R.qcut_bins(R.scored(_scored(spark, sf_dir, ties), G), "score", 10)
 
 
 @register("qcut_deciles", msql("SELECT id, segmento, bin FROM binned", *QCUT))
@@ -282,7 +282,7 @@ thr AS (SELECT segmento, quantile_cont(score, 0.75) AS q_a, quantile_cont(score,
   SELECT segmento, 'A' AS grade, q_a AS threshold FROM thr UNION ALL SELECT segmento, 'B', q_b FROM thr)""", THR))
 def q_grade_thresholds(spark, sf_dir):
     """Score cutoffs at the 75th and 50th percentile per segment (exact, interpolated)."""
-    thr = R.grade_thresholds(_ranked(spark, sf_dir))
+    thr = R.grade_thresholds(R.scored(_scored(spark, sf_dir), G))
     rows = [(g[0], grade, float(v)) for g, d in thr.items() for grade, v in d.items()]
     df = spark.createDataFrame(rows, "segmento string, grade string, threshold double")
     return df.select("segmento", "grade", F.round("threshold", 6).alias("threshold"))
@@ -294,7 +294,7 @@ def q_grade_thresholds(spark, sf_dir):
   FROM scored s JOIN thr t USING (segmento)""", THR))
 def q_grade_assign(spark, sf_dir):
     """Letter of every row from its segment's fitted cutoffs (inclusive lower edges)."""
-    rk = _ranked(spark, sf_dir)
+    rk = R.scored(_scored(spark, sf_dir), G)
     thr = R.grade_thresholds(rk)
     m = F.create_map(*[x for g, d in thr.items()
                        for x in (F.lit(g[0]), F.create_map(*[y for k, v in d.items() for y in (F.lit(k), F.lit(v))]))])
@@ -311,6 +311,6 @@ def q_grade_assign(spark, sf_dir):
   GROUP BY s.segmento"""))
 def q_confusion_at_top(spark, sf_dir):
     """Confusion matrix at the top-10 % score threshold."""
-    c = R.confusion_at_top(_ranked(spark, sf_dir))
+    c = R.confusion_at_top(R.scored(_scored(spark, sf_dir), G))
     return c.select("segmento", "frac", F.round("threshold", 6).alias("threshold"), "n_test", "tn", "fp", "fn", "tp",
                     F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
