@@ -41,12 +41,13 @@ def cmd_snapshot(spark, a) -> None:
 
 def cmd_build(spark, a) -> None:
     from .operators.training import build_training_dag
-    from .sources.events import read_event_shards
+    from .sources.events import event_bounds, read_event_shards
     from .sources.leads import read_history
     from .sources.sinks import write_table
     p = config.RunParams(execution_date=a.execution_date or dt.datetime.now(dt.timezone.utc).date(),
                          maturity_days=a.maturity_days, strict_params=not a.first_param, upper_bound=a.upper_bound)
-    d = build_training_dag(read_event_shards(spark, a.shards), read_history(spark, a.history), p)
+    span = event_bounds(spark, a.shards, p.execution_date, p.lookback_months, p.upper_bound)
+    d = build_training_dag(read_event_shards(spark, a.shards), read_history(spark, a.history), p, span)
     write_table(d.table, a.out)
 
 

@@ -99,8 +99,10 @@ class Bounds:
         return strict_least(self.max_createdon, self.max_ts)
 
 
-def bounds(base: DataFrame, leads: DataFrame, maturity_days: int) -> Bounds:
-    lo, hi = event_ts_bounds(base)
+def bounds(base: DataFrame, leads: DataFrame, maturity_days: int, event_span: DataFrame | None = None) -> Bounds:
+    """``event_span``: (min_timestamp, max_timestamp) where they are known without a scan of ``base``."""
+    lo, hi = event_ts_bounds(base) if event_span is None else (event_span.select("min_timestamp").scalar(),
+                                                               event_span.select("max_timestamp").scalar())
     return Bounds(lo, hi, maturity_cutoff(leads, maturity_days))
 
 
@@ -211,7 +213,9 @@ class TrainingDag:
         return self._table
 
 
-def build_training_dag(shards: DataFrame, history: DataFrame, params: config.RunParams) -> TrainingDag:
+def build_training_dag(shards: DataFrame, history: DataFrame, params: config.RunParams,
+                       event_span: DataFrame | None = None) -> TrainingDag:
+    """``event_span`` (see ``sources.events.event_bounds``) spares the scan of all shards for the two time bounds."""
     from ..sources.events import base_events
     from ..sources.leads import asof_snapshot
 
@@ -219,7 +223,7 @@ def build_training_dag(shards: DataFrame, history: DataFrame, params: config.Run
     purchases = purchase_events(base, params.strict_params)
     snap = asof_snapshot(history, params.execution_date)
     leads = lead_normalise(snap, params.execution_date, params.lookback_months)
-    b = bounds(base, leads, params.maturity_days)
+    b = bounds(base, leads, params.maturity_days, event_span)
     lw = lead_window(leads, b)
     latest = latest_lead_per_day(lw)
     pw = purchase_window(purchases, b)

@@ -311,3 +311,35 @@ def q_snap_replace_stored(spark, sf_dir):
                           (cleared, leads.filter(F.lit(False)), 8), (dt.date(2026, 1, 5), leads, 7)):
         L.append_snapshot(spark, rows, path, d, dt.datetime(d.year, d.month, d.day, hour))
     return _history_text(L.read_history(spark, path))
+
+
+def _stored_shards(spark, sf_dir) -> str:
+    """All shards on storage: written in two appends, the last third without statistics."""
+    from ..session import scratch_path
+    from ..sources.events import write_event_shards
+    path = scratch_path(spark, "event_shards")
+    shards = fx.event_shards(spark, sf_dir)
+    late = F.col("suffix") >= "20240121"
+    write_event_shards(shards.filter(F.col("suffix") < "20240111"), path)
+    write_event_shards(shards.filter((F.col("suffix") >= "20240111") & ~late), path, "append")
+    shards.filter(late).write.mode("append").partitionBy("suffix").parquet(path)
+    return path
+
+
+@register("event_ts_bounds_stored", O.with_dag("SELECT lo AS min_timestamp, hi AS max_timestamp FROM span"))
+def q_event_ts_bounds_stored(spark, sf_dir):
+    """The two time bounds from the statistics of stored shards; events are read of shards without statistics only."""
+    from ..sources.events import event_bounds
+    ensure_session(spark)
+    return event_bounds(spark, _stored_shards(spark, sf_dir), EXEC)
+
+
+@register("model_train_stored", O.with_dag("SELECT * FROM model_train"))
+def q_model_train_stored(spark, sf_dir):
+    """The training table over stored shards, its time bounds from their statistics."""
+    from ..sources import events as EV
+    ensure_session(spark)
+    path = _stored_shards(spark, sf_dir)
+    EV.refresh_shard_stats(spark, path)
+    return T.build_training_dag(EV.read_event_shards(spark, path), fx.lead_history(spark, sf_dir), _params(),
+                                EV.event_bounds(spark, path, EXEC)).table
