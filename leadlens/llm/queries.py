@@ -33,7 +33,8 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every query row of ``embeddings`` (ids divisible by 50) with all other rows."""
-    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    out = topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return out.select("query_id", "rank", "vec_id", "score")
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,19 @@
 """Exact top-k search by inner product with a pivot table.
 
-Components become integers ``floor(scale * x)``. A bounded sample of rows serves as pivots and every row
-is stored with its distances to all of them. For a query ``q`` the largest of
-``|d(q, p) - d(v, p)|`` over the pivots is a lower bound of ``d(q, v)``, and with both lengths known an
-upper bound of the inner product. Candidates of a block are evaluated exactly in the order of that bound
-until the k-th best score found is above every bound that is left, so the result is exact.
+Components become integers ``floor(scale * x)``. Pivots are rows far apart from each other (farthest first over
+a bounded sample), as many as ``pivot_share`` of the rows, at most ``pivots``, and every row is stored with its distances
+to all of them. For a query ``q`` the largest of ``|d(q, p) - d(v, p)|`` over the pivots is a lower bound of
+``d(q, v)``, and with both lengths known an upper bound of the inner product. Candidates of a block are evaluated
+exactly in the order of that bound until the k-th best score known is above every bound that is left, so the
+result is exact.
 
 Rows are packed into blocks; the blocks of the stated query set meet the blocks of all rows on a grid
 whose cells are spread by hash, so that no task holds more than a few blocks, and only ``k`` rows a query
-and block go on to the final ranking. Nothing but the pivots (``pivots`` rows) reaches the driver.
+and block go on to the final ranking. A first pass over one column of the grid gives each query a score that k
+rows reach; it goes with the query to every block, which so needs not find its own best rows first. Nothing but the
+sample (``sample`` rows) reaches the driver, and the pivots go back as a broadcast of at most ``pivots`` rows.
+
+``evaluated`` of a result row is the number of candidates whose score was computed for its query, in both passes.
 
 Edge cases: null vectors, vectors that hold a null or non-finite component and rows without an id take
 no part; vectors meet only vectors of their length; equal scores rank by smaller id; rows that repeat an
@@ -18,6 +23,7 @@ an empty table gives an empty result; only id and vector are read, other columns
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -34,10 +40,12 @@ by_value(__name__)
 class TopK:
     k: int = 5
     scale: int = 256
-    pivots: int = 32
-    block_rows: int = 4096
-    query_rows: int = 1024
-    chunk: int = 256
+    pivots: int = 1024
+    pivot_share: float = 0.4
+    sample: int = 8192
+    block_rows: int = 1024
+    query_rows: int = 256
+    chunk: int = 16
 
 
 def integers(vector: Column, scale: int) -> Column:
@@ -55,13 +63,25 @@ def distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.stack([np.sqrt(((rows - p) ** 2).sum(axis=1)) for p in pivots], axis=1)
 
 
-def packer(block_rows: int, pivots: dict):
+def far_apart(rows: np.ndarray, n: int) -> np.ndarray:
+    """``n`` of ``rows``, each the farthest from those before it; fewer if the others repeat these."""
+    if not len(rows) or n < 1:
+        return rows[:0]
+    chosen, gap = [0], ((rows - rows[0]) ** 2).sum(axis=1)
+    while len(chosen) < n and gap.max() > 0:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, ((rows - rows[chosen[-1]]) ** 2).sum(axis=1))
+    return rows[chosen]
+
+
+def packer(block_rows: int, shared):
     """Rows of (id, v, dim) to blocks of one dimension: ids, vectors and pivot distances as packed arrays."""
     def block(dim: int, ids: list, vectors: list) -> pd.DataFrame:
         m = np.array(vectors, dtype=np.int64).reshape(len(ids), dim)
-        d = distances(m.astype(float), pivots.get(dim, np.zeros((0, dim))))
-        return pd.DataFrame({"dim": [dim], "n": [len(ids)], "ids": [np.array(ids, dtype=np.int64).tobytes()],
-                             "vectors": [m.tobytes()], "dists": [d.tobytes()]})
+        d = distances(m.astype(float), shared.value.get(dim, np.zeros((0, dim))))
+        ids = np.array(ids, dtype=np.int64).tobytes()
+        return pd.DataFrame({"dim": [dim], "block": [xxhash.xxh3_64_intdigest(ids + m.tobytes()) >> 1], "ids": [ids],
+                             "vectors": [m.tobytes()], "dists": [d.astype(np.float32).tobytes()]})
 
     def pack(batches):
         held: dict = {}
@@ -85,28 +105,45 @@ def exact_scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return v @ q
 
 
-def best_of_block(qid: int, q: np.ndarray, qd: np.ndarray, ids, v, vd, sq_v, spec: TopK) -> list[tuple]:
-    """The k best rows of one block for one query, evaluated in the order of their bounds."""
-    own = ids != qid
-    low = np.abs(vd - qd).max(axis=1, initial=0.0)
-    sq_q = float((q.astype(float) ** 2).sum())
+def bounds_of(qd: np.ndarray, sq_q: float, vd: np.ndarray, sq_v: np.ndarray) -> np.ndarray:
+    """Upper bounds of the inner products of one query with the rows of a block."""
+    low = np.abs(vd - qd).max(axis=1, initial=0.0).astype(float)
+    low = np.maximum(low - 3e-7 * (vd.max(initial=0.0) + qd.max(initial=0.0)), 0)  # distances are kept in four bytes
     bound = (sq_q + sq_v - low ** 2) / 2
-    bound += 1e-9 * (sq_q + sq_v) + 1  # rounding can only make it larger
-    order = np.argsort(-np.where(own, bound, -np.inf), kind="stable")[:int(own.sum())]
+    return bound + 1e-9 * (sq_q + sq_v) + 1  # rounding can only make it larger
+
+
+def best_of_block(qid: int, q: np.ndarray, qd: np.ndarray, ids, v, vd, sq_v, reached, spec: TopK) -> tuple[list[tuple], int]:
+    """The k best rows of one block for one query among those that score ``reached`` (None: any) or more, evaluated in
+    the order of their bounds, and how many were evaluated."""
+    own = ids != qid
+    bound = bounds_of(qd, float((q.astype(float) ** 2).sum()), vd, sq_v)
+    if reached is not None:
+        own &= bound >= reached
+    order = np.flatnonzero(own)
+    order = order[np.argsort(-bound[order], kind="stable")]
     found: list[tuple] = []
+    done = 0
     for at in range(0, len(order), spec.chunk):
         part = order[at:at + spec.chunk]
         if len(found) == spec.k and bound[part[0]] < -found[-1][0]:
             break
         score = exact_scores(q, v[part])
-        if len(found) == spec.k:
-            keep = score >= -found[-1][0]
+        done += len(part)
+        least = -found[-1][0] if len(found) == spec.k else reached
+        if least is not None:
+            keep = score >= least
             part, score = part[keep], score[keep]
         found = sorted([*found, *zip((-score).tolist(), ids[part].tolist())])[:spec.k]
-    return found
+    return found, done
+
+
+FOUND = "q_block long, query_id long, query_key long, vec_id long, score long, evaluated long"
 
 
 def searcher(spec: TopK):
+    """Pairs of a block of rows and a block of queries to the best rows of each query, and one row without a candidate
+    a query that counts its evaluations."""
     def search(batches):
         for pdf in batches:
             rows = []
@@ -114,40 +151,68 @@ def searcher(spec: TopK):
                 dim, ids, qids = r.dim, np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.q_ids, dtype=np.int64)
                 v = np.frombuffer(r.vectors, dtype=np.int64).reshape(len(ids), dim)
                 q = np.frombuffer(r.q_vectors, dtype=np.int64).reshape(len(qids), dim)
-                vd = np.frombuffer(r.dists).reshape(len(ids), -1) if r.dists else np.zeros((len(ids), 0))
-                qd = np.frombuffer(r.q_dists).reshape(len(qids), -1) if r.q_dists else np.zeros((len(qids), 0))
+                vd = np.frombuffer(r.dists, np.float32).reshape(len(ids), -1) if r.dists else np.zeros((len(ids), 0))
+                qd = np.frombuffer(r.q_dists, np.float32).reshape(len(qids), -1) if r.q_dists else np.zeros((len(qids), 0))
                 sq_v = (v.astype(float) ** 2).sum(axis=1)
+                known = dict(zip(r.r_keys, r.r_scores)) if r.r_keys is not None else {}
                 for i, qid in enumerate(qids.tolist()):
-                    key = xxhash.xxh3_64_intdigest(q[i].tobytes()) >> 1  # tells queries of one id apart
-                    rows += [(qid, key, vid, -s) for s, vid in best_of_block(qid, q[i], qd[i], ids, v, vd, sq_v, spec)]
-            yield pd.DataFrame(rows, columns=["query_id", "query_key", "vec_id", "score"]).astype("int64")
+                    key = query_key(q[i])
+                    found, done = best_of_block(qid, q[i], qd[i], ids, v, vd, sq_v, known.get(f"{qid}:{key}"), spec)
+                    rows += [(r.q_block, qid, key, vid, -s, 0) for s, vid in found]
+                    rows.append((r.q_block, qid, key, None, None, done))
+            columns = ["q_block", "query_id", "query_key", "vec_id", "score", "evaluated"]
+            yield pd.DataFrame({c: pd.array([row[i] for row in rows], dtype="Int64") for i, c in enumerate(columns)})
     return search
 
 
+def query_key(vector: np.ndarray) -> int:
+    """Tells queries of one id apart."""
+    return xxhash.xxh3_64_intdigest(np.ascontiguousarray(vector).tobytes()) >> 1
+
+
 def top_k(rows: DataFrame, is_query: Column, spec: TopK = TopK(), id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
     """Per query: query_id, rank, vec_id, score of its ``k`` best other rows."""
     good = rows.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
     good = good.select(F.col(id_col).cast("long").alias("id"), integers(F.col(vector_col), spec.scale).alias("v"),
                        F.coalesce(is_query, F.lit(False)).alias("asks"), F.size(vector_col).alias("dim"))
-    by_hash = good.select("dim", "v").orderBy(F.xxhash64("id", "v")).limit(spec.pivots).collect()
-    pivots: dict = {}
-    for r in by_hash:
-        pivots.setdefault(r["dim"], []).append(r["v"])
-    pivots = {d: np.array(vs, dtype=float).reshape(len(vs), d) for d, vs in pivots.items()}
-    packed = "dim int, n int, ids binary, vectors binary, dists binary"
-    blocks = stored(good.select("id", "v", "dim").mapInPandas(packer(spec.block_rows, pivots), packed), "topk-rows")
+    n_rows = good.count()
+    few = good.select("dim", "v").orderBy(F.xxhash64("id", "v")).limit(spec.sample).collect()
+    sample: dict = {}
+    for r in few:
+        sample.setdefault(r["dim"], []).append(r["v"])
+    pivots = {d: far_apart(np.array(vs, dtype=float).reshape(len(vs), d),
+                           min(spec.pivots, ceil(spec.pivot_share * n_rows * len(vs) / len(few)))) for d, vs in sample.items()}
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)  # at most ``pivots`` rows a length, of ``sample`` rows in all
+    packed = "dim int, block long, ids binary, vectors binary, dists binary"
+    blocks = stored(good.select("id", "v", "dim").mapInPandas(packer(spec.block_rows, shared), packed), "topk-rows")
     asked = good.filter("asks").select("id", "v", "dim").distinct()
-    queries = stored(asked.mapInPandas(packer(spec.query_rows, pivots), packed), "topk-queries")
+    queries = stored(asked.mapInPandas(packer(spec.query_rows, shared), packed), "topk-queries")
     # a grid of about one block of rows by eight of queries a cell
     g = max(1, blocks.count())
     h = max(1, queries.count() // 8)
-    cell = F.xxhash64("ids")
-    b = blocks.withColumn("g", F.pmod(cell, F.lit(g))).withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(h - 1))))
-    q = queries.withColumn("h", F.pmod(cell, F.lit(h))).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(g - 1))))
-    q = q.select("dim", "g", "h", *[F.col(c).alias(f"q_{c}") for c in ("ids", "vectors", "dists")])
-    pairs = b.withColumn("h", F.col("h").cast("long")).join(q.withColumn("g", F.col("g").cast("long")), ["dim", "g", "h"])
-    near = pairs.drop("n", "g", "h").mapInPandas(searcher(spec), "query_id long, query_key long, vec_id long, score long")
-    w = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
-    return (near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= spec.k)
-            .select("query_id", "rank", "vec_id", "score"))
+    b = blocks.withColumn("g", F.pmod("block", F.lit(g))).withColumn("h", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(h - 1).cast("long"))))
+    q = queries.withColumn("h", F.pmod("block", F.lit(h)).cast("long")).withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(g - 1).cast("long"))))
+    q = q.select("dim", "g", "h", *[F.col(c).alias(f"q_{c}") for c in ("block", "ids", "vectors", "dists")])
+    order = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc_nulls_last(), "vec_id")
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(order))
+
+    def look(rows: DataFrame, asked: DataFrame) -> DataFrame:
+        return rows.join(asked, ["dim", "g", "h"]).drop("g", "h", "block").mapInPandas(searcher(spec), FOUND)
+
+    nothing = [F.lit(None).cast("array<string>").alias("r_keys"), F.lit(None).cast("array<long>").alias("r_scores")]
+    near = None
+    if g > 1:  # one block alone has nothing to learn from another
+        at = b.agg(F.min("g")).first()[0]
+        near = stored(look(b.filter(F.col("g") == at), q.filter(F.col("g") == at).select("*", *nothing)), "topk-start")
+        mark = F.struct(F.concat_ws(":", "query_id", "query_key").alias("key"), "score")
+        known = (ranked(near).filter((F.col("rank") == spec.k) & F.col("vec_id").isNotNull())
+                 .groupBy("q_block").agg(F.collect_list(mark).alias("r"))  # at most the queries of one block
+                 .select("q_block", F.col("r.key").alias("r_keys"), F.col("r.score").alias("r_scores")))
+        near = near.unionByName(look(b.filter(F.col("g") != at), q.filter(F.col("g") != at).join(known, "q_block", "left")))
+    else:
+        near = look(b, q.select("*", *nothing))
+    total = F.sum("evaluated").over(Window.partitionBy("query_id", "query_key"))
+    return (ranked(near).withColumn("evaluated", total)
+            .filter((F.col("rank") <= spec.k) & F.col("vec_id").isNotNull())
+            .select("query_id", "rank", "vec_id", "score", "evaluated"))

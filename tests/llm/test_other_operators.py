@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 VECTORS = "vec_id long, embedding array<float>, label int"
 
 
-@pytest.mark.parametrize("scale", [256, 10 ** 9])
-def test_search_by_hand(spark, scale):
+@pytest.mark.parametrize("scale,block_rows,pivots", [(256, 50, 1024), (10 ** 9, 50, 1024), (256, 1000, 7), (256, 20, 0)])
+def test_search_by_hand(spark, scale, block_rows, pivots):
     rng = random.Random(scale)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)], 0) for i in range(260)]
     rows += [(300 + i, [0.5] * 6, 0) for i in range(40)]  # ties
     rows += [(400, None, 0), (401, [0.1, None, 0.0, 0.0, 0.0, 0.0], 0), (450, [float("nan")] * 6, 0), (500, [float("inf")] * 6, 0),
              (550, [0.25, 0.5], 0), (551, [0.5, 0.5], 0), (None, [9.0] * 6, 0), (600, [], 0), (650, [], 0)]
     df = spark.createDataFrame(rows, VECTORS).withColumn("id", F.lit("x")).withColumn("rank", F.lit(1)).repartition(4)
-    spec = topk_search.TopK(scale=scale, block_rows=50, query_rows=3, chunk=8)
-    got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, spec).collect()
+    spec = topk_search.TopK(scale=scale, block_rows=block_rows, pivots=pivots, query_rows=3, chunk=8)
+    got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, spec).drop("evaluated").collect()
     f32 = {r.vec_id: r.embedding for r in df.collect() if r.vec_id is not None and r.embedding is not None}
     v = {i: [math.floor(scale * x) for x in e] for i, e in f32.items()
          if all(x is not None and math.isfinite(x) for x in e)}
@@ -32,6 +32,28 @@ def test_search_by_hand(spark, scale):
     assert {tuple(r) for r in got} == exp and len(got) == len(exp)
 
 
+@pytest.mark.parametrize("block_rows", [1024, 4096])
+def test_search_leaves_candidates_out(spark, block_rows):
+    """The pivots and the scores that queries bring along spare evaluations, on the given vectors and more so on grouped ones."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").dropna()
+    n = rows.count()
+    spec = topk_search.TopK(block_rows=block_rows)
+    share = lambda df: (topk_search.top_k(df, F.col("vec_id") % 50 == 0, spec).filter("rank = 1")
+                        .agg(F.avg("evaluated")).first()[0] / (n - 1))
+    given = share(rows)
+    near = F.transform("embedding", lambda x, i: F.when(i == F.pmod("vec_id", F.lit(32)), x + 3).otherwise(x / 10))
+    grouped = share(rows.select("vec_id", near.alias("embedding")))
+    print("evaluated", given, grouped)
+    assert given < 0.6 and grouped < 0.2
+
+
+def test_far_apart_pivots():
+    import numpy as np
+    rows = np.array([[0.0], [1.0], [10.0], [10.0], [4.0]])
+    assert topk_search.far_apart(rows, 3).ravel().tolist() == [0.0, 10.0, 4.0]
+    assert len(topk_search.far_apart(rows, 9)) == 4 and len(topk_search.far_apart(rows[:0], 3)) == 0
+
+
 def test_search_of_an_empty_table(spark):
     assert topk_search.top_k(spark.createDataFrame([], VECTORS), F.lit(True)).count() == 0
 
