@@ -2,10 +2,11 @@
 
 Components become integers ``floor(scale * x)``. Pivots are rows far apart from each other (farthest first over
 a bounded sample), as many as ``pivot_share`` of the rows, at most ``pivots``, and every row is stored with its distances
-to all of them. For a query ``q`` the largest of ``|d(q, p) - d(v, p)|`` over the pivots is a lower bound of
-``d(q, v)``, and with both lengths known an upper bound of the inner product. Candidates of a block are evaluated
-exactly in the order of that bound until the k-th best score known is above every bound that is left, so the
-result is exact.
+to all of them. For a query ``q`` the largest of ``|d(q, p) - d(v, p)|`` over pivots is a lower bound of
+``d(q, v)``, and with both lengths known an upper bound of the inner product. The pivots that can make it large are
+those nearest to and farthest from the query (``by_query`` of them) and those nearest to the row (``by_row``), so these
+are looked up. Candidates of a block are evaluated exactly in the order of that bound until the k-th best score
+known is above every bound that is left, so the result is exact.
 
 Rows are packed into blocks; the blocks of the stated query set meet the blocks of all rows on a grid
 whose cells are spread by hash, so that no task holds more than a few blocks, and only ``k`` rows a query
@@ -45,7 +46,9 @@ class TopK:
     sample: int = 8192
     block_rows: int = 1024
     query_rows: int = 256
-    chunk: int = 16
+    chunk: int = 16          # candidates evaluated at first; twice as many each time
+    by_query: int = 32
+    by_row: int = 4
 
 
 def integers(vector: Column, scale: int) -> Column:
@@ -97,45 +100,62 @@ def packer(block_rows: int, shared):
     return pack
 
 
-def exact_scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Integer inner products; floating point only where it is exact."""
-    most = float(np.abs(v).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, v.shape[1])
-    if most < 2 ** 53:
-        return (v.astype(float) @ q.astype(float)).astype(np.int64)
-    return v @ q
-
-
-def bounds_of(qd: np.ndarray, sq_q: float, vd: np.ndarray, sq_v: np.ndarray) -> np.ndarray:
-    """Upper bounds of the inner products of one query with the rows of a block."""
-    low = np.abs(vd - qd).max(axis=1, initial=0.0).astype(float)
-    low = np.maximum(low - 3e-7 * (vd.max(initial=0.0) + qd.max(initial=0.0)), 0)  # distances are kept in four bytes
-    bound = (sq_q + sq_v - low ** 2) / 2
-    return bound + 1e-9 * (sq_q + sq_v) + 1  # rounding can only make it larger
-
-
-def best_of_block(qid: int, q: np.ndarray, qd: np.ndarray, ids, v, vd, sq_v, reached, spec: TopK) -> tuple[list[tuple], int]:
+class Block:
+    """One block of rows as it is searched: vectors, squared lengths, and the pivot table by pivot."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray, dists: np.ndarray, by_row: int):
+        self.ids, self.v, self.as_float = ids, v, v.astype(float)
+        self.sq, self.most = (self.as_float ** 2).sum(axis=1), float(np.abs(v).max(initial=0))
+        self.table = np.ascontiguousarray(dists.T)
+        near = min(by_row, dists.shape[1])
+        self.near = np.argpartition(dists, near - 1, axis=1)[:, :near] if near else np.zeros((len(ids), 0), dtype=int)
+        self.near_dist = np.take_along_axis(dists, self.near, axis=1)
+        self.far = float(dists.max(initial=0.0))
+
+    def bounds(self, qd: np.ndarray, sq_q: float, by_query: int) -> np.ndarray:
+        """Upper bounds of the inner products of one query with the rows."""
+        half = min(by_query // 2, len(qd))
+        order = np.argpartition(qd, half - 1) if half else np.zeros(0, dtype=int)
+        looked = np.concatenate([order[:half], np.argpartition(-qd, half - 1)[:half]]) if half else order
+        low = np.abs(self.table[looked] - qd[looked, None]).max(axis=0, initial=0.0)
+        low = np.maximum(low, np.abs(self.near_dist - qd[self.near]).max(axis=1, initial=0.0)).astype(float)
+        low = np.maximum(low - 3e-7 * (self.far + qd.max(initial=0.0)), 0)  # distances are kept in four bytes
+        bound = (sq_q + self.sq - low ** 2) / 2
+        return bound + 1e-9 * (sq_q + self.sq) + 1  # rounding can only make it larger
+
+    def scores(self, q: np.ndarray, part: np.ndarray) -> np.ndarray:
+        """Integer inner products; floating point only where it is exact."""
+        if self.most * float(np.abs(q).max(initial=0)) * max(1, len(q)) < 2 ** 53:
+            return (self.as_float[part] @ q.astype(float)).astype(np.int64)
+        return self.v[part] @ q
+
+
+def best_of_block(qid: int, q: np.ndarray, qd: np.ndarray, block: Block, reached, spec: TopK) -> tuple[list[tuple], int]:
     """The k best rows of one block for one query among those that score ``reached`` (None: any) or more, evaluated in
     the order of their bounds, and how many were evaluated."""
-    own = ids != qid
-    bound = bounds_of(qd, float((q.astype(float) ** 2).sum()), vd, sq_v)
+    own = block.ids != qid
+    bound = block.bounds(qd, float((q.astype(float) ** 2).sum()), spec.by_query)
     if reached is not None:
         own &= bound >= reached
     order = np.flatnonzero(own)
     order = order[np.argsort(-bound[order], kind="stable")]
     found: list[tuple] = []
-    done = 0
-    for at in range(0, len(order), spec.chunk):
-        part = order[at:at + spec.chunk]
-        if len(found) == spec.k and bound[part[0]] < -found[-1][0]:
-            break
-        score = exact_scores(q, v[part])
-        done += len(part)
+    at, size = 0, spec.chunk
+    while at < len(order):
         least = -found[-1][0] if len(found) == spec.k else reached
+        part = order[at:at + size]
+        if least is not None:  # bounds fall along the order
+            part = part[:int(np.searchsorted(-bound[part], -least, side="right"))]
+            if not len(part):
+                break
+        score = block.scores(q, part)
+        at, size = at + len(part), 2 * size
         if least is not None:
             keep = score >= least
             part, score = part[keep], score[keep]
-        found = sorted([*found, *zip((-score).tolist(), ids[part].tolist())])[:spec.k]
-    return found, done
+        if len(part):
+            found = sorted([*found, *zip((-score).tolist(), block.ids[part].tolist())])[:spec.k]
+    return found, at
 
 
 FOUND = "q_block long, query_id long, query_key long, vec_id long, score long, evaluated long"
@@ -153,11 +173,11 @@ def searcher(spec: TopK):
                 q = np.frombuffer(r.q_vectors, dtype=np.int64).reshape(len(qids), dim)
                 vd = np.frombuffer(r.dists, np.float32).reshape(len(ids), -1) if r.dists else np.zeros((len(ids), 0))
                 qd = np.frombuffer(r.q_dists, np.float32).reshape(len(qids), -1) if r.q_dists else np.zeros((len(qids), 0))
-                sq_v = (v.astype(float) ** 2).sum(axis=1)
+                block = Block(ids, v, vd, spec.by_row)
                 known = dict(zip(r.r_keys, r.r_scores)) if r.r_keys is not None else {}
                 for i, qid in enumerate(qids.tolist()):
                     key = query_key(q[i])
-                    found, done = best_of_block(qid, q[i], qd[i], ids, v, vd, sq_v, known.get(f"{qid}:{key}"), spec)
+                    found, done = best_of_block(qid, q[i], qd[i], block, known.get(f"{qid}:{key}"), spec)
                     rows += [(r.q_block, qid, key, vid, -s, 0) for s, vid in found]
                     rows.append((r.q_block, qid, key, None, None, done))
             columns = ["q_block", "query_id", "query_key", "vec_id", "score", "evaluated"]
