@@ -5,7 +5,7 @@ a bounded sample), as many as ``pivot_share`` of the rows, at most ``pivots``, a
 to all of them. For a query ``q`` the largest of ``|d(q, p) - d(v, p)|`` over pivots is a lower bound of
 ``d(q, v)``, and with both lengths known an upper bound of the inner product. The pivots that can make it large are
 those nearest to and farthest from the query (``by_query`` of them) and those nearest to the row (``by_row``), so these
-are looked up. Candidates of a block are evaluated exactly in the order of that bound until the k-th best score
+are looked up; the table of a block holds them in one byte each, the bound allows for the rounding. Candidates of a block are evaluated exactly in the order of that bound until the k-th best score
 known is above every bound that is left, so the result is exact.
 
 Rows are packed into blocks; the blocks of the stated query set meet the blocks of all rows on a grid
@@ -77,14 +77,32 @@ def far_apart(rows: np.ndarray, n: int) -> np.ndarray:
     return rows[chosen]
 
 
-def packer(block_rows: int, shared):
-    """Rows of (id, v, dim) to blocks of one dimension: ids, vectors and pivot distances as packed arrays."""
+def nearest(d: np.ndarray, m: int) -> np.ndarray:
+    """Places of the ``m`` pivots nearest to each row."""
+    m = min(m, d.shape[1])
+    return np.argpartition(d, m - 1, axis=1)[:, :m] if m else np.zeros((len(d), 0), dtype=np.int64)
+
+
+def in_bytes(d: np.ndarray) -> tuple[bytes, float, float]:
+    """The table by pivot in one byte an entry, and the lowest value and the step that give it back to half a step."""
+    low = float(d.min(initial=np.inf)) if d.size else 0.0
+    step = (float(d.max(initial=0.0)) - low) / 255 if d.size else 0.0
+    return np.rint((d.T - low) / (step or 1.0)).astype(np.uint8).tobytes(), low, step
+
+
+def packer(block_rows: int, shared, by_row: int | None = None):
+    """Rows of (id, v, dim) to blocks of one dimension: ids, vectors and pivot distances as packed arrays. With ``by_row``
+    the distances to all pivots are in bytes and those to the nearest ones exact; without it all are exact."""
     def block(dim: int, ids: list, vectors: list) -> pd.DataFrame:
         m = np.array(vectors, dtype=np.int64).reshape(len(ids), dim)
         d = distances(m.astype(float), shared.value.get(dim, np.zeros((0, dim))))
+        near = nearest(d, by_row or 0)
+        table, low, step = (d.astype(np.float32).tobytes(), 0.0, 0.0) if by_row is None else in_bytes(d)
         ids = np.array(ids, dtype=np.int64).tobytes()
         return pd.DataFrame({"dim": [dim], "block": [xxhash.xxh3_64_intdigest(ids + m.tobytes()) >> 1], "ids": [ids],
-                             "vectors": [m.tobytes()], "dists": [d.astype(np.float32).tobytes()]})
+                             "vectors": [m.tobytes()], "dists": [table], "low": [low], "step": [step],
+                             "near": [near.astype(np.int32).tobytes()],
+                             "near_dists": [np.take_along_axis(d, near, axis=1).astype(np.float32).tobytes()]})
 
     def pack(batches):
         held: dict = {}
@@ -103,23 +121,25 @@ def packer(block_rows: int, shared):
 class Block:
     """One block of rows as it is searched: vectors, squared lengths, and the pivot table by pivot."""
 
-    def __init__(self, ids: np.ndarray, v: np.ndarray, dists: np.ndarray, by_row: int):
-        self.ids, self.v, self.as_float = ids, v, v.astype(float)
-        self.sq, self.most = (self.as_float ** 2).sum(axis=1), float(np.abs(v).max(initial=0))
-        self.table = np.ascontiguousarray(dists.T)
-        near = min(by_row, dists.shape[1])
-        self.near = np.argpartition(dists, near - 1, axis=1)[:, :near] if near else np.zeros((len(ids), 0), dtype=int)
-        self.near_dist = np.take_along_axis(dists, self.near, axis=1)
-        self.far = float(dists.max(initial=0.0))
+    def __init__(self, r):
+        self.ids = np.frombuffer(r.ids, dtype=np.int64)
+        n = len(self.ids)
+        self.v = np.frombuffer(r.vectors, dtype=np.int64).reshape(n, r.dim)
+        self.as_float = self.v.astype(float)
+        self.sq, self.most = (self.as_float ** 2).sum(axis=1), float(np.abs(self.v).max(initial=0))
+        self.table, self.low, self.step = np.frombuffer(r.dists, np.uint8).reshape(-1, n), r.low, r.step
+        self.near = np.frombuffer(r.near, np.int32).reshape(n, -1)
+        self.near_dists = np.frombuffer(r.near_dists, np.float32).reshape(n, -1)
 
     def bounds(self, qd: np.ndarray, sq_q: float, by_query: int) -> np.ndarray:
         """Upper bounds of the inner products of one query with the rows."""
         half = min(by_query // 2, len(qd))
-        order = np.argpartition(qd, half - 1) if half else np.zeros(0, dtype=int)
-        looked = np.concatenate([order[:half], np.argpartition(-qd, half - 1)[:half]]) if half else order
-        low = np.abs(self.table[looked] - qd[looked, None]).max(axis=0, initial=0.0)
-        low = np.maximum(low, np.abs(self.near_dist - qd[self.near]).max(axis=1, initial=0.0)).astype(float)
-        low = np.maximum(low - 3e-7 * (self.far + qd.max(initial=0.0)), 0)  # distances are kept in four bytes
+        looked = np.concatenate([np.argpartition(x, half - 1)[:half] for x in (qd, -qd)]) if half else np.zeros(0, dtype=int)
+        apart = np.abs(self.table[looked] * np.float32(self.step) - (qd[looked, None] - np.float32(self.low)))
+        low = apart.max(axis=0, initial=0.0) - self.step / 2
+        low = np.maximum(low, np.abs(self.near_dists - qd[self.near]).max(axis=1, initial=0.0)).astype(float)
+        # distances are kept in four bytes
+        low = np.maximum(low - 1e-6 * (self.low + 256 * self.step + float(qd.max(initial=0.0))), 0)
         bound = (sq_q + self.sq - low ** 2) / 2
         return bound + 1e-9 * (sq_q + self.sq) + 1  # rounding can only make it larger
 
@@ -168,12 +188,10 @@ def searcher(spec: TopK):
         for pdf in batches:
             rows = []
             for r in pdf.itertuples():
-                dim, ids, qids = r.dim, np.frombuffer(r.ids, dtype=np.int64), np.frombuffer(r.q_ids, dtype=np.int64)
-                v = np.frombuffer(r.vectors, dtype=np.int64).reshape(len(ids), dim)
-                q = np.frombuffer(r.q_vectors, dtype=np.int64).reshape(len(qids), dim)
-                vd = np.frombuffer(r.dists, np.float32).reshape(len(ids), -1) if r.dists else np.zeros((len(ids), 0))
-                qd = np.frombuffer(r.q_dists, np.float32).reshape(len(qids), -1) if r.q_dists else np.zeros((len(qids), 0))
-                block = Block(ids, v, vd, spec.by_row)
+                qids = np.frombuffer(r.q_ids, dtype=np.int64)
+                q = np.frombuffer(r.q_vectors, dtype=np.int64).reshape(len(qids), r.dim)
+                qd = np.frombuffer(r.q_dists, np.float32).reshape(len(qids), -1)
+                block = Block(r)
                 known = dict(zip(r.r_keys, r.r_scores)) if r.r_keys is not None else {}
                 for i, qid in enumerate(qids.tolist()):
                     key = query_key(q[i])
@@ -204,8 +222,8 @@ def top_k(rows: DataFrame, is_query: Column, spec: TopK = TopK(), id_col: str =
     pivots = {d: far_apart(np.array(vs, dtype=float).reshape(len(vs), d),
                            min(spec.pivots, ceil(spec.pivot_share * n_rows * len(vs) / len(few)))) for d, vs in sample.items()}
     shared = rows.sparkSession.sparkContext.broadcast(pivots)  # at most ``pivots`` rows a length, of ``sample`` rows in all
-    packed = "dim int, block long, ids binary, vectors binary, dists binary"
-    blocks = stored(good.select("id", "v", "dim").mapInPandas(packer(spec.block_rows, shared), packed), "topk-rows")
+    packed = "dim int, block long, ids binary, vectors binary, dists binary, low double, step double, near binary, near_dists binary"
+    blocks = stored(good.select("id", "v", "dim").mapInPandas(packer(spec.block_rows, shared, spec.by_row), packed), "topk-rows")
     asked = good.filter("asks").select("id", "v", "dim").distinct()
     queries = stored(asked.mapInPandas(packer(spec.query_rows, shared), packed), "topk-queries")
     # a grid of about one block of rows by eight of queries a cell
