@@ -14,8 +14,8 @@ gain with L1 (``reg_alpha``) and L2 (``reg_lambda``) terms, ``min_child_weight``
 * **Growing by level.** Per level one job: tasks add up their blocks' histograms, one shuffle adds these by (model, node,
   cell), and one group a model (cells of its open nodes; bounded by depth and codes, not by rows) picks the splits. What
   reaches the driver is one row an open node. Rows' margins are stored every ``refresh`` rounds, newer trees are applied
-  on the fly. A group that fits one block has its whole histogram in that block, so its models grow without exchange, dealt
-  over the tasks; both ways run the same functions on the same sums and give the same trees.
+  on the fly. A group of up to 2**20 rows and 2**23 codes is one block and has its whole histogram there, so its models
+  grow without exchange, dealt over the tasks; both ways have the same sums and give the same trees.
 * **Early stopping that stops.** After each round the model's evaluation rows are counted by margin (rounded to 2**-12)
   and the step-wise average precision follows; a model that has not improved for ``patience`` rounds is not grown further.
 
@@ -44,6 +44,9 @@ UNIT = float(1 << 20)      # gradients are counted in units of 1 / UNIT
 GRID = float(1 << 12)      # margins of evaluation rows are counted in steps of 1 / GRID
 LEAST_GAIN = 1e-6
 MAX_BINS = 256
+WHOLE_ROWS, WHOLE_CODES = 1 << 20, 1 << 23  # a group up to this size is one block
+BLOCK_ROWS = 1 << 16                        # rows a block of a larger group
+MOST_JOINED = 1 << 12                       # combinations of the codes of features that are added up together
 TRAIN, EVAL, TEST = 0, 1, 2
 BLOCK = "group int, n int, codes binary, y binary, part binary, fold binary, uid binary, margins binary"
 
@@ -264,12 +267,17 @@ def drawn(uid: np.ndarray, task: Task, rnd: int) -> np.ndarray:
     return x < np.uint64(min(int(share * 2 ** 64), 2 ** 64 - 1))
 
 
+def gradient_units(y: np.ndarray, margin: np.ndarray, task: Task) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and hessians in units."""
+    p = 1 / (1 + np.exp(-margin))
+    w = np.where(y == 1, task.pos_weight, 1.0)
+    return np.rint((p - y) * w * UNIT), np.rint(np.maximum(p * (1 - p), 1e-16) * w * UNIT)
+
+
 def gradients(rows: Rows, margin: np.ndarray, task: Task, rnd: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the rows that a round trains on, and their gradients and hessians in units."""
     at = np.flatnonzero(rows.trains(task) & drawn(rows.uid, task, rnd))
-    p = 1 / (1 + np.exp(-margin[at]))
-    w = np.where(rows.y[at] == 1, task.pos_weight, 1.0)
-    return at, np.rint((p - rows.y[at]) * w * UNIT), np.rint(np.maximum(p * (1 - p), 1e-16) * w * UNIT)
+    return at, *gradient_units(rows.y[at], margin[at], task)
 
 
 def histogram(codes: np.ndarray, node: np.ndarray, nodes: np.ndarray, g: np.ndarray, h: np.ndarray,
@@ -284,12 +292,17 @@ def histogram(codes: np.ndarray, node: np.ndarray, nodes: np.ndarray, g: np.ndar
     return tuple(s.astype(np.int64).reshape(len(nodes), layout.width) for s in sums)
 
 
+def counts_of(y: np.ndarray, margin: np.ndarray) -> pd.DataFrame:
+    """Positives and negatives by rounded margin."""
+    step = np.rint(margin * GRID).astype(np.int64)
+    y = y == 1
+    return pd.DataFrame({"idx": step, "g": y.astype(np.int64), "h": (~y).astype(np.int64)}).groupby("idx", as_index=False).sum()
+
+
 def watched_counts(rows: Rows, margin: np.ndarray, task: Task) -> pd.DataFrame:
     """Positives and negatives of the evaluation rows by rounded margin."""
     at = rows.watched(task)
-    step = np.rint(margin[at] * GRID).astype(np.int64)
-    y = rows.y[at] == 1
-    return pd.DataFrame({"idx": step, "g": y.astype(np.int64), "h": (~y).astype(np.int64)}).groupby("idx", as_index=False).sum()
+    return counts_of(rows.y[at], margin[at])
 
 
 def average_precision(counts: pd.DataFrame) -> float:
@@ -385,27 +398,126 @@ def tree_of(r) -> Tree:
     return Tree(*(np.frombuffer(getattr(r, n), TREE_TYPES[n]).copy() for n in TREE_FIELDS))
 
 
+@dataclass
+class Joint:
+    """Features read as one, with a code for each combination of theirs: rows are added up once for all of them."""
+    size: int
+    codes: np.ndarray         # of each row
+    cells: np.ndarray         # the features' cells in the layout
+    share: np.ndarray | None  # combinations x cells: 1 where a combination has the cell's code (None: a single feature)
+
+
+def joints(codes: np.ndarray, layout: Layout, most: int) -> list[Joint]:
+    """All features, the widest first, joined as long as the combinations are at most ``most``."""
+    width = np.diff(layout.offset)
+    sets: list[list[int]] = []
+    for f in np.argsort(-width, kind="stable").tolist():
+        into = next((s for s in sets if math.prod(width[s].tolist()) * width[f] <= most), None)
+        sets.append([f]) if into is None else into.append(f)
+    out = []
+    for s in sets:
+        size = stride = math.prod(width[s].tolist())
+        code, all_, place = np.zeros(len(codes), np.int32), np.arange(size), 0
+        share = None if len(s) == 1 else np.zeros((size, int(width[s].sum())))
+        for f in s:
+            stride //= int(width[f])
+            code += codes[:, f] * np.int32(stride)
+            if share is not None:
+                share[all_, place + all_ // stride % width[f]] = 1
+            place += int(width[f])
+        out.append(Joint(size, code.astype(np.min_scalar_type(size)), np.concatenate([np.arange(layout.offset[f], layout.offset[f + 1]) for f in s]), share))
+    return out
+
+
+@dataclass
+class Histograms:
+    """Histograms of rows that are all here. How far features are joined depends on the rows that a node has, so that the
+    combinations are fewer than the rows. All sums are of integers, hence exact in doubles."""
+    codes: np.ndarray
+    layout: Layout
+    held: dict[int, list[Joint]] = field(default_factory=dict)
+
+    def joined(self, a_node: int) -> list[Joint]:
+        bits = (min(int(a_node), MOST_JOINED).bit_length() - 1) // 3
+        most = 8 ** bits if bits > 1 else 1
+        if most not in self.held:
+            self.held[most] = joints(self.codes, self.layout, most)
+        return self.held[most]
+
+    def sums(self, at: np.ndarray, slot: np.ndarray, n: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """(2, n, cells): gradients and hessians of the rows ``at`` by their slots of ``n``."""
+        out = np.zeros((2, n, self.layout.width), np.int64)
+        for j in self.joined(len(at) // (2 * n)):
+            cell = slot * j.size + j.codes.take(at)
+            x = np.concatenate([np.bincount(cell, weights=w, minlength=n * j.size) for w in (g, h)]).reshape(2 * n, j.size)
+            out[:, :, j.cells] = (x if j.share is None else x @ j.share).reshape(2, n, -1)
+        return out
+
+
 def grow_in_block(rows: Rows, layout: Layout, task: Task) -> Booster:
-    """All rounds of one model whose rows are all here."""
+    """All rounds of one model whose rows are all here. Rows keep their node from level to level; of two children only the
+    lighter one is added up, the other one is what is left of their parent."""
     out = Booster(layout, early=task.patience is not None)
-    margin = np.zeros(len(rows.y))
-    n_num = len(layout.num)
+    n_num, widest = len(layout.num), int(np.diff(layout.offset).max(initial=1))
+    train, watch = np.flatnonzero(rows.trains(task)), np.flatnonzero(rows.watched(task))
+    own, n = np.concatenate([train, watch]), len(train)
+    codes, y, uid = rows.codes[own], rows.y[own], rows.uid[train]
+    all_ = joints(codes, layout, MOST_JOINED)
+    one = all_[0] if len(all_) == 1 else None  # few combinations in all: these are grown on, with their rows' sums
+    if one:
+        codes = np.zeros((one.size, layout.n_features), np.int32)
+        codes[one.codes] = rows.codes[own]
+    hists, flat = Histograms(codes if one else codes[:n], layout), codes.astype(np.min_scalar_type(widest)).ravel()
+    first = np.arange(len(codes)) * layout.n_features
+    any_code = np.arange(widest)
+    margin = np.zeros(len(own))
     for rnd in range(task.rounds):
-        at, g, h = gradients(rows, margin, task, rnd)
-        codes, allowed = rows.codes[at], allowed_splits(layout, task, rnd)
+        at = np.flatnonzero(drawn(uid, task, rnd))
+        g, h = gradient_units(y[at], margin[at], task)
+        if one:
+            g, h = (np.bincount(one.codes[at], weights=x, minlength=one.size) for x in (g, h))
+            at = np.arange(one.size)
+        allowed = allowed_splits(layout, task, rnd)
         tree, open_ = Tree.empty(task.depth), np.array([1], dtype=np.int64)
-        node = np.ones(len(at), np.int64)
+        size = len(tree.feature)
+        node, here = np.ones(len(codes), np.int64), np.ones(len(at), np.int64)
         for depth in range(task.depth):
             if not len(open_):
                 break
-            hist = histogram(codes, node, open_, g, h, layout)
+            if depth == 0:
+                hist = hists.sums(at, here - 1, 1, g, h)
+            else:
+                light = open_[0::2] + (tree.cover[open_[0::2]] > tree.cover[open_[1::2]])
+                slot_of = np.full(size, -1, np.int64)
+                slot_of[light] = np.arange(len(light))
+                slot = slot_of.take(here)
+                mine = np.flatnonzero(slot >= 0)
+                some = hists.sums(at.take(mine), slot.take(mine), len(light), g.take(mine), h.take(mine))
+                above = hist[:, np.searchsorted(nodes, light // 2)]
+                hist = np.empty((2, len(open_), layout.width), np.int64)
+                hist[:, np.searchsorted(open_, light)], hist[:, np.searchsorted(open_, light ^ 1)] = some, above - some
+            nodes = open_
             open_ = place(tree, open_, best_splits(*hist, layout, task, allowed), task, depth + 1 == task.depth)
-            node = tree.descend(node, codes, n_num)
+            if layout.n_features:
+                # where each code of a node's feature leads; a leaf leads to itself
+                upto = np.arange(2 << depth)
+                f, cut = tree.feature[upto, None], tree.code[upto, None]
+                left = np.where(f >= n_num, any_code == cut, np.where(any_code == 0, tree.missing_left[upto, None], any_code <= cut))
+                after = np.where(f >= 0, 2 * upto[:, None] + 1 - left, upto[:, None]).ravel()
+                code = flat.take(np.maximum(tree.feature[upto], 0).astype(np.int64).take(node) + first)
+                node = after.take(node * widest + code)
+                here = node if one else node.take(at)
+        if one:
+            node = node.take(one.codes)
         tree.pruned(task.param("gamma", 0))
-        margin += tree.value[tree.leaves(rows.codes, n_num)]
+        end = np.arange(size)
+        for i in range(2, size):  # nodes below a leaf count as that leaf
+            if tree.feature[i // 2] < 0 or end[i // 2] != i // 2:
+                end[i] = end[i // 2]
+        margin += tree.value[end].take(node)
         out.trees.append(tree)
         if not task.everything and (task.watch or rnd + 1 == task.rounds):
-            out.history.append(average_precision(watched_counts(rows, margin, task)))
+            out.history.append(average_precision(counts_of(y[n:], margin[n:])))
             if finished(out.history, task.patience):
                 break
     return out
@@ -604,13 +716,13 @@ def numeric_cuts(df: DataFrame, num: list[str], by: str, max_bins: int = MAX_BIN
     return {g: {f: np.array(sorted(v)) for f, v in fs.items()} for g, fs in out.items()}
 
 
-def packer(layouts: dict[int, Layout], block_rows: int):
+def packer(layouts: dict[int, Layout], block_rows: dict[int, int]):
     """Rows of one partition to blocks."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        layout = layouts[int(key[0])]
+        layout, most = layouts[int(key[0])], block_rows[int(key[0])]
         out = []
-        for a in range(0, len(pdf), block_rows):
-            p = pdf.iloc[a:a + block_rows]
+        for a in range(0, len(pdf), most):
+            p = pdf.iloc[a:a + most]
             small = lambda c, t: p[c].to_numpy().astype(t).tobytes()
             out.append({"group": int(key[0]), "n": len(p), "codes": layout.codes(p).tobytes(), "y": small("y", np.int8),
                         "part": small("part", np.int8), "fold": small("fold", np.int16), "uid": small("uid", np.int64), "margins": b""})
@@ -626,16 +738,22 @@ class Matrix:
     n_blocks: dict[int, int]
 
 
-def pack(rows: DataFrame, layouts: dict[int, Layout], block_rows: int = 1 << 16) -> Matrix:
+def rows_a_block(n: int, layout: Layout) -> int:
+    """All ``n`` rows of a group in one block while these and their codes fit a task, else blocks for many tasks."""
+    return n if n <= min(WHOLE_ROWS, WHOLE_CODES // max(layout.n_features, 1)) else BLOCK_ROWS
+
+
+def pack(rows: DataFrame, layouts: dict[int, Layout], block_rows: int | None = None) -> Matrix:
     """``rows``: group, part, fold, y, uid, the numerics and ``<cat>__idx``; rows without a label go. A block holds at most
-    ``block_rows`` rows of one group; which row goes where has no bearing on any result."""
+    ``block_rows`` rows of one group (default: ``rows_a_block``); which row goes where has no bearing on any result."""
     known = durable(rows.filter(F.col("y").isNotNull()))
     size = {r["group"]: r["n"] for r in known.groupBy("group").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_blocks = {g: -(-n // block_rows) for g, n in size.items()}
+    most = {g: block_rows or rows_a_block(n, layouts[g]) for g, n in size.items()}
+    n_blocks = {g: -(-n // most[g]) for g, n in size.items()}
     if not n_blocks:
         return Matrix(known.sparkSession.createDataFrame([], BLOCK), layouts, {})
     dealt = F.pmod(F.monotonically_increasing_id(), F.element_at(F.create_map(*[F.lit(x) for p in n_blocks.items() for x in p]), F.col("group")))
-    packed = known.withColumn("_at", dealt).groupBy("group", "_at").applyInPandas(packer(layouts, block_rows), BLOCK)
+    packed = known.withColumn("_at", dealt).groupBy("group", "_at").applyInPandas(packer(layouts, most), BLOCK)
     path = scratch_path(known.sparkSession, "blocks")
     packed.write.parquet(path)
     blocks = known.sparkSession.read.schema(BLOCK).parquet(path)

@@ -143,3 +143,44 @@ def test_empty_data(spark):
     m = B.pack(df, {})
     assert m.n_blocks == {}
     assert B.fit(m, []) == {}
+
+
+def test_a_group_of_many_rows_is_one_block(spark):
+    """More rows than the former limit of 65,536 and more models than tasks: one block, and trees as by level."""
+    n = 70_000
+    df = spark.range(n).selectExpr("0 as `group`", "int(id % 7 = 0) as part", "int(id % 3) as fold",
+                                   "int(pmod(xxhash64(id), 40) < id % 40) as y", "id as uid", "double(id % 40) as x",
+                                   "double(if(id % 5 = 0, null, pmod(hash(id), 50))) as z", "double(id % 6) as c__idx")
+    lay = layouts_of(df.filter("uid < 5000"), 1)
+    whole, dealt = B.pack(df, lay), B.pack(df, lay, 20_000)
+    assert whole.n_blocks == {0: 1} and dealt.n_blocks[0] > 3
+    tasks = [B.Task(m, 0, {"max_depth": 3, "subsample": 0.7, "colsample_bytree": 0.8, "gamma": 1.0}, 2, 1.5, m, fold=m) for m in range(3)]
+    a, b = B.fit(whole, tasks), B.fit(dealt, tasks)
+    assert all(a[t.model].packed() == b[t.model].packed() and a[t.model].history == b[t.model].history for t in tasks)
+    assert B.rows_a_block(B.WHOLE_ROWS + 1, lay[0]) == B.BLOCK_ROWS
+    assert B.rows_a_block(B.WHOLE_ROWS, B.Layout(list("abcdefghi"), [], {c: np.zeros(1) for c in "abcdefghi"}, {})) == B.BLOCK_ROWS
+
+
+@pytest.mark.parametrize("sizes", [(3, 4, 5), (90, 100, 7), (5000, 2, 3)])
+def test_joined_features_give_the_plain_histogram(sizes):
+    """All features joined, some, none of the wide one; whole trees by plain histograms of all open nodes."""
+    rng = np.random.default_rng(1)
+    n, lay = 30_000, layout((), "abc", {}, dict(zip("abc", sizes)))
+    codes = np.stack([rng.integers(0, k + 1, n) for k in sizes], axis=1).astype(np.int32)
+    g, h = rng.integers(-1000, 1000, n).astype(float), rng.integers(0, 1000, n).astype(float)
+    nodes, node = np.array([4, 5, 6]), rng.integers(4, 8, n)
+    at = np.flatnonzero(node < 7)
+    plain = B.histogram(codes, node, nodes, g, h, lay)
+    assert np.array_equal(B.Histograms(codes, lay).sums(at, node[at] - 4, 3, g[at], h[at]), np.stack(plain))
+    rows = B.Rows(codes, (codes[:, 0] % 3 == rng.integers(0, 3, n)).astype(np.int8), rng.integers(0, 2, n).astype(np.int8),
+                  np.zeros(n, np.int16), np.arange(n, dtype=np.int64) * 7919)
+    task = B.Task(0, 0, {"max_depth": 4, "subsample": 0.8, "min_child_weight": 3}, 2)
+    margin = np.zeros(n)
+    for rnd, tree in enumerate(B.grow_in_block(rows, lay, task).trees):
+        at, g, h = B.gradients(rows, margin, task, rnd)
+        again, open_ = B.Tree.empty(4), np.array([1])
+        for depth in range(4):
+            hist = B.histogram(codes[at], again.leaves(codes[at], 0), open_, g, h, lay)
+            open_ = B.place(again, open_, B.best_splits(*hist, lay, task, B.allowed_splits(lay, task, rnd)), task, depth == 3)
+        assert all(np.array_equal(getattr(again, f), getattr(tree, f)) for f in B.TREE_FIELDS)
+        margin += again.value[again.leaves(codes, 0)]
