@@ -30,7 +30,7 @@ import math
 import re
 from collections import defaultdict
 from dataclasses import dataclass, field
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -46,6 +46,8 @@ SPACE = "\u2581"
 LITERAL = "\ud800"            # stands for U+2581 in a text; no text holds a lone surrogate
 UNIT = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")  # no piece crosses the end of one
 SLOTS = 1 << 18
+SOLVED_AT_ONCE = 2500       # words whose lattices are solved in one step
+SPELT_AT_ONCE = 1 << 16      # ids that are decoded in one step
 BYTE_WEIGHT = -12.0           # log-weight of a byte piece
 STEP, UNIT_STEP, SAMPLE_STEP = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 MIX1, MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -77,15 +79,19 @@ class Vocabulary:
         out = np.full(len(h), -1, dtype=np.int64)
         left = np.arange(len(h))
         for level, table in enumerate(self.slots):
-            at = table[slot_of(h[left], level)]
-            hit = (at >= 0) & (self.prefixes[at] == h[left])
+            at = table[slot_of(h, level)]
+            same = self.prefixes[at] == h
+            hit = np.flatnonzero(same & (at >= 0))
             out[left[hit]] = at[hit]
-            left = left[(at >= 0) & ~hit]  # a free slot means that there is no such prefix
+            on = np.flatnonzero(~same & (at >= 0))  # a free slot means that there is no such prefix
+            if not len(on):
+                break
+            left, h = left[on], h[on]
         return out
 
 
 def slot_of(h: np.ndarray, level: int) -> np.ndarray:
-    return ((h >> np.uint64(11 * level)) & np.uint64(SLOTS - 1)).astype(np.int64)
+    return ((h >> np.uint64(11 * level)) & np.uint64(SLOTS - 1)).view(np.int64)
 
 
 def slot_tables(keys: np.ndarray) -> tuple:
@@ -150,70 +156,64 @@ class Lattice:
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
         n = len(code)
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        end = np.repeat(np.cumsum(size), size)
+        left = np.repeat(np.cumsum(size), size) - np.arange(n)
         at, h, m = np.arange(n), np.zeros(n, dtype=np.uint64), 0
-        arcs, alone = [], np.ones(n, dtype=bool)
+        arcs, degree = [], np.zeros(n, dtype=np.int64)
         while len(at):
             h = step_hash(h, code[at + m])
             m += 1
             spot = v.find(h)
-            known = spot >= 0
+            known = np.flatnonzero(spot >= 0)
             at, h, spot = at[known], h[known], spot[known]
-            whole = v.piece[spot] >= 0
-            arcs.append((at[whole], np.full(int(whole.sum()), m), v.weight[spot[whole]], v.piece[spot[whole]]))
+            piece = v.piece[spot]
+            whole = np.flatnonzero(piece >= 0)
+            src = at[whole]
+            arcs.append((src, m, degree[src], v.weight[spot[whole]], piece[whole]))
+            degree[src] += 1
             if m == 1:
-                alone[at[whole]] = False
-            more = at + m < end[at]
+                spelt = np.flatnonzero(degree == 0)
+                c = code[spelt]
+                length = 1 + (c >= 0x80).astype(np.int64) + (c >= 0x800) + (c >= 0x10000)
+                arcs.append((spelt, m, degree[spelt], BYTE_WEIGHT * length, -1 - c))
+                degree[spelt] = 1
+            more = np.flatnonzero(left[at] > m)
             at, h = at[more], h[more]
-        spelt = np.flatnonzero(alone)
-        c = code[spelt]
-        length = 1 + (c >= 0x80).astype(np.int64) + (c >= 0x800) + (c >= 0x10000)
-        arcs.append((spelt, np.ones(len(spelt), dtype=np.int64), BYTE_WEIGHT * length, -1 - c))
-        src, m, w, piece = (np.concatenate(x) for x in zip(*arcs))
         # words are solved from their ends: nodes by what is left of the word, arcs with their nodes, short ones first
-        left = end[src] - src
-        order = np.argsort((left * (n + 1) + src) * 64 + m)
-        src, left, w, self.piece = src[order], left[order], w[order], piece[order]
-        dst = src + m[order]
-        dst[dst == end[src]] = n
-        new = np.append(True, src[1:] != src[:-1])[:len(src)]
-        node = np.cumsum(new) - 1
-        self.edge_at = np.append(np.flatnonzero(new), len(src))
-        beta = np.zeros(n + 1)
-        cuts = np.append(np.flatnonzero(np.append(True, left[1:] != left[:-1])), len(left)) if n else []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            total = w[a:b] + beta[dst[a:b]]
-            first = np.flatnonzero(new[a:b])
-            top = np.maximum.reduceat(total, first)
-            mass = np.add.reduceat(np.exp(total - np.repeat(top, np.diff(np.append(first, b - a)))), first)
-            beta[src[a + first]] = top + np.log(mass)
-        self.logq = np.minimum(w + beta[dst] - beta[src], 0.0)
+        order = np.argsort(left.astype(np.min_scalar_type(left.max(initial=0))), kind="stable")
         number = np.full(n + 1, -1)
-        number[src[new]] = np.arange(len(self.edge_at) - 1)
-        self.to = number[dst]
+        number[order] = np.arange(n)
+        degree = degree[order]
+        self.edge_at = np.append(0, np.cumsum(degree))
+        begin = self.edge_at[number[:n]]
+        self.piece, self.to, total = (np.empty(int(self.edge_at[-1]), dtype=t) for t in (np.int32, np.int32, float))
+        for src, m, rank, w, piece in arcs:
+            e = begin[src] + rank
+            self.piece[e], total[e], self.to[e] = piece, w, np.where(left[src] > m, number[src + m], -1)
+        beta = np.zeros(n + 1)  # the last one stands for the end of a word
+        cuts = np.append(0, np.cumsum(np.bincount(left)[1:])).tolist()
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            if i < j:
+                a, b = self.edge_at[i], self.edge_at[j]
+                total[a:b] += beta[self.to[a:b]]
+                first = self.edge_at[i:j] - a
+                top = np.maximum.reduceat(total[a:b], first)
+                mass = np.add.reduceat(np.exp(total[a:b] - np.repeat(top, degree[i:j])), first)
+                beta[i:j] = top + np.log(mass)
+        total -= np.repeat(beta[:n], degree)
+        self.logq = np.minimum(total, 0.0, out=total)
         self.roots = number[np.cumsum(size) - size]
         run = np.cumsum(np.exp(self.logq))
         before = np.append(0.0, run)[self.edge_at[:-1]]
-        self.cum = node + np.clip(run - before[node], 0.0, 1.0)
-        self.cum[self.edge_at[1:] - 1] = np.arange(len(self.edge_at) - 1) + 1.0
-
-
-    def extended(self, other: "Lattice") -> "Lattice":
-        """Both lattices as one, the other's words after the own."""
-        arcs, nodes = len(self.piece), len(self.edge_at) - 1
-        out = object.__new__(Lattice)
-        out.piece, out.logq = np.concatenate([self.piece, other.piece]), np.concatenate([self.logq, other.logq])
-        out.to = np.concatenate([self.to, np.where(other.to < 0, -1, other.to + nodes)])
-        out.edge_at = np.concatenate([self.edge_at, other.edge_at[1:] + arcs])
-        out.cum = np.concatenate([self.cum, other.cum + nodes])
-        out.roots = np.concatenate([self.roots, other.roots + nodes])
-        return out
+        self.cum = np.clip(run - np.repeat(before, degree), 0.0, 1.0)
+        self.cum += np.repeat(np.arange(n), degree)
+        self.cum[self.edge_at[1:] - 1] = np.arange(n) + 1.0
 
 
 def walk(roots: np.ndarray, seeds: np.ndarray, cum: np.ndarray, to: np.ndarray, edge_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One random path for each word, all words a step at a time: arcs in order, and where each word's begin."""
     unit, node, step = np.arange(len(roots)), roots, 0
-    arcs, units = [], []
+    steps = []
+    length = np.zeros(len(roots), dtype=np.int64)
     while len(unit):
         u = uniform(seeds[unit] + np.uint64(step * int(STEP) % 2 ** 64))
         e, want = edge_at[node], node + u
@@ -221,15 +221,16 @@ def walk(roots: np.ndarray, seeds: np.ndarray, cum: np.ndarray, to: np.ndarray,
         while len(late):  # on to the next arc of the node; the last one always does
             e[late] += 1
             late = late[cum[e[late]] <= want[late]]
-        arcs.append(e)
-        units.append(unit)
+        steps.append((unit, e))
+        length[unit] += 1
         node = to[e]
-        go = node >= 0
+        go = np.flatnonzero(node >= 0)
         unit, node, step = unit[go], node[go], step + 1
-    units = np.concatenate(units) if units else np.empty(0, dtype=np.int64)
-    order = np.argsort(units, kind="stable")
-    return (np.concatenate(arcs)[order] if arcs else units,
-            np.concatenate([[0], np.cumsum(np.bincount(units, minlength=len(roots)))]).astype(np.int64))
+    begin = np.append(0, np.cumsum(length))
+    arcs = np.empty(begin[-1], dtype=np.int64)
+    for step, (unit, e) in enumerate(steps):
+        arcs[begin[unit] + step] = e
+    return arcs, begin
 
 
 def below(location: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
@@ -239,66 +240,93 @@ def below(location: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
 
 
 class Search:
-    """The best-first search over the segmentations of one text."""
+    """The best-first search over the segmentations of one text; ``search`` leads those of a chunk together."""
 
-    def __init__(self, paths: list, seed: int, lattice: Lattice, samples: int):
+    def __init__(self, paths: list, seed: int, lattice: Lattice):
         self.paths, self.logq, self.to, self.edge_at, self.cum = (paths, lattice.logq, lattice.to, lattice.edge_at,
                                                                   lattice.cum)
-        self.seed, self.draws, self.samples, self.queue, self.order = np.uint64(seed), 0, samples, [], 0
+        self.seed, self.draws, self.queue, self.order, self.found = seed, 0, [], 0, []
 
-    def noise(self, n: int) -> np.ndarray:
-        at = np.arange(self.draws, self.draws + n, dtype=np.uint64)
-        self.draws += n
-        return uniform(self.seed + at * UNIT_STEP)
+    def noise(self) -> float:
+        """The next number of this text's noise, as ``uniform`` gives it."""
+        x = (self.seed + self.draws * int(UNIT_STEP)) % 2 ** 64
+        self.draws += 1
+        x = (x ^ (x >> 33)) * int(MIX1) % 2 ** 64
+        x = (x ^ (x >> 33)) * int(MIX2) % 2 ** 64
+        return float((x ^ (x >> 33)) >> 12) * 2.0 ** -52 + 2.0 ** -53
 
     def push(self, bound: float, arcs: np.ndarray, words: np.ndarray, t: int, out: tuple) -> None:
         if bound > -np.inf:
             self.order += 1
             heapq.heappush(self.queue, (-bound, self.order, arcs, words, t, out))
 
-    def branch(self, arcs: np.ndarray, words: np.ndarray, since: int, bound: float, most: int) -> float:
-        """Queue the sets that a path passed by from step ``since`` on; its log-probability comes back. Only the
-        ``most`` best of them can ever be popped or be the threshold."""
-        lq = self.logq[arcs]
-        mass = np.concatenate([[0.0], np.cumsum(lq)])
-        with np.errstate(divide="ignore"):
-            rest = mass[since:-1] + np.log1p(-np.minimum(np.exp(lq[since:]), 1.0))
-        g = below(rest, bound, self.noise(len(rest)))
-        best = [g.argmax()] if most == 1 and len(g) else np.argpartition(-g, most)[:most].tolist() if len(g) > most else range(len(g))
-        for i in best:
-            self.push(float(g[i]), arcs, words, since + i, (int(arcs[since + i]),))
-        return float(mass[-1])
+    def begin(self) -> tuple:
+        """The path that is found first: (arcs, words, step from which on sets are passed by, bound)."""
+        return *self.paths[0], 0, -math.log(-math.log(self.noise()))
 
-    def fork(self, number: int, arcs: np.ndarray, words: np.ndarray, t: int, out: tuple, bound: float) -> tuple:
-        """A path that leaves ``arcs`` at step ``t`` by an arc that is not in ``out``; the remaining set is queued."""
+    def fork(self, number: int) -> tuple:
+        """A path out of the best set: it leaves ``arcs`` at step ``t`` by an arc that is not in ``out``; the remaining set is
+        queued. As ``begin`` gives it."""
+        bound, _, arcs, words, t, out = heapq.heappop(self.queue)
+        bound = -bound
         node = int(np.searchsorted(self.edge_at, arcs[t], side="right")) - 1
         options = np.array([e for e in range(self.edge_at[node], self.edge_at[node + 1]) if e not in out])
         chance = np.exp(self.logq[options])
-        e = int(options[min(int(np.searchsorted(np.cumsum(chance), self.noise(1)[0] * chance.sum(), side="right")),
+        e = int(options[min(int(np.searchsorted(np.cumsum(chance), self.noise() * chance.sum(), side="right")),
                             len(options) - 1)])
         new = [e]
         left = chance.sum() - math.exp(self.logq[e])
         if len(options) > 1 and left > 0:
             location = float(self.logq[arcs[:t]].sum()) + math.log(left)
-            self.push(float(below(np.array([location]), bound, self.noise(1))[0]), arcs, words, t, (*out, e))
+            self.push(float(below(np.array([location]), bound, np.array([self.noise()]))[0]), arcs, words, t, (*out, e))
         while self.to[new[-1]] >= 0:  # to the end of the word
-            new.append(int(np.searchsorted(self.cum, self.to[new[-1]] + self.noise(1)[0], side="right")))
+            new.append(int(np.searchsorted(self.cum, self.to[new[-1]] + self.noise(), side="right")))
         word = int(np.searchsorted(words, t, side="right")) - 1
         fresh, fresh_words = self.paths[number]
         path = np.concatenate([arcs[:t], np.array(new, dtype=np.int64), fresh[fresh_words[word + 1]:]])
         shift = t + len(new) - fresh_words[word + 1]
-        return path, np.concatenate([words[:word + 1], fresh_words[word + 1:] + shift])
+        return path, np.concatenate([words[:word + 1], fresh_words[word + 1:] + shift]), t + 1, bound
+
+
+def branch(searches: list[Search], paths: list[tuple], lattice: Lattice, most: int) -> None:
+    """Note the path that each search has found and queue the sets that it passed by. Only the ``most`` best of them can
+    ever be popped or be the threshold."""
+    arcs = np.concatenate([p[0] for p in paths])
+    ends = np.cumsum([len(p[0]) for p in paths])
+    lq = lattice.logq[arcs]
+    mass = np.empty(len(arcs) + 1)  # log-probability of what comes before each step
+    for a, b in zip([0, *ends.tolist()], ends.tolist()):
+        np.cumsum(lq[a:b], out=mass[a + 1:b + 1])
+    logp = mass[ends].tolist()
+    mass[ends] = 0.0
+    mass[0] = 0.0
+    since = np.array([p[2] for p in paths])
+    size = np.diff(ends, prepend=0) - since
+    stop = np.cumsum(size)
+    start = stop - size
+    at = np.arange(stop[-1]) + np.repeat(ends - stop, size)
+    draw = np.arange(stop[-1]) + np.repeat(np.array([s.draws for s in searches]) - start, size)
+    u = uniform(np.repeat(np.array([s.seed for s in searches], dtype=np.uint64), size) + draw.astype(np.uint64) * UNIT_STEP)
+    with np.errstate(divide="ignore"):
+        rest = mass[at] + np.log1p(-np.minimum(np.exp(lq[at]), 1.0))
+    g = below(rest, np.repeat([p[3] for p in paths], size), u)
+    for s, (own, words, t, bound), x, a, b in zip(searches, paths, logp, start.tolist(), stop.tolist()):
+        s.draws += b - a
+        s.found.append((own, x, bound))
+        mine = g[a:b]
+        best = [mine.argmax()] if most == 1 and b > a else np.argpartition(-mine, most)[:most].tolist() if b - a > most else range(b - a)
+        for i in best:
+            s.push(float(mine[i]), own, words, t + i, (int(own[t + i]),))
 
-    def run(self) -> tuple[list, float]:
-        """(arcs, log-probability, perturbed value) of the samples, best first, and the threshold."""
-        arcs, words = self.paths[0]
-        bound = float(-np.log(-np.log(self.noise(1)[0])))
-        found = [(arcs, self.branch(arcs, words, 0, bound, self.samples), bound)]
-        while self.queue and len(found) < self.samples:
-            g, _, arcs, words, t, out = heapq.heappop(self.queue)
-            path, path_words = self.fork(len(found), arcs, words, t, out, -g)
-            found.append((path, self.branch(path, path_words, t + 1, -g, self.samples - len(found)), -g))
-        return found, -self.queue[0][0] if self.queue else -np.inf
+
+def search(searches: list[Search], lattice: Lattice, samples: int) -> None:
+    """Up to ``samples`` of each text in ``found``, (arcs, log-probability, perturbed value), best first."""
+    if searches:
+        branch(searches, [s.begin() for s in searches], lattice, samples)
+    for number in range(1, samples):
+        going = [s for s in searches if s.queue and len(s.found) == number]
+        if going:
+            branch(going, [s.fork(number) for s in going], lattice, samples - number)
 
 
 def spelt_out(code: int) -> bytes:
@@ -306,6 +334,8 @@ def spelt_out(code: int) -> bytes:
 
 
 def units_of(text: str) -> list[str]:
+    if text and text[0] != " " and "  " not in text:  # each space begins a unit: no need of the pattern
+        return list(filter(None, (SPACE + text.replace(SPACE, LITERAL).replace(" ", " " + SPACE).replace("\n", " \n ")).split(" ")))
     return UNIT.findall(SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)) if text else []
 
 
@@ -323,20 +353,69 @@ def decoded(ids, spelt: tuple) -> str:
     return b"".join(map(spelt.__getitem__, ids.tolist())).decode()[1:] if len(ids) else ""
 
 
+@dataclass(frozen=True)
+class Spelling:
+    """The bytes of all ids one after the other, and where each id's begin."""
+    data: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, spelt: tuple) -> "Spelling":
+        return cls(np.frombuffer(b"".join(spelt), dtype=np.uint8), np.append(0, np.cumsum([len(x) for x in spelt])))
+
+    def decoded(self, ids: list) -> list[bytes]:
+        """``decoded`` of many segmentations, in UTF-8."""
+        ends = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int64)
+        flat = np.concatenate([np.zeros(0, np.int64), *(np.asarray(x, dtype=np.int64) for x in ids)])
+        size = self.at[flat + 1] - self.at[flat]
+        to = np.append(0, np.cumsum(size))
+        parts = []
+        for a in range(0, len(flat), SPELT_AT_ONCE):
+            b = min(a + SPELT_AT_ONCE, len(flat))
+            parts.append(self.data[np.arange(to[a], to[b]) + np.repeat(self.at[flat[a:b]] - to[a:b], size[a:b])].tobytes())
+        text, cuts = b"".join(parts), to[ends].tolist()
+        return [text[a + 1:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def added(held: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
+    """``new`` after the first ``used`` values; what holds them doubles when it is full, so that little is copied."""
+    if used + len(new) > len(held):
+        more = np.empty(max(used + len(new), 2 * len(held)), dtype=new.dtype)
+        more[:used] = held[:used]
+        held = more
+    held[used:used + len(new)] = new
+    return held
+
+
 @dataclass
 class Known:
     """The words that a task has met, numbered in this order, with their lattices."""
     types: defaultdict = field(default_factory=lambda: defaultdict(count().__next__))
     lattice: Lattice | None = None
+    held: dict = field(default_factory=dict)
 
     def learn(self, v: Vocabulary) -> Lattice:
-        """The lattice of all words, those without one solved now."""
+        """The lattices of all words, those of new ones solved now and put after the others, as many at a time as stay
+        near the processor."""
         have = 0 if self.lattice is None else len(self.lattice.roots)
-        if have < len(self.types) or self.lattice is None:
-            new = Lattice(list(self.types)[have:], v)
-            self.lattice = new if self.lattice is None else self.lattice.extended(new)
+        words = list(islice(self.types, have, None))
+        for a in range(0, max(len(words), self.lattice is None), SOLVED_AT_ONCE):
+            self.add(Lattice(words[a:a + SOLVED_AT_ONCE], v))
         return self.lattice
 
+    def add(self, new: Lattice) -> None:
+        old = self.lattice
+        arcs, nodes, words = (0, 0, 0) if old is None else (len(old.piece), len(old.edge_at) - 1, len(old.roots))
+        new.to[new.to >= 0] += nodes
+        new.edge_at += arcs
+        new.cum += nodes
+        new.roots += nodes
+        self.lattice = object.__new__(Lattice)
+        for name, used in (("piece", arcs), ("logq", arcs), ("to", arcs), ("cum", arcs), ("edge_at", nodes), ("roots", words)):
+            x = getattr(new, name)
+            self.held[name] = added(self.held.get(name, x[:0]), used, x)
+            setattr(self.lattice, name, self.held[name][:used + len(x)])
+
 
 def encode_texts(keys: list, texts: list, v: Vocabulary, spec: PieceSampler, known: Known | None = None) -> list[tuple]:
     """(row, sample, ids, log_prob, perturbed, kappa) of the samples of a chunk of texts."""
@@ -355,14 +434,17 @@ def encode_texts(keys: list, texts: list, v: Vocabulary, spec: PieceSampler, kno
     within = (np.arange(len(roots)) - np.repeat(at[:-1], sizes)).astype(np.uint64)
     unit_seed = np.repeat(seeds, sizes) + (within + np.uint64(1)) * UNIT_STEP
     walks = [walk(roots, uniform_seed(unit_seed, s), lattice.cum, lattice.to, lattice.edge_at) for s in range(spec.samples)]
+    searches = {i: Search([(arcs[w[at[i]]:w[at[i + 1]]], w[at[i]:at[i + 1] + 1] - w[at[i]]) for arcs, w in walks], int(seeds[i]), lattice)
+                for i in np.flatnonzero(sizes).tolist()}
+    search(list(searches.values()), lattice, spec.samples)
     out, byte_id = [], np.array(v.byte_ids)
-    for i, n in enumerate(sizes):
-        if n == 0:
+    for i in range(len(texts)):
+        if i not in searches:
             out.append((i, 0, [], 0.0, 0.0, -math.inf))
             continue
-        paths = [(arcs[w[at[i]]:w[at[i + 1]]], w[at[i]:at[i + 1] + 1] - w[at[i]]) for arcs, w in walks]
-        found, kappa = Search(paths, int(seeds[i]), lattice, spec.samples).run()
-        for s, (arcs, logp, g) in enumerate(found):
+        done = searches[i]
+        kappa = -done.queue[0][0] if done.queue else -np.inf
+        for s, (arcs, logp, g) in enumerate(done.found):
             ids = lattice.piece[arcs]
             out.append((i, s, in_bytes(ids, v, byte_id) if (ids < 0).any() else ids, logp, g, kappa))
     return out
@@ -376,6 +458,8 @@ def uniform_seed(x: np.ndarray, sample: int) -> np.ndarray:
 
 
 def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str], check: bool):
+    spelling = Spelling.of(vocabulary.spelt)
+
     def frame(rows: list, known: Known) -> pd.DataFrame:
         got = encode_texts([r[0] for r in rows], [r[1] or "" for r in rows], vocabulary, spec, known)
         kappa = np.array([x[5] for x in got], dtype=float)
@@ -387,7 +471,8 @@ def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str], check
                 "ids": [np.asarray(x[2], dtype=np.int32) for x in got],
                 "doc_id": pd.Series([rows[x[0]][0] for x in got], dtype=object)}
         if check:
-            data["round_trip"] = [decoded(x[2], vocabulary.spelt) == (rows[x[0]][1] or "") for x in got]
+            back = spelling.decoded([x[2] for x in got])
+            data["round_trip"] = [b == (rows[x[0]][1] or "").encode() for x, b in zip(got, back)]
         for j, c in enumerate(others):
             data[c] = pd.Series([rows[x[0]][2 + j] for x in got], dtype=object)
         return pd.DataFrame(data)
@@ -402,7 +487,7 @@ def sampler(vocabulary: Vocabulary, spec: PieceSampler, others: list[str], check
                     yield frame(rows, known)
                     rows, chars = [], 0
                     if known.lattice is not None and len(known.lattice.edge_at) > spec.word_chars:
-                        known = Known()
+                        known = Known(held=known.held)  # what is in the old arrays is not read again
         if rows:
             yield frame(rows, known)
     return sample

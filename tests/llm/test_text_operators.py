@@ -619,6 +619,28 @@ def test_pieces_give_the_text_back(spark, odd):
     assert piece_sampler.encode(empty(spark)).count() == 0
 
 
+def test_texts_of_a_chunk_are_sampled_together(monkeypatch):
+    """The array work of a chunk does not grow with the number of its texts, and no text's samples depend on its chunk."""
+    v, spec = piece_sampler.load(piece_sampler.PieceSampler().model), piece_sampler.PieceSampler(samples=3)
+    texts = [f"then the {w} of {i}\n{w}{i} \u2581\u00e9\u4e2d" for i, w in enumerate(["rain", "Wolken", "a  b", ""] * 50)] + ["", "x"]
+    calls, plain = [], piece_sampler.uniform
+    monkeypatch.setattr(piece_sampler, "uniform", lambda x: calls.append(len(x)) or plain(x))
+    got = piece_sampler.encode_texts(list(range(len(texts))), texts, v, spec)
+    assert len(calls) < len(texts) // 2
+    monkeypatch.undo()
+    alone = [(i, *x[1:]) for i, t in enumerate(texts) for x in piece_sampler.encode_texts([i], [t], v, spec)]
+    plainly = lambda rows: [(r[0], r[1], list(r[2]), *(round(x, 9) for x in r[3:])) for r in rows]
+    assert plainly(got) == plainly(alone)
+    back = piece_sampler.Spelling.of(v.spelt).decoded([x[2] for x in got])
+    assert [b.decode() for b in back] == [texts[x[0]] for x in got] == [piece_sampler.decoded(np.array(x[2]), v.spelt) for x in got]
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", " a", "a ", "a  b", "a b", "a\nb", "a \n b", "\n", "\n\n a", "\u2581 \u2581a b", "a\tb c"])
+def test_units_are_those_of_the_pattern(text):
+    marked = piece_sampler.SPACE + text.replace(piece_sampler.SPACE, piece_sampler.LITERAL).replace(" ", piece_sampler.SPACE)
+    assert piece_sampler.units_of(text) == (piece_sampler.UNIT.findall(marked) if text else [])
+
+
 def test_pieces_are_drawn_as_the_lattice_says():
     v = piece_sampler.load(piece_sampler.PieceSampler().model)
     lattice = piece_sampler.Lattice(["\u2581then"], v)
