@@ -47,6 +47,23 @@ def test_search_leaves_candidates_out(spark, block_rows):
     assert given < 0.6 and grouped < 0.2
 
 
+def test_search_repeats_no_block(spark):
+    """Blocks meet without being multiplied first, which would grow with the square of the table; whole blocks evaluated for
+    many queries at once give what single ones give."""
+    rng = random.Random(3)
+    rows = [(i % 390, [rng.uniform(-1, 1) for _ in range(5)], 0) for i in range(400)] + [(900, [0.5] * 5, 0), (901, [0.5] * 5, 0)]
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    ask = lambda **x: topk_search.top_k(df, F.col("vec_id") % 10 == 0, topk_search.TopK(block_rows=30, query_rows=7, **x))
+    found = ask()
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "explode" not in plan
+    base = {tuple(r) for r in found.drop("evaluated").collect()}
+    assert len(base) == 5 * 41  # rows of one id that differ are queries of their own: id 0
+    dense = ask(dense=0.0, asked_rows=10).collect()
+    assert {tuple(r)[:4] for r in dense} == base and max(r.evaluated for r in dense) > 372  # all but some of the first block
+    assert {tuple(r) for r in ask(dense=2.0).drop("evaluated").collect()} == base
+
+
 def test_far_apart_pivots():
     import numpy as np
     rows = np.array([[0.0], [1.0], [10.0], [10.0], [4.0]])
