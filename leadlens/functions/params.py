@@ -5,9 +5,9 @@ one typed value per key, NULL when the key is absent or the typed slot is empty.
 A key that appears more than once is an error, as it is in the warehouse (a scalar subquery that
 returns several rows); only with ``strict=False`` the first occurrence wins.
 
-No lambda is involved: the key array is projected out of the structs (``arr.key``), the
-first match is found with ``array_position`` and read with ``get`` (NULL when absent), so
-the lookup stays inside whole-stage code generation.
+The key array is projected out of the structs (``arr.key``), the first match is found with
+``array_position`` and read with ``get`` (NULL when absent), so the lookup stays inside
+whole-stage code generation. Only where some key is there twice are the matches of this key counted.
 """
 from __future__ import annotations
 
@@ -22,8 +22,8 @@ def param_value(arr: Column | str, key: str, slot: str, strict: bool = True) ->
     value = F.get(arr, pos - F.lit(1))["value"][slot]  # get(…, -1) is NULL
     if not strict:
         return value
-    matches = F.size(keys) - F.size(F.array_remove(keys, F.lit(key)))
-    return F.when(matches > 1, F.raise_error(F.lit(f"more than one value for parameter '{key}'"))).otherwise(value)
+    repeated = (F.size(F.array_distinct(keys)) < F.size(keys)) & (F.size(F.filter(keys, lambda k: k == F.lit(key))) > 1)
+    return F.when(repeated, F.raise_error(F.lit(f"more than one value for parameter '{key}'"))).otherwise(value)
 
 
 def extract_params(arr: Column | str, keys: list[tuple[str, str, str]], strict: bool = True) -> list[Column]:

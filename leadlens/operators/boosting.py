@@ -14,8 +14,10 @@ gain with L1 (``reg_alpha``) and L2 (``reg_lambda``) terms, ``min_child_weight``
 * **Growing by level.** Per level one job: tasks add up their blocks' histograms, one shuffle adds these by (model, node,
   cell), and one group a model (cells of its open nodes; bounded by depth and codes, not by rows) picks the splits. What
   reaches the driver is one row an open node. Rows' margins are stored every ``refresh`` rounds, newer trees are applied
-  on the fly. A group of up to 2**20 rows and 2**23 codes is one block and has its whole histogram there, so its models
-  grow without exchange, dealt over the tasks; both ways have the same sums and give the same trees.
+  on the fly. A group of up to 2**22 rows and 2**25 codes is one block and has its whole histogram there, so its models
+  grow without exchange, dealt over the tasks; both ways have the same sums and give the same trees. Rows of a block with
+  equal codes end in the same leaves, so they are one row there, with the number of its drawn rows by label; the models of a
+  task grow round by round together and share the hash that samples rows.
 * **Early stopping that stops.** After each round the model's evaluation rows are counted by margin (rounded to 2**-12)
   and the step-wise average precision follows; a model that has not improved for ``patience`` rounds is not grown further.
 
@@ -44,11 +46,11 @@ UNIT = float(1 << 20)      # gradients are counted in units of 1 / UNIT
 GRID = float(1 << 12)      # margins of evaluation rows are counted in steps of 1 / GRID
 LEAST_GAIN = 1e-6
 MAX_BINS = 256
-WHOLE_ROWS, WHOLE_CODES = 1 << 20, 1 << 23  # a group up to this size is one block
+WHOLE_ROWS, WHOLE_CODES = 1 << 22, 1 << 25  # a group up to this size is one block
 BLOCK_ROWS = 1 << 16                        # rows a block of a larger group
 MOST_JOINED = 1 << 12                       # combinations of the codes of features that are added up together
 TRAIN, EVAL, TEST = 0, 1, 2
-BLOCK = "group int, n int, codes binary, y binary, part binary, fold binary, uid binary, margins binary"
+BLOCK = "group int, n int, size int, codes binary, y binary, part binary, fold binary, uid binary, margins binary"
 
 
 @dataclass(frozen=True)
@@ -152,6 +154,21 @@ class Tree:
             node = self.descend(node, codes, n_num)
         return node
 
+    def ends(self, flat: np.ndarray, start: np.ndarray, n_num: int) -> np.ndarray:
+        """``leaves`` of rows whose codes start at ``start`` in ``flat``: a row goes left where its code is in the node's
+        range, one code of a category or those up to a numeric cut, and a leaf leads to itself."""
+        node = np.arange(len(self.feature))
+        inner = self.feature >= 0
+        f = np.where(inner, self.feature, 0).astype(np.int64)
+        least = np.where(f >= n_num, self.code, np.where(self.missing_left, 0, 1))
+        kids = np.stack([np.where(inner, 2 * node, node), np.where(inner, 2 * node + 1, node)], axis=1).ravel()
+        at = np.ones(len(start), np.int64)
+        for _ in range(self.depth):
+            code = flat.take(start + f.take(at))
+            right = (code < least.take(at)) | (code > self.code.take(at))
+            at = kids.take(2 * at + right)
+        return at
+
     @property
     def depth(self) -> int:
         return len(self.feature).bit_length() - 2
@@ -239,7 +256,7 @@ class Rows:
 
     @classmethod
     def of(cls, r) -> "Rows":
-        return cls(np.frombuffer(r.codes, np.int32).reshape(r.n, -1), np.frombuffer(r.y, np.int8), np.frombuffer(r.part, np.int8),
+        return cls(np.frombuffer(r.codes, f"u{r.size}").reshape(r.n, -1).astype(np.int32), np.frombuffer(r.y, np.int8), np.frombuffer(r.part, np.int8),
                    np.frombuffer(r.fold, np.int16), np.frombuffer(r.uid, np.int64))
 
     def trains(self, task: Task) -> np.ndarray:
@@ -253,27 +270,42 @@ class Rows:
         return self.part == EVAL if task.fold is None else (self.part == TRAIN) & (self.fold == task.fold)
 
 
-def drawn(uid: np.ndarray, task: Task, rnd: int) -> np.ndarray:
-    """Rows sampled for a round: a hash of row, seed and round below the share."""
-    share = task.param("subsample", 1)
-    if share >= 1:
-        return np.ones(len(uid), dtype=bool)
-    mix = (task.seed * 0x9E3779B97F4A7C15 + (rnd + 1) * 0xBF58476D1CE4E5B9) & ((1 << 64) - 1)
+def mixed(uid: np.ndarray, seed: int, rnd: int) -> np.ndarray:
+    """A hash of row, seed and round."""
+    mix = (seed * 0x9E3779B97F4A7C15 + (rnd + 1) * 0xBF58476D1CE4E5B9) & ((1 << 64) - 1)
     with np.errstate(over="ignore"):
         x = uid.view(np.uint64) ^ np.uint64(mix)
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+            x ^= x >> np.uint64(shift)
+            x *= np.uint64(factor)
         x ^= x >> np.uint64(31)
-    return x < np.uint64(min(int(share * 2 ** 64), 2 ** 64 - 1))
+    return x
 
 
-def gradient_units(y: np.ndarray, margin: np.ndarray, task: Task) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients and hessians in units."""
-    p = 1 / (1 + np.exp(-margin))
+def drawn_below(share: float) -> np.uint64:
+    return np.uint64(min(int(share * 2 ** 64), 2 ** 64 - 1))
+
+
+def drawn(uid: np.ndarray, task: Task, rnd: int) -> np.ndarray:
+    """Rows sampled for a round: a hash of row, seed and round below the share."""
+    share = task.param("subsample", 1)
+    return np.ones(len(uid), dtype=bool) if share >= 1 else mixed(uid, task.seed, rnd) < drawn_below(share)
+
+
+def probability(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-margin))
+
+
+def units_of(y, p: np.ndarray, task: Task) -> tuple[np.ndarray, np.ndarray]:
     w = np.where(y == 1, task.pos_weight, 1.0)
     return np.rint((p - y) * w * UNIT), np.rint(np.maximum(p * (1 - p), 1e-16) * w * UNIT)
 
 
+def gradient_units(y: np.ndarray, margin: np.ndarray, task: Task) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and hessians in units."""
+    return units_of(y, probability(margin), task)
+
+
 def gradients(rows: Rows, margin: np.ndarray, task: Task, rnd: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the rows that a round trains on, and their gradients and hessians in units."""
     at = np.flatnonzero(rows.trains(task) & drawn(rows.uid, task, rnd))
@@ -294,9 +326,13 @@ def histogram(codes: np.ndarray, node: np.ndarray, nodes: np.ndarray, g: np.ndar
 
 def counts_of(y: np.ndarray, margin: np.ndarray) -> pd.DataFrame:
     """Positives and negatives by rounded margin."""
-    step = np.rint(margin * GRID).astype(np.int64)
     y = y == 1
-    return pd.DataFrame({"idx": step, "g": y.astype(np.int64), "h": (~y).astype(np.int64)}).groupby("idx", as_index=False).sum()
+    return counted(margin, y.astype(np.int64), (~y).astype(np.int64))
+
+
+def counted(margin: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> pd.DataFrame:
+    step = np.rint(margin * GRID).astype(np.int64)
+    return pd.DataFrame({"idx": step, "g": pos, "h": neg}).groupby("idx", as_index=False).sum()
 
 
 def watched_counts(rows: Rows, margin: np.ndarray, task: Task) -> pd.DataFrame:
@@ -346,10 +382,14 @@ class Booster:
         return self.trees[:self.best + 1] if self.early else self.trees
 
     def margins(self, codes: np.ndarray) -> np.ndarray:
+        """Rows of equal codes are taken down the trees once."""
+        first, at = alike(codes, self.layout)
+        codes, n_num = codes[first], len(self.layout.num)
+        flat, start = codes.ravel(), np.arange(len(codes)) * codes.shape[1]
         out = np.zeros(len(codes))
         for t in self.used():
-            out += t.value[t.leaves(codes, len(self.layout.num))]
-        return out
+            out += t.value.take(t.ends(flat, start, n_num) if codes.shape[1] else np.ones(len(codes), np.int64))
+        return out.take(at)
 
     def probabilities(self, codes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-self.margins(codes)))
@@ -454,29 +494,95 @@ class Histograms:
         return out
 
 
+@dataclass
+class Own:
+    """The rows of a model: those that it trains on, and all rows of equal codes as one."""
+    codes: np.ndarray
+    labels: np.ndarray
+    train: np.ndarray     # places of rows in the block
+    key: np.ndarray       # of each of these its place in ``codes`` and its label, as one number
+    watched: np.ndarray   # evaluation rows: their places in ``codes``,
+    pos: np.ndarray       # and how many there are of each label
+    neg: np.ndarray
+    hists: Histograms
+
+
+class Shared:
+    """What the models of a block have in common."""
+
+    def __init__(self, rows: Rows, layout: Layout):
+        self.rows, self.layout = rows, layout
+        self.first, self.alike = alike(rows.codes, layout)
+        self.labels = np.unique(rows.y)
+        self.own: dict = {}
+        self.hash: tuple = (None, None)
+
+    def of(self, task: Task) -> Own:
+        name = (task.fold, task.everything)
+        if name not in self.own:
+            train, watch = np.flatnonzero(self.rows.trains(task)), np.flatnonzero(self.rows.watched(task))
+            used = np.zeros(len(self.first), bool)
+            used[self.alike[train]] = used[self.alike[watch]] = True
+            place = np.cumsum(used) - 1
+            at, n = place[self.alike[watch]], int(used.sum())
+            pos = np.bincount(at, weights=self.rows.y[watch] == 1, minlength=n).astype(np.int64)
+            all_ = np.bincount(at, minlength=n)
+            seen = np.flatnonzero(all_)
+            codes = self.rows.codes[self.first[used]]
+            key = place[self.alike[train]] * len(self.labels) + np.searchsorted(self.labels, self.rows.y[train])
+            self.own[name] = Own(codes, self.labels, train, key, seen, pos[seen], (all_ - pos)[seen], Histograms(codes, self.layout))
+        return self.own[name]
+
+    def drawn(self, own: Own, task: Task, rnd: int) -> np.ndarray:
+        """Keys of the rows sampled for a round."""
+        share = task.param("subsample", 1)
+        if share >= 1:
+            return own.key
+        if self.hash[0] != (task.seed, rnd):
+            self.hash = ((task.seed, rnd), mixed(self.rows.uid, task.seed, rnd))
+        return own.key[self.hash[1].take(own.train) < drawn_below(share)]
+
+
+def alike(codes: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
+    """Places of rows of all the codes there are, and for each row the number of the one whose codes it has."""
+    key, size = np.zeros(len(codes), np.int64), 1
+    for f, w in enumerate(np.diff(layout.offset).tolist()):
+        if size * w >= 1 << 62:
+            values, key = np.unique(key, return_inverse=True)
+            size = len(values)
+        key, size = key * w + codes[:, f], size * w
+    _, first, at = np.unique(key, return_index=True, return_inverse=True)
+    return first, at
+
+
 def grow_in_block(rows: Rows, layout: Layout, task: Task) -> Booster:
-    """All rounds of one model whose rows are all here. Rows keep their node from level to level; of two children only the
-    lighter one is added up, the other one is what is left of their parent."""
+    """All rounds of one model whose rows are all here."""
+    out = Booster(layout, early=task.patience is not None)
+    for out in rounds_in_block(Shared(rows, layout), task):
+        pass
+    return out
+
+
+def rounds_in_block(shared: Shared, task: Task) -> Iterator[Booster]:
+    """The model after each round. Rows of equal codes keep their node from level to level; of two children only the lighter
+    one is added up, the other one is what is left of their parent."""
+    layout, own = shared.layout, shared.of(task)
     out = Booster(layout, early=task.patience is not None)
     n_num, widest = len(layout.num), int(np.diff(layout.offset).max(initial=1))
-    train, watch = np.flatnonzero(rows.trains(task)), np.flatnonzero(rows.watched(task))
-    own, n = np.concatenate([train, watch]), len(train)
-    codes, y, uid = rows.codes[own], rows.y[own], rows.uid[train]
-    all_ = joints(codes, layout, MOST_JOINED)
-    one = all_[0] if len(all_) == 1 else None  # few combinations in all: these are grown on, with their rows' sums
-    if one:
-        codes = np.zeros((one.size, layout.n_features), np.int32)
-        codes[one.codes] = rows.codes[own]
-    hists, flat = Histograms(codes if one else codes[:n], layout), codes.astype(np.min_scalar_type(widest)).ravel()
+    codes, hists, labels = own.codes, own.hists, own.labels
+    flat = codes.astype(np.min_scalar_type(widest)).ravel()
     first = np.arange(len(codes)) * layout.n_features
     any_code = np.arange(widest)
-    margin = np.zeros(len(own))
+    margin = np.zeros(len(codes))
     for rnd in range(task.rounds):
-        at = np.flatnonzero(drawn(uid, task, rnd))
-        g, h = gradient_units(y[at], margin[at], task)
-        if one:
-            g, h = (np.bincount(one.codes[at], weights=x, minlength=one.size) for x in (g, h))
-            at = np.arange(one.size)
+        n = np.bincount(shared.drawn(own, task, rnd), minlength=len(codes) * len(labels)).reshape(len(codes), -1)
+        at = np.flatnonzero(n.any(axis=1))
+        n, p = n.take(at, axis=0), probability(margin.take(at))
+        g, h = np.zeros(len(at)), np.zeros(len(at))
+        for i, y in enumerate(labels):  # whole numbers, so sums by rows come to the same
+            a, b = units_of(y, p, task)
+            g += n[:, i] * a
+            h += n[:, i] * b
         allowed = allowed_splits(layout, task, rnd)
         tree, open_ = Tree.empty(task.depth), np.array([1], dtype=np.int64)
         size = len(tree.feature)
@@ -506,9 +612,7 @@ def grow_in_block(rows: Rows, layout: Layout, task: Task) -> Booster:
                 after = np.where(f >= 0, 2 * upto[:, None] + 1 - left, upto[:, None]).ravel()
                 code = flat.take(np.maximum(tree.feature[upto], 0).astype(np.int64).take(node) + first)
                 node = after.take(node * widest + code)
-                here = node if one else node.take(at)
-        if one:
-            node = node.take(one.codes)
+                here = node.take(at)
         tree.pruned(task.param("gamma", 0))
         end = np.arange(size)
         for i in range(2, size):  # nodes below a leaf count as that leaf
@@ -517,10 +621,10 @@ def grow_in_block(rows: Rows, layout: Layout, task: Task) -> Booster:
         margin += tree.value[end].take(node)
         out.trees.append(tree)
         if not task.everything and (task.watch or rnd + 1 == task.rounds):
-            out.history.append(average_precision(counts_of(y[n:], margin[n:])))
-            if finished(out.history, task.patience):
-                break
-    return out
+            out.history.append(average_precision(counted(margin.take(own.watched), own.pos, own.neg)))
+        yield out
+        if finished(out.history, task.patience):
+            return
 
 
 def block_grower(layouts: dict[int, Layout], tasks: list[Task]):
@@ -530,9 +634,15 @@ def block_grower(layouts: dict[int, Layout], tasks: list[Task]):
     def run(batches: Iterator[pd.DataFrame]):
         for pdf in batches:
             for r in pdf.itertuples():
-                rows = Rows.of(r)
-                for m in r.share:
-                    b = grow_in_block(rows, layouts[r.group], by_model[m])
+                shared = Shared(Rows.of(r), layouts[r.group])
+                out = {m: Booster(shared.layout, early=by_model[m].patience is not None) for m in r.share}
+                alive = {m: rounds_in_block(shared, by_model[m]) for m in r.share}
+                while alive:  # round by round, so that the hash of a round is taken once
+                    for m, more in list(alive.items()):
+                        out[m] = next(more, None) or out[m]
+                        if more.gi_frame is None:
+                            del alive[m]
+                for m, b in out.items():
                     watched = b.history if len(b.history) == len(b.trees) else [math.nan] * (len(b.trees) - 1) + (b.history or [math.nan])
                     all_ = [(m, i, w, *t) for i, (t, w) in enumerate(zip(b.packed(), watched))]
                     yield pd.DataFrame(all_ if by_model[m].keep else [(*all_[-1][:3], *[b""] * len(TREE_FIELDS))],
@@ -724,7 +834,8 @@ def packer(layouts: dict[int, Layout], block_rows: dict[int, int]):
         for a in range(0, len(pdf), most):
             p = pdf.iloc[a:a + most]
             small = lambda c, t: p[c].to_numpy().astype(t).tobytes()
-            out.append({"group": int(key[0]), "n": len(p), "codes": layout.codes(p).tobytes(), "y": small("y", np.int8),
+            kind = np.min_scalar_type(int(np.diff(layout.offset).max(initial=1)))
+            out.append({"group": int(key[0]), "n": len(p), "size": kind.itemsize, "codes": layout.codes(p).astype(kind).tobytes(), "y": small("y", np.int8),
                         "part": small("part", np.int8), "fold": small("fold", np.int16), "uid": small("uid", np.int64), "margins": b""})
         return pd.DataFrame(out)
     return run

@@ -161,6 +161,49 @@ def test_a_group_of_many_rows_is_one_block(spark):
     assert B.rows_a_block(B.WHOLE_ROWS, B.Layout(list("abcdefghi"), [], {c: np.zeros(1) for c in "abcdefghi"}, {})) == B.BLOCK_ROWS
 
 
+def test_rows_of_equal_codes_are_grown_as_one(monkeypatch):
+    """Many rows of few codes: each round works on the codes, the models of a block take the hash of a round once, and trees
+    and scores are those of the rows one by one."""
+    rng = np.random.default_rng(2)
+    n, lay = 20_000, layout(("x",), "c", {"x": range(30)}, {"c": 6})
+    rows = rows_of(np.stack([rng.integers(0, 31, n), rng.integers(0, 7, n)], axis=1), rng.integers(0, 2, n),
+                   list(rng.integers(0, 3, n)), list(rng.integers(0, 2, n)))
+    tasks = [B.Task(m, 0, {"max_depth": 4, "subsample": 0.7, "colsample_bytree": 0.8, "gamma": 0.1}, 3, 1.5, 5, fold=m % 2) for m in range(4)]
+    added, hashed, sums, mixed = [], [], B.Histograms.sums, B.mixed
+    monkeypatch.setattr(B.Histograms, "sums", lambda self, at, *x: added.append(len(at)) or sums(self, at, *x))
+    monkeypatch.setattr(B, "mixed", lambda *x: hashed.append(x[1:]) or mixed(*x))
+    shared = B.Shared(rows, lay)
+    models = [B.rounds_in_block(shared, t) for t in tasks]
+    for _ in range(3):
+        got = [next(m) for m in models]
+    assert max(added) <= 31 * 7 and len(hashed) == 3
+    for task, b in zip(tasks, got):
+        margin = np.zeros(n)
+        for rnd, tree in enumerate(b.trees):
+            at, g, h = B.gradients(rows, margin, task, rnd)
+            again, open_ = B.Tree.empty(4), np.array([1])
+            for depth in range(4):
+                hist = B.histogram(rows.codes[at], again.leaves(rows.codes[at], 1), open_, g, h, lay)
+                open_ = B.place(again, open_, B.best_splits(*hist, lay, task, B.allowed_splits(lay, task, rnd)), task, depth == 3)
+            assert all(np.array_equal(getattr(again.pruned(0.1), f), getattr(tree, f)) for f in B.TREE_FIELDS)
+            margin += again.value[again.leaves(rows.codes, 1)]
+            assert b.history[rnd] == B.average_precision(B.watched_counts(rows, margin, task))
+        assert np.array_equal(b.margins(rows.codes), margin)
+
+
+def test_a_block_may_hold_more_rows_than_before():
+    """1.2 million rows of seven features, which grew level by level over blocks."""
+    assert B.rows_a_block(1_200_000, layout(tuple("abcdefg"), (), {c: [1] for c in "abcdefg"})) == 1_200_000
+
+
+def test_alike_of_many_wide_features():
+    codes = np.random.default_rng(3).integers(0, 5, (500, 12)).astype(np.int32)
+    codes = np.concatenate([codes, codes[:100]])
+    lay = layout((), tuple(map(str, range(12))), {}, {str(i): 99_999 for i in range(12)})
+    first, at = B.alike(codes, lay)
+    assert len(first) == len(np.unique(codes, axis=0)) and np.array_equal(codes[first][at], codes)
+
+
 @pytest.mark.parametrize("sizes", [(3, 4, 5), (90, 100, 7), (5000, 2, 3)])
 def test_joined_features_give_the_plain_histogram(sizes):
     """All features joined, some, none of the wide one; whole trees by plain histograms of all open nodes."""

@@ -60,6 +60,19 @@ def test_repeated_parameter_is_an_error_by_default(spark):
     assert purchase_events(twice, strict=False).first()["platform"] == "a"
 
 
+def test_strict_param_lookup_counts_only_where_a_key_repeats(spark):
+    """Other keys may repeat, also null ones and in null entries; matches are not counted by building an array for each key."""
+    from leadlens.functions.params import param_value
+    schema = "i int, p array<struct<key: string, value: struct<string_value: string, int_value: bigint>>>"
+    rows = [(0, [("k", ("a", None)), ("x", ("b", None)), ("x", ("c", None))]), (1, [(None, ("n", None)), (None, ("m", None)), ("k", ("d", None))]),
+            (2, [None, None, ("k", None)]), (3, []), (4, None), (5, [("x", ("e", None))])]
+    out = spark.createDataFrame(rows, schema).select("i", param_value("p", "k", "string_value").alias("v"))
+    assert {tuple(r) for r in out.collect()} == {(0, "a"), (1, "d"), (2, None), (3, None), (4, None), (5, None)}
+    assert "array_remove" not in out._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="more than one value for parameter 'x'"):
+        spark.createDataFrame(rows, schema).select(param_value("p", "x", "string_value")).collect()
+
+
 def test_strict_param_lookup_raises_on_repeated_key(spark):
     from leadlens.functions.params import param_value
     df = spark.createDataFrame([([("k", ("a", None)), ("k", ("b", None))],)],
