@@ -28,6 +28,7 @@ from .training_run import train_segments
 
 BUDGET = M.TrainBudget()
 _RUNS: dict = {}
+_TABLES: dict = {}
 RUN_TIME, OPERATOR_TIME = dt.datetime(2024, 1, 31), dt.datetime(2024, 1, 31, 12)
 
 
@@ -41,12 +42,19 @@ def trained(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         root = scratch_path(spark, "models")
-        res = train_segments(spark, loaded_table(spark, sf_dir), f"{root}/bundles", f"{root}/registry", BUDGET,
+        _TABLES[key] = loaded_table(spark, sf_dir)  # stored once, read again by the queries that score the rows of the run
+        res = train_segments(spark, _TABLES[key], f"{root}/bundles", f"{root}/registry", BUDGET,
                              now=RUN_TIME)
         _RUNS[key] = res
     return _RUNS[key]
 
 
+def run_rows(spark, sf_dir):
+    """The training table of the trained run, as the trainer reads it."""
+    trained(spark, sf_dir)
+    return P.load_training_frame(_TABLES[spark.sparkContext.applicationId, sf_dir])
+
+
 def loaded_table(spark, sf_dir):
     from .cat_training import dag
     return dag(spark, sf_dir).table

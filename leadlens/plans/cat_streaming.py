@@ -13,8 +13,7 @@ from .. import config
 from ..operators import registry as RG
 from ..session import scratch_path
 from ..streaming.scoring import LiveModels, score_stream
-from .cat_model import operator_registry, trained
-from .cat_prepare import loaded
+from .cat_model import operator_registry, run_rows, trained
 from .catalogue import register
 from . import oracle as O
 from ..functions.text import route_segment
@@ -33,7 +32,7 @@ def _stream_registry(spark, res, root: str) -> str:
 
 
 def _payloads(spark, sf_dir):
-    return loaded(spark, sf_dir).select(*PAYLOAD_COLS)
+    return run_rows(spark, sf_dir).select(*PAYLOAD_COLS)
 
 
 @register("score_stream")

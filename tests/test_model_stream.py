@@ -181,3 +181,17 @@ def test_seed_summary_against_sql(spark):
     for metric, mean, std in sql:
         assert got[metric] == {"mean": pytest.approx(mean), "std": pytest.approx(std)}
     assert got["median_best_iter"] == duckdb.sql("SELECT CAST(trunc(median(n)) AS INTEGER) FROM it").fetchall()[0][0] == 6
+
+
+def test_rows_to_score_are_those_of_the_run(spark, monkeypatch):
+    """The training table of a run is built once; the rows that the stream scores are read from it."""
+    from leadlens.plans import cat_model as C, cat_streaming as CS
+    real, built = C.loaded_table, []
+    monkeypatch.setattr(C, "loaded_table", lambda *a: built.append(a) or real(*a))
+    monkeypatch.setattr(C, "train_segments", lambda *a, **k: "run")
+    monkeypatch.setattr(C, "_RUNS", {})
+    sf = "/root/testdata/sf0.001"
+    assert C.trained(spark, sf) == C.trained(spark, sf) == "run"
+    got = sorted(map(str, CS._payloads(spark, sf).collect()))
+    assert len(built) == 1
+    assert got and got == sorted(map(str, C.loaded(spark, sf).select(*CS.PAYLOAD_COLS).collect()))
